@@ -72,7 +72,7 @@ def check_specs(specs) -> None:
 
 
 def exists(spark: SparkSession, spec: TableSpec) -> bool:
-    return spark.catalog.tableExists(spec.table, spec.database)
+    return spark.catalog.tableExists(f"{spec.database}.{spec.table}")
 
 
 def _new_version(spec: TableSpec) -> str:
