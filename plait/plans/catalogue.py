@@ -20,11 +20,12 @@ from ..operators.history import scd2_history
 from ..operators.inspect import first_rows, profile
 from ..operators.keys import dedupe_latest, key_report
 from ..operators.reshape import expand_struct, flatten, recombine, sanitize_names, split
-from ..session import scratch_path, unique_name
+from ..session import scratch_path, shared_dir, unique_name
 from ..sinks.layout import zorder
 from ..sinks.tables import drop, load, merge_frames, replace, table_spec
 from ..sources.documents import ORDER_DOCUMENT_DDL, order_bodies
 from ..sources.fetch import CannedUserApi, fetch
+from ..sources.files import input_signature, land_once, read_table
 from ..sources.payloads import CORRUPT, infer_schema, parse_json, split_valid
 from ..streaming.incremental import ingest_incremental
 
@@ -37,13 +38,23 @@ ROUND_TWO_FROM = "2024-01-15"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def order_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw order replies ``doc_key, body`` (JSON text), landed once per input
+    version in the shared folder, as fetched replies would be."""
+    inputs = [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "lineitem")]
+    sig = input_signature(spark, inputs)
+    target = f"{shared_dir(spark)}/plait/replies/orders-{sig}"
+    land_once(spark, lambda: order_bodies(table(spark, sf_dir, "orders"),
+                                          table(spark, sf_dir, "lineitem")), target)
+    return read_table(spark, target)
 
 
 def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed order documents: ``doc_key, doc, _corrupt_record``."""
-    bodies = order_bodies(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    return parse_json(bodies, "body", ORDER_DOCUMENT_DDL, alias="doc", keep=False)
+    """Parsed order replies: ``doc_key, doc, _corrupt_record``."""
+    return parse_json(order_replies(spark, sf_dir), "body", ORDER_DOCUMENT_DDL, alias="doc", keep=False)
 
 
 def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,32 +23,35 @@ DEFAULT_PAGE_SIZE = 500
 
 def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
          properties: Column, feature: Column, order: list[Column], salt: Column,
-         page_size: int = DEFAULT_PAGE_SIZE, doc_type: str = "FeatureCollection",
-         spread_pages: bool = True) -> DataFrame:
+         page_size: int = DEFAULT_PAGE_SIZE, doc_type: str = "FeatureCollection") -> DataFrame:
     """One row per document: ``doc_key, <key>, page, doc`` (doc is a struct
     ``type, properties, features``).  Parents without children get one
     document with an empty ``features`` array.
 
     ``salt`` must be a deterministic non-negative bigint of the child row;
     ``order`` fixes the order of features inside a document.
-    ``spread_pages`` re-partitions on (key, page) before collecting, so the
-    pages of one hot parent are built by many tasks.
+
+    Plan: only keys with more than ``page_size`` children need pages, so the
+    per-key counts are filtered to those before they are joined back (AQE
+    broadcasts them when they are small, else sort-merge).  Grouping on
+    (key, page) hashes on both, so the pages of a hot key are collected by
+    different tasks, each after a map-side partial collect.
     """
     c = child.select(F.col(child_key).alias("_k"), F.struct(*order).alias("_o"),
                      feature.alias("_f"), salt.alias("_s"))
-    counts = c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    paged = (c.join(counts, "_k")
-             .withColumn("_page", F.pmod(F.col("_s"), F.ceil(F.col("_n") / F.lit(page_size))).cast("int"))
+    hot = (c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > F.lit(page_size)))
+    paged = (c.join(hot, "_k", "left")
+             .withColumn("_page", F.coalesce(
+                 F.pmod(F.col("_s"), F.ceil(F.col("_n") / F.lit(page_size))), F.lit(0)).cast("int"))
              .drop("_s", "_n"))
-    if spread_pages:
-        paged = paged.repartition("_k", "_page")
     grouped = (paged.groupBy("_k", "_page")
                .agg(F.sort_array(F.collect_list(F.struct("_o", "_f"))).alias("_items"))
                .select("_k", "_page", F.transform("_items", lambda x: x["_f"]).alias("features")))
     feature_type = grouped.schema["features"].dataType
     p = parent.select(F.col(key).alias("_k"), properties.alias("properties"))
     with_children = p.join(grouped, "_k")
-    childless = (p.join(counts.select("_k"), "_k", "left_anti")
+    childless = (p.join(c.select("_k"), "_k", "left_anti")
                  .withColumn("_page", F.lit(0))
                  .withColumn("features", F.array().cast(feature_type)))
     docs = with_children.unionByName(childless)
@@ -98,7 +101,7 @@ def line_salt() -> Column:
 
 
 def order_documents(orders: DataFrame, lineitem: DataFrame,
-                    page_size: int = DEFAULT_PAGE_SIZE, spread_pages: bool = True) -> DataFrame:
+                    page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
     props = F.struct(
         F.col("o_orderkey").alias("order-key"),
         F.col("o_custkey").alias("cust-key"),
@@ -122,26 +125,8 @@ def order_documents(orders: DataFrame, lineitem: DataFrame,
                  F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship-date")).alias("properties"))
     return nest(orders, lineitem, "o_orderkey", "l_orderkey", props, feature,
                 order=[F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")],
-                salt=line_salt(), page_size=page_size, spread_pages=spread_pages)
+                salt=line_salt(), page_size=page_size)
 
 
 def order_bodies(orders: DataFrame, lineitem: DataFrame, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
     return to_bodies(order_documents(orders, lineitem, page_size))
-
-
-CONVERSATION_DOCUMENT_DDL = (
-    "type string, properties struct<`conv-id`: bigint>, "
-    "features array<struct<type: string, properties: struct<turn: bigint, role: string, text: string>>>"
-)
-
-
-def conversation_documents(conversations: DataFrame, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """One document per conversation page: turns are features, in turn
-    order; pages are contiguous turn ranges of ``page_size``."""
-    convs = conversations.select("conv_id").distinct()
-    props = F.struct(F.col("conv_id").alias("conv-id"))
-    feature = F.struct(F.lit("Turn").alias("type"),
-                       F.struct("turn", "role", "text").alias("properties"))
-    return nest(convs, conversations, "conv_id", "conv_id", props, feature,
-                order=[F.col("turn")], salt=F.floor(F.col("turn") / F.lit(page_size)).cast("bigint"),
-                page_size=page_size, doc_type="Conversation")
