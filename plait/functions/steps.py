@@ -17,7 +17,9 @@ _OBSERVATIONS: dict[str, list[Observation]] = {}
 
 def step(name: str, **metrics):
     """Decorate ``fn(df, ...) -> DataFrame``; the result carries an observation
-    named ``name`` with ``rows`` = count(*) plus the given metric columns."""
+    named ``name`` with ``rows`` = count(*) plus the given metrics (SQL
+    aggregate text such as ``"sum(value)"``, or a callable returning a
+    Column; both are built when the step runs, not at import)."""
 
     def wrap(fn):
         @functools.wraps(fn)
@@ -25,7 +27,7 @@ def step(name: str, **metrics):
             out = fn(*args, **kwargs)
             obs = Observation(name)
             exprs = [F.count(F.lit(1)).alias("rows")]
-            exprs += [c.alias(k) for k, c in metrics.items()]
+            exprs += [(F.expr(c) if isinstance(c, str) else c()).alias(k) for k, c in metrics.items()]
             observed = out.observe(obs, *exprs)
             _OBSERVATIONS.setdefault(name, []).append(obs)
             return observed

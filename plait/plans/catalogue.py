@@ -266,8 +266,7 @@ def q22_incremental(spark, sf_dir):
     schema = T.StructType.fromDDL(EVENT_DDL)
     for batch in (round_one, round_two):
         batch.write.mode("append").option("timestampNTZFormat", NTZ_FORMAT).json(landing)
-        q = ingest_incremental(spark, landing, schema, spec, checkpoint, order=["round", "ts"])
-        q.awaitTermination()
+        ingest_incremental(spark, landing, schema, spec, checkpoint, order=["round", "ts"], wait=True)
     return spark.table(spec.qualified).drop("round")
 
 

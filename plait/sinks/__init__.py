@@ -1,8 +1,8 @@
 from .layout import cluster, cluster_table, zorder, zorder_key
-from .tables import (TableSpec, check_specs, drop, exists, load, merge_frames, prepare_source,
+from .tables import (TableSpec, append, check_specs, drop, exists, load, merge_frames, prepare_source,
                      replace, table_spec, upsert, vacuum)
 
 __all__ = [
-    "cluster", "cluster_table", "zorder", "zorder_key", "TableSpec", "check_specs", "drop",
+    "append", "cluster", "cluster_table", "zorder", "zorder_key", "TableSpec", "check_specs", "drop",
     "exists", "load", "merge_frames", "prepare_source", "replace", "table_spec", "upsert", "vacuum",
 ]

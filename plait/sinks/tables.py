@@ -108,6 +108,20 @@ def replace(df: DataFrame, spec: TableSpec) -> dict:
     return metrics
 
 
+def append(df: DataFrame, spec: TableSpec) -> dict:
+    """Add rows (create when absent).  New files are committed into the live
+    location by Spark's commit protocol, so a failed job adds nothing."""
+    spark = df.sparkSession
+    if not exists(spark, spec):
+        return replace(df, spec)
+    obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
+    target = spark.table(spec.qualified)
+    conform(df, target.schema).observe(obs, F.count(F.lit(1)).alias("rows")) \
+        .write.insertInto(spec.qualified)
+    spark.sql(f"REFRESH TABLE {spec.qualified}")
+    return {"rows_written": obs.get["rows"], "inserted": obs.get["rows"], "updated": 0}
+
+
 def drop(spark: SparkSession, spec: TableSpec) -> None:
     """DROP TABLE IF EXISTS; files stay (external table)."""
     spark.sql(f"DROP TABLE IF EXISTS {spec.qualified}")

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sinks.tables import TableSpec, load
+from pyspark.sql import functions as F
+
+from ..sinks.tables import TableSpec, append, load
 from ..sources.payloads import CORRUPT, with_corrupt_field
 
 
@@ -29,10 +31,14 @@ def ingest_incremental(spark: SparkSession, source_dir: str, schema, spec: Table
                        checkpoint: str, key=None, order=None, on_duplicate: str = "latest",
                        quarantine: TableSpec | None = None, transform=None,
                        available_now: bool = True, processing_time: str | None = None,
-                       multi_line: bool = False) -> StreamingQuery:
+                       multi_line: bool = False, wait: bool = False) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops once every landed
     file is merged (run it on a schedule).  ``transform(batch_df)`` may
-    reshape valid rows before the merge (explode, flatten, split ...)."""
+    reshape valid rows before the merge (explode, flatten, split ...).
+
+    Batches run on the stream's own session, whose table refresh does not
+    reach the caller's cached relation; ``wait=True`` blocks until an
+    ``available_now`` run ends and then refreshes the table here."""
     stream = payload_stream(spark, source_dir, schema, multi_line)
     ks = list(key or spec.key)
 
@@ -41,8 +47,9 @@ def ingest_incremental(spark: SparkSession, source_dir: str, schema, spec: Table
         try:
             valid = batch.where(batch[CORRUPT].isNull()).drop(CORRUPT)
             if quarantine is not None:
+                # a replayed batch may add its corrupt rows again; batch_id tells them apart
                 bad = batch.where(batch[CORRUPT].isNotNull())
-                load(bad.select(CORRUPT), quarantine, key=[CORRUPT], on_duplicate="trust")
+                append(bad.select(F.lit(batch_id).alias("batch_id"), CORRUPT), quarantine)
             if transform is not None:
                 valid = transform(valid)
             load(valid, spec, ks, on_duplicate=on_duplicate, order=order)
@@ -55,4 +62,10 @@ def ingest_incremental(spark: SparkSession, source_dir: str, schema, spec: Table
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    query = writer.start()
+    if wait and available_now:
+        query.awaitTermination()
+        for t in (spec, quarantine):
+            if t is not None and spark.catalog.tableExists(f"{t.database}.{t.table}"):
+                spark.catalog.refreshTable(t.qualified)
+    return query
