@@ -65,3 +65,33 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
     return starts.select(*[F.col(quote(k)) for k in ks], *[F.col(quote(t)) for t in tracked],
                          *carried, oc[0].alias("valid_from"), valid_to.alias("valid_to"),
                          valid_to.isNull().alias("is_current"))
+
+
+def scd2_merge(history: DataFrame, batch: DataFrame, key, order: list[str],
+               tracked: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Merge a batch into a history built by ``scd2_history`` with
+    ``carry={o: o for o in order[1:]}`` (``valid_from`` holds ``order[0]``).
+
+    Only keys present in the batch are touched: their current version is
+    re-seeded next to the new rows and their history from that version on
+    is rebuilt; every other row is kept as is.  Batch rows not newer than a
+    key's current version start (a replayed batch, or late data) are not
+    applied; they are returned as the second DataFrame.
+    """
+    ks = [key] if isinstance(key, str) else list(key)
+    touched = batch.select(*[F.col(quote(k)) for k in ks]).distinct()
+    current = (history.where(F.col("is_current"))
+               .join(touched, ks, "left_semi"))
+    seeds = current.select(*[F.col(quote(k)) for k in ks], F.col("valid_from").alias(order[0]),
+                           *[F.col(quote(o)) for o in order[1:]], *[F.col(quote(t)) for t in tracked])
+    seed_pos = seeds.select(*ks, F.struct(*[F.col(quote(o)) for o in order]).alias("_seed"))
+    rows = batch.select(*[F.col(quote(c)) for c in ks + order + tracked])
+    tagged = rows.join(seed_pos, ks, "left").withColumn(
+        "_new", F.col("_seed").isNull() | (F.struct(*[F.col(quote(o)) for o in order]) > F.col("_seed")))
+    fresh_rows = tagged.where("_new").drop("_seed", "_new")
+    late = tagged.where(~F.col("_new")).drop("_seed", "_new")
+    rebuilt = scd2_history(fresh_rows.unionByName(seeds), ks, order, tracked,
+                           carry={o: o for o in order[1:]})
+    untouched = history.join(touched, ks, "left_anti")
+    closed = history.where(~F.col("is_current")).join(touched, ks, "left_semi")
+    return untouched.unionByName(closed).unionByName(rebuilt.select(history.columns)), late

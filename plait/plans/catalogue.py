@@ -22,7 +22,7 @@ from ..operators.keys import dedupe_latest, key_report
 from ..operators.reshape import expand_struct, flatten, recombine, sanitize_names, split
 from ..session import scratch_path, shared_dir, unique_name
 from ..sinks.layout import zorder
-from ..sinks.tables import drop, load, merge_frames, replace, table_spec
+from ..sinks.tables import drop, load, merge_frames, replace, scd2_load, table_spec
 from ..sources.documents import ORDER_DOCUMENT_DDL, order_bodies
 from ..sources.fetch import CannedUserApi, fetch, land
 from ..sources.files import input_signature, land_once, read_table
@@ -332,6 +332,18 @@ def q28_explode_map(spark, sf_dir):
     return explode_rows(e, "m", keep=["event_id"], guard_reparse=True)
 
 
+def q29_scd2_load(spark, sf_dir):
+    """Type-2 table load in two time-ordered batches (create, then merge)."""
+    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    cut = F.lit(ROUND_ONE_BEFORE).cast("timestamp_ntz")
+    spec = table_spec("history", unique_name("t_history"), "default",
+                      scratch_path(spark, "tables", "history"))
+    args = dict(key="user_id", order=["ts", "event_id"], tracked=["event_type"])
+    scd2_load(e.where(F.col("ts") < cut), spec, **args)
+    scd2_load(e.where(F.col("ts") >= cut), spec, **args)
+    return spark.table(spec.qualified)
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}
 

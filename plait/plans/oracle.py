@@ -142,6 +142,16 @@ ORACLE = {
                lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
         FROM v""",
 
+    "q29_scd2_load": """
+        WITH x AS (SELECT user_id, event_id, ts, event_type,
+                          lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+                   FROM events),
+             v AS (SELECT * FROM x WHERE prev IS DISTINCT FROM event_type)
+        SELECT user_id, event_type, event_id, ts AS valid_from,
+               lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to,
+               lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
+        FROM v""",
+
     "q16_key_report": """
         SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",

@@ -213,3 +213,23 @@ def vacuum(spark: SparkSession, spec: TableSpec, keep: int = 2) -> list[str]:
         fs.delete(jvm.org.apache.hadoop.fs.Path(full), True)
         removed.append(full)
     return removed
+
+
+def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: list[str]) -> dict:
+    """Type-2 load: build the history table on first use, else merge the
+    batch into it (``operators.history.scd2_merge``) and publish a new
+    version.  Returns counts, including rows not applied (late/replayed)."""
+    from ..operators.history import scd2_history, scd2_merge
+    spark = df.sparkSession
+    ks = [key] if isinstance(key, str) else list(key)
+    carry = {o: o for o in order[1:]}
+    if not exists(spark, spec):
+        m = replace(scd2_history(df, ks, order, tracked, carry=carry), spec)
+        m["late_rows"] = 0
+        return m
+    merged, late = scd2_merge(spark.table(spec.qualified), df, ks, order, tracked)
+    obs = Observation(f"scd2_{uuid.uuid4().hex[:8]}")
+    metrics: dict = {}
+    _publish(spark, merged.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
+    metrics.update(rows_written=obs.get["rows"], late_rows=late.count())
+    return metrics
