@@ -154,7 +154,8 @@ def q11_recombine(spark, sf_dir):
     try:
         for name, part in parts.items():
             specs[name] = table_spec(name, unique_name(f"t_{name}"), "default",
-                                     scratch_path(spark, "tables", name), key=("linekey",))
+                                     scratch_path(spark, "tables", name), key=("linekey",),
+                                     buckets=_buckets(spark))
             replace(part, specs[name])
     finally:
         parts.release()
@@ -240,16 +241,22 @@ def q19_corrupt_capture(spark, sf_dir):
 
 # -- tables ---------------------------------------------------------------
 
-def _spec(spark, label):
+def _buckets(spark) -> int:
+    """Bucket count for catalogue tables: the session's shuffle width."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _spec(spark, label, buckets: int = 0):
     name = unique_name(f"t_{label}")
-    return table_spec(label, name, "default", scratch_path(spark, "tables", label), key=("o_orderkey",))
+    return table_spec(label, name, "default", scratch_path(spark, "tables", label), key=("o_orderkey",),
+                      buckets=buckets)
 
 
 def q20_load_twice(spark, sf_dir):
     target, source = _orders_batches(spark, sf_dir)
-    spec = _spec(spark, "orders")
-    load(target, spec)            # creates
-    load(source, spec)            # merges
+    spec = _spec(spark, "orders", buckets=_buckets(spark))
+    load(target, spec)            # creates, bucketed by key
+    load(source, spec)            # merges: only the source is shuffled
     return spark.table(spec.qualified)
 
 

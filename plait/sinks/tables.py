@@ -39,6 +39,7 @@ class TableSpec:
     format: str = "parquet"
     key: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = field(default_factory=tuple)
+    buckets: int = 0          # > 0: files bucketed by key (co-located joins and merges)
 
     @property
     def qualified(self) -> str:
@@ -50,11 +51,16 @@ class TableSpec:
 
 
 def table_spec(label: str = "default", table: str = "default", database: str = "default",
-               location: str = "", key=(), format: str = "parquet") -> TableSpec:
+               location: str = "", key=(), format: str = "parquet", buckets: int = 0,
+               partition_by=()) -> TableSpec:
     if not location:
         raise ValueError("a table needs a location")
+    key = tuple([key] if isinstance(key, str) else key)
+    if buckets and not key:
+        raise ValueError("a bucketed table needs a key")
     return TableSpec(label=label, table=table, database=database, location=location.rstrip("/"),
-                     format=format, key=tuple([key] if isinstance(key, str) else key))
+                     format=format, key=key, buckets=buckets,
+                     partition_by=tuple([partition_by] if isinstance(partition_by, str) else partition_by))
 
 
 def check_specs(specs) -> None:
@@ -79,18 +85,40 @@ def _new_version(spec: TableSpec) -> str:
     return f"{spec.location}/v={int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
 
 
-def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict) -> str:
-    """Write ``df`` as a new version and point the table at it."""
+def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
+             prepartitioned: bool = False) -> str:
+    """Write ``df`` as a new version and point the table at it.
+
+    Bucketed tables are written through a staging external table (bucket
+    metadata lives in the catalog); rows are hash-partitioned on the key
+    into exactly ``buckets`` tasks first, so each bucket gets one file,
+    unless the caller says ``df`` is already partitioned that way."""
     path = _new_version(spec)
-    writer = df.write.format(spec.format).mode("errorifexists")
-    if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
-    writer.save(path)
-    if exists(spark, spec):
-        spark.sql(f"ALTER TABLE {spec.qualified} SET LOCATION '{path}'")
-    else:
+    if spec.buckets:
+        keys = [F.col(quote(k)) for k in spec.key]
+        data = df if prepartitioned else df.repartition(spec.buckets, *keys)
+        staging = f"{spec.table}__v{uuid.uuid4().hex[:10]}"
+        writer = (data.write.format(spec.format).mode("errorifexists")
+                  .bucketBy(spec.buckets, *spec.key).sortBy(*spec.key).option("path", path))
+        if spec.partition_by:
+            writer = writer.partitionBy(*spec.partition_by)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(spec.database)}")
-        spark.sql(f"CREATE TABLE {spec.qualified} USING {spec.format} LOCATION '{path}'")
+        writer.saveAsTable(f"{quote(spec.database)}.{quote(staging)}")
+        if exists(spark, spec):
+            spark.sql(f"ALTER TABLE {spec.qualified} SET LOCATION '{path}'")
+            spark.sql(f"DROP TABLE {quote(spec.database)}.{quote(staging)}")   # external: files stay
+        else:
+            spark.sql(f"ALTER TABLE {quote(spec.database)}.{quote(staging)} RENAME TO {spec.qualified}")
+    else:
+        writer = df.write.format(spec.format).mode("errorifexists")
+        if spec.partition_by:
+            writer = writer.partitionBy(*spec.partition_by)
+        writer.save(path)
+        if exists(spark, spec):
+            spark.sql(f"ALTER TABLE {spec.qualified} SET LOCATION '{path}'")
+        else:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(spec.database)}")
+            spark.sql(f"CREATE TABLE {spec.qualified} USING {spec.format} LOCATION '{path}'")
     if spec.partition_by:
         spark.sql(f"ALTER TABLE {spec.qualified} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {spec.qualified}")
@@ -175,7 +203,14 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     kept = t.join(s.select(*[F.col(quote(k)) for k in ks]), ks, "left_anti")
     kept = kept.observe(o_k, F.count(F.lit(1)).alias("rows"))
     metrics: dict = {}
-    _publish(spark, kept.unionByName(source), spec, metrics)
+    if spec.buckets:
+        # kept rows come from the bucketed scan, one task per bucket; only the
+        # source is hash-partitioned to the same buckets, so the big side is
+        # never shuffled (two files per bucket after a merge)
+        fresh = source.repartition(spec.buckets, *[F.col(quote(k)) for k in ks])
+        _publish(spark, kept.unionByName(fresh), spec, metrics, prepartitioned=True)
+    else:
+        _publish(spark, kept.unionByName(source), spec, metrics)
     n_t, n_k, n_s = o_t.get["rows"], o_k.get["rows"], o_s.get["rows"]
     metrics.update(rows_written=n_k + n_s, updated=n_t - n_k, inserted=n_s - (n_t - n_k))
     return metrics

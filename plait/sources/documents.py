@@ -39,8 +39,8 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
     """
     c = child.select(F.col(child_key).alias("_k"), F.struct(*order).alias("_o"),
                      feature.alias("_f"), salt.alias("_s"))
-    hot = (c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > F.lit(page_size)))
+    counts = c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > F.lit(page_size))
     paged = (c.join(hot, "_k", "left")
              .withColumn("_page", F.coalesce(
                  F.pmod(F.col("_s"), F.ceil(F.col("_n") / F.lit(page_size))), F.lit(0)).cast("int"))
@@ -51,7 +51,7 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
     feature_type = grouped.schema["features"].dataType
     p = parent.select(F.col(key).alias("_k"), properties.alias("properties"))
     with_children = p.join(grouped, "_k")
-    childless = (p.join(c.select("_k"), "_k", "left_anti")
+    childless = (p.join(counts.select("_k"), "_k", "left_anti")     # same aggregate, reused
                  .withColumn("_page", F.lit(0))
                  .withColumn("features", F.array().cast(feature_type)))
     docs = with_children.unionByName(childless)

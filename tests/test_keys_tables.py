@@ -118,3 +118,26 @@ def test_cluster_and_zorder_keep_content(spark):
     df = spark.range(0, 1000).select(F.col("id"), (F.col("id") * 7 % 101).alias("b"))
     assert _rows(cluster(df, ["b", "id"], 4)) == _rows(df)
     assert _rows(zorder(df, ["id", "b"], 4)) == _rows(df)
+
+
+def test_bucketed_tables_join_and_merge_without_shuffling_the_table(spark, workdir):
+    a = table_spec("a", unique_name("ba"), "default", workdir + "/a", key="k", buckets=4)
+    b = table_spec("b", unique_name("bb"), "default", workdir + "/b", key="k", buckets=4)
+    rows = spark.range(0, 5000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    replace(rows, a)
+    replace(rows.withColumnRenamed("v", "w"), b)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table(a.qualified).join(spark.table(b.qualified), "k")
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and joined.count() == 5000
+        src = spark.range(4990, 5010).select(F.col("id").alias("k"), F.lit(100).alias("v"))
+        m = upsert(src, a)
+        assert (m["inserted"], m["updated"]) == (10, 10)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    got = spark.table(a.qualified)
+    assert got.count() == 5010 and got.where("v = 100").count() == 20
+    desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {a.qualified}").collect()}
+    assert desc.get("Num Buckets") == "4"
