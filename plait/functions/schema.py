@@ -84,3 +84,18 @@ def widen(source: T.DataType, target: T.DataType) -> bool:
     if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
         return widen(source.elementType, target.elementType)
     return False
+
+
+def to_ddl(dt: T.DataType, top: bool = True) -> str:
+    """Spark DDL text for a type; every field name is back-quoted, so names
+    such as ``h3-index`` survive a round trip through the parser."""
+    q = lambda n: "`" + n.replace("`", "``") + "`"
+    if isinstance(dt, T.StructType):
+        inner = ", ".join(f"{q(f.name)}{' ' if top else ': '}{to_ddl(f.dataType, False)}"
+                          + ("" if f.nullable else " NOT NULL") for f in dt.fields)
+        return inner if top else f"STRUCT<{inner}>"
+    if isinstance(dt, T.ArrayType):
+        return f"ARRAY<{to_ddl(dt.elementType, False)}>"
+    if isinstance(dt, T.MapType):
+        return f"MAP<{to_ddl(dt.keyType, False)}, {to_ddl(dt.valueType, False)}>"
+    return dt.simpleString()

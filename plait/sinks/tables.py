@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import quote
+from ..functions.schema import to_ddl
 from ..operators.conform import conform
 from ..operators.keys import assert_unique, dedupe_latest
 
@@ -104,17 +105,26 @@ def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
             writer = writer.partitionBy(*spec.partition_by)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(spec.database)}")
         writer.saveAsTable(f"{quote(spec.database)}.{quote(staging)}")
-        if exists(spark, spec):
+        if exists(spark, spec) and not spec.partition_by:
             spark.sql(f"ALTER TABLE {spec.qualified} SET LOCATION '{path}'")
             spark.sql(f"DROP TABLE {quote(spec.database)}.{quote(staging)}")   # external: files stay
         else:
+            # partition locations live per partition: a full rewrite of a
+            # partitioned table swaps the whole definition (short window)
+            spark.sql(f"DROP TABLE IF EXISTS {spec.qualified}")
             spark.sql(f"ALTER TABLE {quote(spec.database)}.{quote(staging)} RENAME TO {spec.qualified}")
     else:
         writer = df.write.format(spec.format).mode("errorifexists")
         if spec.partition_by:
             writer = writer.partitionBy(*spec.partition_by)
         writer.save(path)
-        if exists(spark, spec):
+        if spec.partition_by:
+            # declared schema: partition types are not re-inferred from paths
+            spark.sql(f"DROP TABLE IF EXISTS {spec.qualified}")     # see above; files stay
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(spec.database)}")
+            spark.sql(f"CREATE TABLE {spec.qualified} ({to_ddl(df.schema)}) USING {spec.format} "
+                      f"PARTITIONED BY ({', '.join(quote(c) for c in spec.partition_by)}) LOCATION '{path}'")
+        elif exists(spark, spec):
             spark.sql(f"ALTER TABLE {spec.qualified} SET LOCATION '{path}'")
         else:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(spec.database)}")
@@ -126,6 +136,42 @@ def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
     return path
 
 
+def _sql_literal(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _publish_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
+                        prepartitioned: bool = False) -> str:
+    """Write only the partitions present in ``df`` as a new version and
+    re-point (or add) exactly those partitions; the others keep their files."""
+    path = _new_version(spec)
+    cols = list(spec.partition_by)
+    if spec.buckets:
+        keys = [F.col(quote(k)) for k in spec.key]
+        data = df if prepartitioned else df.repartition(spec.buckets, *keys)
+        staging = f"{spec.table}__p{uuid.uuid4().hex[:10]}"
+        (data.write.format(spec.format).bucketBy(spec.buckets, *spec.key).sortBy(*spec.key)
+         .partitionBy(*cols).option("path", path).saveAsTable(f"{quote(spec.database)}.{quote(staging)}"))
+        spark.sql(f"DROP TABLE {quote(spec.database)}.{quote(staging)}")      # external: files stay
+    else:
+        df.write.format(spec.format).partitionBy(*cols).mode("errorifexists").save(path)
+    written = (spark.read.schema(df.schema).format(spec.format).load(path)
+               .select(*[F.col(quote(c)) for c in cols],
+                       F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("_dir"))
+               .distinct().collect())          # one row per written partition (bounded)
+    for row in written:
+        part = ", ".join(f"{quote(c)}={_sql_literal(row[c])}" for c in cols)
+        spark.sql(f"ALTER TABLE {spec.qualified} ADD IF NOT EXISTS PARTITION ({part}) LOCATION '{row['_dir']}'")
+        spark.sql(f"ALTER TABLE {spec.qualified} PARTITION ({part}) SET LOCATION '{row['_dir']}'")
+    spark.sql(f"REFRESH TABLE {spec.qualified}")
+    metrics.update(location=path, partitions_rewritten=len(written))
+    return path
+
+
 def replace(df: DataFrame, spec: TableSpec) -> dict:
     """Full replacement (create when absent).  Returns counts."""
     spark = df.sparkSession
@@ -180,12 +226,36 @@ def merge_frames(target: DataFrame, source: DataFrame, key) -> DataFrame:
     return kept.unionByName(source)
 
 
+def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str], limit: int):
+    """When every partition column is part of the key, a source row can only
+    match target rows of its own partition: return a predicate selecting the
+    partitions present in the source (at most ``limit``; one small distinct
+    job), or None when the whole table must be merged."""
+    cols = list(spec.partition_by)
+    if not cols or not set(cols) <= set(ks) or limit <= 0:
+        return None
+    values = source.select(*[F.col(quote(c)) for c in cols]).distinct().limit(limit + 1).collect()
+    if not values or len(values) > limit or any(v is None for r in values for v in r):
+        return None
+    cond = F.lit(False)
+    for r in values:
+        one = F.lit(True)
+        for c in cols:
+            one = one & (F.col(quote(c)) == F.lit(r[c]))
+        cond = cond | one
+    return cond
+
+
 def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
-           order=None) -> dict:
+           order=None, max_partitions: int = 10000) -> dict:
     """Merge ``df`` into an existing table on ``key`` (update all columns when
     matched, insert otherwise).  The source is first conformed to the table
     schema (missing columns NULL, safe widening) and guarded for duplicate
-    keys.  Returns counts of inserted and updated rows."""
+    keys.  Returns counts of inserted and updated rows.
+
+    Partitioned tables whose partition columns are part of the key are
+    merged partition by partition: only partitions present in the source
+    are read, rewritten and re-pointed (up to ``max_partitions``)."""
     spark = df.sparkSession
     ks = list(key or spec.key)
     if not ks:
@@ -197,20 +267,24 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
                           F.expr(" AND ".join(f"{spec.qualified}.{quote(k)} = source.{quote(k)}" for k in ks)))
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return {"rows_written": None, "inserted": None, "updated": None}
+    scoped = _touched_partitions(source, spec, ks, max_partitions)
+    if scoped is not None:
+        target = target.where(scoped)          # static partition filter: only touched partitions are read
     o_t, o_k, o_s = (Observation(f"{n}_{uuid.uuid4().hex[:8]}") for n in ("target", "kept", "source"))
     t = target.observe(o_t, F.count(F.lit(1)).alias("rows"))
     s = source.observe(o_s, F.count(F.lit(1)).alias("rows"))
     kept = t.join(s.select(*[F.col(quote(k)) for k in ks]), ks, "left_anti")
     kept = kept.observe(o_k, F.count(F.lit(1)).alias("rows"))
     metrics: dict = {}
+    publish = _publish if scoped is None else _publish_partitions
     if spec.buckets:
         # kept rows come from the bucketed scan, one task per bucket; only the
         # source is hash-partitioned to the same buckets, so the big side is
         # never shuffled (two files per bucket after a merge)
         fresh = source.repartition(spec.buckets, *[F.col(quote(k)) for k in ks])
-        _publish(spark, kept.unionByName(fresh), spec, metrics, prepartitioned=True)
+        publish(spark, kept.unionByName(fresh), spec, metrics, prepartitioned=True)
     else:
-        _publish(spark, kept.unionByName(source), spec, metrics)
+        publish(spark, kept.unionByName(source), spec, metrics)
     n_t, n_k, n_s = o_t.get["rows"], o_k.get["rows"], o_s.get["rows"]
     metrics.update(rows_written=n_k + n_s, updated=n_t - n_k, inserted=n_s - (n_t - n_k))
     return metrics
@@ -229,22 +303,24 @@ def load(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail", o
 
 
 def vacuum(spark: SparkSession, spec: TableSpec, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` version directories (never the live one)."""
+    """Delete version directories that no live file of the table uses,
+    except the newest ``keep``.  (Partitions of a partition-scoped table may
+    live in several versions.)"""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(spec.location)
     fs = root.getFileSystem(conf)
     if not fs.exists(root):
         return []
-    live = spark.sql(f"DESCRIBE TABLE EXTENDED {spec.qualified}").where("col_name = 'Location'").first()
-    live_path = live["data_type"].rstrip("/") if live else ""
-    versions = sorted(str(s.getPath().getName()) for s in fs.listStatus(root)
-                      if s.isDirectory() and str(s.getPath().getName()).startswith("v="))
+    live = {r[0] for r in spark.table(spec.qualified)
+            .select(F.regexp_extract(F.col("_metadata.file_path"), r"/(v=[^/]+)/", 1)).distinct().collect()}
+    versions = sorted(str(st.getPath().getName()) for st in fs.listStatus(root)
+                      if st.isDirectory() and str(st.getPath().getName()).startswith("v="))
     removed = []
     for name in versions[:-keep] if keep else versions:
-        full = f"{spec.location}/{name}"
-        if live_path.endswith(name):
+        if name in live:
             continue
+        full = f"{spec.location}/{name}"
         fs.delete(jvm.org.apache.hadoop.fs.Path(full), True)
         removed.append(full)
     return removed
