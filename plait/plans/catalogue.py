@@ -8,6 +8,7 @@ order as document properties and its lines as ``features``.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ..operators.reshape import expand_struct, flatten, recombine, sanitize_name
 from ..session import scratch_path, shared_dir, unique_name
 from ..sinks.layout import zorder
 from ..sinks.tables import drop, load, merge_frames, replace, scd2_load, table_spec
-from ..sources.documents import ORDER_DOCUMENT_DDL, order_bodies
+from ..sources.documents import DEFAULT_PAGE_SIZE, ORDER_DOCUMENT_DDL, order_bodies
 from ..sources.fetch import CannedUserApi, fetch, land
 from ..sources.files import input_signature, land_once, read_table
 from ..sources.payloads import CORRUPT, infer_schema, parse_json, split_valid
@@ -35,6 +36,8 @@ TARGET_BEFORE = "1999-01-01"
 SOURCE_FROM = "1998-01-01"
 ROUND_ONE_BEFORE = "2024-01-16"
 ROUND_TWO_FROM = "2024-01-15"
+# bump when the reply builder changes, so landed replies are rebuilt
+REPLY_FORMAT = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +48,9 @@ def order_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order replies ``doc_key, body`` (JSON text), landed once per input
     version in the shared folder, as fetched replies would be."""
     inputs = [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "lineitem")]
+    fmt = hashlib.sha256(f"{REPLY_FORMAT}|{DEFAULT_PAGE_SIZE}|{ORDER_DOCUMENT_DDL}".encode()).hexdigest()[:8]
     sig = input_signature(spark, inputs)
-    target = f"{shared_dir(spark)}/plait/replies/orders-{sig}"
+    target = f"{shared_dir(spark)}/plait/replies/orders-{fmt}-{sig}"
     land_once(spark, lambda: order_bodies(table(spark, sf_dir, "orders"),
                                           table(spark, sf_dir, "lineitem")), target)
     return read_table(spark, target)

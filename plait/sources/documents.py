@@ -107,7 +107,7 @@ def order_documents(orders: DataFrame, lineitem: DataFrame,
         F.col("o_custkey").alias("cust-key"),
         F.col("o_orderstatus").alias("order-status"),
         F.col("o_totalprice").alias("total-price"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order-date"),
+        F.to_date("o_orderdate").cast("string").alias("order-date"),
         F.col("o_orderpriority").alias("order-priority"))
     feature = F.struct(
         F.lit("Feature").alias("type"),
@@ -122,7 +122,7 @@ def order_documents(orders: DataFrame, lineitem: DataFrame,
                  F.col("l_suppkey").alias("supp-key"),
                  F.col("l_returnflag").alias("return-flag"),
                  F.col("l_linestatus").alias("line-status"),
-                 F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship-date")).alias("properties"))
+                 F.to_date("l_shipdate").cast("string").alias("ship-date")).alias("properties"))
     return nest(orders, lineitem, "o_orderkey", "l_orderkey", props, feature,
                 order=[F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")],
                 salt=line_salt(), page_size=page_size)
