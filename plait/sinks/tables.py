@@ -222,8 +222,24 @@ def merge_frames(target: DataFrame, source: DataFrame, key) -> DataFrame:
     inserted, as MERGE does.  The anti join is a broadcast when the source
     is small, a sort-merge join otherwise (AQE decides on real sizes)."""
     ks = [key] if isinstance(key, str) else list(key)
-    kept = target.join(source.select(*[F.col(quote(k)) for k in ks]), ks, "left_anti")
-    return kept.unionByName(source)
+    return _anti_by_key(target, source, ks).unionByName(source)
+
+
+def _complete(ks: list[str]):
+    cond = F.lit(True)
+    for k in ks:
+        cond = cond & F.col(quote(k)).isNotNull()
+    return cond
+
+
+def _anti_by_key(target: DataFrame, source: DataFrame, ks: list[str]) -> DataFrame:
+    """Target rows whose key is not in the source.  Rows with a NULL key part
+    can never match, so they bypass the join: all of them would otherwise
+    hash to one partition (assume they are a third of the table)."""
+    whole = _complete(ks)
+    probe = source.where(whole).select(*[F.col(quote(k)) for k in ks])
+    matched_side = target.where(whole).join(probe, ks, "left_anti")
+    return matched_side.unionByName(target.where(~whole))
 
 
 def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str], limit: int):
@@ -273,8 +289,7 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     o_t, o_k, o_s = (Observation(f"{n}_{uuid.uuid4().hex[:8]}") for n in ("target", "kept", "source"))
     t = target.observe(o_t, F.count(F.lit(1)).alias("rows"))
     s = source.observe(o_s, F.count(F.lit(1)).alias("rows"))
-    kept = t.join(s.select(*[F.col(quote(k)) for k in ks]), ks, "left_anti")
-    kept = kept.observe(o_k, F.count(F.lit(1)).alias("rows"))
+    kept = _anti_by_key(t, s, ks).observe(o_k, F.count(F.lit(1)).alias("rows"))
     metrics: dict = {}
     publish = _publish if scoped is None else _publish_partitions
     if spec.buckets:

@@ -37,8 +37,11 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
     (key, page) hashes on both, so the pages of a hot key are collected by
     different tasks, each after a map-side partial collect.
     """
-    c = child.select(F.col(child_key).alias("_k"), F.struct(*order).alias("_o"),
-                     feature.alias("_f"), salt.alias("_s"))
+    # a child without a parent key belongs to no document (the parent join
+    # would drop it); dropping it first keeps NULL from becoming one huge group
+    c = (child.where(F.col(child_key).isNotNull())
+         .select(F.col(child_key).alias("_k"), F.struct(*order).alias("_o"),
+                 feature.alias("_f"), salt.alias("_s")))
     counts = c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > F.lit(page_size))
     paged = (c.join(hot, "_k", "left")
