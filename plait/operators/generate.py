@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 def explode_rows(df: DataFrame, column: str, alias: str = "col", outer: bool = False,
                  position: bool = False, keep: list[str] | None = None,
-                 guard_reparse: bool = False) -> DataFrame:
+                 guard_reparse: bool = False, rebalance: bool = False) -> DataFrame:
     """explode / explode_outer / posexplode / posexplode_outer in one call.
 
     Arrays give ``alias`` (default ``col`` as Spark names it); maps give
@@ -25,6 +25,10 @@ def explode_rows(df: DataFrame, column: str, alias: str = "col", outer: bool = F
     generator and pushes it below the parse, so the text is parsed twice.
     posexplode_outer followed by ``pos IS NOT NULL`` has the same rows as
     (pos)explode and no inferred filter.
+
+    ``rebalance``: one document is one row, parsed and exploded by one task;
+    when single documents hold very many elements, a REBALANCE after the
+    generator lets AQE split the oversized partitions (one extra shuffle).
     """
     dt = df.schema[column].dataType if column in df.columns else None
     is_map = isinstance(dt, T.MapType)
@@ -39,6 +43,7 @@ def explode_rows(df: DataFrame, column: str, alias: str = "col", outer: bool = F
             out = out.where(F.col("pos").isNotNull())
             if not position:
                 out = out.drop("pos")
-        return out
+        return out.hint("rebalance") if rebalance else out
     gen = (F.explode_outer if outer else F.explode)(target)
-    return df.select(*carry, gen.alias(*names))
+    out = df.select(*carry, gen.alias(*names))
+    return out.hint("rebalance") if rebalance else out

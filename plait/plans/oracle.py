@@ -191,7 +191,7 @@ ORACLE = {
 
     "q26_cluster": """
         SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty,
-               sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS sum_price_cents,
+               CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS sum_price_cents,
                count(*) AS n_rows, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
         FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 

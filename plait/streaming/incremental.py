@@ -31,15 +31,18 @@ def ingest_incremental(spark: SparkSession, source_dir: str, schema, spec: Table
                        checkpoint: str, key=None, order=None, on_duplicate: str = "latest",
                        quarantine: TableSpec | None = None, transform=None,
                        available_now: bool = True, processing_time: str | None = None,
-                       multi_line: bool = False, wait: bool = False) -> StreamingQuery:
+                       multi_line: bool = False, wait: bool = False,
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops once every landed
     file is merged (run it on a schedule).  ``transform(batch_df)`` may
     reshape valid rows before the merge (explode, flatten, split ...).
 
     Batches run on the stream's own session, whose table refresh does not
     reach the caller's cached relation; ``wait=True`` blocks until an
-    ``available_now`` run ends and then refreshes the table here."""
-    stream = payload_stream(spark, source_dir, schema, multi_line)
+    ``available_now`` run ends and then refreshes the table here.
+    ``max_files_per_trigger`` bounds each micro-batch (availableNow then
+    runs several bounded batches instead of one that holds every file)."""
+    stream = payload_stream(spark, source_dir, schema, multi_line, max_files_per_trigger)
     ks = list(key or spec.key)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:

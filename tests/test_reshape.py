@@ -48,6 +48,8 @@ def test_explode_semantics_null_and_empty(spark):
     assert [(r.id, r.pos, r.col) for r in pos] == [(1, 0, 1), (1, 1, 2), (4, 0, None)]
     po = explode_rows(df, "a", outer=True, position=True).where("id in (2, 3)").collect()
     assert all(r.pos is None and r.col is None for r in po)
+    rebalanced = explode_rows(df, "a", rebalance=True)
+    assert sorted(map(tuple, rebalanced.collect()), key=str) == sorted(map(tuple, explode_rows(df, "a").collect()), key=str)
     guarded = explode_rows(df, "a", guard_reparse=True)
     assert sorted(map(tuple, guarded.collect()), key=str) == sorted(map(tuple, explode_rows(df, "a").collect()), key=str)
 

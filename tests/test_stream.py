@@ -19,9 +19,13 @@ def test_incremental_rounds_and_restart(spark):
     _land(spark, landing, [(i, i % 3, float(i)) for i in range(6)])
     ingest_incremental(spark, landing, schema, spec, cp, order=["value"], wait=True)
     assert spark.table(spec.qualified).count() == 6
-    # second round: one new key and one changed key; only the new file is read
-    _land(spark, landing, [(6, 0, 6.0), (2, 2, 20.0)])
-    ingest_incremental(spark, landing, schema, spec, cp, order=["value"], wait=True)
+    # second round: one new key and one changed key; only the new files are
+    # read, in bounded batches of one file
+    _land(spark, landing, [(6, 0, 6.0)])
+    _land(spark, landing, [(2, 2, 20.0)])
+    q = ingest_incremental(spark, landing, schema, spec, cp, order=["value"], wait=True,
+                           max_files_per_trigger=1)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
     got = {r.event_id: r.value for r in spark.table(spec.qualified).collect()}
     assert len(got) == 7 and got[2] == 20.0
     # restart with nothing new: the table is unchanged
