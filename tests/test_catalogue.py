@@ -10,6 +10,9 @@ import pytest
 from plait.plans import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
+# Spark type name -> DuckDB type name for result columns.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE"}
 TABLES = ["orders", "lineitem", "events", "embeddings", "conversations"]
 
 
@@ -46,6 +49,9 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(ORACLE[name])
     ocols = rel.columns
     assert sorted(ocols) == cols
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(ocols, rel.types)}
     orows = [tuple(r[ocols.index(c)] for c in cols) for r in rel.fetchall()]
     assert len(rows) == len(orows)
     assert _digest(rows) == _digest(orows)
