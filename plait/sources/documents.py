@@ -22,14 +22,16 @@ DEFAULT_PAGE_SIZE = 500
 
 
 def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
-         properties: Column, feature: Column, order: list[Column], salt: Column,
+         properties: Column, feature: Column, order: list[Column], salt: Column | None = None,
          page_size: int = DEFAULT_PAGE_SIZE, doc_type: str = "FeatureCollection") -> DataFrame:
     """One row per document: ``doc_key, <key>, page, doc`` (doc is a struct
     ``type, properties, features``).  Parents without children get one
     document with an empty ``features`` array.
 
-    ``salt`` must be a deterministic non-negative bigint of the child row;
-    ``order`` fixes the order of features inside a document.
+    ``salt`` must be a deterministic bigint of the child row (default: a
+    hash of ``order`` and the feature, which spreads the children of a key
+    evenly over its pages); ``order`` fixes the order of features inside a
+    document.
 
     Plan: only keys with more than ``page_size`` children need pages, so the
     per-key counts are filtered to those before they are joined back (AQE
@@ -39,6 +41,8 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
     """
     # a child without a parent key belongs to no document (the parent join
     # would drop it); dropping it first keeps NULL from becoming one huge group
+    if salt is None:
+        salt = F.xxhash64(F.struct(*order), feature)
     c = (child.where(F.col(child_key).isNotNull())
          .select(F.col(child_key).alias("_k"), F.struct(*order).alias("_o"),
                  feature.alias("_f"), salt.alias("_s")))
