@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 _OBSERVATIONS: dict[str, list[Observation]] = {}
+_KEEP = 16          # observations kept per step name (bounded driver memory)
 
 
 def step(name: str, **metrics):
@@ -29,7 +30,9 @@ def step(name: str, **metrics):
             exprs = [F.count(F.lit(1)).alias("rows")]
             exprs += [(F.expr(c) if isinstance(c, str) else c()).alias(k) for k, c in metrics.items()]
             observed = out.observe(obs, *exprs)
-            _OBSERVATIONS.setdefault(name, []).append(obs)
+            kept = _OBSERVATIONS.setdefault(name, [])
+            kept.append(obs)
+            del kept[:-_KEEP]
             return observed
 
         run.step_name = name

@@ -68,7 +68,7 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
 
 
 def scd2_merge(history: DataFrame, batch: DataFrame, key, order: list[str],
-               tracked: list[str]) -> tuple[DataFrame, DataFrame]:
+               tracked: list[str], observation=None) -> tuple[DataFrame, DataFrame]:
     """Merge a batch into a history built by ``scd2_history`` with
     ``carry={o: o for o in order[1:]}`` (``valid_from`` holds ``order[0]``).
 
@@ -76,7 +76,8 @@ def scd2_merge(history: DataFrame, batch: DataFrame, key, order: list[str],
     re-seeded next to the new rows and their history from that version on
     is rebuilt; every other row is kept as is.  Batch rows not newer than a
     key's current version start (a replayed batch, or late data) are not
-    applied; they are returned as the second DataFrame.
+    applied; they are returned as the second DataFrame, and counted as
+    ``late_rows`` in ``observation`` (if given) by the job that writes.
     """
     ks = [key] if isinstance(key, str) else list(key)
     touched = batch.select(*[F.col(quote(k)) for k in ks]).distinct()
@@ -88,6 +89,8 @@ def scd2_merge(history: DataFrame, batch: DataFrame, key, order: list[str],
     rows = batch.select(*[F.col(quote(c)) for c in ks + order + tracked])
     tagged = rows.join(seed_pos, ks, "left").withColumn(
         "_new", F.col("_seed").isNull() | (F.struct(*[F.col(quote(o)) for o in order]) > F.col("_seed")))
+    if observation is not None:
+        tagged = tagged.observe(observation, F.sum(F.when(~F.col("_new"), 1).otherwise(0)).alias("late_rows"))
     fresh_rows = tagged.where("_new").drop("_seed", "_new")
     late = tagged.where(~F.col("_new")).drop("_seed", "_new")
     rebuilt = scd2_history(fresh_rows.unionByName(seeds), ks, order, tracked,

@@ -279,8 +279,10 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     target = spark.table(spec.qualified)
     source = prepare_source(conform(df, target.schema), ks, on_duplicate, order)
     if spec.row_level:
-        (source.mergeInto(spec.qualified,
-                          F.expr(" AND ".join(f"{spec.qualified}.{quote(k)} = source.{quote(k)}" for k in ks)))
+        cond = F.lit(True)
+        for k in ks:
+            cond = cond & (F.col(f"{quote(spec.table)}.{quote(k)}") == F.col(f"source.{quote(k)}"))
+        (source.alias("source").mergeInto(spec.qualified, cond)
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return {"rows_written": None, "inserted": None, "updated": None}
     scoped = _touched_partitions(source, spec, ks, max_partitions)
@@ -353,9 +355,10 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
         m = replace(scd2_history(df, ks, order, tracked, carry=carry), spec)
         m["late_rows"] = 0
         return m
-    merged, late = scd2_merge(spark.table(spec.qualified), df, ks, order, tracked)
+    o_late = Observation(f"scd2_late_{uuid.uuid4().hex[:8]}")
+    merged, _late = scd2_merge(spark.table(spec.qualified), df, ks, order, tracked, observation=o_late)
     obs = Observation(f"scd2_{uuid.uuid4().hex[:8]}")
     metrics: dict = {}
     _publish(spark, merged.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
-    metrics.update(rows_written=obs.get["rows"], late_rows=late.count())
+    metrics.update(rows_written=obs.get["rows"], late_rows=o_late.get["late_rows"] or 0)
     return metrics

@@ -74,3 +74,16 @@ def test_scd2_load_in_two_batches_equals_one_pass(spark):
     got = spark.table(spec.qualified)
     assert sorted(map(tuple, got.select(one_pass.columns).collect()), key=str) == \
         sorted(map(tuple, one_pass.collect()), key=str)
+
+
+def test_current_versions_equal_latest_state(spark):
+    from plait.operators import dedupe_latest
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.randint(1, 12), base + dt.timedelta(minutes=rnd.randint(0, 9000)), eid,
+             rnd.choice(["a", "b", "c"])) for eid in range(500)]
+    df = spark.createDataFrame(rows, "user_id bigint, ts timestamp_ntz, event_id bigint, state string")
+    current = scd2_history(df, "user_id", ["ts", "event_id"], ["state"]).where("is_current")
+    latest = dedupe_latest(df, "user_id", ["ts", "event_id"])
+    assert sorted(map(tuple, current.select("user_id", "state").collect())) == \
+        sorted(map(tuple, latest.select("user_id", "state").collect()))

@@ -49,8 +49,9 @@ def test_persisted_split_scans_once(spark):
     parts = split(feats, {"a": ["geometry.*"], "b": ["properties.*"]}, key={"h3index": "properties.h3-index"},
                   persist=True)
     joined = parts["a"].join(parts["b"], "h3index")
-    plan = _plan(joined)
-    assert plan.count("InMemoryTableScan") == 2 and "Scan ExistingRDD" not in plan.replace(
-        "InMemoryRelation", "")  or plan.count("InMemoryTableScan") == 2
     assert joined.count() == 2
+    plan = _plan(joined)
+    # both branches read the one cached parent (the text repeats its lineage
+    # under each scan, but it is computed once)
+    assert plan.count("InMemoryTableScan") == 2
     parts.release()
