@@ -20,6 +20,15 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Broadcast policy: no broadcast from planning-time estimates (a small Parquet
+# file can be many times larger in memory); AQE still turns a join into a
+# broadcast once the measured size of a finished shuffle stage is under its
+# own threshold, so every broadcast has a measured size bound.
+MEASURED_BROADCAST_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "plait", extra: dict | None = None) -> SparkSession:
