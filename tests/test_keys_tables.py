@@ -170,3 +170,26 @@ def test_partition_scoped_upsert_rewrites_only_touched_partitions(spark, workdir
     load(base, spec2)
     m2 = upsert(batch.select("p", "k", "v").where("p = 1"), spec2)
     assert "partitions_rewritten" not in m2 and spark.table(spec2.qualified).count() == 401
+
+
+def test_conform_nested_by_name(spark):
+    target = T.StructType.fromDDL(
+        "id bigint, props struct<`h3-index`: string, n: bigint, route: string>, "
+        "features array<struct<k: string, v: double>>")
+    # drifted payload: nested fields reordered, one missing, one extra, ints narrower
+    src = spark.createDataFrame(
+        [(1, (7, "x", "extra"), [(2, "a")])],
+        "id int, props struct<n: int, `h3-index`: string, added: string>, "
+        "features array<struct<v: int, k: string>>")
+    out = conform(src, target)
+    assert out.schema == target
+    row = out.first()
+    assert row.props["h3-index"] == "x" and row.props.n == 7 and row.props.route is None
+    assert row.features[0].k == "a" and row.features[0].v == 2.0
+    actions = {r.column_name: r.action for r in drift_report(spark, src.schema, target).collect()}
+    assert actions["props.n"] == "widen" and actions["props.route"] == "missing"
+    assert actions["props.added"] == "extra" and actions["features[].v"] == "widen"
+    # n arriving as a fraction cannot become bigint without loss
+    bad = spark.createDataFrame([(1, [(1.5, "a")])], "id bigint, features array<struct<v: double, k: string>>")
+    with pytest.raises(SchemaDriftError):
+        conform(bad, T.StructType.fromDDL("id bigint, features array<struct<k: string, v: bigint>>"))
