@@ -1,8 +1,8 @@
 from .layout import cluster, cluster_table, zorder, zorder_key
-from .tables import (TableSpec, append, check_specs, drop, exists, load, merge_frames, prepare_source,
+from .tables import (TableSpec, append, check_specs, drop, exists, load, load_split, merge_frames, prepare_source,
                      replace, scd2_load, table_spec, upsert, vacuum)
 
 __all__ = [
     "append", "cluster", "cluster_table", "zorder", "zorder_key", "TableSpec", "check_specs", "drop",
-    "exists", "load", "merge_frames", "prepare_source", "replace", "scd2_load", "table_spec", "upsert", "vacuum",
+    "exists", "load", "load_split", "merge_frames", "prepare_source", "replace", "scd2_load", "table_spec", "upsert", "vacuum",
 ]

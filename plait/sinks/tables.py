@@ -362,3 +362,19 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
     _publish(spark, merged.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
     metrics.update(rows_written=obs.get["rows"], late_rows=o_late.get["late_rows"] or 0)
     return metrics
+
+
+def load_split(parts, specs: dict, on_duplicate: str = "fail", order=None) -> dict:
+    """Write every narrow table of a ``split`` with create-or-merge
+    semantics (``load``), then release the persisted parent.  ``specs`` maps
+    each part name to its TableSpec (the key comes from the spec).  Returns
+    the counts per part."""
+    check_specs(specs.values())
+    out = {}
+    try:
+        for name, df in parts.items():
+            out[name] = load(df, specs[name], on_duplicate=on_duplicate, order=order)
+    finally:
+        if hasattr(parts, "release"):
+            parts.release()
+    return out

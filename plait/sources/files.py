@@ -16,8 +16,12 @@ def read_table(spark: SparkSession, path: str, min_splits: int | None = None) ->
     shuffle is not done by one task.  Inputs of real size (many files or row
     groups) are returned untouched: no extra shuffle."""
     df = spark.read.parquet(path)
-    want = min_splits or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = min_splits or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:        # no RDD access (e.g. a remote session): read as is
+        return df
+    if splits < want:
         df = df.repartition(want)
     return df
 

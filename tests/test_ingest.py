@@ -93,3 +93,15 @@ def test_fetch_failure_is_a_row_not_a_crash(spark):
     reqs = spark.createDataFrame([("a", "/x")], "request_key string, url string")
     row = fetch(reqs, broken).first()
     assert row.status is None and json.loads(row.body)["error"] == "TimeoutError"
+
+
+def test_read_payloads_json_lines_with_file_name(spark, workdir):
+    import os
+    os.makedirs(workdir + "/jl", exist_ok=True)
+    for i in range(3):
+        with open(f"{workdir}/jl/part-{i}.json", "w") as f:
+            f.write(OK_TEXT + "\n" + MALFORMED_TEXT + "\n")
+    df = read_payloads(spark, workdir + "/jl", BASE_DDL, file_name="source_file").cache()
+    valid, bad = split_valid(df)
+    assert valid.count() == 3 and bad.count() == 3
+    assert {r.source_file.rsplit("/", 1)[-1] for r in bad.collect()} == {f"part-{i}.json" for i in range(3)}

@@ -193,3 +193,19 @@ def test_conform_nested_by_name(spark):
     bad = spark.createDataFrame([(1, [(1.5, "a")])], "id bigint, features array<struct<v: double, k: string>>")
     with pytest.raises(SchemaDriftError):
         conform(bad, T.StructType.fromDDL("id bigint, features array<struct<k: string, v: bigint>>"))
+
+
+def test_load_split_and_cluster_table(spark, workdir):
+    from plait.operators import split
+    from plait.sinks import cluster_table, load_split
+    df = spark.range(0, 300).select(F.struct(F.col("id").alias("k"), (F.col("id") % 5).alias("a")).alias("x"),
+                                    F.struct((F.col("id") * 2).alias("b")).alias("y"))
+    parts = split(df, {"xs": ["x.*"], "ys": ["y.*"]}, key={"k": "x.k"}, persist=True)
+    specs = {n: table_spec(n, unique_name(n), "default", f"{workdir}/{n}", key="k") for n in parts}
+    counts = load_split(parts, specs)
+    assert counts["xs"]["rows_written"] == 300 and not parts.parent.is_cached
+    again = load_split(split(df, {"xs": ["x.*"], "ys": ["y.*"]}, key={"k": "x.k"}), specs)
+    assert again["ys"]["updated"] == 300 and again["ys"]["inserted"] == 0
+    before = _rows(spark.table(specs["xs"].qualified))
+    cluster_table(specs["xs"], ["a", "k"], method="zorder", partitions=3)
+    assert _rows(spark.table(specs["xs"].qualified)) == before
