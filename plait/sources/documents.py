@@ -23,7 +23,8 @@ DEFAULT_PAGE_SIZE = 500
 
 def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
          properties: Column, feature: Column, order: list[Column], salt: Column | None = None,
-         page_size: int = DEFAULT_PAGE_SIZE, doc_type: str = "FeatureCollection") -> DataFrame:
+         page_size: int = DEFAULT_PAGE_SIZE, doc_type: str = "FeatureCollection",
+         max_broadcast_keys: int = 1_000_000) -> DataFrame:
     """One row per document: ``doc_key, <key>, page, doc`` (doc is a struct
     ``type, properties, features``).  Parents without children get one
     document with an empty ``features`` array.
@@ -33,11 +34,13 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
     evenly over its pages); ``order`` fixes the order of features inside a
     document.
 
-    Plan: only keys with more than ``page_size`` children need pages, so the
-    per-key counts are filtered to those before they are joined back (AQE
-    broadcasts them when they are small, else sort-merge).  Grouping on
-    (key, page) hashes on both, so the pages of a hot key are collected by
-    different tasks, each after a map-side partial collect.
+    Plan: only keys with more than ``page_size`` children need pages.  They
+    are counted first (one aggregate over the key column): with none, no
+    join is planned at all; with at most ``max_broadcast_keys`` (a measured
+    bound, ~16 bytes each) they are broadcast; beyond that they are joined
+    by key with a shuffle.  Grouping on (key, page) hashes on both, so the
+    pages of a hot key are collected by different tasks, each after a
+    map-side partial collect.
     """
     # a child without a parent key belongs to no document (the parent join
     # would drop it); dropping it first keeps NULL from becoming one huge group
@@ -48,10 +51,15 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
                  feature.alias("_f"), salt.alias("_s")))
     counts = c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > F.lit(page_size))
-    paged = (c.join(hot, "_k", "left")
-             .withColumn("_page", F.coalesce(
-                 F.pmod(F.col("_s"), F.ceil(F.col("_n") / F.lit(page_size))), F.lit(0)).cast("int"))
-             .drop("_s", "_n"))
+    n_hot = hot.count()
+    if n_hot == 0:
+        paged = c.withColumn("_page", F.lit(0)).drop("_s")
+    else:
+        side = F.broadcast(hot) if n_hot <= max_broadcast_keys else hot
+        paged = (c.join(side, "_k", "left")
+                 .withColumn("_page", F.coalesce(
+                     F.pmod(F.col("_s"), F.ceil(F.col("_n") / F.lit(page_size))), F.lit(0)).cast("int"))
+                 .drop("_s", "_n"))
     grouped = (paged.groupBy("_k", "_page")
                .agg(F.sort_array(F.collect_list(F.struct("_o", "_f"))).alias("_items"))
                .select("_k", "_page", F.transform("_items", lambda x: x["_f"]).alias("features")))
