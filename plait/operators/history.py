@@ -18,16 +18,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import quote
+from ..session import shared_dir
 
 
 def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
-                 carry: dict[str, str] | None = None, bucket: Column | None = None) -> DataFrame:
+                 carry: dict[str, str] | None = None, bucket: Column | None = None,
+                 materialize: bool = True) -> DataFrame:
     """Columns: key..., tracked..., carry aliases..., ``valid_from`` (the first
     order column of the version's first row), ``valid_to`` (the next
     version's ``valid_from``, NULL for the current one), ``is_current``.
 
     ``bucket`` must never decrease along ``order`` within a key; default:
-    the day of the first order column."""
+    the day of the first order column.
+
+    Plan: one shuffle of the rows, on (key, bucket).  Every window over
+    (key, bucket) and the per-bucket edge values (last state, first version
+    start) come from that one partitioning; only the edge tables (one row
+    per key and bucket) are shuffled again, by key.  The windowed rows and
+    the version starts each feed two branches; ``materialize`` writes them
+    once with ``checkpoint()`` (the shared checkpoint folder, survives lost
+    executors), so the input is scanned once instead of once per branch.
+    """
     ks = [key] if isinstance(key, str) else list(key)
     carry = carry or {}
     oc = [F.col(quote(o)) for o in order]
@@ -39,26 +50,31 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
                      *[F.col(quote(src)) for src in dict.fromkeys(carry.values())
                        if src not in ks + order + tracked],
                      bucket.alias("_b"))
-    rows = rows.withColumn("_state", state)
 
     in_bucket = Window.partitionBy(*ks, "_b").orderBy(*oc)
-    rows = rows.withColumn("_prev", F.lag("_state").over(in_bucket))
-
-    # last state of every (key, bucket), and the last state of the bucket before
-    last = (rows.groupBy(*ks, "_b")
-            .agg(F.max(F.struct(*[F.col(quote(o)).alias(f"_o{i}") for i, o in enumerate(order)],
-                                F.col("_state").alias("s"))).alias("_last")))
+    whole_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     per_key = Window.partitionBy(*ks).orderBy("_b")
-    edges = last.select(*ks, "_b", F.lag("_last.s").over(per_key).alias("_prev_bucket"))
+    rows = (rows.withColumn("_state", state)
+            .withColumn("_prev", F.lag("_state").over(in_bucket))
+            .withColumn("_last", F.last("_state").over(whole_bucket)))
+    if materialize:
+        shared_dir(df.sparkSession)          # make sure a checkpoint folder is set
+        rows = rows.checkpoint(eager=True)
+
+    # the last state of the bucket before (edges: one row per key and bucket)
+    edges = (rows.select(*ks, "_b", "_last").distinct()
+             .select(*ks, "_b", F.lag("_last").over(per_key).alias("_prev_bucket")))
     rows = rows.join(edges, ks + ["_b"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_prev_bucket"))
     starts = rows.where(prev.isNull() | ~prev.eqNullSafe(F.col("_state")))
 
     # the version after each start, within the bucket or from a later bucket
-    starts = starts.withColumn("_next", F.lead(oc[0]).over(in_bucket))
-    first = (starts.groupBy(*ks, "_b")
-             .agg(F.min(F.struct(*[F.col(quote(o)).alias(f"_o{i}") for i, o in enumerate(order)])).alias("_f")))
-    nexts = first.select(*ks, "_b", F.lead(F.col("_f._o0")).over(per_key).alias("_next_bucket"))
+    starts = (starts.withColumn("_next", F.lead(oc[0]).over(in_bucket))
+              .withColumn("_first", F.first(oc[0]).over(whole_bucket)))
+    if materialize:
+        starts = starts.checkpoint(eager=True)
+    nexts = (starts.select(*ks, "_b", "_first").distinct()
+             .select(*ks, "_b", F.lead("_first").over(per_key).alias("_next_bucket")))
     starts = starts.join(nexts, ks + ["_b"], "left")
     valid_to = F.coalesce(F.col("_next"), F.col("_next_bucket"))
     carried = [F.col(quote(src)).alias(dst) for dst, src in carry.items()]

@@ -233,13 +233,18 @@ def _complete(ks: list[str]):
 
 
 def _anti_by_key(target: DataFrame, source: DataFrame, ks: list[str]) -> DataFrame:
-    """Target rows whose key is not in the source.  Rows with a NULL key part
-    can never match, so they bypass the join: all of them would otherwise
-    hash to one partition (assume they are a third of the table)."""
+    """Target rows whose key is not in the source, in one scan of the target.
+
+    Rows with a NULL key part can never match, but they would all hash to one
+    partition (assume they are a third of the table): they get a per-row
+    salt as an extra join key (0 for every other row and for the source),
+    which spreads them over all partitions and changes no result."""
     whole = _complete(ks)
-    probe = source.where(whole).select(*[F.col(quote(k)) for k in ks])
-    matched_side = target.where(whole).join(probe, ks, "left_anti")
-    return matched_side.unionByName(target.where(~whole))
+    salted = target.withColumn("_nk_salt", F.when(whole, F.lit(0)).otherwise(
+        F.monotonically_increasing_id() + F.lit(1)))
+    probe = (source.where(whole).select(*[F.col(quote(k)) for k in ks])
+             .withColumn("_nk_salt", F.lit(0).cast("bigint")))
+    return salted.join(probe, ks + ["_nk_salt"], "left_anti").drop("_nk_salt")
 
 
 def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str], limit: int):

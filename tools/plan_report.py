@@ -1,4 +1,6 @@
-"""Print a plan summary per catalogue query: exchanges, joins, parses, scans."""
+"""Plan shape per catalogue query, as a markdown table: exchanges by kind,
+join strategies, JSON parses, Python stages, file scans (final adaptive
+plan after one run).  ``FULL=1`` also prints every plan."""
 
 from __future__ import annotations
 
@@ -15,21 +17,21 @@ from plait.session import local_session  # noqa: E402
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2] if len(sys.argv) > 2 else None
-    full = os.environ.get("FULL")
-    spark = local_session(8)
+    spark = local_session(8, 16)
+    print("| query | hash exch. | range exch. | round-robin | broadcast | SMJ | BHJ | windows | from_json | python | scans |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in QUERIES.items():
         if only and not re.search(only, name):
             continue
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()      # final adaptive plan
+        df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        final = spark._jvm.org.apache.spark.sql.execution.adaptive.AdaptiveSparkPlanHelper
         n = lambda pat: len(re.findall(pat, plan))
-        print(f"{name}: shuffles={n(r'Exchange hashpartitioning|Exchange rangepartitioning|Exchange RoundRobin|Exchange SinglePartition')} "
-              f"broadcast={n(r'BroadcastExchange')} smj={n(r'SortMergeJoin')} bhj={n(r'BroadcastHashJoin')} "
-              f"from_json={n(r'from_json')} window={n(r'Window ')} scans={n(r'FileScan|Scan parquet')} "
-              f"python={n(r'MapInPandas|PythonUDF|ArrowEvalPython')}")
-        if full:
+        print(f"| {name} | {n(r'Exchange hashpartitioning')} | {n(r'Exchange rangepartitioning')} | "
+              f"{n(r'Exchange RoundRobin')} | {n(r'BroadcastExchange')} | {n(r'SortMergeJoin')} | "
+              f"{n(r'BroadcastHashJoin')} | {n(r'Window \[')} | {n(r'from_json')} | "
+              f"{n(r'MapInPandas|PythonUDF|ArrowEvalPython')} | {n(r'FileScan|InMemoryTableScan')} |")
+        if os.environ.get("FULL"):
             print(plan)
 
 
