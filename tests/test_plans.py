@@ -55,3 +55,23 @@ def test_persisted_split_scans_once(spark):
     # under each scan, but it is computed once)
     assert plan.count("InMemoryTableScan") == 2
     parts.release()
+
+
+def test_upsert_and_history_scan_their_input_once(spark, workdir):
+    import datetime as dt
+    from plait.operators.history import scd2_history
+    spark.range(0, 1000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, None)
+                                .otherwise(F.col("id")).alias("nk"), F.lit("a").alias("v")) \
+        .write.parquet(workdir + "/target")
+    target = spark.read.parquet(workdir + "/target")
+    source = spark.range(990, 1010).select(F.col("id").alias("nk"), F.col("id").alias("k"), F.lit("b").alias("v"))
+    merged = merge_frames(target, source, "nk")
+    assert _plan(merged).count("FileScan parquet") == 1          # target read once, NULL keys salted
+    assert merged.count() == 1000 - 6 + 20                         # 6 of 990..999 have non-NULL keys
+    rows = [(u, dt.datetime(2024, 1, 1 + d % 20, d % 24), d, "ab"[d % 2]) for u in range(3) for d in range(60)]
+    spark.createDataFrame(rows, "user_id bigint, ts timestamp_ntz, event_id bigint, state string") \
+        .write.parquet(workdir + "/events")
+    events = spark.read.parquet(workdir + "/events")
+    hist = scd2_history(events, "user_id", ["ts", "event_id"], ["state"])
+    hist.collect()
+    assert _plan(hist).count("FileScan parquet") == 0               # reads its checkpoints only
