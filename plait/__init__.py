@@ -14,16 +14,20 @@ from .operators import (conform, dedupe_latest, drift_report, expand_struct, exp
                         sanitize_names, schema_rows, split)
 from .operators.history import scd2_history
 from .session import local_session, shared_dir
-from .sinks import (TableSpec, check_specs, cluster, load, merge_frames, replace, table_spec,
-                    upsert, zorder)
-from .sources import (fetch, infer_schema, parse_json, read_payloads, split_valid)
+from .sinks import (TableSpec, append, check_specs, cluster, cluster_table, load, load_split,
+                    merge_frames, replace, scd2_load, table_spec, upsert, vacuum, zorder)
+from .sources import (CannedUserApi, HttpFetcher, fetch, geometry_columns, infer_file_schema,
+                      infer_schema, land, nest, parse_json, read_payloads, split_valid,
+                      status_check, to_bodies)
 from .streaming import ingest_incremental
 
 __all__ = [
     "safe_name", "step", "conform", "dedupe_latest", "drift_report", "expand_struct",
     "explode_rows", "first_rows", "flatten", "key_report", "key_summary", "profile",
     "recombine", "rename", "sanitize_names", "schema_rows", "split", "scd2_history",
-    "local_session", "shared_dir", "TableSpec", "check_specs", "cluster", "load",
-    "merge_frames", "replace", "table_spec", "upsert", "zorder", "fetch", "infer_schema",
-    "parse_json", "read_payloads", "split_valid", "ingest_incremental",
+    "local_session", "shared_dir", "TableSpec", "append", "check_specs", "cluster",
+    "cluster_table", "load", "load_split", "merge_frames", "replace", "scd2_load", "table_spec",
+    "upsert", "vacuum", "zorder", "CannedUserApi", "HttpFetcher", "fetch", "geometry_columns",
+    "infer_file_schema", "infer_schema", "land", "nest", "parse_json", "read_payloads",
+    "split_valid", "status_check", "to_bodies", "ingest_incremental",
 ]
