@@ -1,8 +1,9 @@
 from .layout import cluster, cluster_table, zorder, zorder_key
-from .tables import (TableSpec, append, check_specs, drop, exists, load, load_split, merge_frames, prepare_source,
-                     replace, scd2_load, table_spec, upsert, vacuum)
+from .tables import (TableSpec, append, check_specs, drop, exists, load, load_split, merge_frames,
+                     prepare_source, register, replace, scd2_load, table_spec, upsert, vacuum)
 
 __all__ = [
-    "append", "cluster", "cluster_table", "zorder", "zorder_key", "TableSpec", "check_specs", "drop",
-    "exists", "load", "load_split", "merge_frames", "prepare_source", "replace", "scd2_load", "table_spec", "upsert", "vacuum",
+    "append", "cluster", "cluster_table", "zorder", "zorder_key", "TableSpec", "check_specs",
+    "drop", "exists", "load", "load_split", "merge_frames", "prepare_source", "register",
+    "replace", "scd2_load", "table_spec", "upsert", "vacuum",
 ]

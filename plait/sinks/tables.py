@@ -196,6 +196,20 @@ def append(df: DataFrame, spec: TableSpec) -> dict:
     return {"rows_written": obs.get["rows"], "inserted": obs.get["rows"], "updated": 0}
 
 
+def register(spark: SparkSession, spec: TableSpec, path: str | None = None) -> bool:
+    """Register an external table over files already at ``path`` (default:
+    the spec's location), if no table of that name exists.  Partitions are
+    discovered from the directory layout.  Returns True when it registered."""
+    if exists(spark, spec):
+        return False
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(spec.database)}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {spec.qualified} USING {spec.format} "
+              f"LOCATION '{path or spec.location}'")
+    if spec.partition_by:
+        spark.sql(f"ALTER TABLE {spec.qualified} RECOVER PARTITIONS")
+    return True
+
+
 def drop(spark: SparkSession, spec: TableSpec) -> None:
     """DROP TABLE IF EXISTS; files stay (external table)."""
     spark.sql(f"DROP TABLE IF EXISTS {spec.qualified}")

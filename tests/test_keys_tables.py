@@ -209,3 +209,15 @@ def test_load_split_and_cluster_table(spark, workdir):
     before = _rows(spark.table(specs["xs"].qualified))
     cluster_table(specs["xs"], ["a", "k"], method="zorder", partitions=3)
     assert _rows(spark.table(specs["xs"].qualified)) == before
+
+
+def test_register_existing_files(spark, workdir):
+    from plait.sinks import register
+    path = workdir + "/landed"
+    spark.createDataFrame(BATCH_1, DDL).write.parquet(path)
+    spec = table_spec("props", unique_name("reg"), "default", path, key="h3index")
+    assert register(spark, spec) is True
+    assert register(spark, spec) is False                   # already there: nothing to do
+    assert spark.table(spec.qualified).count() == 3
+    load(spark.createDataFrame(BATCH_2, DDL), spec)          # then merges like any table
+    assert spark.table(spec.qualified).count() == 4
