@@ -250,12 +250,17 @@ def _anti_by_key(target: DataFrame, source: DataFrame, ks: list[str]) -> DataFra
     """Target rows whose key is not in the source, in one scan of the target.
 
     Rows with a NULL key part can never match, but they would all hash to one
-    partition (assume they are a third of the table): they get a per-row
-    salt as an extra join key (0 for every other row and for the source),
-    which spreads them over all partitions and changes no result."""
+    partition (assume they are a third of the table): they get a salt as an
+    extra join key (0 for every other row and for the source), which spreads
+    them over all partitions and changes no result.  The salt is a hash of
+    the row itself, so it is deterministic and a retried stage after a lost
+    executor sees the same partitioning; identical copies still meet in one
+    partition, which AQE's skew-join split handles."""
     whole = _complete(ks)
-    salted = target.withColumn("_nk_salt", F.when(whole, F.lit(0)).otherwise(
-        F.monotonically_increasing_id() + F.lit(1)))
+    hashable = [F.col(quote(f.name)) for f in target.schema.fields
+                if not f.dataType.simpleString().startswith("map") and "map<" not in f.dataType.simpleString()]
+    row_hash = F.xxhash64(*hashable) if hashable else F.lit(1).cast("bigint")
+    salted = target.withColumn("_nk_salt", F.when(whole, F.lit(0).cast("bigint")).otherwise(row_hash))
     probe = (source.where(whole).select(*[F.col(quote(k)) for k in ks])
              .withColumn("_nk_salt", F.lit(0).cast("bigint")))
     return salted.join(probe, ks + ["_nk_salt"], "left_anti").drop("_nk_salt")
