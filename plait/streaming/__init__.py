@@ -1,3 +1,3 @@
-from .incremental import ingest_incremental, payload_stream
+from .incremental import batch_merger, ingest_incremental, payload_stream
 
-__all__ = ["ingest_incremental", "payload_stream"]
+__all__ = ["batch_merger", "ingest_incremental", "payload_stream"]

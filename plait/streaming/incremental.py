@@ -27,6 +27,31 @@ def payload_stream(spark: SparkSession, source_dir: str, schema, multi_line: boo
     return reader.json(source_dir)
 
 
+def batch_merger(spec: TableSpec, key=None, order=None, on_duplicate: str = "latest",
+                 quarantine: TableSpec | None = None, transform=None):
+    """The ``foreachBatch`` function: valid rows (optionally transformed) are
+    upserted into ``spec``; corrupt rows are appended to ``quarantine`` with
+    their batch id.  Calling it again with the same batch (a replay after a
+    failure) leaves the table as it was: the merge is an upsert by key."""
+    ks = list(key or spec.key)
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            valid = batch.where(batch[CORRUPT].isNull()).drop(CORRUPT)
+            if quarantine is not None:
+                # a replayed batch may add its corrupt rows again; batch_id tells them apart
+                bad = batch.where(batch[CORRUPT].isNotNull())
+                append(bad.select(F.lit(batch_id).alias("batch_id"), CORRUPT), quarantine)
+            if transform is not None:
+                valid = transform(valid)
+            load(valid, spec, ks, on_duplicate=on_duplicate, order=order)
+        finally:
+            batch.unpersist()
+
+    return merge_batch
+
+
 def ingest_incremental(spark: SparkSession, source_dir: str, schema, spec: TableSpec,
                        checkpoint: str, key=None, order=None, on_duplicate: str = "latest",
                        quarantine: TableSpec | None = None, transform=None,
@@ -43,21 +68,7 @@ def ingest_incremental(spark: SparkSession, source_dir: str, schema, spec: Table
     ``max_files_per_trigger`` bounds each micro-batch (availableNow then
     runs several bounded batches instead of one that holds every file)."""
     stream = payload_stream(spark, source_dir, schema, multi_line, max_files_per_trigger)
-    ks = list(key or spec.key)
-
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            valid = batch.where(batch[CORRUPT].isNull()).drop(CORRUPT)
-            if quarantine is not None:
-                # a replayed batch may add its corrupt rows again; batch_id tells them apart
-                bad = batch.where(batch[CORRUPT].isNotNull())
-                append(bad.select(F.lit(batch_id).alias("batch_id"), CORRUPT), quarantine)
-            if transform is not None:
-                valid = transform(valid)
-            load(valid, spec, ks, on_duplicate=on_duplicate, order=order)
-        finally:
-            batch.unpersist()
+    merge_batch = batch_merger(spec, key, order, on_duplicate, quarantine, transform)
 
     writer = (stream.writeStream.foreachBatch(merge_batch)
               .option("checkpointLocation", checkpoint))

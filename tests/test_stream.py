@@ -45,3 +45,18 @@ def test_malformed_lines_go_to_quarantine(spark):
                        order=["value"], quarantine=q_spec, wait=True)
     assert spark.table(spec.qualified).count() == 1
     assert spark.table(q_spec.qualified).first()["_corrupt_record"] == "{bad"
+
+
+def test_replayed_batch_changes_nothing(spark):
+    from pyspark.sql import functions as F
+    from plait.sources import CORRUPT
+    from plait.streaming import batch_merger
+    spec = table_spec("events", unique_name("ev"), "default", scratch_path(spark, "tbl"), key="event_id")
+    merge = batch_merger(spec, order=["value"])
+    batch = spark.createDataFrame([(i, i % 2, float(i)) for i in range(5)], DDL) \
+        .withColumn(CORRUPT, F.lit(None).cast("string"))
+    merge(batch, 0)
+    first = sorted(map(tuple, spark.table(spec.qualified).collect()))
+    merge(batch, 0)                                   # the same batch id again, after a failure
+    spark.catalog.refreshTable(spec.qualified)
+    assert sorted(map(tuple, spark.table(spec.qualified).collect())) == first
