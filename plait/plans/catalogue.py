@@ -23,7 +23,8 @@ from ..operators.keys import dedupe_latest, key_report
 from ..operators.reshape import expand_struct, flatten, recombine, sanitize_names, split
 from ..session import scratch_path, shared_dir, unique_name
 from ..sinks.layout import zorder
-from ..sinks.tables import drop, load, merge_frames, replace, scd2_load, table_spec
+from ..sinks.tables import (append, drop, load, merge_frames, register, replace, scd2_load,
+                            table_spec, write_path)
 from ..sources.documents import DEFAULT_PAGE_SIZE, ORDER_DOCUMENT_DDL, order_bodies
 from ..sources.fetch import CannedUserApi, fetch, land
 from ..sources.files import input_signature, land_once, read_table
@@ -361,6 +362,18 @@ def q29_scd2_load(spark, sf_dir):
     return spark.table(spec.qualified)
 
 
+def q30_register_append(spark, sf_dir):
+    """Files written by path first, a table registered over them, then more
+    rows appended through the catalog."""
+    o = table(spark, sf_dir, "orders")
+    spec = table_spec("orders_path", unique_name("t_orders_path"), "default",
+                      scratch_path(spark, "tables", "orders_path"))
+    write_path(o.where(F.col("o_orderstatus") == "F"), spec)
+    register(spark, spec)
+    append(o.where((F.col("o_orderstatus") != "F") | F.col("o_orderstatus").isNull()), spec)
+    return spark.table(spec.qualified)
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}
 

@@ -176,6 +176,8 @@ ORACLE = {
 
     "q21_replace": "SELECT * FROM orders",
 
+    "q30_register_append": "SELECT * FROM orders",
+
     "q22_incremental": f"""
         SELECT event_id, ts, user_id, event_type,
                CASE WHEN ts >= TIMESTAMP '{ROUND_TWO_FROM}' THEN value + 1 ELSE value END AS value, props

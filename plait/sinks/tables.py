@@ -196,6 +196,19 @@ def append(df: DataFrame, spec: TableSpec) -> dict:
     return {"rows_written": obs.get["rows"], "inserted": obs.get["rows"], "updated": 0}
 
 
+def write_path(df: DataFrame, spec: TableSpec, mode: str = "overwrite") -> str:
+    """Write ``df`` straight to the spec's location (no catalog, no version
+    directory): the plain path write that ``register`` can later expose as
+    a table.  Do not overwrite the location of a live table this way (a
+    reader could see a half-written directory); ``replace`` is the safe
+    variant."""
+    writer = df.write.format(spec.format).mode(mode)
+    if spec.partition_by:
+        writer = writer.partitionBy(*spec.partition_by)
+    writer.save(spec.location)
+    return spec.location
+
+
 def register(spark: SparkSession, spec: TableSpec, path: str | None = None) -> bool:
     """Register an external table over files already at ``path`` (default:
     the spec's location), if no table of that name exists.  Partitions are
