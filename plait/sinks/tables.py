@@ -380,10 +380,14 @@ def vacuum(spark: SparkSession, spec: TableSpec, keep: int = 2) -> list[str]:
     return removed
 
 
-def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: list[str]) -> dict:
+def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: list[str],
+              max_partitions: int = 10000) -> dict:
     """Type-2 load: build the history table on first use, else merge the
     batch into it (``operators.history.scd2_merge``) and publish a new
-    version.  Returns counts, including rows not applied (late/replayed)."""
+    version.  When the table's partition columns are part of the key (e.g.
+    a key-bucket column), only partitions holding the batch's keys are
+    read, rebuilt and re-pointed; the rest of the history is not touched.
+    Returns counts, including rows not applied (late/replayed)."""
     from ..operators.history import scd2_history, scd2_merge
     spark = df.sparkSession
     ks = [key] if isinstance(key, str) else list(key)
@@ -392,11 +396,16 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
         m = replace(scd2_history(df, ks, order, tracked, carry=carry), spec)
         m["late_rows"] = 0
         return m
+    history = spark.table(spec.qualified)
+    scoped = _touched_partitions(df, spec, ks, max_partitions)
+    if scoped is not None:
+        history = history.where(scoped)
     o_late = Observation(f"scd2_late_{uuid.uuid4().hex[:8]}")
-    merged, _late = scd2_merge(spark.table(spec.qualified), df, ks, order, tracked, observation=o_late)
+    merged, _late = scd2_merge(history, df, ks, order, tracked, observation=o_late)
     obs = Observation(f"scd2_{uuid.uuid4().hex[:8]}")
     metrics: dict = {}
-    _publish(spark, merged.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
+    publish = _publish if scoped is None else _publish_partitions
+    publish(spark, merged.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
     metrics.update(rows_written=obs.get["rows"], late_rows=o_late.get["late_rows"] or 0)
     return metrics
 

@@ -87,3 +87,25 @@ def test_current_versions_equal_latest_state(spark):
     latest = dedupe_latest(df, "user_id", ["ts", "event_id"])
     assert sorted(map(tuple, current.select("user_id", "state").collect())) == \
         sorted(map(tuple, latest.select("user_id", "state").collect()))
+
+
+def test_scd2_load_partition_scoped(spark):
+    from plait.session import scratch_path, unique_name
+    from plait.sinks import scd2_load, table_spec
+    base = dt.datetime(2024, 1, 1)
+    rows = [(u, u % 4, base + dt.timedelta(hours=h), u * 1000 + h, "ab"[(h // 3) % 2])
+            for u in range(12) for h in range(24)]
+    ddl = "user_id bigint, ub int, ts timestamp_ntz, event_id bigint, state string"
+    df = spark.createDataFrame(rows, ddl)
+    spec = table_spec("hist", unique_name("hist"), "default", scratch_path(spark, "hist"),
+                      partition_by="ub")
+    args = dict(key=["ub", "user_id"], order=["ts", "event_id"], tracked=["state"])
+    first, second = df.where("hour(ts) < 12"), df.where("hour(ts) >= 12 AND ub = 1")
+    scd2_load(first, spec, **args)
+    m = scd2_load(second, spec, **args)
+    assert m["partitions_rewritten"] == 1 and m["late_rows"] == 0
+    expected = scd2_history(first.unionByName(second), ["ub", "user_id"], ["ts", "event_id"], ["state"],
+                            carry={"event_id": "event_id"})
+    got = spark.table(spec.qualified)
+    assert sorted(map(tuple, got.select(expected.columns).collect()), key=str) == \
+        sorted(map(tuple, expected.collect()), key=str)
