@@ -223,7 +223,7 @@ def q18_fetch(spark, sf_dir):
     users = table(spark, sf_dir, "events").select("user_id").distinct()
     requests = users.select(F.col("user_id").alias("request_key"),
                             F.concat(F.lit("/users/"), F.col("user_id").cast("string")).alias("url"))
-    responses = fetch(requests, CannedUserApi(), partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    responses = fetch(requests, CannedUserApi(), partitions=_parallelism(spark))
     # land the replies once: parsing (and any retry) never calls the API again
     landed = scratch_path(spark, "replies", "users")
     land(responses, landed)
@@ -246,9 +246,16 @@ def q19_corrupt_capture(spark, sf_dir):
 
 # -- tables ---------------------------------------------------------------
 
+def _parallelism(spark) -> int:
+    """One unit of work per core of the cluster (bucket count, fetch width)."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _buckets(spark) -> int:
-    """Bucket count for catalogue tables: the session's shuffle width."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _parallelism(spark)
 
 
 def _spec(spark, label, buckets: int = 0):
