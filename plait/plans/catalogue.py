@@ -28,7 +28,7 @@ from ..sinks.tables import (append, drop, load, merge_frames, register, replace,
 from ..sources.documents import DEFAULT_PAGE_SIZE, ORDER_DOCUMENT_DDL, order_bodies
 from ..sources.fetch import CannedUserApi, fetch, land
 from ..sources.files import input_signature, land_once, read_table
-from ..sources.payloads import CORRUPT, infer_schema, parse_json, split_valid
+from ..sources.payloads import CORRUPT, infer_schema, parse_json
 from ..streaming.incremental import ingest_incremental
 
 # The cut-over dates that make an upsert batch overlap its

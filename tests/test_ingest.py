@@ -1,10 +1,8 @@
 import json
 
-import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payloads import (BASE_DDL, EMPTY_TEXT, ERROR_TEXT, MALFORMED_TEXT, MIXED_TEXT, OK, OK_TEXT,
+from payloads import (BASE_DDL, EMPTY_TEXT, ERROR_TEXT, MALFORMED_TEXT, MIXED_TEXT, OK_TEXT,
                       PRETTY_TEXT, RAW_GEOMETRY_DDL, TOP_ARRAY_TEXT)
 from plait.operators import explode_rows
 from plait.sources import (CORRUPT, CannedUserApi, fetch, geometry_columns, infer_file_schema,

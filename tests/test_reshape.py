@@ -1,6 +1,5 @@
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from payloads import (BASE_DDL, CASE_CLASH_TEXT, DASH_CLASH, NULL_ELEMENT_TEXT, NULL_FEATURES_TEXT,
                       OK_TEXT)
@@ -19,8 +18,6 @@ def _features(spark, *texts):
 def test_reference_flow_columns(spark):
     df = _features(spark, OK_TEXT)
     assert df.columns == ["col"]
-    df = expand_struct(df.select("col", F.col("col.type").alias("type")), "col", keep=False)
-    df = _features(spark, OK_TEXT)
     wide = df.select("col.*", "*")
     assert wide.columns == ["type", "geometry", "properties", "col"]
     flat = wide.drop("col").drop("type")
