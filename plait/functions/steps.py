@@ -8,12 +8,19 @@ on the executors, with no extra pass over the data.
 from __future__ import annotations
 
 import functools
+import threading
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-_OBSERVATIONS: dict[str, list[Observation]] = {}
-_KEEP = 16          # observations kept per step name (bounded driver memory)
+_LOCAL = threading.local()     # per driver thread: concurrent runs never mix metrics
+_KEEP = 16                     # observations kept per step name (bounded driver memory)
+
+
+def _registry() -> dict[str, list[Observation]]:
+    if not hasattr(_LOCAL, "observations"):
+        _LOCAL.observations = {}
+    return _LOCAL.observations
 
 
 def step(name: str, **metrics):
@@ -30,7 +37,7 @@ def step(name: str, **metrics):
             exprs = [F.count(F.lit(1)).alias("rows")]
             exprs += [(F.expr(c) if isinstance(c, str) else c()).alias(k) for k, c in metrics.items()]
             observed = out.observe(obs, *exprs)
-            kept = _OBSERVATIONS.setdefault(name, [])
+            kept = _registry().setdefault(name, [])
             kept.append(obs)
             del kept[:-_KEEP]
             return observed
@@ -42,8 +49,9 @@ def step(name: str, **metrics):
 
 
 def last_observation(name: str) -> dict:
-    """Metrics of the latest run of step ``name`` (blocks until its action ran)."""
-    obs = _OBSERVATIONS.get(name)
+    """Metrics of the latest run of step ``name`` in this thread (blocks
+    until its action ran)."""
+    obs = _registry().get(name)
     if not obs:
         raise KeyError(f"no observed step {name!r}")
     return obs[-1].get

@@ -14,3 +14,20 @@ def test_step_observes_rows_from_the_job(spark):
     out.write.format("noop").mode("overwrite").save()
     m = last_observation("evens")
     assert m["rows"] == 5 and m["total"] == 20 and m["biggest"] == 8
+
+
+def test_step_metrics_are_per_thread(spark):
+    import threading
+    results = {}
+
+    def run(n):
+        out = evens(spark.range(n))
+        out.write.format("noop").mode("overwrite").save()
+        results[n] = last_observation("evens")["rows"]
+
+    threads = [threading.Thread(target=run, args=(n,)) for n in (10, 100)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert results == {10: 5, 100: 50}
