@@ -28,7 +28,7 @@ from ..sinks.tables import (append, drop, load, merge_frames, register, replace,
 from ..sources.documents import DEFAULT_PAGE_SIZE, ORDER_DOCUMENT_DDL, order_bodies
 from ..sources.fetch import CannedUserApi, fetch, land
 from ..sources.files import input_signature, land_once, read_table
-from ..sources.payloads import CORRUPT, infer_schema, parse_json
+from ..sources.payloads import CORRUPT, infer_schema, parse_json, read_payloads, split_valid
 from ..streaming.incremental import ingest_incremental
 
 # The cut-over dates that make an upsert batch overlap its
@@ -57,6 +57,25 @@ def order_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, target)
 
 
+def _landing_key(spark: SparkSession, sf_dir: str) -> str:
+    inputs = [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "lineitem")]
+    fmt = hashlib.sha256(f"{REPLY_FORMAT}|{DEFAULT_PAGE_SIZE}|{ORDER_DOCUMENT_DDL}".encode()).hexdigest()[:8]
+    return f"{fmt}-{input_signature(spark, inputs)}"
+
+
+def order_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies landed as JSON Lines files, read with the declared schema
+    (PERMISSIVE) and written once as typed, nested Parquet ("bronze"), so
+    later queries read only the nested columns they use."""
+    key = _landing_key(spark, sf_dir)
+    files = f"{shared_dir(spark)}/plait/replies/orders-jsonl-{key}"
+    bronze = f"{shared_dir(spark)}/plait/bronze/orders-{key}"
+    land_once(spark, lambda: order_bodies(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+              .select("body"), files, fmt="text")
+    land_once(spark, lambda: read_payloads(spark, files, ORDER_DOCUMENT_DDL), bronze)
+    return spark.read.parquet(bronze)
+
+
 def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed order replies: ``doc_key, doc, _corrupt_record``."""
     return parse_json(order_replies(spark, sf_dir), "body", ORDER_DOCUMENT_DDL, alias="doc", keep=False)
@@ -381,6 +400,16 @@ def q30_register_append(spark, sf_dir):
     return spark.table(spec.qualified)
 
 
+def q31_bronze_lines(spark, sf_dir):
+    """S4 over landed files, via typed bronze: the lines table read with
+    nested column pruning.  Exploding the nested field ``features.properties``
+    (not the whole element) lets the Parquet reader fetch only that struct."""
+    bronze = order_bronze(spark, sf_dir)
+    valid, _bad = split_valid(bronze)
+    props = explode_rows(valid, "features.properties", alias="p", keep=[])
+    return sanitize_names(props.select("p.*"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}
 
