@@ -163,10 +163,12 @@ def _publish_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, met
                .select(*[F.col(quote(c)) for c in cols],
                        F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("_dir"))
                .distinct().collect())          # one row per written partition (bounded)
-    for row in written:
-        part = ", ".join(f"{quote(c)}={_sql_literal(row[c])}" for c in cols)
-        spark.sql(f"ALTER TABLE {spec.qualified} ADD IF NOT EXISTS PARTITION ({part}) LOCATION '{row['_dir']}'")
-        spark.sql(f"ALTER TABLE {spec.qualified} PARTITION ({part}) SET LOCATION '{row['_dir']}'")
+    specs = [(", ".join(f"{quote(c)}={_sql_literal(row[c])}" for c in cols), row["_dir"]) for row in written]
+    for i in range(0, len(specs), 500):      # new partitions: one statement per 500
+        adds = " ".join(f"PARTITION ({part}) LOCATION '{d}'" for part, d in specs[i:i + 500])
+        spark.sql(f"ALTER TABLE {spec.qualified} ADD IF NOT EXISTS {adds}")
+    for part, d in specs:                    # existing ones are re-pointed one by one
+        spark.sql(f"ALTER TABLE {spec.qualified} PARTITION ({part}) SET LOCATION '{d}'")
     spark.sql(f"REFRESH TABLE {spec.qualified}")
     metrics.update(location=path, partitions_rewritten=len(written))
     return path
