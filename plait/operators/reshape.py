@@ -83,13 +83,17 @@ def flatten(df: DataFrame, explode: tuple[str, ...] | list[str] = (), sep: str =
                 raise ValueError(f"cannot explode {missing}: no such array after flattening")
             return out
         for name in todo:
-            gen = (F.explode_outer if outer else F.explode)(F.col(quote(name)))
+            # posexplode_outer (+ pos IS NOT NULL when not outer): the same rows
+            # as (outer) explode, and no inferred filter that re-parses JSON
+            gen = F.posexplode_outer(F.col(quote(name)))
+            rest = [F.col(quote(c)) for c in out.columns if c != name]
             if isinstance(out.schema[name].dataType, T.MapType):
-                out = out.select(*[F.col(quote(c)) for c in out.columns if c != name],
-                                 gen.alias(f"{name}{sep}key", f"{name}{sep}value"))
+                out = out.select(*rest, gen.alias("__pos", f"{name}{sep}key", f"{name}{sep}value"))
             else:
-                out = out.select(*[F.col(quote(c)) for c in out.columns if c != name],
-                                 gen.alias(name))
+                out = out.select(*rest, gen.alias("__pos", name))
+            if not outer:
+                out = out.where(F.col("__pos").isNotNull())
+            out = out.drop("__pos")
             pending.remove(name)
 
 
