@@ -48,10 +48,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def order_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order replies ``doc_key, body`` (JSON text), landed once per input
     version in the shared folder, as fetched replies would be."""
-    inputs = [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "lineitem")]
-    fmt = hashlib.sha256(f"{REPLY_FORMAT}|{DEFAULT_PAGE_SIZE}|{ORDER_DOCUMENT_DDL}".encode()).hexdigest()[:8]
-    sig = input_signature(spark, inputs)
-    target = f"{shared_dir(spark)}/plait/replies/orders-{fmt}-{sig}"
+    target = f"{shared_dir(spark)}/plait/replies/orders-{_landing_key(spark, sf_dir)}"
     land_once(spark, lambda: order_bodies(table(spark, sf_dir, "orders"),
                                           table(spark, sf_dir, "lineitem")), target)
     return read_table(spark, target)
@@ -82,7 +79,7 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference pipeline up to the split: explode ``features`` (output
+    """The original notebook flow up to the split: explode ``features`` (output
     ``col``), star-expand it next to the rest, drop ``col`` and ``type``."""
     docs = order_docs(spark, sf_dir).select(F.col("doc.features").alias("features"))
     exploded = explode_rows(docs, "features", alias="col", keep=[], guard_reparse=True)
@@ -415,6 +412,6 @@ QUERIES = {name: fn for name, fn in sorted(globals().items())
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's end-to-end flow: parse replies, explode features,
+    """The original end-to-end flow: parse replies, explode features,
     flatten, split, and return the properties table."""
     return q10_split_lines(spark, sf_dir)

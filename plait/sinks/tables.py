@@ -31,7 +31,7 @@ ROW_LEVEL_FORMATS = ("delta", "iceberg")
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Where and how one table is kept (the reference's six-key config)."""
+    """Where and how one table is kept (the original six-key config)."""
 
     label: str
     table: str

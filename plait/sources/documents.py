@@ -85,7 +85,7 @@ def to_bodies(docs: DataFrame, doc: str = "doc") -> DataFrame:
 # ---------------------------------------------------------------------------
 # The order documents of the catalogue: one reply per order (page), with the
 # order as document properties and its lines as features.  Names carry
-# dashes on purpose, as the reference payload's ``h3-index`` does.
+# dashes on purpose, as the original payload's ``h3-index`` does.
 
 ORDER_DOCUMENT_DDL = (
     "type string, "
@@ -103,7 +103,7 @@ def order_document_schema() -> T.StructType:
 
 
 def line_key(orderkey, linenumber, partkey, suppkey) -> Column:
-    """Feature identifier (the role ``h3-index`` plays in the reference)."""
+    """Feature identifier (the role ``h3-index`` plays in the original payload)."""
     return F.concat_ws("-", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
                               for c in (orderkey, linenumber, partkey, suppkey)])
 

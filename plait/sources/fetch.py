@@ -1,6 +1,6 @@
 """Distributed fetch of API replies.
 
-The reference makes one blocking GET on the driver.  Here the requests are a
+The original makes one blocking GET on the driver.  Here the requests are a
 DataFrame (one row per request key, e.g. one per ZIP code) and the calls run
 inside tasks with ``mapInPandas``; the number of partitions bounds how many
 calls are in flight at once (APIs are rate limited).  The fetcher is

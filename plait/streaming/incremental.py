@@ -1,6 +1,6 @@
 """Incremental ingestion of landed payload files with Structured Streaming.
 
-The reference calls its API "periodically".  Here each call lands a file;
+The original notebook calls its API "periodically".  Here each call lands a file;
 a file-source stream picks up only files it has not seen (tracked in the
 checkpoint), and every micro-batch is merged into the table by key.  The
 merge is an upsert, so a batch replayed after a failure changes nothing.

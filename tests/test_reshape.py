@@ -15,7 +15,7 @@ def _features(spark, *texts):
     return explode_rows(parsed, "features")            # output named col, as Spark names it
 
 
-def test_reference_flow_columns(spark):
+def test_original_flow_columns(spark):
     df = _features(spark, OK_TEXT)
     assert df.columns == ["col"]
     wide = df.select("col.*", "*")
