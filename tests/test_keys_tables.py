@@ -221,3 +221,21 @@ def test_register_existing_files(spark, workdir):
     assert spark.table(spec.qualified).count() == 3
     load(spark.createDataFrame(BATCH_2, DDL), spec)          # then merges like any table
     assert spark.table(spec.qualified).count() == 4
+
+
+def test_dup_and_null_key_payloads(spark):
+    import json
+    from payloads import BASE_DDL, DUP_KEYS, NULL_KEY
+    from plait.operators import explode_rows, split
+    from plait.sources import parse_json
+    texts = spark.createDataFrame([(json.dumps(DUP_KEYS),), (json.dumps(NULL_KEY),)], "body string")
+    feats = explode_rows(parse_json(texts, "body", BASE_DDL, alias="p").select("p.features"), "features")
+    props = split(feats.select("col.*"), {"properties": ["properties.*"]},
+                  key={"h3index": "properties.h3-index"})["properties"]
+    assert _rows(key_report(props, "h3index")) == [("88a", 2)]
+    s = key_summary(props, "h3index").first()
+    assert (s.n_rows, s.n_null_key_rows, s.n_duplicated_keys) == (4, 1, 1)
+    with pytest.raises(DuplicateKeyError):
+        assert_unique(props, "h3index")
+    latest = dedupe_latest(props, "h3index", ["n"])
+    assert latest.where("h3index = '88a'").first().n == 5
