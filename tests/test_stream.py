@@ -60,3 +60,31 @@ def test_replayed_batch_changes_nothing(spark):
     merge(batch, 0)                                   # the same batch id again, after a failure
     spark.catalog.refreshTable(spec.qualified)
     assert sorted(map(tuple, spark.table(spec.qualified).collect())) == first
+
+
+def test_many_files_two_rounds_bounded_batches(spark):
+    import json
+    import os
+    landing = scratch_path(spark, "landing")
+    os.makedirs(landing, exist_ok=True)
+
+    def land_file(i):
+        with open(os.path.join(landing, f"reply-{i:02d}.json"), "w") as f:
+            for j in range(3):
+                f.write(json.dumps({"event_id": i * 10 + j, "user_id": i, "value": float(j)}) + "\n")
+
+    cp = scratch_path(spark, "cp")
+    spec = table_spec("events", unique_name("ev"), "default", scratch_path(spark, "tbl"), key="event_id")
+    schema = T.StructType.fromDDL(DDL)
+    for i in range(10):
+        land_file(i)
+    ingest_incremental(spark, landing, schema, spec, cp, order=["value"], wait=True, max_files_per_trigger=4)
+    assert spark.table(spec.qualified).count() == 30
+    for i in range(10, 20):
+        land_file(i)
+    q = ingest_incremental(spark, landing, schema, spec, cp, order=["value"], wait=True, max_files_per_trigger=4)
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0] == [12, 12, 6]
+    assert spark.table(spec.qualified).count() == 60
+    q = ingest_incremental(spark, landing, schema, spec, cp, order=["value"], wait=True)   # restart
+    assert all(p["numInputRows"] == 0 for p in q.recentProgress)
+    assert spark.table(spec.qualified).count() == 60
