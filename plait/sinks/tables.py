@@ -78,6 +78,11 @@ def check_specs(specs) -> None:
         seen_name[name] = s.label
 
 
+def key_list(key) -> list[str]:
+    """A key given as one column name or as several."""
+    return [key] if isinstance(key, str) else list(key or ())
+
+
 def exists(spark: SparkSession, spec: TableSpec) -> bool:
     return spark.catalog.tableExists(f"{spec.database}.{spec.table}")
 
@@ -312,7 +317,7 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     merged partition by partition: only partitions present in the source
     are read, rewritten and re-pointed (up to ``max_partitions``)."""
     spark = df.sparkSession
-    ks = list(key or spec.key)
+    ks = key_list(key or spec.key)
     if not ks:
         raise ValueError("upsert needs a key")
     target = spark.table(spec.qualified)
@@ -351,7 +356,7 @@ def load(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail", o
 
     Unlike an overwrite followed by a merge on the same location, keys
     absent from ``df`` are kept."""
-    ks = list(key or spec.key)
+    ks = key_list(key or spec.key)
     if not exists(df.sparkSession, spec):
         first = prepare_source(df, ks, on_duplicate, order) if ks else df
         return replace(first, spec)

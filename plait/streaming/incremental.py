@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pyspark.sql import functions as F
 
-from ..sinks.tables import TableSpec, append, load
+from ..sinks.tables import TableSpec, append, key_list, load, scd2_load
 from ..sources.payloads import CORRUPT, with_corrupt_field
 
 
@@ -28,12 +28,15 @@ def payload_stream(spark: SparkSession, source_dir: str, schema, multi_line: boo
 
 
 def batch_merger(spec: TableSpec, key=None, order=None, on_duplicate: str = "latest",
-                 quarantine: TableSpec | None = None, transform=None):
+                 quarantine: TableSpec | None = None, transform=None, history=None):
     """The ``foreachBatch`` function: valid rows (optionally transformed) are
     upserted into ``spec``; corrupt rows are appended to ``quarantine`` with
     their batch id.  Calling it again with the same batch (a replay after a
-    failure) leaves the table as it was: the merge is an upsert by key."""
-    ks = list(key or spec.key)
+    failure) leaves the table as it was: the merge is an upsert by key.
+
+    ``history=(order, tracked)`` makes ``spec`` a type-2 table instead:
+    every batch goes through ``scd2_load`` (replayed rows are not applied)."""
+    ks = key_list(key or spec.key)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -45,7 +48,10 @@ def batch_merger(spec: TableSpec, key=None, order=None, on_duplicate: str = "lat
                 append(bad.select(F.lit(batch_id).alias("batch_id"), CORRUPT), quarantine)
             if transform is not None:
                 valid = transform(valid)
-            load(valid, spec, ks, on_duplicate=on_duplicate, order=order)
+            if history is not None:
+                scd2_load(valid, spec, ks, list(history[0]), list(history[1]))
+            else:
+                load(valid, spec, ks, on_duplicate=on_duplicate, order=order)
         finally:
             batch.unpersist()
 
@@ -57,7 +63,7 @@ def ingest_incremental(spark: SparkSession, source_dir: str, schema, spec: Table
                        quarantine: TableSpec | None = None, transform=None,
                        available_now: bool = True, processing_time: str | None = None,
                        multi_line: bool = False, wait: bool = False,
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+                       max_files_per_trigger: int | None = None, history=None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops once every landed
     file is merged (run it on a schedule).  ``transform(batch_df)`` may
     reshape valid rows before the merge (explode, flatten, split ...).
@@ -66,9 +72,10 @@ def ingest_incremental(spark: SparkSession, source_dir: str, schema, spec: Table
     reach the caller's cached relation; ``wait=True`` blocks until an
     ``available_now`` run ends and then refreshes the table here.
     ``max_files_per_trigger`` bounds each micro-batch (availableNow then
-    runs several bounded batches instead of one that holds every file)."""
+    runs several bounded batches instead of one that holds every file).
+    ``history=(order, tracked)`` keeps a type-2 history instead of upserting."""
     stream = payload_stream(spark, source_dir, schema, multi_line, max_files_per_trigger)
-    merge_batch = batch_merger(spec, key, order, on_duplicate, quarantine, transform)
+    merge_batch = batch_merger(spec, key, order, on_duplicate, quarantine, transform, history)
 
     writer = (stream.writeStream.foreachBatch(merge_batch)
               .option("checkpointLocation", checkpoint))

@@ -239,3 +239,10 @@ def test_dup_and_null_key_payloads(spark):
         assert_unique(props, "h3index")
     latest = dedupe_latest(props, "h3index", ["n"])
     assert latest.where("h3index = '88a'").first().n == 5
+
+
+def test_key_as_single_name(spark, workdir):
+    spec = table_spec("props", unique_name("props"), "default", workdir)      # no key in the spec
+    load(spark.createDataFrame(BATCH_1, DDL), spec, key="h3index")
+    m = upsert(spark.createDataFrame(BATCH_2, DDL), spec, key="h3index")
+    assert (m["inserted"], m["updated"]) == (1, 2)

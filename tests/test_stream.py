@@ -88,3 +88,21 @@ def test_many_files_two_rounds_bounded_batches(spark):
     q = ingest_incremental(spark, landing, schema, spec, cp, order=["value"], wait=True)   # restart
     assert all(p["numInputRows"] == 0 for p in q.recentProgress)
     assert spark.table(spec.qualified).count() == 60
+
+
+def test_incremental_type2_history(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from plait.operators.history import scd2_history
+    ddl = "event_id bigint, user_id bigint, ts timestamp_ntz, state string"
+    rows = [(u * 100 + h, u, dt.datetime(2024, 1, 1, h), "ab"[(h // 4 + u) % 2]) for u in range(5) for h in range(24)]
+    df = spark.createDataFrame(rows, ddl)
+    landing, cp = scratch_path(spark, "landing"), scratch_path(spark, "cp")
+    spec = table_spec("hist", unique_name("hist"), "default", scratch_path(spark, "tbl"))
+    for part in (df.where("hour(ts) < 12"), df.where("hour(ts) >= 12")):
+        part.coalesce(1).write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss").json(landing)
+        ingest_incremental(spark, landing, T.StructType.fromDDL(ddl), spec, cp, key="user_id",
+                           history=(["ts", "event_id"], ["state"]), wait=True)
+    expected = scd2_history(df, "user_id", ["ts", "event_id"], ["state"], carry={"event_id": "event_id"})
+    got = spark.table(spec.qualified).select(expected.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
