@@ -15,6 +15,7 @@ import json
 import urllib.error
 import urllib.parse
 import urllib.request
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -25,28 +26,41 @@ RESPONSE_DDL = "request_key string, url string, status int, body string, fetched
 
 
 def fetch(requests: DataFrame, fetcher, key: str = "request_key", url: str = "url",
-          partitions: int | None = None) -> DataFrame:
-    """requests(key, url) -> responses(request_key, url, status, body, fetched_at)."""
+          partitions: int | None = None, concurrency: int = 1) -> DataFrame:
+    """requests(key, url) -> responses(request_key, url, status, body, fetched_at).
+
+    Calls are latency-bound, so each task may keep ``concurrency`` calls in
+    flight (a thread pool per Arrow batch); at most ``partitions x
+    concurrency`` calls run at once across the cluster."""
     src = requests.select(F.col(key).cast("string").alias("request_key"),
                           F.col(url).cast("string").alias("url"))
     if partitions:
         src = src.repartition(partitions)
 
+    def one(k, u):
+        try:
+            status, body = fetcher(k, u)
+        except Exception as exc:  # a failed call is data, not a crash
+            status, body = None, json.dumps({"error": type(exc).__name__, "message": str(exc)})
+        return status, body, pd.Timestamp.now(tz="UTC")
+
     def call_all(batches):
-        for pdf in batches:
-            statuses, bodies, times = [], [], []
-            for k, u in zip(pdf["request_key"], pdf["url"]):
-                try:
-                    status, body = fetcher(k, u)
-                except Exception as exc:  # a failed call is data, not a crash
-                    status, body = None, json.dumps({"error": type(exc).__name__, "message": str(exc)})
-                statuses.append(status)
-                bodies.append(body)
-                times.append(pd.Timestamp.now(tz="UTC"))
-            yield pd.DataFrame({
-                "request_key": pdf["request_key"], "url": pdf["url"],
-                "status": pd.array(statuses, dtype="Int32"), "body": bodies,
-                "fetched_at": pd.to_datetime(times, utc=True)})
+        pool = ThreadPoolExecutor(max_workers=concurrency) if concurrency > 1 else None
+        try:
+            for pdf in batches:
+                pairs = list(zip(pdf["request_key"], pdf["url"]))
+                done = (list(pool.map(lambda p: one(*p), pairs)) if pool is not None
+                        else [one(k, u) for k, u in pairs])          # results keep request order
+                statuses = [d[0] for d in done]
+                bodies = [d[1] for d in done]
+                times = [d[2] for d in done]
+                yield pd.DataFrame({
+                    "request_key": pdf["request_key"], "url": pdf["url"],
+                    "status": pd.array(statuses, dtype="Int32"), "body": bodies,
+                    "fetched_at": pd.to_datetime(times, utc=True)})
+        finally:
+            if pool is not None:
+                pool.shutdown()
 
     return src.mapInPandas(call_all, RESPONSE_DDL)
 

@@ -1,5 +1,6 @@
 import json
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from payloads import (BASE_DDL, EMPTY_TEXT, ERROR_TEXT, MALFORMED_TEXT, MIXED_TEXT, OK_TEXT,
@@ -103,3 +104,19 @@ def test_read_payloads_json_lines_with_file_name(spark, workdir):
     valid, bad = split_valid(df)
     assert valid.count() == 3 and bad.count() == 3
     assert {r.source_file.rsplit("/", 1)[-1] for r in bad.collect()} == {f"part-{i}.json" for i in range(3)}
+
+
+def test_fetch_concurrency_keeps_every_reply(spark):
+    import time as _time
+
+    def slow(key, url):
+        _time.sleep(0.05)
+        return 200, json.dumps({"key": key})
+
+    reqs = spark.range(0, 40).select(F.col("id").cast("string").alias("request_key"),
+                                     F.concat(F.lit("/k/"), F.col("id").cast("string")).alias("url"))
+    t0 = _time.time()
+    rows = fetch(reqs, slow, partitions=2, concurrency=8).collect()
+    assert _time.time() - t0 < 40 * 0.05                 # calls overlapped
+    assert sorted(json.loads(r.body)["key"] for r in rows) == sorted(str(i) for i in range(40))
+    assert all(r.request_key == json.loads(r.body)["key"] for r in rows)
