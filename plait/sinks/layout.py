@@ -74,3 +74,24 @@ def cluster_table(spec: TableSpec, cols: list[str], method: str = "range",
     metrics: dict = {}
     _publish(spark, laid, spec, metrics)
     return metrics
+
+
+def compact(spec: TableSpec) -> dict:
+    """Rewrite a table's files to about ``spark.sql.adaptive.
+    advisoryPartitionSizeInBytes`` each (compaction after many small
+    appends or merges).  The REBALANCE hint lets AQE merge small partitions
+    and split oversized ones (by partition columns for partitioned tables);
+    the result is published as a new version, readers are never blocked.
+    Bucketed tables already get one file per bucket on every write."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    df = spark.table(spec.qualified)
+    if spec.buckets:
+        laid = df                          # the bucketed write sizes files itself
+    elif spec.partition_by:
+        laid = df.hint("rebalance", *spec.partition_by)
+    else:
+        laid = df.hint("rebalance")
+    metrics: dict = {}
+    _publish(spark, laid, spec, metrics)
+    return metrics

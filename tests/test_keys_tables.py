@@ -246,3 +246,16 @@ def test_key_as_single_name(spark, workdir):
     load(spark.createDataFrame(BATCH_1, DDL), spec, key="h3index")
     m = upsert(spark.createDataFrame(BATCH_2, DDL), spec, key="h3index")
     assert (m["inserted"], m["updated"]) == (1, 2)
+
+
+def test_compact_after_many_appends(spark, workdir):
+    import glob
+    from plait.sinks import append, compact
+    spec = table_spec("small", unique_name("small"), "default", workdir + "/small")
+    replace(spark.range(0, 10).select(F.col("id").alias("k")), spec)
+    for i in range(1, 6):
+        append(spark.range(i * 10, i * 10 + 10).select(F.col("id").alias("k")).repartition(3), spec)
+    before = _rows(spark.table(spec.qualified))
+    m = compact(spec)
+    files = glob.glob(m["location"].replace("file:", "") + "/*.parquet")
+    assert len(files) <= 2 and _rows(spark.table(spec.qualified)) == before
