@@ -14,8 +14,9 @@ def explode_rows(df: DataFrame, column: str, alias: str = "col", outer: bool = F
 
     Arrays give ``alias`` (default ``col`` as Spark names it); maps give
     ``key, value``; ``position=True`` adds ``pos``.  ``keep`` lists the other
-    columns to carry (default: every column but the exploded one, so the
-    array is not copied onto each output row).
+    columns to carry (default: every column but the exploded one, or the
+    root column of a nested path, so the array is not copied onto each
+    output row).
 
     Semantics (Spark's): a NULL or empty array gives no row, or one row of
     NULLs with ``outer``; a NULL *element* always gives a row.
@@ -32,7 +33,10 @@ def explode_rows(df: DataFrame, column: str, alias: str = "col", outer: bool = F
     """
     dt = df.schema[column].dataType if column in df.columns else None
     is_map = isinstance(dt, T.MapType)
-    carry = [c for c in df.columns if c != column] if keep is None else list(keep)
+    # default carry: every column but the one holding the array (for a nested
+    # path such as ``doc.features`` that is its root column ``doc``)
+    root = column if column in df.columns else column.split(".")[0].strip("`")
+    carry = [c for c in df.columns if c != root] if keep is None else list(keep)
     target: Column = F.col(column) if column in df.columns else F.expr(column)
     names = (["key", "value"] if is_map else [alias])
     guard = guard_reparse and not outer

@@ -123,3 +123,9 @@ def test_schema_rows(spark):
     rows = {r.path: r.type for r in schema_rows(df).collect()}
     assert rows["features[].properties.h3-index"] == "string"
     assert rows["features[].geometry.coordinates"].startswith("array")
+
+
+def test_explode_nested_path_drops_its_root(spark):
+    df = spark.createDataFrame([(1, ([1, 2], "x"))], "id int, doc struct<a: array<int>, t: string>")
+    out = explode_rows(df, "doc.a", alias="v")
+    assert out.columns == ["id", "v"] and out.count() == 2
