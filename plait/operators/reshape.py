@@ -162,10 +162,20 @@ def _type_at(schema: T.StructType, path: str) -> T.DataType:
     return dt
 
 
-def recombine(parts, key: str | list[str], how: str = "inner") -> DataFrame:
-    """Late-stage join of split tables on their key."""
+def recombine(parts, key: str | list[str], how: str = "inner", check_unique: bool = True) -> DataFrame:
+    """Late-stage join of split tables on their key.
+
+    The key is declared unique; if it were duplicated on both sides, each key
+    group would multiply out (all pairs).  With ``check_unique`` every table
+    after the first is checked first (one aggregate each; free of shuffles on
+    tables bucketed by the key) and a duplicate raises DuplicateKeyError, so
+    at most one row joins each row of the first table."""
+    from .keys import assert_unique
     frames = list(parts.values()) if isinstance(parts, dict) else list(parts)
     keys = [key] if isinstance(key, str) else list(key)
+    if check_unique:
+        for f in frames[1:]:
+            assert_unique(f, keys)
     out = frames[0]
     for f in frames[1:]:
         out = out.join(f, keys, how)

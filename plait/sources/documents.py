@@ -29,6 +29,8 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
     ``type, properties, features``).  Parents without children get one
     document with an empty ``features`` array.
 
+    ``parent`` must hold one row per key (it is joined to the pages of its
+    key; duplicates would repeat every page).
     ``salt`` must be a deterministic bigint of the child row (default: a
     hash of ``order`` and the feature, which spreads the children of a key
     evenly over its pages); ``order`` fixes the order of features inside a

@@ -129,3 +129,13 @@ def test_explode_nested_path_drops_its_root(spark):
     df = spark.createDataFrame([(1, ([1, 2], "x"))], "id int, doc struct<a: array<int>, t: string>")
     out = explode_rows(df, "doc.a", alias="v")
     assert out.columns == ["id", "v"] and out.count() == 2
+
+
+def test_recombine_refuses_duplicate_keys(spark):
+    import pytest as _pytest
+    from plait.operators import DuplicateKeyError
+    a = spark.createDataFrame([("k", 1), ("k", 2)], "key string, a int")
+    b = spark.createDataFrame([("k", 3), ("k", 4)], "key string, b int")
+    with _pytest.raises(DuplicateKeyError):
+        recombine([a, b], "key")
+    assert recombine([a, b.limit(1)], "key").count() == 2
