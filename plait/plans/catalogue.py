@@ -80,16 +80,24 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original notebook flow up to the split: explode ``features`` (output
-    ``col``), star-expand it next to the rest, drop ``col`` and ``type``."""
-    docs = order_docs(spark, sf_dir).select(F.col("doc.features").alias("features"))
-    exploded = explode_rows(docs, "features", alias="col", keep=[], guard_reparse=True)
+    ``col``), star-expand it next to the rest, drop ``col`` and ``type``.
+
+    Each feature gets ``featurekey`` = document key / position: the identity
+    of a feature in its reply.  ``line-key`` is a property of the data and
+    may repeat (the same line can arrive twice), so it cannot be the key the
+    split tables are joined back on."""
+    docs = order_docs(spark, sf_dir).select("doc_key", F.col("doc.features").alias("features"))
+    exploded = explode_rows(docs, "features", alias="col", keep=["doc_key"], position=True,
+                            guard_reparse=True)
+    exploded = (exploded.withColumn("featurekey", F.concat_ws("/", "doc_key", F.col("pos").cast("string")))
+                .drop("doc_key", "pos"))
     return expand_struct(exploded, "col", keep=True).drop("type")
 
 
-def feature_split(spark: SparkSession, sf_dir: str):
+def feature_split(spark: SparkSession, sf_dir: str, persist: bool = False):
     return split(order_features(spark, sf_dir),
                  {"measures": ["measures.*"], "lines": ["properties.*"]},
-                 key={"linekey": "properties.line-key"})
+                 key={"featurekey": "featurekey"}, persist=persist)
 
 
 # -- sources --------------------------------------------------------------
@@ -168,19 +176,17 @@ def q10_split_lines(spark, sf_dir):
 def q11_recombine(spark, sf_dir):
     """Split, store both narrow tables (one parse: the parent is persisted
     while both are written), then join the stored tables late."""
-    parts = split(order_features(spark, sf_dir),
-                  {"measures": ["measures.*"], "lines": ["properties.*"]},
-                  key={"linekey": "properties.line-key"}, persist=True)
+    parts = feature_split(spark, sf_dir, persist=True)
     specs = {}
     try:
         for name, part in parts.items():
             specs[name] = table_spec(name, unique_name(f"t_{name}"), "default",
-                                     scratch_path(spark, "tables", name), key=("linekey",),
+                                     scratch_path(spark, "tables", name), key=("featurekey",),
                                      buckets=_buckets(spark))
             replace(part, specs[name])
     finally:
         parts.release()
-    return recombine({n: spark.table(s.qualified) for n, s in specs.items()}, "linekey", "inner")
+    return recombine({n: spark.table(s.qualified) for n, s in specs.items()}, "featurekey", "inner")
 
 
 def q12_sanitize_sql(spark, sf_dir):

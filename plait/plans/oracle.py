@@ -15,6 +15,23 @@ _ORDERS_WITH_LINES = """
 _LINES_OF_ORDERS = """
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
+# Every line of an order reply with its feature key: document (order / page)
+# and position in the document's sorted feature array (line number, part,
+# supplier, then the rest of the feature, as the document builder sorts).
+_FEATURES = f"""
+    WITH c AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+         g AS (SELECT l.*, {_LINE_KEY} AS linekey, strftime(l.l_shipdate, '%Y-%m-%d') AS shipdate,
+                      CAST((l.l_partkey * 1000003 + l.l_suppkey * 1009 + l.l_linenumber)
+                           % CAST(ceil(c.n / 500.0) AS BIGINT) AS INTEGER) AS page
+               FROM lineitem l JOIN c ON l.l_orderkey = c.l_orderkey
+                               JOIN orders o ON l.l_orderkey = o.o_orderkey),
+         f AS (SELECT g.*, concat_ws('/', l_orderkey, page, row_number() OVER (
+                          PARTITION BY l_orderkey, page
+                          ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                                   l_discount, l_tax, linekey, l_orderkey, l_linenumber, l_partkey,
+                                   l_suppkey, l_returnflag, l_linestatus, shipdate) - 1) AS featurekey
+               FROM g)"""
+
 
 def _batches(null_keys: bool) -> str:
     key = ("CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey END"
@@ -91,16 +108,14 @@ ORACLE = {
                {_DAY.format(c='l.l_shipdate')} AS features_properties_shipdate
         {_ORDERS_WITH_LINES}""",
 
-    "q09_split_measures": f"""
-        SELECT {_LINE_KEY} AS linekey, l.l_quantity AS quantity, l.l_extendedprice AS extendedprice,
-               l.l_discount AS discount, l.l_tax AS tax
-        {_LINES_OF_ORDERS}""",
+    "q09_split_measures": f"""{_FEATURES}
+        SELECT featurekey, l_quantity AS quantity, l_extendedprice AS extendedprice,
+               l_discount AS discount, l_tax AS tax FROM f""",
 
-    "q10_split_lines": f"""
-        SELECT {_LINE_KEY} AS linekey, l.l_orderkey AS orderkey, l.l_linenumber AS lineno,
-               l.l_partkey AS partkey, l.l_suppkey AS suppkey, l.l_returnflag AS returnflag,
-               l.l_linestatus AS linestatus, {_DAY.format(c='l.l_shipdate')} AS shipdate
-        {_LINES_OF_ORDERS}""",
+    "q10_split_lines": f"""{_FEATURES}
+        SELECT featurekey, linekey, l_orderkey AS orderkey, l_linenumber AS lineno,
+               l_partkey AS partkey, l_suppkey AS suppkey, l_returnflag AS returnflag,
+               l_linestatus AS linestatus, shipdate FROM f""",
 
     "q31_bronze_lines": f"""
         SELECT {_LINE_KEY} AS linekey, l.l_orderkey AS orderkey, l.l_linenumber AS lineno,
@@ -108,17 +123,11 @@ ORACLE = {
                l.l_linestatus AS linestatus, {_DAY.format(c='l.l_shipdate')} AS shipdate
         {_LINES_OF_ORDERS}""",
 
-    "q11_recombine": f"""
-        WITH m AS (SELECT {_LINE_KEY} AS linekey, l.l_quantity AS quantity,
-                          l.l_extendedprice AS extendedprice, l.l_discount AS discount, l.l_tax AS tax
-                   {_LINES_OF_ORDERS}),
-             p AS (SELECT {_LINE_KEY} AS linekey, l.l_orderkey AS orderkey, l.l_linenumber AS lineno,
-                          l.l_partkey AS partkey, l.l_suppkey AS suppkey, l.l_returnflag AS returnflag,
-                          l.l_linestatus AS linestatus, {_DAY.format(c='l.l_shipdate')} AS shipdate
-                   {_LINES_OF_ORDERS})
-        SELECT m.linekey, m.quantity, m.extendedprice, m.discount, m.tax, p.orderkey, p.lineno,
-               p.partkey, p.suppkey, p.returnflag, p.linestatus, p.shipdate
-        FROM m JOIN p ON m.linekey = p.linekey""",
+    "q11_recombine": f"""{_FEATURES}
+        SELECT featurekey, l_quantity AS quantity, l_extendedprice AS extendedprice,
+               l_discount AS discount, l_tax AS tax, linekey, l_orderkey AS orderkey,
+               l_linenumber AS lineno, l_partkey AS partkey, l_suppkey AS suppkey,
+               l_returnflag AS returnflag, l_linestatus AS linestatus, shipdate FROM f""",
 
     "q12_sanitize_sql": f"""
         SELECT o.o_orderkey AS orderkey, {_LINE_KEY} AS linekey, l.l_extendedprice AS extendedprice,
