@@ -74,3 +74,41 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``plait`` importable in the Python workers (needed where plait
+    code runs inside tasks, i.e. ``fetch``), once per SparkContext: the
+    package is zipped (named by a hash of its files) and added with
+    ``addPyFile``, which distributes it like ``spark-submit --py-files``.
+    The zip is written below the shared folder when that is a local path,
+    else next to the driver for Spark to serve."""
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_plait_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    files = []
+    for d, _dirs, names in os.walk(root):
+        if "__pycache__" in d:
+            continue
+        files += [os.path.join(d, n) for n in sorted(names) if n.endswith(".py")]
+    digest = hashlib.sha256()
+    for f in sorted(files):
+        with open(f, "rb") as fh:
+            digest.update(f.encode() + fh.read())
+    base = shared_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    folder = os.path.join(local, "plait", "code") if "://" not in local else tempfile.mkdtemp(prefix="plait-code-")
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, f"plait-{digest.hexdigest()[:12]}.zip")
+    if not os.path.exists(target):
+        tmp = f"{target}.{uuid.uuid4().hex[:6]}"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in files:
+                z.write(f, os.path.join("plait", os.path.relpath(f, root)))
+        os.replace(tmp, target)
+    sc.addPyFile(target)
+    sc._plait_shipped = True

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 RESPONSE_DDL = "request_key string, url string, status int, body string, fetched_at timestamp"
 
 
@@ -32,6 +34,7 @@ def fetch(requests: DataFrame, fetcher, key: str = "request_key", url: str = "ur
     Calls are latency-bound, so each task may keep ``concurrency`` calls in
     flight (a thread pool per Arrow batch); at most ``partitions x
     concurrency`` calls run at once across the cluster."""
+    ship_package(requests.sparkSession)      # the fetcher may be a plait class
     src = requests.select(F.col(key).cast("string").alias("request_key"),
                           F.col(url).cast("string").alias("url"))
     if partitions:
