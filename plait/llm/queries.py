@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read
 from .mixing import mixing_plan
+from .repeats import remove_repeats
 from .simhash import hex_fingerprint, near_duplicates
 
 
@@ -15,6 +16,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing_plan(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -22,6 +28,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
 }
 
