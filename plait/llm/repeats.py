@@ -118,7 +118,7 @@ def _filter(repeated: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _occurrences(texts: DataFrame, window: int, bitmap) -> DataFrame:
+def _occurrences(texts: DataFrame, window: int, bitmap, with_windows: bool) -> DataFrame:
     """Factors whose block passes the filter, keyed by two hashes of their text."""
     def parse(batches):
         bits = bitmap.value
@@ -137,6 +137,9 @@ def _occurrences(texts: DataFrame, window: int, bitmap) -> DataFrame:
                                              f["m"][keep], f["off"][keep], f["block"][keep].view(np.int64),
                                              f["content"][keep].view(np.int64))):
                         col.append(v)
+                    if not with_windows:
+                        blobs += [b""] * n
+                        continue
                     data = f["windows"].astype("<u8").tobytes()
                     blobs += [data[8 * a:8 * (a + m)] for a, m in zip(f["local"][keep].tolist(), f["m"][keep].tolist())]
             if blobs:
@@ -159,22 +162,23 @@ def duplicate_spans(texts: DataFrame, window: int = 35) -> DataFrame:
     ship_package(spark)
     repeated = cut(_blocks(texts, window).filter("n > 1").select("block"))
     bitmap = spark.sparkContext.broadcast(_filter(repeated))
-    occ = cut(_occurrences(texts, window, bitmap))
 
-    per_factor = cut(occ.groupBy("block", "content").agg(F.count("*").alias("n")))
-    again = per_factor.filter("n > 1").select("block", "content")
-    contested = per_factor.groupBy("block").agg(F.count("*").alias("c")).filter("c > 1").select("block")
-    whole = occ.drop("windows").join(again, ["block", "content"], "left_semi") \
+    # one row per distinct factor; the occurrences are parsed again below rather than stored
+    distinct = cut(_occurrences(texts, window, bitmap, True).groupBy("block", "content").agg(
+        F.count("*").alias("n"), *[F.any_value(c).alias(c) for c in ("k1", "k2", "start", "m", "off", "windows")]))
+    again = distinct.filter("n > 1").select("block", "content")
+    whole = _occurrences(texts, window, bitmap, False).join(again, ["block", "content"], "left_semi") \
         .select("k1", "k2", "start", (F.col("start") + F.col("m") - 1 + window).alias("end"))
 
     # at boundaries: one row per window, named by its block, its place relative to the block and its hash
+    contested = distinct.groupBy("block").agg(F.count("*").alias("c")).filter("c > 1").select("block")
     one = F.expr("transform(sequence(0, m - 1), i -> named_struct('off', off - i, "
                  "'hash', substring(windows, 8 * i + 1, 8), 'at', start + i))")
-    windows = occ.join(contested, "block", "left_semi") \
-        .select("k1", "k2", "block", "content", F.explode(one).alias("w")) \
-        .select("k1", "k2", "block", "content", "w.off", "w.hash", "w.at")
-    twice = windows.groupBy("block", "off", "hash").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    edge = windows.join(again, ["block", "content"], "left_anti").join(twice, ["block", "off", "hash"], "left_semi") \
+    windows = distinct.join(contested, "block", "left_semi") \
+        .select("k1", "k2", "n", "block", F.explode(one).alias("w")) \
+        .select("k1", "k2", "n", "block", "w.off", "w.hash", "w.at")
+    twice = windows.groupBy("block", "off", "hash").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+    edge = windows.filter("n = 1").join(twice, ["block", "off", "hash"], "left_semi") \
         .select("k1", "k2", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
     return whole.union(edge).distinct() \
         .groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
