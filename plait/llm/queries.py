@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import pii, toxicity
 from .common import read
 from .mixing import mixing_plan
 from .repeats import remove_repeats
@@ -16,6 +17,30 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pii.find_pii(docs, pii.fit(docs))
+    counts = [pii.count_kind(F.col("base"), k).alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return rows.select("doc_id", *counts, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+                       pii.span_text(F.col("spans")).alias("spans"))
+
+
+#: Categories in the order of the chain; both come from the labels.
+TOXIC_CHAIN = ("low_quality", "toxic")
+
+
+def toxic_labels(labels: DataFrame) -> DataFrame:
+    return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents the chain rejects, with the probabilities of all categories."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, toxic_labels(read(spark, sf_dir, "labels")), TOXIC_CHAIN)
+    return toxicity.score(docs, chain).filter("is_toxic") \
+        .select("doc_id", "p_low_quality", "p_toxic", F.col("is_toxic").alias("toxic"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -28,6 +53,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_pii": op7_pii,
+    "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
 }
