@@ -9,7 +9,24 @@ from . import pii, toxicity
 from .common import read
 from .mixing import mixing_plan
 from .repeats import remove_repeats
+from .quality import judge
 from .simhash import hex_fingerprint, near_duplicates
+from .urls import judge_urls, path_of
+
+
+#: Fixed rules of the query.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/")]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled through the document its path numbers: bad if that
+    document's quality is 0."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(path_of(F.col("url")), r"([0-9]{1,18})(?:\.[a-z]+)?/?$", 1)
+    quality = read(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("bad"))
+    labels = pages.withColumn("doc_id", F.when(number != "", number).cast("long")).join(quality, "doc_id")
+    return judge_urls(pages, labels, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +34,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rows = pii.find_pii(docs, pii.fit(docs))
@@ -52,7 +74,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_url_filters": op3_url_filters,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
