@@ -7,13 +7,26 @@ from pyspark.sql import functions as F
 
 from . import pii, toxicity
 from .common import read
+from .decontaminate import matches
+from .html import extract_text
 from .mixing import mixing_plan
+from .quotes import reply_ordered
 from .repeats import remove_repeats
 from .quality import judge
 from .simhash import hex_fingerprint, near_duplicates
 from .urls import judge_urls, path_of
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per contaminated document and the benchmark item it holds."""
+    found = matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_ordered(read(spark, sf_dir, "conversations"))
+
+
 #: Fixed rules of the query.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
              ("block", "com/de/")]
@@ -39,6 +52,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = extract_text(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rows = pii.find_pii(docs, pii.fit(docs))
@@ -74,9 +92,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_url_filters": op3_url_filters,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_extraction": op6_html_extraction,
     "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
