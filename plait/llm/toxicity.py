@@ -172,6 +172,18 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], *, doc_
     return chain
 
 
+def drop_flagged(docs: DataFrame, chain: Chain, category: str, *, text: str = "text") -> DataFrame:
+    """The input rows, unchanged, whose probability of ``category`` is not
+    above its threshold."""
+    ship_package(docs.sparkSession)
+    at = chain.categories.index(category)
+
+    @F.arrow_udf("double")
+    def predict(texts: pa.Array) -> pa.Array:
+        return pa.array([chain.predict(t.as_py())[at] for t in texts], pa.float64())
+    return docs.filter(predict(F.col(text)) <= F.lit(chain.thresholds[at]))
+
+
 def score(docs: DataFrame, chain: Chain, *, text: str = "text") -> DataFrame:
     """The input rows with ``p_<category>`` per category and ``is_<category>``
     where the probability is above the category's threshold.
