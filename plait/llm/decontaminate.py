@@ -105,10 +105,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
         both = F.filter(F.arrays_zip(
             F.slice("theirs", F.col("first") + 1, F.col("end") - F.col("first")).alias("a"),
             F.slice("words", F.col("shift") + F.col("first") + 1, F.col("end") - F.col("first")).alias("b")),
-            lambda p: p["0"].startswith(MARK) & p["1"].startswith(MARK))
+            lambda p: p["a"].startswith(MARK) & p["b"].startswith(MARK))
         pairs = pairs.select("doc_id", "item_id", F.array_distinct(both).alias("p"))
-        same = F.forall("p", lambda p: p["0"] == p["1"])
-        one_to_one = (F.size(F.array_distinct(F.col("p.0"))) == F.size("p")) & (F.size(F.array_distinct(F.col("p.1"))) == F.size("p"))
+        same = F.forall("p", lambda p: p["a"] == p["b"])
+        one_to_one = (F.size(F.array_distinct(F.col("p.a"))) == F.size("p")) & (F.size(F.array_distinct(F.col("p.b"))) == F.size("p"))
         judged = plain.union(pairs.select("doc_id", "item_id", same.alias("same"), one_to_one.alias("consistent")))
     verdict = judged.groupBy("doc_id", "item_id").agg(F.min("consistent").alias("consistent"), F.min("same").alias("same")) \
         .filter("consistent")

@@ -1,7 +1,7 @@
 """Substring dedup: relative Lempel-Ziv factors against indexed reference blocks.
 
 The reference is the whole corpus.  It is indexed by content: in every window
-of ``window`` words the K-word block with the smallest hash is the window's
+of ``window`` words the word block (of BLOCK_WORDS) with the smallest hash is the window's
 reference block, so equal windows name equal blocks.  A document is parsed
 greedily into factors, a factor being the longest run of windows under one
 occurrence of a block.  Parsing keeps only factors whose block occurs again
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from ..session import shared_dir, ship_package
 from .common import cut
 
-#: Words of a reference block.
-K = 12
+#: Words of a reference block, at most; half a window for short windows.
+BLOCK_WORDS = 12
 #: Windows of a text that are parsed at a time.
 CHUNK = 1 << 17
 #: Bits of the filter in front of the exact join; a fixed size, whatever the corpus.
@@ -78,12 +78,13 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
 def factors(words: list[bytes], window: int) -> Iterator[dict[str, np.ndarray]]:
     """Factors of a text: start (first word), m (windows), off (words before
     the block in the first window), block and content hash, hashes of the windows."""
+    size = min(BLOCK_WORDS, (window + 1) // 2)
     for at in range(0, len(words) - window + 1, CHUNK):
         part = words[at:at + CHUNK + window - 1]
         seq, count = Sequence(part), len(part) - window + 1
-        first = np.arange(len(part) - K + 1)
-        blocks = seq.of(first, first + K)
-        which = smallest(blocks, window - K + 1)
+        first = np.arange(len(part) - size + 1)
+        blocks = seq.of(first, first + size)
+        which = smallest(blocks, window - size + 1)
         start = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
         m = np.diff(np.append(start, count))
         p = np.arange(count)

@@ -67,7 +67,7 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.count("bad").alias("labelled"),
         F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("wrong")))
     total, wrong = paths.agg(F.sum("labelled"), F.sum("wrong")).first()
-    prior = ((wrong or 0) + 0.5) / ((total or 0) + 1.0)
+    prior = (wrong or 0) / ((total or 0) + 1.0)  # 0 without labels: nothing is rejected
 
     def smoothed(labelled: str, bad: str, parent: Column) -> Column:
         return (F.col(bad) + PRIOR * parent) / (F.col(labelled) + PRIOR)
@@ -121,9 +121,10 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]
         .groupBy("_pl_id").agg(F.max("_pl_bad").alias("_pl_bad"))
     known = parsed.join(marks, F.col(page_id) == F.col("_pl_id"), "left")
     stats = template_verdicts(known.select("host", F.col("_pl_seg").alias("segments"), F.col("_pl_bad").alias("bad")))
-    side = stats.select(F.col("host").alias("_pl_host"), F.col("segments").alias("_pl_segments"), "template", "purity")
+    side = stats.select(F.col("host").alias("_pl_host"), F.col("segments").alias("_pl_segments"),
+                        F.col("template").alias("_pl_template"), F.col("purity").alias("_pl_purity"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    own = F.when(F.col("purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
+    own = F.when(F.col("_pl_purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
     return parsed.join(side, (F.col("host") == F.col("_pl_host")) & (F.col("_pl_seg") == F.col("_pl_segments"))) \
         .withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, own)) \
-        .select(*base.columns, "host", "path", "rule", "template", "verdict")
+        .select(*base.columns, "host", "path", "rule", F.col("_pl_template").alias("template"), "verdict")
