@@ -75,9 +75,10 @@ def _chains(nodes: DataFrame) -> DataFrame:
     while not state.filter("up is not null").isEmpty():
         above = state.select(F.col("c").alias("c2"), F.col("turn").alias("t2"), F.col("up").alias("up2"),
                              F.col("level").alias("level2"), F.col("thread").alias("thread2"))
-        state = cut(state.join(above, (F.col("c") == F.col("c2")) & (F.col("up") == F.col("t2")), "left").select(
-            "c", "turn", F.col("up2").alias("up"), (F.col("level") + F.coalesce("level2", F.lit(0))).alias("level"),
-            F.coalesce("thread2", "thread").alias("thread")))
+        # only messages whose chain is not followed to its start yet
+        further = state.filter("up is not null").join(above, (F.col("c") == F.col("c2")) & (F.col("up") == F.col("t2"))).select(
+            "c", "turn", F.col("up2").alias("up"), (F.col("level") + F.col("level2")).alias("level"), F.col("thread2").alias("thread"))
+        state = cut(state.filter("up is null").union(further))
     return state.drop("up")
 
 
