@@ -39,7 +39,7 @@ _VARIANT_WORDS = [
     # Type names as printed by schema_of_variant(_agg), mapped
     # to the Spark DDL they stand for.
     (r"\bOBJECT<", "STRUCT<"),
-    (r"\bVARIANT\b", "STRING"),
+    (r"\bVARIANT\b(?!\s*:)", "STRING"),  # a field of that name is followed by a colon
 ]
 
 

@@ -4,8 +4,11 @@ clustering.
 Storage is a catalog table over a *versioned* location: every write goes to
 a new directory ``<location>/v=<stamp>`` and the table is then pointed at
 it (``ALTER TABLE .. SET LOCATION``).  A table can therefore be rewritten
-from its own contents (Spark refuses to overwrite a path it reads), readers
-never see half a write, and a failed job leaves the table as it was.  Old
+from its own contents (Spark refuses to overwrite a path it reads), and a job
+that fails before its files are complete leaves the table as it was.  A full
+rewrite of a partitioned table swaps its definition, and partitions are
+re-pointed one by one, so a reader can see that moment.  A merge whose table
+was changed meanwhile by another writer fails (``ConcurrentWriteError``).  Old
 versions are kept until ``vacuum``.  When the format supports row-level
 operations (e.g. Delta, if installed) ``upsert`` uses ``DataFrame.mergeInto``
 instead.
@@ -13,10 +16,13 @@ instead.
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +30,7 @@ from ..functions.names import quote
 from ..functions.schema import to_ddl
 from ..operators.conform import conform
 from ..operators.keys import assert_unique, dedupe_latest
+from ..session import shared_dir
 
 # Formats whose tables accept MERGE INTO.
 ROW_LEVEL_FORMATS = ("delta", "iceberg")
@@ -91,8 +98,40 @@ def _new_version(spec: TableSpec) -> str:
     return f"{spec.location}/v={int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer published a version while this merge was running."""
+
+
+#: Check and re-pointing happen together among the writers of one driver.
+_REPOINT = threading.RLock()
+
+
+def _version(spark: SparkSession, spec: TableSpec) -> str:
+    """The version mark of a table, set by every publish."""
+    return spark.sql(f"SHOW TBLPROPERTIES {spec.qualified} ('plait.version')").first()["value"]
+
+
+def _expect(spark: SparkSession, spec: TableSpec, expect: str | None) -> None:
+    if expect is not None and _version(spark, spec) != expect:
+        raise ConcurrentWriteError(f"{spec.qualified} changed during the merge; run it again")
+
+
+def _mark(spark: SparkSession, spec: TableSpec, path: str) -> None:
+    spark.sql(f"ALTER TABLE {spec.qualified} SET TBLPROPERTIES ('plait.version' = '{path.rsplit('/', 1)[-1]}')")
+
+
+def _rows(obs: Observation, name: str = "rows") -> int:
+    """An observed count; an input that Spark found empty reports no metrics."""
+    try:
+        return obs.get[name] or 0
+    except (AssertionError, Py4JJavaError) as none:
+        if "assertion failed" not in str(none) and not isinstance(none, AssertionError):
+            raise
+        return 0
+
+
 def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
-             prepartitioned: bool = False) -> str:
+             prepartitioned: bool = False, expect: str | None = None) -> str:
     """Write ``df`` as a new version and point the table at it.
 
     Bucketed tables are written through a staging external table (bucket
@@ -110,6 +149,23 @@ def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
             writer = writer.partitionBy(*spec.partition_by)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(spec.database)}")
         writer.saveAsTable(f"{quote(spec.database)}.{quote(staging)}")
+    else:
+        staging, writer = None, df.write.format(spec.format).mode("errorifexists")
+        if spec.partition_by:
+            writer = writer.partitionBy(*spec.partition_by)
+        writer.save(path)
+    with _REPOINT:
+        _expect(spark, spec, expect)
+        _point(spark, df, spec, path, staging)
+        _mark(spark, spec, path)
+    spark.sql(f"REFRESH TABLE {spec.qualified}")
+    metrics["location"] = path
+    return path
+
+
+def _point(spark: SparkSession, df: DataFrame, spec: TableSpec, path: str, staging: str | None) -> None:
+    """Point the table at a written version (of a bucketed table: by its staging table)."""
+    if staging:
         if exists(spark, spec) and not spec.partition_by:
             spark.sql(f"ALTER TABLE {spec.qualified} SET LOCATION '{path}'")
             spark.sql(f"DROP TABLE {quote(spec.database)}.{quote(staging)}")   # external: files stay
@@ -119,10 +175,6 @@ def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
             spark.sql(f"DROP TABLE IF EXISTS {spec.qualified}")
             spark.sql(f"ALTER TABLE {quote(spec.database)}.{quote(staging)} RENAME TO {spec.qualified}")
     else:
-        writer = df.write.format(spec.format).mode("errorifexists")
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        writer.save(path)
         if spec.partition_by:
             # declared schema: partition types are not re-inferred from paths
             spark.sql(f"DROP TABLE IF EXISTS {spec.qualified}")     # see above; files stay
@@ -136,9 +188,6 @@ def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
             spark.sql(f"CREATE TABLE {spec.qualified} USING {spec.format} LOCATION '{path}'")
     if spec.partition_by:
         spark.sql(f"ALTER TABLE {spec.qualified} RECOVER PARTITIONS")
-    spark.sql(f"REFRESH TABLE {spec.qualified}")
-    metrics["location"] = path
-    return path
 
 
 def _sql_literal(v) -> str:
@@ -150,7 +199,7 @@ def _sql_literal(v) -> str:
 
 
 def _publish_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
-                        prepartitioned: bool = False) -> str:
+                        prepartitioned: bool = False, expect: str | None = None) -> str:
     """Write only the partitions present in ``df`` as a new version and
     re-point (or add) exactly those partitions; the others keep their files."""
     path = _new_version(spec)
@@ -168,12 +217,17 @@ def _publish_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, met
                .select(*[F.col(quote(c)) for c in cols],
                        F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("_dir"))
                .distinct().collect())          # one row per written partition (bounded)
-    specs = [(", ".join(f"{quote(c)}={_sql_literal(row[c])}" for c in cols), row["_dir"]) for row in written]
-    for i in range(0, len(specs), 500):      # new partitions: one statement per 500
-        adds = " ".join(f"PARTITION ({part}) LOCATION '{d}'" for part, d in specs[i:i + 500])
-        spark.sql(f"ALTER TABLE {spec.qualified} ADD IF NOT EXISTS {adds}")
-    for part, d in specs:                    # existing ones are re-pointed one by one
-        spark.sql(f"ALTER TABLE {spec.qualified} PARTITION ({part}) SET LOCATION '{d}'")
+    # file paths are URI-encoded once on top of the directory's own name
+    specs = [(", ".join(f"{quote(c)}={_sql_literal(row[c])}" for c in cols), _sql_literal(unquote(row["_dir"])))
+             for row in written]
+    with _REPOINT:
+        _expect(spark, spec, expect)
+        for i in range(0, len(specs), 500):      # new partitions: one statement per 500
+            adds = " ".join(f"PARTITION ({part}) LOCATION {d}" for part, d in specs[i:i + 500])
+            spark.sql(f"ALTER TABLE {spec.qualified} ADD IF NOT EXISTS {adds}")
+        for part, d in specs:                    # existing ones are re-pointed one by one
+            spark.sql(f"ALTER TABLE {spec.qualified} PARTITION ({part}) SET LOCATION {d}")
+        _mark(spark, spec, path)
     spark.sql(f"REFRESH TABLE {spec.qualified}")
     metrics.update(location=path, partitions_rewritten=len(written))
     return path
@@ -185,7 +239,7 @@ def replace(df: DataFrame, spec: TableSpec) -> dict:
     obs = Observation(f"replace_{uuid.uuid4().hex[:8]}")
     metrics: dict = {}
     _publish(spark, df.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
-    metrics.update(rows_written=obs.get["rows"], inserted=obs.get["rows"], updated=0)
+    metrics.update(rows_written=_rows(obs), inserted=_rows(obs), updated=0)
     return metrics
 
 
@@ -200,7 +254,7 @@ def append(df: DataFrame, spec: TableSpec) -> dict:
     conform(df, target.schema).observe(obs, F.count(F.lit(1)).alias("rows")) \
         .write.insertInto(spec.qualified)
     spark.sql(f"REFRESH TABLE {spec.qualified}")
-    return {"rows_written": obs.get["rows"], "inserted": obs.get["rows"], "updated": 0}
+    return {"rows_written": _rows(obs), "inserted": _rows(obs), "updated": 0}
 
 
 def write_path(df: DataFrame, spec: TableSpec, mode: str = "overwrite") -> str:
@@ -243,7 +297,9 @@ def prepare_source(df: DataFrame, key, on_duplicate: str = "fail", order=None) -
     if on_duplicate == "latest":
         if not order:
             raise ValueError("on_duplicate='latest' needs an order")
-        return dedupe_latest(df, key, order)
+        # a NULL key never matches, so such rows are no duplicates of each other
+        whole = _complete(key_list(key))
+        return dedupe_latest(df.where(whole), key, order).unionByName(df.where(~whole))
     if on_duplicate == "trust":
         return df
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
@@ -282,7 +338,8 @@ def _anti_by_key(target: DataFrame, source: DataFrame, ks: list[str]) -> DataFra
     row_hash = F.xxhash64(*hashable) if hashable else F.lit(1).cast("bigint")
     salted = target.withColumn("_nk_salt", F.when(whole, F.lit(0).cast("bigint")).otherwise(row_hash))
     probe = (source.where(whole).select(*[F.col(quote(k)) for k in ks])
-             .withColumn("_nk_salt", F.lit(0).cast("bigint")))
+             # always 0, but no literal: a literal would drop the salt from the join keys
+             .withColumn("_nk_salt", F.pmod(F.xxhash64(*[F.col(quote(k)) for k in ks]), F.lit(1).cast("bigint"))))
     return salted.join(probe, ks + ["_nk_salt"], "left_anti").drop("_nk_salt")
 
 
@@ -297,12 +354,10 @@ def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str], limit
     values = source.select(*[F.col(quote(c)) for c in cols]).distinct().limit(limit + 1).collect()
     if not values or len(values) > limit or any(v is None for r in values for v in r):
         return None
-    cond = F.lit(False)
-    for r in values:
-        one = F.lit(True)
-        for c in cols:
-            one = one & (F.col(quote(c)) == F.lit(r[c]))
-        cond = cond | one
+    # one list per column: a superset of the partitions for several columns, which rewrites some more
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(quote(c)).isin(sorted({r[c] for r in values}))
     return cond
 
 
@@ -321,7 +376,12 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     if not ks:
         raise ValueError("upsert needs a key")
     target = spark.table(spec.qualified)
-    source = prepare_source(conform(df, target.schema), ks, on_duplicate, order)
+    before = _version(spark, spec)
+    # evaluated once: the guard, the partition list, the anti join and the union read the same rows
+    shared_dir(spark)
+    source = prepare_source(conform(df, target.schema).checkpoint(), ks, on_duplicate, order)
+    if source.isEmpty():
+        return {"rows_written": 0, "inserted": 0, "updated": 0}
     if spec.row_level:
         cond = F.lit(True)
         for k in ks:
@@ -343,10 +403,10 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
         # source is hash-partitioned to the same buckets, so the big side is
         # never shuffled (two files per bucket after a merge)
         fresh = source.repartition(spec.buckets, *[F.col(quote(k)) for k in ks])
-        publish(spark, kept.unionByName(fresh), spec, metrics, prepartitioned=True)
+        publish(spark, kept.unionByName(fresh), spec, metrics, prepartitioned=True, expect=before)
     else:
-        publish(spark, kept.unionByName(source), spec, metrics)
-    n_t, n_k, n_s = o_t.get["rows"], o_k.get["rows"], o_s.get["rows"]
+        publish(spark, kept.unionByName(source), spec, metrics, expect=before)
+    n_t, n_k, n_s = _rows(o_t), _rows(o_k), _rows(o_s)
     metrics.update(rows_written=n_k + n_s, updated=n_t - n_k, inserted=n_s - (n_t - n_k))
     return metrics
 
@@ -413,7 +473,7 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
     metrics: dict = {}
     publish = _publish if scoped is None else _publish_partitions
     publish(spark, merged.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
-    metrics.update(rows_written=obs.get["rows"], late_rows=o_late.get["late_rows"] or 0)
+    metrics.update(rows_written=_rows(obs), late_rows=_rows(o_late, "late_rows"))
     return metrics
 
 

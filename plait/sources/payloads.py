@@ -59,13 +59,15 @@ def parse_json(df: DataFrame, col: str, schema, alias: str | None = None,
     """
     target = alias or col
     full = with_corrupt_field(schema, corrupt)
-    parsed = F.from_json(F.col(col), full, {"mode": "PERMISSIVE",
+    blank = F.col(col).isNull() | (F.trim(F.col(col)) == "")
+    parsed = F.from_json(F.when(blank, F.lit("{}")).otherwise(F.col(col)), full, {"mode": "PERMISSIVE",
                                             "columnNameOfCorruptRecord": corrupt})
     tmp = f"__parsed_{target}"
     out = df.withColumn(tmp, parsed)
     fields = [F.col(f"{tmp}.{f.name}" if re.fullmatch(r"\w+", f.name) else f"{tmp}.`{f.name}`")
               .alias(f.name) for f in _as_struct(schema).fields]
-    out = out.withColumn(target, F.struct(*fields)).withColumn(corrupt, F.col(f"{tmp}.{corrupt}"))
+    out = out.withColumn(target, F.struct(*fields)).withColumn(
+        corrupt, F.when(blank, F.lit("")).otherwise(F.col(f"{tmp}.{corrupt}")))
     out = out.drop(tmp)
     if not keep and target != col:
         out = out.drop(col)
@@ -74,10 +76,10 @@ def parse_json(df: DataFrame, col: str, schema, alias: str | None = None,
 
 def split_valid(df: DataFrame, corrupt: str = CORRUPT,
                 status: str | None = None, ok: tuple[int, ...] = (200,)):
-    """(valid, quarantine): rows whose text did not parse, or whose response
+    """(valid, quarantine): rows whose text did not parse or is null or blank, or whose response
     status is not in ``ok``, go to quarantine with a ``reason``."""
     bad = F.col(corrupt).isNotNull()
-    reason = F.when(bad, F.lit("malformed"))
+    reason = F.when(F.trim(corrupt) == "", F.lit("empty")).when(bad, F.lit("malformed"))
     if status is not None:
         bad_status = F.col(status).isNull() | ~F.col(status).isin(*ok)
         reason = F.when(bad_status, F.concat(F.lit("status "), F.coalesce(F.col(status).cast("string"), F.lit("null")))).otherwise(reason)
