@@ -392,10 +392,9 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     scoped = _touched_partitions(source, spec, ks, max_partitions)
     if scoped is not None:
         target = target.where(scoped)          # static partition filter: only touched partitions are read
-    o_t, o_k, o_s = (Observation(f"{n}_{uuid.uuid4().hex[:8]}") for n in ("target", "kept", "source"))
+    o_t, o_k = (Observation(f"{n}_{uuid.uuid4().hex[:8]}") for n in ("target", "kept"))
     t = target.observe(o_t, F.count(F.lit(1)).alias("rows"))
-    s = source.observe(o_s, F.count(F.lit(1)).alias("rows"))
-    kept = _anti_by_key(t, s, ks).observe(o_k, F.count(F.lit(1)).alias("rows"))
+    kept = _anti_by_key(t, source, ks).observe(o_k, F.count(F.lit(1)).alias("rows"))
     metrics: dict = {}
     publish = _publish if scoped is None else _publish_partitions
     if spec.buckets:
@@ -406,7 +405,7 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
         publish(spark, kept.unionByName(fresh), spec, metrics, prepartitioned=True, expect=before)
     else:
         publish(spark, kept.unionByName(source), spec, metrics, expect=before)
-    n_t, n_k, n_s = _rows(o_t), _rows(o_k), _rows(o_s)
+    n_t, n_k, n_s = _rows(o_t), _rows(o_k), source.count()
     metrics.update(rows_written=n_k + n_s, updated=n_t - n_k, inserted=n_s - (n_t - n_k))
     return metrics
 
