@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import quote
+
 
 def explode_rows(df: DataFrame, column: str, alias: str = "col", outer: bool = False,
                  position: bool = False, keep: list[str] | None = None,
@@ -31,22 +33,22 @@ def explode_rows(df: DataFrame, column: str, alias: str = "col", outer: bool = F
     when single documents hold very many elements, a REBALANCE after the
     generator lets AQE split the oversized partitions (one extra shuffle).
     """
-    dt = df.schema[column].dataType if column in df.columns else None
-    is_map = isinstance(dt, T.MapType)
     # default carry: every column but the one holding the array (for a nested
     # path such as ``doc.features`` that is its root column ``doc``)
     root = column if column in df.columns else column.split(".")[0].strip("`")
     carry = [c for c in df.columns if c != root] if keep is None else list(keep)
-    target: Column = F.col(column) if column in df.columns else F.expr(column)
+    target: Column = F.col(quote(column)) if column in df.columns else F.expr(column)
+    is_map = isinstance(df.select(target).schema[0].dataType, T.MapType)
     names = (["key", "value"] if is_map else [alias])
     guard = guard_reparse and not outer
     if position or guard:
         gen = (F.posexplode_outer if (outer or guard) else F.posexplode)(target)
-        out = df.select(*carry, gen.alias("pos", *names))
+        at = "pos" if position else "_pl_pos"       # a kept column may be called pos
+        out = df.select(*carry, gen.alias(at, *names))
         if guard:
-            out = out.where(F.col("pos").isNotNull())
+            out = out.where(F.col(at).isNotNull())
             if not position:
-                out = out.drop("pos")
+                out = out.drop(at)
         return out.hint("rebalance") if rebalance else out
     gen = (F.explode_outer if outer else F.explode)(target)
     out = df.select(*carry, gen.alias(*names))

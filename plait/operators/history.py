@@ -21,6 +21,16 @@ from ..functions.names import quote
 from ..session import shared_dir
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join on columns of equal names where NULL equals NULL; every name
+    of ``on`` appears once, from the left."""
+    other = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(quote(c)).eqNullSafe(F.col(quote(f"_on_{c}")))
+    return left.join(other, same, "left").drop(*[f"_on_{c}" for c in on])
+
+
 def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
                  carry: dict[str, str] | None = None, bucket: Column | None = None,
                  materialize: bool = True) -> DataFrame:
@@ -28,6 +38,9 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
     order column of the version's first row), ``valid_to`` (the next
     version's ``valid_from``, NULL for the current one), ``is_current``.
 
+    NULL keys are one key; a NULL in the order sorts first, and the last
+    version of a key is current whatever its times are.
+
     ``bucket`` must never decrease along ``order`` within a key; default:
     the day of the first order column.
 
@@ -64,53 +77,57 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
     # the last state of the bucket before (edges: one row per key and bucket)
     edges = (rows.select(*ks, "_b", "_last").distinct()
              .select(*ks, "_b", F.lag("_last").over(per_key).alias("_prev_bucket")))
-    rows = rows.join(edges, ks + ["_b"], "left")
+    rows = null_safe_join(rows, edges, ks + ["_b"])
     prev = F.coalesce(F.col("_prev"), F.col("_prev_bucket"))
     starts = rows.where(prev.isNull() | ~prev.eqNullSafe(F.col("_state")))
 
     # the version after each start, within the bucket or from a later bucket
-    starts = (starts.withColumn("_next", F.lead(oc[0]).over(in_bucket))
-              .withColumn("_first", F.first(oc[0]).over(whole_bucket)))
+    # (a struct, so that a next version that starts at NULL is still seen)
+    at = F.struct(oc[0].alias("at"))
+    starts = (starts.withColumn("_next", F.lead(at).over(in_bucket))
+              .withColumn("_first", F.first(at).over(whole_bucket)))
     if materialize:
         starts = starts.checkpoint(eager=True)
     nexts = (starts.select(*ks, "_b", "_first").distinct()
              .select(*ks, "_b", F.lead("_first").over(per_key).alias("_next_bucket")))
-    starts = starts.join(nexts, ks + ["_b"], "left")
-    valid_to = F.coalesce(F.col("_next"), F.col("_next_bucket"))
+    starts = null_safe_join(starts, nexts, ks + ["_b"])
+    following = F.coalesce(F.col("_next"), F.col("_next_bucket"))
     carried = [F.col(quote(src)).alias(dst) for dst, src in carry.items()]
     return starts.select(*[F.col(quote(k)) for k in ks], *[F.col(quote(t)) for t in tracked],
-                         *carried, oc[0].alias("valid_from"), valid_to.alias("valid_to"),
-                         valid_to.isNull().alias("is_current"))
+                         *carried, oc[0].alias("valid_from"), following["at"].alias("valid_to"),
+                         following.isNull().alias("is_current"))
 
 
 def scd2_merge(history: DataFrame, batch: DataFrame, key, order: list[str],
-               tracked: list[str], observation=None) -> tuple[DataFrame, DataFrame]:
+               tracked: list[str], observation=None) -> DataFrame:
     """Merge a batch into a history built by ``scd2_history`` with
     ``carry={o: o for o in order[1:]}`` (``valid_from`` holds ``order[0]``).
 
-    Only keys present in the batch are touched: their current version is
-    re-seeded next to the new rows and their history from that version on
-    is rebuilt; every other row is kept as is.  Batch rows not newer than a
-    key's current version start (a replayed batch, or late data) are not
-    applied; they are returned as the second DataFrame, and counted as
-    ``late_rows`` in ``observation`` (if given) by the job that writes.
+    Only keys present in the batch are touched: their version starts are
+    taken as rows next to the batch's and their history is rebuilt; every
+    other row is kept as is.  A late row (not newer than its key's current
+    version) thus starts a version at its own time unless the version in
+    force has the same state; a replayed row always finds its own state in
+    force and changes nothing.  A history keeps no rows between two version
+    starts, so a late row's state holds until the next known start.
+    NULL keys are one key like any other.  Late and replayed rows are counted
+    as ``late_rows`` in ``observation`` (if given) by the job that writes.
     """
     ks = [key] if isinstance(key, str) else list(key)
-    touched = batch.select(*[F.col(quote(k)) for k in ks]).distinct()
-    current = (history.where(F.col("is_current"))
-               .join(touched, ks, "left_semi"))
-    seeds = current.select(*[F.col(quote(k)) for k in ks], F.col("valid_from").alias(order[0]),
-                           *[F.col(quote(o)) for o in order[1:]], *[F.col(quote(t)) for t in tracked])
-    seed_pos = seeds.select(*ks, F.struct(*[F.col(quote(o)) for o in order]).alias("_seed"))
-    rows = batch.select(*[F.col(quote(c)) for c in ks + order + tracked])
-    tagged = rows.join(seed_pos, ks, "left").withColumn(
-        "_new", F.col("_seed").isNull() | (F.struct(*[F.col(quote(o)) for o in order]) > F.col("_seed")))
+    names = ks + order + tracked
+    touched = batch.select(*[F.col(quote(k)) for k in ks]).distinct().withColumn("_touched", F.lit(True))
+    tagged = null_safe_join(history, touched, ks)
+    versions = tagged.where("_touched").select(
+        *[F.col(quote(k)) for k in ks], F.col("valid_from").alias(order[0]),
+        *[F.col(quote(o)) for o in order[1:]], *[F.col(quote(t)) for t in tracked], "is_current")
+    rows = batch.select(*[F.col(quote(c)) for c in names])
     if observation is not None:
-        tagged = tagged.observe(observation, F.sum(F.when(~F.col("_new"), 1).otherwise(0)).alias("late_rows"))
-    fresh_rows = tagged.where("_new").drop("_seed", "_new")
-    late = tagged.where(~F.col("_new")).drop("_seed", "_new")
-    rebuilt = scd2_history(fresh_rows.unionByName(seeds), ks, order, tracked,
+        at = F.struct(*[F.col(quote(o)) for o in order])
+        current = versions.where("is_current").select(*[F.col(quote(k)) for k in ks], at.alias("_seed"))
+        rows = (null_safe_join(rows, current, ks)
+                .observe(observation, F.sum(F.when(at <= F.col("_seed"), 1).otherwise(0)).alias("late_rows"))
+                .drop("_seed"))
+    rebuilt = scd2_history(rows.unionByName(versions.drop("is_current")), ks, order, tracked,
                            carry={o: o for o in order[1:]})
-    untouched = history.join(touched, ks, "left_anti")
-    closed = history.where(~F.col("is_current")).join(touched, ks, "left_semi")
-    return untouched.unionByName(closed).unionByName(rebuilt.select(history.columns)), late
+    untouched = tagged.where(F.col("_touched").isNull()).drop("_touched")
+    return untouched.unionByName(rebuilt.select(history.columns))

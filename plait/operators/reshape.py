@@ -57,15 +57,19 @@ def sanitize_names(df: DataFrame, replacement: str = "") -> DataFrame:
 
 
 def flatten(df: DataFrame, explode: tuple[str, ...] | list[str] = (), sep: str = "_",
-            outer: bool = True, sanitize: bool = True) -> DataFrame:
+            outer: bool = True, sanitize: bool = True, pairs: bool = False) -> DataFrame:
     """Flatten structs of any depth to columns named ``a_b_c``.
 
     Arrays stay arrays unless their flattened name is listed in ``explode``;
     those are exploded (``explode_outer`` by default, so parents without
     elements are kept) and flattening continues into their elements.  Each
     round is one projection; Catalyst collapses them.
+
+    Two arrays beside each other would give every pair of their elements:
+    that raises unless ``pairs`` asks for it (flatten once per array instead,
+    keeping a key).  An array inside an element of another is no such case.
     """
-    pending = list(explode)
+    pending, exploded = list(explode), []
     out = df
     while True:
         cols, names = [], []
@@ -82,7 +86,10 @@ def flatten(df: DataFrame, explode: tuple[str, ...] | list[str] = (), sep: str =
             if missing:
                 raise ValueError(f"cannot explode {missing}: no such array after flattening")
             return out
+        if not pairs and (len(todo) > 1 or exploded and not todo[0].startswith(exploded[-1] + sep)):
+            raise ValueError(f"{(exploded + todo)[-2:]} lie beside each other: exploding both gives all pairs")
         for name in todo:
+            exploded.append(name)
             # posexplode_outer (+ pos IS NOT NULL when not outer): the same rows
             # as (outer) explode, and no inferred filter that re-parses JSON
             gen = F.posexplode_outer(F.col(quote(name)))

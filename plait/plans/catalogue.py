@@ -18,17 +18,18 @@ from ..functions.steps import last_observation, step
 from ..operators.conform import conform
 from ..operators.generate import explode_rows
 from ..operators.history import scd2_history
-from ..operators.inspect import first_rows, profile
+from ..operators.inspect import first_rows, profile, schema_rows
 from ..operators.keys import dedupe_latest, key_report
-from ..operators.reshape import expand_struct, flatten, recombine, sanitize_names, split
+from ..operators.reshape import expand_struct, flatten, recombine, rename, sanitize_names, split
 from ..session import scratch_path, shared_dir, unique_name
 from ..sinks.layout import zorder
 from ..sinks.tables import (append, drop, load, merge_frames, register, replace, scd2_load,
-                            table_spec, write_path)
+                            table_spec, upsert, write_path)
 from ..sources.documents import DEFAULT_PAGE_SIZE, ORDER_DOCUMENT_DDL, order_bodies
 from ..sources.fetch import CannedUserApi, fetch, land
 from ..sources.files import input_signature, land_once, read_table
-from ..sources.payloads import CORRUPT, infer_schema, parse_json, read_payloads, split_valid
+from ..sources.payloads import (CORRUPT, geometry_columns, infer_schema, parse_json, read_payloads,
+                                split_valid)
 from ..streaming.incremental import ingest_incremental
 
 # The cut-over dates that make an upsert batch overlap its
@@ -413,6 +414,114 @@ def q31_bronze_lines(spark, sf_dir):
     return sanitize_names(props.select("p.*"))
 
 
+def q32_payload_forms(spark, sf_dir):
+    """S3, S4, H2: single documents, arrays of documents, NULL and blank texts
+    and error replies, routed by status and by text."""
+    kind = F.col("event_type")
+    e = table(spark, sf_dir, "events").select(
+        "event_id", F.when(kind == "error", 400).otherwise(200).alias("status"),
+        F.when(kind == "view", F.col("props"))
+        .when(kind == "click", F.concat(F.lit("["), F.col("props"), F.lit(', {"k": 1000}]')))
+        .when(kind == "purchase", F.lit(" "))
+        .when(kind == "error", F.lit('{"errors": [{"title": "bad request"}]}')).alias("body"))
+    valid, bad = split_valid(parse_json(e, "body", "k int", alias="p", items=True), status="status")
+    return (valid.select("event_id", F.col("p.k").alias("k"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select("event_id", F.lit(None).cast("int").alias("k"), "reason")))
+
+
+def q33_rename(spark, sf_dir):
+    return rename(table(spark, sf_dir, "orders"), {"o_orderkey": "order_id", "o_custkey": "customer", "absent": "x"})
+
+
+def q34_schema_rows(spark, sf_dir):
+    """I1 beside the counts of every column."""
+    o = table(spark, sf_dir, "orders")
+    counts = profile(o, exact_distinct=False).select(F.col("column_name").alias("path"), "n_rows", "n_nulls")
+    return schema_rows(o).join(counts, "path")
+
+
+def q35_geometry(spark, sf_dir):
+    """H4: one geometry column of three shapes; two of them get typed columns."""
+    status, point = F.col("o_orderstatus"), F.concat(F.lit("["), F.col("o_custkey"), F.lit(", 1.5]"))
+    kind = F.when(status == "F", "Polygon").when(status == "O", "MultiPolygon").otherwise("Point")
+    shape = (F.when(status == "F", F.concat(F.lit("[["), point, F.lit("]]")))
+             .when(status == "O", F.concat(F.lit("[[["), point, F.lit("]]]"))).otherwise(point))
+    bodies = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(
+        F.lit('{"geometry": {"type": "'), kind, F.lit('", "coordinates": '), shape, F.lit("}}")).alias("body"))
+    parsed = parse_json(bodies, "body", "geometry struct<type: string, coordinates: string>", alias="doc")
+    typed = geometry_columns(parsed.select("o_orderkey", "doc.geometry"))
+    return typed.select("o_orderkey", F.col("geometry.type").alias("kind"),
+                        F.col("polygon_coordinates")[0][0][0].alias("polygon_x"),
+                        F.col("multipolygon_coordinates")[0][0][0][0].alias("multipolygon_x"),
+                        F.length("geometry.coordinates").cast("bigint").alias("raw_chars"))
+
+
+def q36_map_outer(spark, sf_dir):
+    """G5: outer generator with positions over a map inside a struct."""
+    kind = F.col("event_type")
+    text = F.when(kind == "purchase", F.concat(F.expr("rtrim('}', props)"), F.lit(', "j": 1}'))) \
+        .when(kind != "error", F.col("props"))
+    e = table(spark, sf_dir, "events").select("event_id", F.struct(F.from_json(text, "map<string,int>").alias("m")).alias("doc"))
+    return explode_rows(e, "doc.m", keep=["event_id"], outer=True, position=True)
+
+
+def _history(spark, batches, name):
+    spec = table_spec("history", unique_name(f"t_{name}"), "default", scratch_path(spark, "tables", name))
+    for batch in batches:
+        scd2_load(batch, spec, key="user_id", order=["ts", "event_id"], tracked=["event_type"])
+    return spark.table(spec.qualified)
+
+
+def q37_scd2_late_rows(spark, sf_dir):
+    """T8: the later batch arrives first, so every row of the second is late."""
+    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    early = F.col("ts") < F.lit(ROUND_ONE_BEFORE).cast("timestamp_ntz")
+    return _history(spark, [e.where(~early), e.where(early)], "late")
+
+
+def q38_scd2_null_keys(spark, sf_dir):
+    """T8: NULL keys are one key, with one current version."""
+    e = table(spark, sf_dir, "events").select(
+        F.when(F.col("user_id") > 20, F.col("user_id")).alias("user_id"), "ts", "event_id", "event_type")
+    early = F.col("ts") < F.lit(ROUND_ONE_BEFORE).cast("timestamp_ntz")
+    return _history(spark, [e.where(early), e.where(~early)], "null_keys")
+
+
+def q39_upsert_partitioned_text(spark, sf_dir):
+    """T6: partition values with a space, a colon and a percent sign."""
+    spec = table_spec("orders", unique_name("t_orders_text"), "default", scratch_path(spark, "tables", "orders_text"),
+                      key=("p", "o_orderkey"), partition_by="p")
+    for batch in _orders_batches(spark, sf_dir):
+        load(batch.withColumn("p", F.concat("o_orderpriority", F.lit(" a:b%c"))), spec)
+    return spark.table(spec.qualified)
+
+
+def q40_upsert_null_keys_table(spark, sf_dir):
+    """T6: rows with NULL keys are all inserted, whatever happens to duplicates."""
+    spec = _spec(spark, "orders_null")
+    for batch in _orders_batches(spark, sf_dir, null_keys=True):
+        load(batch, spec, on_duplicate="latest", order=["o_orderdate"])
+    return spark.table(spec.qualified)
+
+
+def q41_upsert_empty_batch(spark, sf_dir):
+    """T6: an empty batch leaves the table as it is."""
+    o = table(spark, sf_dir, "orders")
+    spec = _spec(spark, "orders_empty")
+    load(o, spec)
+    load(o.where(F.col("o_orderdate") < F.lit("1900-01-01").cast("timestamp_ntz")), spec)
+    return spark.table(spec.qualified)
+
+
+def q42_upsert_new_column(spark, sf_dir):
+    """T6, H3: a column that the table lacks is added."""
+    target, source = _orders_batches(spark, sf_dir)
+    spec = _spec(spark, "orders_drift")
+    load(target, spec)
+    upsert(source.withColumn("o_note", F.col("o_orderpriority")), spec, extra="add")
+    return spark.table(spec.qualified)
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}
 

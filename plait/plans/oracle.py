@@ -219,4 +219,50 @@ ORACLE = {
     "q28_explode_map": """
         SELECT event_id, key, CAST(json_extract_string(props, '$."' || key || '"') AS INTEGER) AS value
         FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)""",
+
+    "q32_payload_forms": """
+        WITH e AS (SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+        SELECT event_id, k, CAST(NULL AS VARCHAR) AS reason FROM e WHERE event_type IN ('view', 'click')
+        UNION ALL SELECT event_id, 1000, NULL FROM e WHERE event_type = 'click'
+        UNION ALL SELECT event_id, NULL, CASE WHEN event_type = 'error' THEN 'status 400' ELSE 'empty' END
+        FROM e WHERE event_type IS NULL OR event_type NOT IN ('view', 'click')""",
+
+    "q33_rename": """
+        SELECT o_orderkey AS order_id, o_custkey AS customer, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+        FROM orders""",
+
+    "q34_schema_rows": " UNION ALL ".join(f"""
+        SELECT '{c}' AS path, '{t}' AS type, true AS nullable, count(*) AS n_rows, count(*) - count({c}) AS n_nulls
+        FROM orders""" for c, t in (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                                    ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
+                                    ("o_orderpriority", "string"))),
+
+    "q35_geometry": """
+        SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Polygon' WHEN 'O' THEN 'MultiPolygon' ELSE 'Point' END AS kind,
+               CASE WHEN o_orderstatus = 'F' THEN o_custkey::DOUBLE END AS polygon_x,
+               CASE WHEN o_orderstatus = 'O' THEN o_custkey::DOUBLE END AS multipolygon_x,
+               length(o_custkey::VARCHAR) + 6 + CASE o_orderstatus WHEN 'F' THEN 4 WHEN 'O' THEN 6 ELSE 0 END AS raw_chars
+        FROM orders""",
+
+    "q36_map_outer": """
+        SELECT event_id, CASE WHEN event_type <> 'error' THEN 0 END::INTEGER AS pos,
+               CASE WHEN event_type <> 'error' THEN 'k' END AS key,
+               CASE WHEN event_type <> 'error' THEN json_extract_string(props, '$.k') END::INTEGER AS value
+        FROM events
+        UNION ALL SELECT event_id, 1, 'j', 1 FROM events WHERE event_type = 'purchase'""",
+
+    "q39_upsert_partitioned_text": f"""
+        SELECT *, o_orderpriority || ' a:b%c' AS p FROM ({_batches(null_keys=False)})""",
+
+    "q40_upsert_null_keys_table": _batches(null_keys=True),
+
+    "q41_upsert_empty_batch": "SELECT * FROM orders",
+
+    "q42_upsert_new_column": f"""
+        SELECT *, CASE WHEN o_orderdate >= TIMESTAMP '{SOURCE_FROM}' THEN o_orderpriority END AS o_note
+        FROM ({_batches(null_keys=False)})""",
 }
+
+ORACLE["q37_scd2_late_rows"] = ORACLE["q29_scd2_load"]
+ORACLE["q38_scd2_null_keys"] = ORACLE["q29_scd2_load"].replace(
+    "FROM events", "FROM (SELECT * REPLACE (CASE WHEN user_id > 20 THEN user_id END AS user_id) FROM events)")

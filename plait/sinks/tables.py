@@ -25,10 +25,11 @@ from urllib.parse import unquote
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import quote
 from ..functions.schema import to_ddl
-from ..operators.conform import conform
+from ..operators.conform import SchemaDriftError, conform, drift
 from ..operators.keys import assert_unique, dedupe_latest
 from ..session import shared_dir
 
@@ -361,13 +362,34 @@ def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str], limit
     return cond
 
 
+def _take_extra(df: DataFrame, spec: TableSpec, target, extra: str) -> dict:
+    """Settles what the source has and the table lacks; returns what to report."""
+    new = [path for path, _s, _t, action in drift(df.schema, target) if action == "extra"]
+    if extra not in ("fail", "add", "drop"):
+        raise ValueError(f"unknown extra {extra!r}")
+    if not new:
+        return {}
+    if extra == "drop":
+        return {"ignored_columns": new}
+    top = {f.name: f for f in df.schema.fields}
+    if extra == "fail" or any(c not in top for c in new):
+        raise SchemaDriftError(f"{spec.qualified} has no {new}")
+    columns = to_ddl(T.StructType([T.StructField(c, top[c].dataType, True) for c in new]))
+    df.sparkSession.sql(f"ALTER TABLE {spec.qualified} ADD COLUMNS ({columns})")
+    return {"added_columns": new}
+
+
 def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
-           order=None, max_partitions: int = 10000) -> dict:
+           order=None, max_partitions: int = 10000, extra: str = "fail") -> dict:
     """Merge ``df`` into an existing table on ``key`` (update all columns when
     matched, insert otherwise).  The source is first conformed to the table
     schema (missing columns NULL, safe widening) and guarded for duplicate
     keys.  Returns counts of inserted and updated rows.
 
+    ``extra``: columns or nested fields the table lacks raise (``fail``),
+    become new columns of the table (``add``, top level only) or are left out
+    and named in the counts (``drop``).
+
     Partitioned tables whose partition columns are part of the key are
     merged partition by partition: only partitions present in the source
     are read, rewritten and re-pointed (up to ``max_partitions``)."""
@@ -377,25 +399,28 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
         raise ValueError("upsert needs a key")
     target = spark.table(spec.qualified)
     before = _version(spark, spec)
+    ignored = _take_extra(df, spec, target.schema, extra)
+    if extra == "add":
+        target = spark.table(spec.qualified)
     # evaluated once: the guard, the partition list, the anti join and the union read the same rows
     shared_dir(spark)
     source = prepare_source(conform(df, target.schema).checkpoint(), ks, on_duplicate, order)
     if source.isEmpty():
-        return {"rows_written": 0, "inserted": 0, "updated": 0}
+        return {"rows_written": 0, "inserted": 0, "updated": 0} | ignored
     if spec.row_level:
         cond = F.lit(True)
         for k in ks:
             cond = cond & (F.col(f"{quote(spec.table)}.{quote(k)}") == F.col(f"source.{quote(k)}"))
         (source.alias("source").mergeInto(spec.qualified, cond)
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
-        return {"rows_written": None, "inserted": None, "updated": None}
+        return {"rows_written": None, "inserted": None, "updated": None} | ignored
     scoped = _touched_partitions(source, spec, ks, max_partitions)
     if scoped is not None:
         target = target.where(scoped)          # static partition filter: only touched partitions are read
     o_t, o_k = (Observation(f"{n}_{uuid.uuid4().hex[:8]}") for n in ("target", "kept"))
     t = target.observe(o_t, F.count(F.lit(1)).alias("rows"))
     kept = _anti_by_key(t, source, ks).observe(o_k, F.count(F.lit(1)).alias("rows"))
-    metrics: dict = {}
+    metrics: dict = dict(ignored)
     publish = _publish if scoped is None else _publish_partitions
     if spec.buckets:
         # kept rows come from the bucketed scan, one task per bucket; only the
@@ -410,7 +435,8 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     return metrics
 
 
-def load(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail", order=None) -> dict:
+def load(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail", order=None,
+         extra: str = "fail") -> dict:
     """Create the table from ``df`` when it does not exist, else upsert.
 
     Unlike an overwrite followed by a merge on the same location, keys
@@ -419,7 +445,7 @@ def load(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail", o
     if not exists(df.sparkSession, spec):
         first = prepare_source(df, ks, on_duplicate, order) if ks else df
         return replace(first, spec)
-    return upsert(df, spec, ks, on_duplicate, order)
+    return upsert(df, spec, ks, on_duplicate, order, extra=extra)
 
 
 def vacuum(spark: SparkSession, spec: TableSpec, keep: int = 2) -> list[str]:
@@ -453,7 +479,8 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
     version.  When the table's partition columns are part of the key (e.g.
     a key-bucket column), only partitions holding the batch's keys are
     read, rebuilt and re-pointed; the rest of the history is not touched.
-    Returns counts, including rows not applied (late/replayed)."""
+    Late rows are merged in at their own time; replayed rows change nothing.
+    Returns counts, ``late_rows`` (late and replayed) among them."""
     from ..operators.history import scd2_history, scd2_merge
     spark = df.sparkSession
     ks = [key] if isinstance(key, str) else list(key)
@@ -463,15 +490,20 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
         m["late_rows"] = 0
         return m
     history = spark.table(spec.qualified)
+    shared_dir(spark)
+    df = df.select(*[F.col(quote(c)) for c in dict.fromkeys([*ks, *order, *tracked])]).checkpoint()
+    if df.isEmpty():
+        return {"rows_written": 0, "late_rows": 0}
+    before = _version(spark, spec)
     scoped = _touched_partitions(df, spec, ks, max_partitions)
     if scoped is not None:
         history = history.where(scoped)
     o_late = Observation(f"scd2_late_{uuid.uuid4().hex[:8]}")
-    merged, _late = scd2_merge(history, df, ks, order, tracked, observation=o_late)
+    merged = scd2_merge(history, df, ks, order, tracked, observation=o_late)
     obs = Observation(f"scd2_{uuid.uuid4().hex[:8]}")
     metrics: dict = {}
     publish = _publish if scoped is None else _publish_partitions
-    publish(spark, merged.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
+    publish(spark, merged.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics, expect=before)
     metrics.update(rows_written=_rows(obs), late_rows=_rows(o_late, "late_rows"))
     return metrics
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import quote
 from ..functions.schema import ddl_from_variant_schema
 
 CORRUPT = "_corrupt_record"
@@ -49,14 +50,29 @@ def read_payloads(spark: SparkSession, path: str | list[str], schema,
     return df
 
 
+def unroll_arrays(df: DataFrame, col: str) -> DataFrame:
+    """One row per item of a text that is a JSON array, as reading such a file
+    gives; any other text (NULL, blank, malformed) stays one row, an empty
+    array gives none.  Items keep their own JSON text."""
+    text = F.col(quote(col))
+    items = F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>"))
+    out = [F.col(quote(c)) for c in df.columns if c != col]
+    return (df.withColumn(col, F.coalesce(items, F.array(text)))
+            .select(*out, F.explode(quote(col)).alias(col)).select(*[F.col(quote(c)) for c in df.columns]))
+
+
 def parse_json(df: DataFrame, col: str, schema, alias: str | None = None,
-               corrupt: str = CORRUPT, keep: bool = True) -> DataFrame:
+               corrupt: str = CORRUPT, keep: bool = True, items: bool = False) -> DataFrame:
     """Parse a JSON text column with a declared schema (PERMISSIVE).
 
     Adds ``alias`` (default: the column name) as the parsed struct, without
     the corrupt field, and a top-level ``corrupt`` column that holds the raw
     text of rows that did not parse.  ``keep=False`` drops the text column.
+    ``items=True`` first gives every item of a top-level array its own row
+    (``unroll_arrays``); without it such a text counts as malformed.
     """
+    if items:
+        df = unroll_arrays(df, col)
     target = alias or col
     full = with_corrupt_field(schema, corrupt)
     blank = F.col(col).isNull() | (F.trim(F.col(col)) == "")

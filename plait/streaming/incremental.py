@@ -17,6 +17,10 @@ from ..sinks.tables import TableSpec, append, key_list, load, scd2_load
 from ..sources.payloads import CORRUPT, with_corrupt_field
 
 
+class CorruptRecordsError(ValueError):
+    """Records that do not parse arrived and no quarantine table takes them."""
+
+
 def payload_stream(spark: SparkSession, source_dir: str, schema, multi_line: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(with_corrupt_field(schema))
@@ -31,7 +35,7 @@ def batch_merger(spec: TableSpec, key=None, order=None, on_duplicate: str = "lat
                  quarantine: TableSpec | None = None, transform=None, history=None):
     """The ``foreachBatch`` function: valid rows (optionally transformed) are
     upserted into ``spec``; corrupt rows are appended to ``quarantine`` with
-    their batch id.  Calling it again with the same batch (a replay after a
+    their batch id, and raise before anything is written when there is none.  Calling it again with the same batch (a replay after a
     failure) leaves the table as it was: the merge is an upsert by key.
 
     ``history=(order, tracked)`` makes ``spec`` a type-2 table instead:
@@ -42,9 +46,12 @@ def batch_merger(spec: TableSpec, key=None, order=None, on_duplicate: str = "lat
         batch = batch.persist()
         try:
             valid = batch.where(batch[CORRUPT].isNull()).drop(CORRUPT)
-            if quarantine is not None:
+            bad = batch.where(batch[CORRUPT].isNotNull())
+            if quarantine is None:
+                if not bad.isEmpty():
+                    raise CorruptRecordsError(f"batch {batch_id} holds records that do not parse; name a quarantine table")
+            else:
                 # a replayed batch may add its corrupt rows again; batch_id tells them apart
-                bad = batch.where(batch[CORRUPT].isNotNull())
                 append(bad.select(F.lit(batch_id).alias("batch_id"), CORRUPT), quarantine)
             if transform is not None:
                 valid = transform(valid)

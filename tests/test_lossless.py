@@ -83,3 +83,70 @@ def test_blank_and_null_payloads_are_set_aside(spark):
 def test_field_named_like_a_type_keeps_its_name(spark):
     rows = spark.createDataFrame([('{"VARIANT": "x", "n": 1}',)], "j string")
     assert {f.name for f in pl.infer_schema(rows, "j").fields} == {"VARIANT", "n"}
+
+
+def test_late_and_null_rows_of_a_history(spark, workdir):
+    from plait.operators.history import scd2_history
+    import datetime as dt
+    at = lambda d: dt.datetime(2024, 1, d)
+    ddl = "k string, ts timestamp_ntz, id int, state string"
+    t = spec(workdir)
+    args = dict(key="k", order=["ts", "id"], tracked=["state"])
+    pl.scd2_load(spark.createDataFrame([("a", at(1), 1, "x"), ("a", at(9), 2, "y"), (None, at(2), 3, "x")], ddl), t, **args)
+    m = pl.scd2_load(spark.createDataFrame([("a", at(5), 4, "z"), ("a", at(6), 5, "z"), (None, at(3), 6, "x")], ddl), t, **args)
+    assert m["late_rows"] == 2
+    got = {(r.k, r.valid_from.day, r.state, r.valid_to and r.valid_to.day, r.is_current)
+           for r in spark.table(t.qualified).collect()}
+    assert got == {("a", 1, "x", 5, False), ("a", 5, "z", 9, False), ("a", 9, "y", None, True),
+                   (None, 2, "x", None, True)}
+    assert pl.scd2_load(spark.createDataFrame([], ddl), t, **args)["rows_written"] == 0
+    # two versions without a time: one is current
+    same = scd2_history(spark.createDataFrame([("a", None, 1, "x"), ("a", None, 2, "y")], ddl), "k", ["ts", "id"], ["state"])
+    assert sorted((r.state, r.is_current) for r in same.collect()) == [("x", False), ("y", True)]
+
+
+def test_new_columns_are_never_dropped_unasked(spark, workdir):
+    t = spec(workdir, key="k")
+    pl.load(spark.createDataFrame([(1, "a")], "k int, v string"), t)
+    more = spark.createDataFrame([(2, "b", 5)], "k int, v string, w int")
+    with pytest.raises(TypeError):
+        pl.upsert(more, t)
+    assert pl.upsert(more, t, extra="drop")["ignored_columns"] == ["w"]
+    assert pl.upsert(more, t, extra="add")["added_columns"] == ["w"]
+    assert sorted(map(tuple, spark.table(t.qualified).collect())) == [(1, "a", None), (2, "b", 5)]
+
+
+def test_corrupt_records_need_a_quarantine(spark, workdir):
+    from plait.sources.payloads import CORRUPT
+    from plait.streaming.incremental import CorruptRecordsError, batch_merger
+    ddl = f"k int, v string, {CORRUPT} string"
+    t = spec(workdir, key="k")
+    aside = spec(workdir)
+    pl.load(spark.createDataFrame([(1, "a")], "k int, v string"), t)
+    bad = spark.createDataFrame([(None, None, "{x")], ddl)
+    with pytest.raises(CorruptRecordsError):
+        batch_merger(t)(bad, 0)
+    merge = batch_merger(t, on_duplicate="trust", quarantine=aside)
+    merge(bad, 0)                                          # a round without a valid row
+    merge(spark.createDataFrame([(2, "b", None)], ddl), 1)
+    assert spark.table(t.qualified).count() == 2 and spark.table(aside.qualified).count() == 1
+
+
+def test_arrays_in_text_and_siblings(spark):
+    from plait.operators.generate import explode_rows
+    from plait.operators.reshape import flatten
+    from plait.sources.payloads import CORRUPT, parse_json
+    texts = ['{"k": 1}', ' [{"k": 2}, {"k": 3}]', "[]", "[{", "", None, "[null]", '[{"k": [1, {"z": "]"}]}]']
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, body string")
+    got = sorted((r.id, r.p.k, (r[CORRUPT] or "") != "") for r in parse_json(docs, "body", "k string", "p", items=True).collect()
+                 if r.p.k or r[CORRUPT])
+    assert [g[:2] for g in got if g[1]] == [(0, "1"), (1, "2"), (1, "3"), (7, '[1,{"z":"]"}]')]
+    assert [g[0] for g in got if g[2]] == [3]
+    two = spark.createDataFrame([([1, 2], [3, 4])], "a array<int>, b array<int>")
+    with pytest.raises(ValueError):
+        flatten(two, explode=["a", "b"])
+    assert flatten(two, explode=["a", "b"], pairs=True).count() == 4
+    nested = spark.createDataFrame([([([1, 2],)],)], "a array<struct<b: array<int>>>")
+    assert flatten(nested, explode=["a", "a_b"]).count() == 2
+    maps = spark.createDataFrame([(7, ({"x": 1},))], "pos int, d struct<m: map<string,int>>")
+    assert [tuple(r) for r in explode_rows(maps, "d.m", guard_reparse=True).collect()] == [(7, "x", 1)]
