@@ -60,11 +60,24 @@ def _exploded(df: DataFrame, keep: list[str], window: int) -> DataFrame:
     return hashed.select(*keep, F.posexplode(_windows("_pl_h", window)).alias("pos", "hash"))
 
 
+def _coverage(stretches: DataFrame, size: DataFrame, least: float) -> DataFrame:
+    """``doc_id, item_id, coverage, same``: the share of an item's windows that
+    the stretches of a document have, where it is ``least`` or more."""
+    if "same" not in stretches.columns:
+        stretches = stretches.withColumn("same", F.lit(None).cast("boolean"))
+    each = stretches.select("doc_id", "item_id", "same", F.explode("hashes").alias("hash")) \
+        .groupBy("doc_id", "item_id", "hash").agg(F.min("same").alias("same"))
+    return each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.min("same").alias("same")) \
+        .join(size, "item_id").withColumn("coverage", F.col("n") / F.col("total")) \
+        .filter(F.col("coverage") >= least).select("doc_id", "item_id", "coverage", "same")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
             item_text: str = "text", window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, item_id, coverage, kind`` for every document that holds a
     benchmark item: ``kind`` is ``exact`` if the slots have the item's
-    values, else ``reparameterised``.
+    values, else ``reparameterised``.  Only aligned stretches whose slots are
+    consistent count towards ``coverage``.
 
     Rows with a null id, document or item, are not reported.  Items of fewer
     words than a window are too short to tell and are not searched.  Rows
@@ -89,16 +102,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
         .groupBy("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")) \
         .agg(F.collect_set("at").alias("ats"), F.collect_set("hash").alias("hashes"), F.max("slots").alias("slots"))
     found = cut(found)  # one row per stretch of a document aligned with an item
-    covered = found.select("doc_id", "item_id", F.explode("hashes").alias("hash")).distinct() \
-        .groupBy("doc_id", "item_id").agg(F.count("*").alias("n")) \
-        .join(size, "item_id").withColumn("coverage", F.col("n") / F.col("total")) \
-        .filter(F.col("coverage") >= coverage).select("doc_id", "item_id", "coverage")
-    covered = cut(covered)
-    stretches = found.join(covered, ["doc_id", "item_id"], "left_semi")
-    plain = stretches.filter("slots = 0").select("doc_id", "item_id", F.lit(True).alias("same"), F.lit(True).alias("consistent"))
-    slotted = cut(stretches.filter("slots > 0").select("doc_id", "item_id", "shift", F.array_min("ats").alias("first"),
+    # enough windows, whatever their slots; only these documents are read again
+    likely = cut(_coverage(found, size, coverage).select("doc_id", "item_id"))
+    stretches = found.join(likely, ["doc_id", "item_id"], "left_semi")
+    consistent = stretches.filter("slots = 0").select("doc_id", "item_id", "hashes", F.lit(True).alias("same"))
+    slotted = cut(stretches.filter("slots > 0").select("doc_id", "item_id", "hashes", "shift", F.array_min("ats").alias("first"),
                                                        (F.array_max("ats") + window).alias("end")))
-    judged = plain
     if not slotted.isEmpty():
         # the words of both, aligned over the stretch
         pairs = slotted.join(items.withColumnRenamed("words", "theirs"), "item_id").join(worded(docs), "doc_id")
@@ -106,13 +115,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
             F.slice("theirs", F.col("first") + 1, F.col("end") - F.col("first")).alias("a"),
             F.slice("words", F.col("shift") + F.col("first") + 1, F.col("end") - F.col("first")).alias("b")),
             lambda p: p["a"].startswith(MARK) & p["b"].startswith(MARK))
-        pairs = pairs.select("doc_id", "item_id", F.array_distinct(both).alias("p"))
-        same = F.forall("p", lambda p: p["a"] == p["b"])
+        pairs = pairs.select("doc_id", "item_id", "hashes", F.array_distinct(both).alias("p"))
         one_to_one = (F.size(F.array_distinct(F.col("p.a"))) == F.size("p")) & (F.size(F.array_distinct(F.col("p.b"))) == F.size("p"))
-        judged = plain.union(pairs.select("doc_id", "item_id", same.alias("same"), one_to_one.alias("consistent")))
-    verdict = judged.groupBy("doc_id", "item_id").agg(F.min("consistent").alias("consistent"), F.min("same").alias("same")) \
-        .filter("consistent")
-    return verdict.join(covered, ["doc_id", "item_id"]) \
+        consistent = consistent.union(pairs.filter(one_to_one).select(
+            "doc_id", "item_id", "hashes", F.forall("p", lambda p: p["a"] == p["b"]).alias("same")))
+    # a stretch with other slots counts for nothing, nor against the rest of the document
+    return _coverage(consistent, size, coverage) \
         .select("doc_id", "item_id", "coverage", F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind"))
 
 

@@ -213,11 +213,11 @@ def test_decontamination_templates(spark):
     again = ITEM.replace("Tom", "Bob").replace("Ann", "Sue").replace("12", "40").replace("5", "7").replace("3 miles", "9 miles")
     mixed = again.replace("40 kg", "41 kg")  # one number of the item stands for two
     rows = ODD + [(50, prose(1, 30) + "\n" + ITEM, "a"), (51, prose(2, 30) + " of it. " + again, "a"), (52, mixed, "a"),
-                  (53, prose(4, 200), "a"), (50, prose(1, 30) + "\n" + ITEM, "a")]
+                  (53, prose(4, 200), "a"), (50, prose(1, 30) + "\n" + ITEM, "a"), (54, ITEM + " " + prose(5, 9) + " or so. " + mixed, "a")]
     bench = spark.createDataFrame([(1, ITEM), (2, None), (3, "too short"), (None, ITEM)], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.matches(docs(spark, rows), bench).collect()}
-    assert got == {(50, 1): "exact", (51, 1): "reparameterised"}
+    assert got == {(50, 1): "exact", (51, 1): "reparameterised", (54, 1): "exact"}
     kept = decontaminate.decontaminate(docs(spark, rows), bench)
-    assert kept.count() == len(rows) - 3
+    assert kept.count() == len(rows) - 4
     assert decontaminate.matches(docs(spark, []), bench).count() == 0
     assert decontaminate.matches(docs(spark, rows), bench.limit(0)).count() == 0
