@@ -9,7 +9,10 @@ split by a coarse, order-preserving ``bucket`` (e.g. the day of the first
 order column): the neighbour of a row is found inside its (key, bucket)
 group, and only the first / last row of each group looks across buckets,
 through a per-(key, bucket) summary that is a partial aggregate.  A key that
-holds a third of all rows is thus spread over its buckets.
+holds a third of all rows is thus spread over its buckets.  Days of a key
+with more than ``BUCKET_ROWS`` rows are cut further, at whole seconds, so a
+load of one day is spread as well; only rows of one key and one second stay
+together.
 """
 
 from __future__ import annotations
@@ -20,6 +23,9 @@ from pyspark.sql import functions as F
 from ..functions.names import quote
 from ..session import shared_dir
 
+#: Rows of a key in one bucket, about; fuller days are cut into several.
+BUCKET_ROWS = 1_000_000
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Left join on columns of equal names where NULL equals NULL; every name
@@ -31,9 +37,32 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFram
     return left.join(other, same, "left").drop(*[f"_on_{c}" for c in on])
 
 
+def day_buckets(rows: DataFrame, ks: list[str], at: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``rows`` with ``_b``: the day of ``at`` and a number that cuts a key's
+    day of more than ``bucket_rows`` rows at whole seconds into parts of about
+    that many.  Full days are counted first (one aggregate over key and
+    day); without any, nothing is joined."""
+    keys = [F.col(quote(k)) for k in ks]
+    time = F.col(quote(at)).cast("timestamp")
+    rows = rows.withColumn("_day", F.date_trunc("day", time))
+    full = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n")) \
+        .where(F.col("_n") > F.lit(bucket_rows)).select(*keys, "_day", F.lit(True).alias("_full"))
+    if full.isEmpty():
+        return rows.withColumn("_b", F.struct(F.col("_day"), F.lit(0).cast("bigint").alias("part"))).drop("_day")
+    rows = rows.withColumn("_sec", F.date_trunc("second", time))
+    seconds = null_safe_join(rows.groupBy(*keys, "_day", "_sec").agg(F.count(F.lit(1)).alias("_n")), full, ks + ["_day"])
+    # at most 86,400 rows per key and day
+    before = Window.partitionBy(*keys, "_day").orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
+    parts = seconds.where("_full").select(
+        *keys, "_sec", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(bucket_rows)).alias("_part"))
+    return null_safe_join(rows, parts, ks + ["_sec"]) \
+        .withColumn("_b", F.struct(F.col("_day"), F.coalesce("_part", F.lit(0).cast("bigint")).alias("part"))) \
+        .drop("_day", "_sec", "_part")
+
+
 def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
                  carry: dict[str, str] | None = None, bucket: Column | None = None,
-                 materialize: bool = True) -> DataFrame:
+                 materialize: bool = True, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Columns: key..., tracked..., carry aliases..., ``valid_from`` (the first
     order column of the version's first row), ``valid_to`` (the next
     version's ``valid_from``, NULL for the current one), ``is_current``.
@@ -42,7 +71,7 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
     version of a key is current whatever its times are.
 
     ``bucket`` must never decrease along ``order`` within a key; default:
-    the day of the first order column.
+    ``day_buckets`` of the first order column.
 
     Plan: one shuffle of the rows, on (key, bucket).  Every window over
     (key, bucket) and the per-bucket edge values (last state, first version
@@ -55,14 +84,14 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
     ks = [key] if isinstance(key, str) else list(key)
     carry = carry or {}
     oc = [F.col(quote(o)) for o in order]
-    if bucket is None:
-        bucket = F.date_trunc("day", F.col(quote(order[0])).cast("timestamp"))
     state = F.struct(*[F.col(quote(t)) for t in tracked])
     rows = df.select(*[F.col(quote(k)) for k in ks], *oc,
                      *[F.col(quote(t)) for t in tracked],
                      *[F.col(quote(src)) for src in dict.fromkeys(carry.values())
                        if src not in ks + order + tracked],
-                     bucket.alias("_b"))
+                     *([] if bucket is None else [bucket.alias("_b")]))
+    if bucket is None:
+        rows = day_buckets(rows, ks, order[0], bucket_rows)
 
     in_bucket = Window.partitionBy(*ks, "_b").orderBy(*oc)
     whole_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -30,20 +30,21 @@ def _text(c: Column, dt: T.DataType) -> Column:
     return c.cast("string")
 
 
-def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
+def profile(df: DataFrame, exact_distinct: bool | list[str] = False) -> DataFrame:
     """One row per top-level column: ``column_name, n_rows, n_nulls,
     n_distinct, min_value, max_value`` (min/max as text, NULL for nested).
 
     All statistics come from a single aggregation over the data; the wide
-    result row is unpivoted with ``stack``.  ``exact_distinct=False`` uses
-    HyperLogLog (approx_count_distinct) instead of exact distinct counts.
+    result row is unpivoted with ``inline``.  Distinct counts are HyperLogLog
+    estimates, but for the columns named in ``exact_distinct`` (``True``:
+    all): exact counts shuffle the values of each such column.
     """
     aggs = [F.count(F.lit(1)).alias("__n")]
     orderable = {}
     for i, f in enumerate(df.schema.fields):
         c = F.col(quote(f.name))
         aggs.append(F.count(c).alias(f"nn{i}"))
-        aggs.append((F.countDistinct(c) if exact_distinct else F.approx_count_distinct(c)).alias(f"nd{i}"))
+        aggs.append((F.countDistinct(c) if exact_distinct is True or f.name in (exact_distinct or ()) else F.approx_count_distinct(c)).alias(f"nd{i}"))
         orderable[i] = not isinstance(f.dataType, (T.MapType,))
         if orderable[i]:
             aggs.append(F.min(c).alias(f"mn{i}"))

@@ -335,7 +335,7 @@ def q22_incremental(spark, sf_dir):
 # -- inspection, hooks, layout, conformance, maps --------------------------
 
 def q23_profile(spark, sf_dir):
-    return profile(table(spark, sf_dir, "orders"))
+    return profile(table(spark, sf_dir, "orders"), exact_distinct=True)
 
 
 def q24_first_rows(spark, sf_dir):
@@ -436,7 +436,7 @@ def q33_rename(spark, sf_dir):
 def q34_schema_rows(spark, sf_dir):
     """I1 beside the counts of every column."""
     o = table(spark, sf_dir, "orders")
-    counts = profile(o, exact_distinct=False).select(F.col("column_name").alias("path"), "n_rows", "n_nulls")
+    counts = profile(o).select(F.col("column_name").alias("path"), "n_rows", "n_nulls")
     return schema_rows(o).join(counts, "path")
 
 

@@ -14,10 +14,15 @@ from .tables import TableSpec, _publish
 def cluster(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
     """Range-partition on ``cols`` (sampled bounds, no global sort on one
     task) and sort inside each partition, so every output file covers a
-    narrow, mostly disjoint range and Parquet min/max statistics prune."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    narrow, mostly disjoint range and Parquet min/max statistics prune.
+    Without ``partitions`` the ranges are sized by AQE: it joins neighbouring
+    ones up to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``."""
     keys = [F.col(quote(c)) for c in cols]
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return _by_range(df, keys, partitions).sortWithinPartitions(*keys)
+
+
+def _by_range(df: DataFrame, keys: list[Column], partitions: int | None) -> DataFrame:
+    return df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
 
 
 def _as_number(c: Column, dt: T.DataType) -> Column:
@@ -25,6 +30,8 @@ def _as_number(c: Column, dt: T.DataType) -> Column:
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
+    if not isinstance(dt, (T.NumericType, T.BooleanType)):
+        raise TypeError(f"a Z-order column must be a number, date or timestamp, not {dt.simpleString()}")
     return c.cast("double")
 
 
@@ -33,7 +40,9 @@ def zorder_key(df: DataFrame, cols: list[str], bits: int = 16) -> Column:
 
     Each column is scaled to ``[0, 2^bits)`` with its min and max (one small
     aggregate; two values per column reach the driver) and the bits are
-    interleaved with built-in expressions, so the key stays JVM-side."""
+    interleaved with built-in expressions, so the key stays JVM-side.  The
+    code has 62 bits at most: over three columns get fewer ``bits`` each."""
+    bits = min(bits, 62 // len(cols))
     dts = {f.name: f.dataType for f in df.schema.fields}
     nums = [_as_number(F.col(quote(c)), dts[c]) for c in cols]
     stats = df.agg(*[F.min(x).alias(f"mn{i}") for i, x in enumerate(nums)],
@@ -58,10 +67,8 @@ def zorder_key(df: DataFrame, cols: list[str], bits: int = 16) -> Column:
 
 def zorder(df: DataFrame, cols: list[str], partitions: int | None = None, bits: int = 16) -> DataFrame:
     """Cluster by the Z-order code of ``cols`` (good for filters on either)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    z = zorder_key(df, cols, bits)
-    return (df.withColumn("__z", z).repartitionByRange(n, "__z")
-            .sortWithinPartitions("__z").drop("__z"))
+    coded = df.withColumn("__z", zorder_key(df, cols, bits))
+    return _by_range(coded, [F.col("__z")], partitions).sortWithinPartitions("__z").drop("__z")
 
 
 def cluster_table(spec: TableSpec, cols: list[str], method: str = "range",

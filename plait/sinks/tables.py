@@ -192,6 +192,8 @@ def _point(spark: SparkSession, df: DataFrame, spec: TableSpec, path: str, stagi
 
 
 def _sql_literal(v) -> str:
+    if v is None:
+        return "null"
     if isinstance(v, bool):
         return "true" if v else "false"
     if isinstance(v, (int, float)):
@@ -344,21 +346,22 @@ def _anti_by_key(target: DataFrame, source: DataFrame, ks: list[str]) -> DataFra
     return salted.join(probe, ks + ["_nk_salt"], "left_anti").drop("_nk_salt")
 
 
-def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str], limit: int):
+def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str]):
     """When every partition column is part of the key, a source row can only
     match target rows of its own partition: return a predicate selecting the
-    partitions present in the source (at most ``limit``; one small distinct
-    job), or None when the whole table must be merged."""
+    partitions present in the source (one small distinct job; the list has a
+    row per partition, as the catalog has), or None when the whole table must
+    be merged.  Rows without a partition value live in the NULL partition."""
     cols = list(spec.partition_by)
-    if not cols or not set(cols) <= set(ks) or limit <= 0:
-        return None
-    values = source.select(*[F.col(quote(c)) for c in cols]).distinct().limit(limit + 1).collect()
-    if not values or len(values) > limit or any(v is None for r in values for v in r):
+    if not cols or not set(cols) <= set(ks):
         return None
+    values = source.select(*[F.col(quote(c)) for c in cols]).distinct().collect()
     # one list per column: a superset of the partitions for several columns, which rewrites some more
     cond = F.lit(True)
     for c in cols:
-        cond = cond & F.col(quote(c)).isin(sorted({r[c] for r in values}))
+        present = {r[c] for r in values}
+        one = F.col(quote(c)).isin(sorted(present - {None}))
+        cond = cond & (one | F.col(quote(c)).isNull() if None in present else one)
     return cond
 
 
@@ -380,7 +383,7 @@ def _take_extra(df: DataFrame, spec: TableSpec, target, extra: str) -> dict:
 
 
 def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
-           order=None, max_partitions: int = 10000, extra: str = "fail") -> dict:
+           order=None, extra: str = "fail") -> dict:
     """Merge ``df`` into an existing table on ``key`` (update all columns when
     matched, insert otherwise).  The source is first conformed to the table
     schema (missing columns NULL, safe widening) and guarded for duplicate
@@ -392,7 +395,7 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
 
     Partitioned tables whose partition columns are part of the key are
     merged partition by partition: only partitions present in the source
-    are read, rewritten and re-pointed (up to ``max_partitions``)."""
+    are read, rewritten and re-pointed, however many they are."""
     spark = df.sparkSession
     ks = key_list(key or spec.key)
     if not ks:
@@ -414,7 +417,7 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
         (source.alias("source").mergeInto(spec.qualified, cond)
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return {"rows_written": None, "inserted": None, "updated": None} | ignored
-    scoped = _touched_partitions(source, spec, ks, max_partitions)
+    scoped = _touched_partitions(source, spec, ks)
     if scoped is not None:
         target = target.where(scoped)          # static partition filter: only touched partitions are read
     o_t, o_k = (Observation(f"{n}_{uuid.uuid4().hex[:8]}") for n in ("target", "kept"))
@@ -472,8 +475,7 @@ def vacuum(spark: SparkSession, spec: TableSpec, keep: int = 2) -> list[str]:
     return removed
 
 
-def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: list[str],
-              max_partitions: int = 10000) -> dict:
+def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: list[str]) -> dict:
     """Type-2 load: build the history table on first use, else merge the
     batch into it (``operators.history.scd2_merge``) and publish a new
     version.  When the table's partition columns are part of the key (e.g.
@@ -495,7 +497,7 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
     if df.isEmpty():
         return {"rows_written": 0, "late_rows": 0}
     before = _version(spark, spec)
-    scoped = _touched_partitions(df, spec, ks, max_partitions)
+    scoped = _touched_partitions(df, spec, ks)
     if scoped is not None:
         history = history.where(scoped)
     o_late = Observation(f"scd2_late_{uuid.uuid4().hex[:8]}")

@@ -1,5 +1,5 @@
-from .documents import (ORDER_DOCUMENT_DDL, nest, order_bodies, order_document_schema,
-                        order_documents, to_bodies)
+from .documents import (ORDER_DOCUMENT_DDL, nest, order_bodies, order_documents,
+                        to_bodies)
 from .files import land_once, read_table
 from .fetch import CannedUserApi, HttpFetcher, fetch, land, status_check
 from .payloads import (CORRUPT, geometry_columns, infer_file_schema, infer_schema, parse_json,
@@ -7,7 +7,7 @@ from .payloads import (CORRUPT, geometry_columns, infer_file_schema, infer_schem
 
 __all__ = [
     "ORDER_DOCUMENT_DDL", "land_once", "read_table", "nest", "order_bodies",
-    "order_document_schema", "order_documents", "to_bodies",
+    "order_documents", "to_bodies",
     "CannedUserApi", "HttpFetcher", "fetch", "land", "status_check",
     "CORRUPT", "geometry_columns", "infer_file_schema", "infer_schema", "parse_json",
     "read_payloads", "split_valid",

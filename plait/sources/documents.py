@@ -6,17 +6,16 @@ with Spark: child rows are grouped under their parent key into arrays and
 the result is serialised with ``to_json``.
 
 A parent may own any number of children (assume one key holds a third of
-all rows), so a document never holds more than about ``page_size`` features:
-a parent with n children is spread over ceil(n / page_size) pages by a
-deterministic salt, like a paged API.  Every group that is collected is
-therefore bounded.
+all rows), so a document holds about ``page_size`` features: a parent with n
+children is spread over ceil(n / page_size) pages by a deterministic salt,
+like a paged API.  Children that share a salt beyond a page, equal ones
+included, are spread by a hash, so every group that is collected is bounded.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_PAGE_SIZE = 500
 
@@ -29,49 +28,67 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
     ``type, properties, features``).  Parents without children get one
     document with an empty ``features`` array.
 
-    ``parent`` must hold one row per key (it is joined to the pages of its
-    key; duplicates would repeat every page).
-    ``salt`` must be a deterministic bigint of the child row (default: a
-    hash of ``order`` and the feature, which spreads the children of a key
-    evenly over its pages); ``order`` fixes the order of features inside a
-    document.
+    ``parent`` must hold one row per key (duplicates would repeat every page).
+    ``order`` fixes the order of features inside a document.  ``salt``, a
+    deterministic bigint of the child row (default: a hash of ``order`` and the
+    feature), names the page of a child; where more than ``page_size``
+    children of a key share a salt, they are spread by a hash of order and
+    feature instead, and equal ones in lots of a tenth of a page.
 
     Plan: only keys with more than ``page_size`` children need pages.  They
     are counted first (one aggregate over the key column): with none, no
-    join is planned at all; with at most ``max_broadcast_keys`` (a measured
+    join is planned for them; with at most ``max_broadcast_keys`` (a measured
     bound, ~16 bytes each) they are broadcast; beyond that they are joined
     by key with a shuffle.  Grouping on (key, page) hashes on both, so the
-    pages of a hot key are collected by different tasks, each after a
-    map-side partial collect.
+    pages of a hot key are collected by different tasks.  Parents are left
+    joined on (key, page) too: the grouping's partitioning is reused, and the
+    pages of a hot key stay spread.
     """
     # a child without a parent key belongs to no document (the parent join
     # would drop it); dropping it first keeps NULL from becoming one huge group
     if salt is None:
         salt = F.xxhash64(F.struct(*order), feature)
     c = (child.where(F.col(child_key).isNotNull())
-         .select(F.col(child_key).alias("_k"), F.struct(*order).alias("_o"),
-                 feature.alias("_f"), salt.alias("_s")))
-    counts = c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > F.lit(page_size))
+         .select(F.col(child_key).alias("_k"), F.struct(*order).alias("_o"), feature.alias("_f"), salt.alias("_s")))
+    p = parent.select(F.col(key).alias("_k"), properties.alias("properties"))
+    hot = (c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(page_size))
+           .select("_k", F.ceil(F.col("_n") / F.lit(page_size)).alias("_pages")))
     n_hot = hot.count()
     if n_hot == 0:
-        paged = c.withColumn("_page", F.lit(0)).drop("_s")
+        paged = c.withColumns({"_page": F.lit(0), "_copies": F.lit(1)})
+        pages = p.withColumns({"_page": F.lit(0), "_hot": F.lit(False)})
     else:
         side = F.broadcast(hot) if n_hot <= max_broadcast_keys else hot
-        paged = (c.join(side, "_k", "left")
-                 .withColumn("_page", F.coalesce(
-                     F.pmod(F.col("_s"), F.ceil(F.col("_n") / F.lit(page_size))), F.lit(0)).cast("int"))
-                 .drop("_s", "_n"))
+        marked = c.join(side, "_k", "left")
+        distinct = (marked.where(F.col("_pages").isNotNull())
+                    .groupBy("_k", "_s", "_o", "_f", "_pages").agg(F.count(F.lit(1)).alias("_n")))
+        crowded = (distinct.groupBy("_k", "_s").agg(F.sum("_n").alias("_sn"))
+                   .where(F.col("_sn") > F.lit(page_size)).select("_k", "_s", F.lit(True).alias("_crowded")))
+        lot = F.when(F.col("_crowded"), F.lit(max(1, page_size // 10)).cast("bigint")).otherwise(F.col("_n"))
+        lots = (distinct.join(crowded, ["_k", "_s"], "left").withColumn("_size", lot)
+                .withColumn("_lot", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                         F.floor((F.col("_n") - 1) / F.col("_size"))))))
+        number = F.when(F.col("_crowded"), F.xxhash64("_s", "_o", "_f", "_lot")).otherwise(F.col("_s"))
+        spread = lots.select(
+            "_k", "_o", "_f", F.pmod(number, F.col("_pages")).cast("int").alias("_page"),
+            F.least("_size", F.col("_n") - F.col("_lot") * F.col("_size")).cast("int").alias("_copies"))
+        paged = (marked.where(F.col("_pages").isNull())
+                 .select("_k", "_o", "_f", F.lit(0).alias("_page"), F.lit(1).alias("_copies"))
+                 .unionByName(spread))
+        pages = p.join(side, "_k", "left").select(
+            "_k", "properties", F.col("_pages").isNotNull().alias("_hot"),
+            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pages"), F.lit(1)).cast("int") - 1)).alias("_page"))
     grouped = (paged.groupBy("_k", "_page")
-               .agg(F.sort_array(F.collect_list(F.struct("_o", "_f"))).alias("_items"))
-               .select("_k", "_page", F.transform("_items", lambda x: x["_f"]).alias("features")))
-    feature_type = grouped.schema["features"].dataType
-    p = parent.select(F.col(key).alias("_k"), properties.alias("properties"))
-    with_children = p.join(grouped, "_k")
-    childless = (p.join(counts.select("_k"), "_k", "left_anti")     # same aggregate, reused
-                 .withColumn("_page", F.lit(0))
-                 .withColumn("features", F.array().cast(feature_type)))
-    docs = with_children.unionByName(childless)
+               .agg(F.sort_array(F.collect_list(F.struct("_o", "_f", "_copies"))).alias("_items")))
+    if n_hot == 0:
+        features = F.transform("_items", lambda x: x["_f"])
+    else:
+        features = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["_f"], x["_copies"])))
+    grouped = grouped.select("_k", "_page", features.alias("features"))
+    none = F.array().cast(grouped.schema["features"].dataType)
+    docs = (pages.join(grouped, ["_k", "_page"], "left")
+            .where(F.col("features").isNotNull() | ~F.col("_hot"))       # a hashed page may stay empty
+            .withColumn("features", F.coalesce("features", none)))
     return docs.select(
         F.concat_ws("/", F.col("_k").cast("string"), F.col("_page").cast("string")).alias("doc_key"),
         F.col("_k").alias(key),
@@ -100,10 +117,6 @@ ORDER_DOCUMENT_DDL = (
 )
 
 
-def order_document_schema() -> T.StructType:
-    return T.StructType.fromDDL(ORDER_DOCUMENT_DDL)
-
-
 def line_key(orderkey, linenumber, partkey, suppkey) -> Column:
     """Feature identifier (the role ``h3-index`` plays in the original payload)."""
     return F.concat_ws("-", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string")

@@ -109,3 +109,22 @@ def test_scd2_load_partition_scoped(spark):
     got = spark.table(spec.qualified)
     assert sorted(map(tuple, got.select(expected.columns).collect()), key=str) == \
         sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_scd2_cuts_a_full_day_of_one_key(spark):
+    """A load of one day in which one key, and the NULL key, hold most rows."""
+    from plait.operators.history import day_buckets
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice([1, 1, None, rnd.randint(2, 9)]), base + dt.timedelta(seconds=rnd.randint(0, 5000)), eid,
+             rnd.choice("ab")) for eid in range(3000)]
+    df = spark.createDataFrame(rows, "user_id bigint, ts timestamp_ntz, event_id bigint, state string")
+    got = scd2_history(df, "user_id", ["ts", "event_id"], ["state"], carry={"start_event_id": "event_id"}, bucket_rows=100)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_force(rows)
+    sizes = [r["count"] for r in day_buckets(df, ["user_id"], "ts", 100).groupBy("user_id", "_b").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 120
+
+
+def test_scd2_without_rows(spark):
+    df = spark.createDataFrame([], "user_id bigint, ts timestamp_ntz, event_id bigint, state string")
+    assert scd2_history(df, "user_id", ["ts", "event_id"], ["state"], bucket_rows=1).count() == 0

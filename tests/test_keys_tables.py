@@ -259,3 +259,29 @@ def test_compact_after_many_appends(spark, workdir):
     m = compact(spec)
     files = glob.glob(m["location"].replace("file:", "") + "/*.parquet")
     assert len(files) <= 2 and _rows(spark.table(spec.qualified)) == before
+
+
+def test_partition_scoped_upsert_with_null_and_very_many_partitions(spark, workdir):
+    spec = table_spec("many", unique_name("many"), "default", workdir, key=("p", "k"), partition_by="p")
+    load(spark.createDataFrame([("a", 1, "old"), ("z", 1, "old"), (None, 1, "old")], "p string, k bigint, v string"), spec)
+    before = _partition_dirs(spark, spec)
+    m = upsert(spark.createDataFrame([("a", 1, "new"), (None, 1, "new"), (None, 2, "new")], "p string, k bigint, v string"), spec)
+    assert (m["inserted"], m["updated"], m["partitions_rewritten"]) == (2, 1, 2)
+    after = _partition_dirs(spark, spec)
+    assert after["z"] == before["z"] and after["a"] == after[None] != before["a"]
+    got = sorted((r.p or "", r.k, r.v) for r in spark.table(spec.qualified).collect())
+    assert got == [("", 1, "new"), ("", 1, "old"), ("", 2, "new"), ("a", 1, "new"), ("z", 1, "old")]
+    # far beyond what one OR per partition could plan
+    many = spark.range(5000).select(F.format_string("p%05d", "id").alias("p"), F.col("id").alias("k"), F.lit("m").alias("v"))
+    m = upsert(many.coalesce(4), spec)
+    assert (m["inserted"], m["updated"], m["partitions_rewritten"]) == (5000, 0, 5000)
+    assert spark.table(spec.qualified).count() == 5005
+
+
+def test_zorder_of_many_and_of_text_columns(spark):
+    from plait.sinks import zorder
+    df = spark.range(500).select("id", (F.col("id") % 7).alias("b"), (F.col("id") % 5).alias("c"), (-F.col("id")).alias("d"),
+                                 F.col("id").cast("string").alias("t"))
+    assert sorted(zorder(df, ["id", "b", "c", "d"]).collect()) == sorted(df.collect())
+    with pytest.raises(TypeError):
+        zorder(df, ["id", "t"])

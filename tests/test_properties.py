@@ -44,3 +44,19 @@ def test_sanitize_is_idempotent(spark, names):
     once = sanitize_names(df)
     assert sanitize_names(once).columns == once.columns
     assert once.first() == df.first()
+
+
+def test_nest_spreads_equal_and_equally_salted_children(spark):
+    """A third of all children are one repeated row, and another third share a salt."""
+    kids = [(0, 1, "same")] * 400 + [(1, j, f"v{j}") for j in range(400)] + [(i, 0, "x") for i in range(2, 402)]
+    parents = spark.range(403).select(F.col("id").alias("pid"))
+    children = spark.createDataFrame(kids, "pid bigint, cno bigint, v string")
+    docs = nest(parents, children, "pid", "pid", F.struct(F.col("pid").alias("parent-id")),
+                F.struct(F.col("cno").alias("child-no"), "v"), order=[F.col("cno")],
+                salt=F.when(F.col("pid") == 1, F.lit(7)).otherwise(F.col("cno")).cast("bigint"), page_size=20)
+    rows = docs.select("pid", "page", "doc.features").collect()
+    assert sorted((r.pid, f["child-no"], f["v"]) for r in rows for f in r.features) == sorted(kids)
+    assert len({(r.pid, r.page) for r in rows}) == len(rows)
+    sizes = {p: [len(r.features) for r in rows if r.pid == p] for p in (0, 1, 402)}
+    assert max(sizes[0] + sizes[1]) <= 60 and len(sizes[0]) > 10 and len(sizes[1]) > 10
+    assert sizes[402] == [0]
