@@ -57,7 +57,3 @@ def rename_type(dt: T.DataType, rule, path: str = "") -> T.DataType:
 def quote(name: str) -> str:
     """Back-tick a single name for use inside a column path."""
     return "`" + name.replace("`", "``") + "`"
-
-
-def path_expr(*parts: str) -> str:
-    return ".".join(quote(p) for p in parts)

@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,14 +222,28 @@ def _publish_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, met
                        F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("_dir"))
                .distinct().collect())          # one row per written partition (bounded)
     # file paths are URI-encoded once on top of the directory's own name
-    specs = [(", ".join(f"{quote(c)}={_sql_literal(row[c])}" for c in cols), _sql_literal(unquote(row["_dir"])))
-             for row in written]
+    dirs = [unquote(row["_dir"]) for row in written]
+    specs = [(", ".join(f"{quote(c)}={_sql_literal(row[c])}" for c in cols), _sql_literal(d))
+             for row, d in zip(written, dirs)]
     with _REPOINT:
         _expect(spark, spec, expect)
-        for i in range(0, len(specs), 500):      # new partitions: one statement per 500
-            adds = " ".join(f"PARTITION ({part}) LOCATION {d}" for part, d in specs[i:i + 500])
-            spark.sql(f"ALTER TABLE {spec.qualified} ADD IF NOT EXISTS {adds}")
-        for part, d in specs:                    # existing ones are re-pointed one by one
+        known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {spec.qualified}").collect()}
+        depth = len(cols)
+        fresh = ["/".join(d.rsplit("/", depth)[1:]) not in known for d in dirs]
+        added = [s for s, new in zip(specs, fresh) if new]
+        moved = [s for s, new in zip(specs, fresh) if not new]
+        for i in range(0, len(added), 500):      # new partitions: one statement per 500
+            lot = added[i:i + 500]
+            adds = " ".join(f"PARTITION ({part}) LOCATION {d}" for part, d in lot)
+            try:
+                spark.sql(f"ALTER TABLE {spec.qualified} ADD {adds}")
+            except AnalysisException as exists_already:
+                if "PARTITIONS_ALREADY_EXIST" not in str(exists_already.getCondition()):
+                    raise
+                # the catalog names one of them differently: add what is missing, re-point all
+                spark.sql(f"ALTER TABLE {spec.qualified} ADD IF NOT EXISTS {adds}")
+                moved += lot
+        for part, d in moved:                    # existing ones are re-pointed one by one
             spark.sql(f"ALTER TABLE {spec.qualified} PARTITION ({part}) SET LOCATION {d}")
         _mark(spark, spec, path)
     spark.sql(f"REFRESH TABLE {spec.qualified}")

@@ -168,8 +168,3 @@ def geometry_columns(df: DataFrame, geometry: str = "geometry",
         out = out.withColumn(f"{kind.lower()}_coordinates",
                              F.when(gtype == kind, F.from_json(raw, dt)))
     return out
-
-
-def json_text(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.to_json(c)
