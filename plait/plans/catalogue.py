@@ -39,7 +39,7 @@ SOURCE_FROM = "1998-01-01"
 ROUND_ONE_BEFORE = "2024-01-16"
 ROUND_TWO_FROM = "2024-01-15"
 # bump when the reply builder changes, so landed replies are rebuilt
-REPLY_FORMAT = 2
+REPLY_FORMAT = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
