@@ -73,13 +73,14 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
     ``bucket`` must never decrease along ``order`` within a key; default:
     ``day_buckets`` of the first order column.
 
-    Plan: one shuffle of the rows, on (key, bucket).  Every window over
+    Plan: one shuffle of the rows, on (key, bucket), after full days are counted.  Every window over
     (key, bucket) and the per-bucket edge values (last state, first version
     start) come from that one partitioning; only the edge tables (one row
     per key and bucket) are shuffled again, by key.  The windowed rows and
     the version starts each feed two branches; ``materialize`` writes them
     once with ``checkpoint()`` (the shared checkpoint folder, survives lost
-    executors), so the input is scanned once instead of once per branch.
+    executors), so the input is scanned once instead of once per branch,
+    beside the count of full days.
     """
     ks = [key] if isinstance(key, str) else list(key)
     carry = carry or {}
