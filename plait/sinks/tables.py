@@ -361,7 +361,7 @@ def _anti_by_key(target: DataFrame, source: DataFrame, ks: list[str]) -> DataFra
     return salted.join(probe, ks + ["_nk_salt"], "left_anti").drop("_nk_salt")
 
 
-def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str]):
+def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str], target: DataFrame):
     """When every partition column is part of the key, a source row can only
     match target rows of its own partition: return a predicate selecting the
     partitions present in the source (one small distinct job; the list has a
@@ -370,13 +370,17 @@ def _touched_partitions(source: DataFrame, spec: TableSpec, ks: list[str]):
     cols = list(spec.partition_by)
     if not cols or not set(cols) <= set(ks):
         return None
-    values = source.select(*[F.col(quote(c)) for c in cols]).distinct().collect()
-    # one list per column: a superset of the partitions for several columns, which rewrites some more
+    types = {f.name: f.dataType for f in target.schema.fields}
+    typed = source.select(*[F.col(quote(c)).cast(types[c]).alias(c) for c in cols])
+    code = F.xxhash64(*[F.col(quote(c)) for c in cols])
+    values = typed.withColumn("_code", code).distinct().collect()
     cond = F.lit(True)
-    for c in cols:
+    for c in cols:                         # a list per column, for the catalog's own pruning
         present = {r[c] for r in values}
         one = F.col(quote(c)).isin(sorted(present - {None}))
         cond = cond & (one | F.col(quote(c)).isNull() if None in present else one)
+    if len(cols) > 1:                      # of their combinations, those of the source
+        cond = cond & code.isin([r["_code"] for r in values])
     return cond
 
 
@@ -432,7 +436,7 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
         (source.alias("source").mergeInto(spec.qualified, cond)
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return {"rows_written": None, "inserted": None, "updated": None} | ignored
-    scoped = _touched_partitions(source, spec, ks)
+    scoped = _touched_partitions(source, spec, ks, target)
     if scoped is not None:
         target = target.where(scoped)          # static partition filter: only touched partitions are read
     o_t, o_k = (Observation(f"{n}_{uuid.uuid4().hex[:8]}") for n in ("target", "kept"))
@@ -512,7 +516,7 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
     if df.isEmpty():
         return {"rows_written": 0, "late_rows": 0}
     before = _version(spark, spec)
-    scoped = _touched_partitions(df, spec, ks)
+    scoped = _touched_partitions(df, spec, ks, history)
     if scoped is not None:
         history = history.where(scoped)
     o_late = Observation(f"scd2_late_{uuid.uuid4().hex[:8]}")

@@ -285,3 +285,16 @@ def test_zorder_of_many_and_of_text_columns(spark):
     assert sorted(zorder(df, ["id", "b", "c", "d"]).collect()) == sorted(df.collect())
     with pytest.raises(TypeError):
         zorder(df, ["id", "t"])
+
+
+def test_upsert_rewrites_only_touched_combinations_of_two_partition_columns(spark, workdir):
+    ddl = "p string, n bigint, k bigint, v string"
+    spec = table_spec("two", unique_name("two"), "default", workdir, key=("p", "n", "k"), partition_by=("p", "n"))
+    parts = [("a", 1), ("a", 2), ("b", 1), ("b", 2), (None, 1), (None, 2)]
+    load(spark.createDataFrame([(p, n, 1, "old") for p, n in parts], ddl), spec)
+    # narrower types than the table's
+    batch = spark.createDataFrame([("a", 1, 1, "new"), ("b", 2, 1, "new"), (None, 2, 1, "new")], "p string, n int, k int, v string")
+    m = upsert(batch, spec)
+    assert (m["inserted"], m["updated"], m["partitions_rewritten"]) == (1, 2, 3)
+    got = sorted((r.p or "", r.n, r.v) for r in spark.table(spec.qualified).collect())
+    assert got == [("", 1, "old"), ("", 2, "new"), ("", 2, "old"), ("a", 1, "new"), ("a", 2, "old"), ("b", 1, "old"), ("b", 2, "new")]
