@@ -18,8 +18,9 @@ from .common import cut
 WINDOW = 8
 #: Share of an item's windows a document must have.
 COVERAGE = 0.5
-#: Placeholders in a benchmark window, at most; windows of little else say nothing.
-MAX_SLOTS = 4
+#: Placeholders in a window joined by its template, at most; windows of little else
+#: are joined by their values and by longer templates of up to LONGEST words.
+MAX_SLOTS, LONGEST = 4, 32
 #: Benchmark window tables up to this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_WINDOWS = 200_000
 
@@ -55,21 +56,78 @@ def _windows(hashes: str, window: int) -> Column:
                   "cast(array() as array<bigint>))")
 
 
-def _exploded(df: DataFrame, keep: list[str], window: int) -> DataFrame:
-    hashed = df.withColumn("_pl_h", _hashes(F.col("words")))
-    return hashed.select(*keep, F.posexplode(_windows("_pl_h", window)).alias("pos", "hash"))
+def _slots(words: str, window: int) -> str:
+    """SQL of the number of placeholders in the window at ``i``."""
+    return f"size(filter(slice({words}, i + 1, {window}), w -> startswith(w, '{MARK}')))"
 
 
-def _coverage(stretches: DataFrame, size: DataFrame, least: float) -> DataFrame:
-    """``doc_id, item_id, coverage, same``: the share of an item's windows that
-    the stretches of a document have, where it is ``least`` or more."""
+def _valued(length: int) -> str:
+    """SQL of the hash of the words at ``i`` with their values."""
+    return f"xxhash64('v', array_join(slice(words, i + 1, {length}), ' '))"
+
+
+def _starts(length: int) -> str:
+    return f"if(size(words) >= {length}, sequence(0, size(words) - {length}), cast(array() as array<int>))"
+
+
+def _entry(length: str, digest: str) -> str:
+    return f"named_struct('pos', i, 'len', cast({length} as int), 'hash', {digest})"
+
+
+def _dense(window: int) -> str:
+    """SQL array of ``pos, len, hash`` of the windows of more than MAX_SLOTS
+    placeholders: by their values, and by the template of the shortest longer
+    window (of LONGEST words at most) with as many plain words as others have."""
+    last = (f"get(filter(sequence(i, least(i + {LONGEST}, size(words)) - 1), j -> not startswith(get(words, j), '{MARK}')), "
+            f"{window - MAX_SLOTS - 1})")
+    longer = _entry(f"{last} - i + 1", f"xxhash64('t', slice(_pl_h, i + 1, {last} - i + 1))")
+    return (f"filter(flatten(transform(filter({_starts(window)}, i -> {_slots('words', window)} > {MAX_SLOTS}), "
+            f"i -> array({_entry(str(window), _valued(window))}, {longer}))), e -> e.len is not null)")
+
+
+def _short(length: int, by_value: bool) -> str:
+    """SQL array of ``pos, len, hash`` of all stretches of a few words."""
+    return f"transform({_starts(length)}, i -> {_entry(str(length), _valued(length) if by_value else f'xxhash64({chr(39)}t{chr(39)}, slice(_pl_h, i + 1, {length}))')})"
+
+
+def _exploded(df: DataFrame, keep: list[str], window: int, more: list[str] = ()) -> DataFrame:
+    """A row per window, and per entry of the SQL arrays of ``more``."""
+    hashed = df.withColumn("_pl_h", _hashes(F.col("words"))).withColumn("_pl_w", _windows("_pl_h", window))
+    if not more:
+        return hashed.select(*keep, F.posexplode("_pl_w").alias("pos", "hash")).withColumn("len", F.lit(window))
+    plain = f"transform(_pl_w, (h, i) -> {_entry(str(window), 'h')})"
+    return hashed.select(*keep, F.explode(F.expr(f"concat({', '.join([plain, *more])})")).alias("e")).select(*keep, "e.pos", "e.hash", "e.len")
+
+
+def _index(items: DataFrame, window: int) -> DataFrame:
+    """``hash, item_id, at, len, slots, short, by_value``: every window of every item.
+
+    Windows of few placeholders are joined by their template, the others as
+    ``_dense`` says.  An item shorter than a window is one entry, joined by
+    its values if over half of its words are placeholders.
+    """
+    placed = F.expr(f"size(filter(slice(words, pos + 1, len), w -> startswith(w, '{MARK}')))")
+    rows = _exploded(items, ["item_id", "words"], window).withColumn("slots", placed).filter(F.col("slots") <= MAX_SLOTS) \
+        .select("hash", "item_id", F.col("pos").alias("at"), "len", "slots", F.lit(False).alias("short"), F.lit(False).alias("by_value"))
+    dense = items.withColumn("_pl_h", _hashes(F.col("words"))).select("item_id", "words", F.explode(F.expr(_dense(window))).alias("e")) \
+        .select("item_id", "words", "e.*").withColumn("slots", placed) \
+        .select("hash", "item_id", F.col("pos").alias("at"), "len", "slots", F.lit(False).alias("short"), F.lit(True).alias("by_value"))
+    few = items.filter(F.size("words").between(1, window - 1)).withColumn("_pl_h", _hashes(F.col("words"))) \
+        .withColumn("slots", F.expr(f"size(filter(words, w -> startswith(w, '{MARK}')))")).withColumn("by_value", F.expr("slots * 2 > size(words)"))
+    few = few.select(F.expr("if(by_value, xxhash64('v', array_join(words, ' ')), xxhash64('t', _pl_h))").alias("hash"), "item_id",
+                     F.lit(0).alias("at"), F.size("words").alias("len"), "slots", F.lit(True).alias("short"), "by_value")
+    return rows.union(dense).union(few)
+
+
+def _coverage(stretches: DataFrame, size: DataFrame) -> DataFrame:
+    """``doc_id, item_id, coverage, same``: the share of an item's windows
+    that the stretches of a document have, from their ``windows``."""
     if "same" not in stretches.columns:
         stretches = stretches.withColumn("same", F.lit(None).cast("boolean"))
-    each = stretches.select("doc_id", "item_id", "same", F.explode("hashes").alias("hash")) \
-        .groupBy("doc_id", "item_id", "hash").agg(F.min("same").alias("same"))
+    each = stretches.select("doc_id", "item_id", "same", F.explode("windows.at").alias("at")) \
+        .groupBy("doc_id", "item_id", "at").agg(F.max("same").alias("same"))
     return each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.min("same").alias("same")) \
-        .join(size, "item_id").withColumn("coverage", F.col("n") / F.col("total")) \
-        .filter(F.col("coverage") >= least).select("doc_id", "item_id", "coverage", "same")
+        .join(size, "item_id").withColumn("coverage", F.col("n") / F.col("total")).select("doc_id", "item_id", "coverage", "same")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -80,47 +138,52 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     consistent count towards ``coverage``.
 
     Rows with a null id, document or item, are not reported.  Items of fewer
-    words than a window are too short to tell and are not searched.  Rows
-    that repeat an id count as one document; identical items are all
-    reported.  Empty tables give an empty result.
+    words than a window are found whole.  Rows that repeat an id count as
+    one document; identical items are all reported.  Empty tables give an
+    empty result.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), template_words(F.col(item_text)).alias("words")).dropna()
-    slots = F.expr(f"transform(sequence(0, greatest(size(words) - {window}, 0)), i -> "
-                   f"size(filter(slice(words, i + 1, {window}), w -> startswith(w, '{MARK}'))))")
-    index = cut(_exploded(items.withColumn("slots", slots), ["item_id", "slots"], window)
-                .select("item_id", F.col("pos").alias("at"), "hash", F.get("slots", F.col("pos")).alias("slots"))
-                .filter(F.col("slots") <= MAX_SLOTS))
-    size = index.groupBy("item_id").agg(F.countDistinct("hash").alias("total"))
-    side = index.select("hash", "item_id", "at", "slots")
+    index = cut(_index(items, window))
+    size = index.groupBy("item_id").agg(F.countDistinct("at").alias("total"))
+    side = index.select("hash", "item_id", "at", "len", "slots")
     if side.count() <= BROADCAST_WINDOWS:
         side = F.broadcast(side)
+    # documents give other entries than plain windows only where the benchmark has such
+    kinds = index.filter("short or by_value").select(F.when(F.col("short"), F.col("len")).alias("length"), "by_value").distinct().collect()
+    more = [_short(k.length, k.by_value) if k.length else _dense(window) for k in kinds]
 
     def worded(df: DataFrame) -> DataFrame:
         return df.select(F.col(doc_id).alias("doc_id"), template_words(F.col(text)).alias("words")).filter("doc_id is not null")
 
-    found = _exploded(worded(docs), ["doc_id"], window).join(side, "hash") \
+    found = _exploded(worded(docs), ["doc_id"], window, more).join(side, ["hash", "len"]) \
         .groupBy("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")) \
-        .agg(F.collect_set("at").alias("ats"), F.collect_set("hash").alias("hashes"), F.max("slots").alias("slots"))
+        .agg(F.sort_array(F.collect_set(F.struct("at", "len"))).alias("windows"), F.max("slots").alias("slots"))
     found = cut(found)  # one row per stretch of a document aligned with an item
     # enough windows, whatever their slots; only these documents are read again
-    likely = cut(_coverage(found, size, coverage).select("doc_id", "item_id"))
+    likely = cut(_coverage(found, size).filter(F.col("coverage") >= coverage).select("doc_id", "item_id"))
     stretches = found.join(likely, ["doc_id", "item_id"], "left_semi")
-    consistent = stretches.filter("slots = 0").select("doc_id", "item_id", "hashes", F.lit(True).alias("same"))
-    slotted = cut(stretches.filter("slots > 0").select("doc_id", "item_id", "hashes", "shift", F.array_min("ats").alias("first"),
-                                                       (F.array_max("ats") + window).alias("end")))
+    consistent = stretches.filter("slots = 0").select("doc_id", "item_id", "windows", F.lit(True).alias("same"))
+    slotted = cut(stretches.filter("slots > 0").drop("slots"))
     if not slotted.isEmpty():
-        # the words of both, aligned over the stretch
-        pairs = slotted.join(items.withColumnRenamed("words", "theirs"), "item_id").join(worded(docs), "doc_id")
-        both = F.filter(F.arrays_zip(
-            F.slice("theirs", F.col("first") + 1, F.col("end") - F.col("first")).alias("a"),
-            F.slice("words", F.col("shift") + F.col("first") + 1, F.col("end") - F.col("first")).alias("b")),
-            lambda p: p["a"].startswith(MARK) & p["b"].startswith(MARK))
-        pairs = pairs.select("doc_id", "item_id", "hashes", F.array_distinct(both).alias("p"))
+        again = docs.join(slotted.select(F.col("doc_id").alias("_pl_id")).distinct(), F.col(doc_id) == F.col("_pl_id"), "left_semi")
+        pairs = slotted.join(items.withColumnRenamed("words", "theirs"), "item_id").join(worded(again), "doc_id")
+
+        def aligned(w: Column) -> Column:
+            return F.arrays_zip(F.slice("theirs", w["at"] + 1, w["len"]).alias("a"),
+                                F.slice("words", F.col("shift") + w["at"] + 1, w["len"]).alias("b"))
+
+        def slots_of(w: Column) -> Column:
+            return F.filter(aligned(w), lambda p: p["a"].startswith(MARK))
+
+        # rows that repeat an id have other words at this place
+        fits = lambda p: (p["a"] == p["b"]) | (p["a"].startswith(MARK) & (F.substring(p["a"], 1, 2) == F.substring(p["b"], 1, 2)))
+        pairs = pairs.withColumn("windows", F.filter("windows", lambda w: F.forall(aligned(w), fits)))
+        pairs = pairs.withColumn("p", F.array_distinct(F.flatten(F.transform("windows", slots_of))))
         one_to_one = (F.size(F.array_distinct(F.col("p.a"))) == F.size("p")) & (F.size(F.array_distinct(F.col("p.b"))) == F.size("p"))
         consistent = consistent.union(pairs.filter(one_to_one).select(
-            "doc_id", "item_id", "hashes", F.forall("p", lambda p: p["a"] == p["b"]).alias("same")))
+            "doc_id", "item_id", "windows", F.forall("p", lambda p: p["a"] == p["b"]).alias("same")))
     # a stretch with other slots counts for nothing, nor against the rest of the document
-    return _coverage(consistent, size, coverage) \
+    return _coverage(consistent, size).filter(F.col("coverage") >= coverage) \
         .select("doc_id", "item_id", "coverage", F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind"))
 
 

@@ -221,3 +221,17 @@ def test_decontamination_templates(spark):
     assert kept.count() == len(rows) - 4
     assert decontaminate.matches(docs(spark, []), bench).count() == 0
     assert decontaminate.matches(docs(spark, rows), bench.limit(0)).count() == 0
+
+
+DENSE = "Add 12 kg 7 kg 31 kg 5 kg 18 kg 44 kg and 3 kg 9 kg 26 kg 71 kg"
+RECIPE = "Mix 3 kg 4 kg 5 kg flour with 6 kg 7 kg 8 kg sugar and 9 kg 2 kg 11 kg water for cold days"
+
+
+def test_decontamination_keeps_dense_and_short_items(spark):
+    rows = [(1, prose(1, 30) + " so " + DENSE, "a"), (2, "We said capital of this land is old", "a"), (3, prose(2, 60), "a"),
+            (4, "sums 4 8 15 16 and more", "a"), (5, "sums 4 8 15 17 and more", "a"), (6, "he took 7 of the pears", "a"),
+            (7, "We say " + RECIPE.translate(str.maketrans("23456789", "34567892")).replace("11 kg", "70 kg").replace("Mix", "mix"), "a")]
+    bench = spark.createDataFrame([(1, DENSE), (2, "Capital of this land"), (3, "4 8 15 16"), (4, "took 5 of the pears"), (5, "?!"), (6, RECIPE)],
+                                  "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.matches(docs(spark, rows), bench).collect()}
+    assert got == {(1, 1): "exact", (2, 2): "exact", (4, 3): "exact", (6, 4): "reparameterised", (7, 6): "reparameterised"}
