@@ -4,8 +4,8 @@ Numbers, units and names become typed placeholders that keep the replaced
 value, so a question asked again with other numbers or names has the same
 template.  Windows of template words are hash-joined with those of the
 benchmark; where a document covers enough of an item's windows, the slots of
-the aligned stretch are compared: each value of the item must stand for one
-value in the document and the other way round.
+the aligned stretch are compared: a window counts if it has the item's values
+or each of them stands for one value in the document.
 """
 
 from __future__ import annotations
@@ -134,8 +134,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
             item_text: str = "text", window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, item_id, coverage, kind`` for every document that holds a
     benchmark item: ``kind`` is ``exact`` if the slots have the item's
-    values, else ``reparameterised``.  Only aligned stretches whose slots are
-    consistent count towards ``coverage``.
+    values, else ``reparameterised``.  Windows with the item's values always
+    count towards ``coverage``, others if each of their values stands for one
+    value over the aligned stretch.
 
     Rows with a null id, document or item, are not reported.  Items of fewer
     words than a window are found whole.  Rows that repeat an id count as
@@ -179,10 +180,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
         fits = lambda p: (p["a"] == p["b"]) | (p["a"].startswith(MARK) & (F.substring(p["a"], 1, 2) == F.substring(p["b"], 1, 2)))
         pairs = pairs.withColumn("windows", F.filter("windows", lambda w: F.forall(aligned(w), fits)))
         pairs = pairs.withColumn("p", F.array_distinct(F.flatten(F.transform("windows", slots_of))))
-        one_to_one = (F.size(F.array_distinct(F.col("p.a"))) == F.size("p")) & (F.size(F.array_distinct(F.col("p.b"))) == F.size("p"))
-        consistent = consistent.union(pairs.filter(one_to_one).select(
-            "doc_id", "item_id", "windows", F.forall("p", lambda p: p["a"] == p["b"]).alias("same")))
-    # a stretch with other slots counts for nothing, nor against the rest of the document
+        # a value of the item that stands for several in the document clashes wherever it is not itself
+        several = lambda p: (p["a"] != p["b"]) & F.exists("p", lambda q: (q["a"] == p["a"]) & (q["b"] != p["b"]))
+        pairs = pairs.withColumn("clash", F.filter("p", several))
+        pairs = pairs.withColumn("windows", F.filter("windows", lambda w: ~F.arrays_overlap(slots_of(w), F.col("clash"))))
+        same = lambda w: F.forall(slots_of(w), lambda p: p["a"] == p["b"])
+        for verbatim in (True, False):
+            consistent = consistent.union(pairs.select(
+                "doc_id", "item_id", F.filter("windows", lambda w: same(w) if verbatim else ~same(w)).alias("windows"), F.lit(verbatim).alias("same")))
+    # a window with other slots counts for nothing, nor against the rest of the document
     return _coverage(consistent, size).filter(F.col("coverage") >= coverage) \
         .select("doc_id", "item_id", "coverage", F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind"))
 

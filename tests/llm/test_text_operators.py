@@ -235,3 +235,17 @@ def test_decontamination_keeps_dense_and_short_items(spark):
                                   "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.matches(docs(spark, rows), bench).collect()}
     assert got == {(1, 1): "exact", (2, 2): "exact", (4, 3): "exact", (6, 4): "reparameterised", (7, 6): "reparameterised"}
+
+
+LONG_ITEM = ("Tom buys 12 apples at the old market near the river bridge where his aunt once sold fresh bread and honey, and after a "
+             "long walk home he packs them in 12 boxes")
+
+
+def test_decontamination_clash_discards_only_its_windows(spark):
+    coincide = "the boy has 3 red apples and his sister has 5 green apples in the old basket"
+    rows = [(1, LONG_ITEM.replace("12 boxes", "15 boxes"), "a"), (2, coincide.replace("3", "4").replace("5", "4"), "a"),
+            (3, LONG_ITEM.replace("12 apples", "14 apples").replace("12 boxes", "15 boxes"), "a"), (4, LONG_ITEM, "a")]
+    bench = spark.createDataFrame([(1, LONG_ITEM), (2, coincide)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.matches(docs(spark, rows), bench).collect()}
+    assert {k: r.kind for k, r in got.items()} == {(1, 1): "exact", (2, 2): "reparameterised", (3, 1): "exact", (4, 1): "exact"}
+    assert got[4, 1].coverage == 1 and got[1, 1].coverage > 0.9 > got[3, 1].coverage > 0.5
