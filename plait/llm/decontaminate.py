@@ -10,6 +10,8 @@ or each of them stands for one value in the document.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from .common import cut
 WINDOW = 8
 #: Share of an item's windows a document must have.
 COVERAGE = 0.5
+#: Consecutive words, plain or with the item's values, that tell whatever their share of the item.
+RUN = 13
 #: Placeholders in a window joined by its template, at most; windows of little else
 #: are joined by their values and by longer templates of up to LONGEST words.
 MAX_SLOTS, LONGEST = 4, 32
@@ -92,11 +96,12 @@ def _short(length: int, by_value: bool) -> str:
 
 def _exploded(df: DataFrame, keep: list[str], window: int, more: list[str] = ()) -> DataFrame:
     """A row per window, and per entry of the SQL arrays of ``more``."""
-    hashed = df.withColumn("_pl_h", _hashes(F.col("words"))).withColumn("_pl_w", _windows("_pl_h", window))
+    hashed = df.withColumn("_pl_h", _hashes(F.col("words")))
+    # exploded as an expression: from a column Spark would infer a filter that hashes the text once per window
     if not more:
-        return hashed.select(*keep, F.posexplode("_pl_w").alias("pos", "hash")).withColumn("len", F.lit(window))
-    plain = f"transform(_pl_w, (h, i) -> {_entry(str(window), 'h')})"
-    return hashed.select(*keep, F.explode(F.expr(f"concat({', '.join([plain, *more])})")).alias("e")).select(*keep, "e.pos", "e.hash", "e.len")
+        return hashed.select(*keep, F.posexplode(_windows("_pl_h", window)).alias("pos", "hash")).withColumn("len", F.lit(window))
+    plain = F.transform(_windows("_pl_h", window), lambda h, i: F.struct(i.alias("pos"), F.lit(window).alias("len"), h.alias("hash")))
+    return hashed.select(*keep, F.explode(F.concat(plain, *map(F.expr, more))).alias("e")).select(*keep, "e.pos", "e.hash", "e.len")
 
 
 def _index(items: DataFrame, window: int) -> DataFrame:
@@ -119,15 +124,27 @@ def _index(items: DataFrame, window: int) -> DataFrame:
     return rows.union(dense).union(few)
 
 
+def _longest(same_words: Callable[[Column, Column], Column]) -> Column:
+    """Most words in a run of ``windows`` that overlap or touch, in order of
+    ``at``; ``same_words`` counts those to count from a place to another."""
+    def step(state: Column, w: Column) -> Column:
+        end = w["at"] + w["len"]
+        start = F.greatest(state["end"], w["at"])
+        run = F.when(w["at"] <= state["end"], state["run"]).otherwise(0) + F.when(end > start, same_words(start, end)).otherwise(0)
+        return F.struct(F.greatest(state["end"], end).alias("end"), run.alias("run"), F.greatest(state["best"], run).alias("best"))
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+    return F.aggregate("windows", zero, step, lambda state: state["best"])
+
+
 def _coverage(stretches: DataFrame, size: DataFrame) -> DataFrame:
-    """``doc_id, item_id, coverage, same``: the share of an item's windows
-    that the stretches of a document have, from their ``windows``."""
+    """``doc_id, item_id, coverage, same, run``: the share of an item's windows
+    that the stretches of a document have, from their ``windows``, and the longest run."""
     if "same" not in stretches.columns:
         stretches = stretches.withColumn("same", F.lit(None).cast("boolean"))
-    each = stretches.select("doc_id", "item_id", "same", F.explode("windows.at").alias("at")) \
-        .groupBy("doc_id", "item_id", "at").agg(F.max("same").alias("same"))
-    return each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.min("same").alias("same")) \
-        .join(size, "item_id").withColumn("coverage", F.col("n") / F.col("total")).select("doc_id", "item_id", "coverage", "same")
+    each = stretches.select("doc_id", "item_id", "same", "run", F.explode("windows.at").alias("at")) \
+        .groupBy("doc_id", "item_id", "at").agg(F.max("same").alias("same"), F.max("run").alias("run"))
+    return each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.min("same").alias("same"), F.max("run").alias("run")) \
+        .join(size, "item_id").withColumn("coverage", F.col("n") / F.col("total")).select("doc_id", "item_id", "coverage", "same", "run")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -136,7 +153,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     benchmark item: ``kind`` is ``exact`` if the slots have the item's
     values, else ``reparameterised``.  Windows with the item's values always
     count towards ``coverage``, others if each of their values stands for one
-    value over the aligned stretch.
+    value over the aligned stretch.  A document is also reported, whatever its
+    coverage, if windows that count give RUN words in a row.
 
     Rows with a null id, document or item, are not reported.  Items of fewer
     words than a window are found whole.  Rows that repeat an id count as
@@ -160,11 +178,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
         .groupBy("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")) \
         .agg(F.sort_array(F.collect_set(F.struct("at", "len"))).alias("windows"), F.max("slots").alias("slots"))
     found = cut(found)  # one row per stretch of a document aligned with an item
-    # enough windows, whatever their slots; only these documents are read again
-    likely = cut(_coverage(found, size).filter(F.col("coverage") >= coverage).select("doc_id", "item_id"))
+    enough = (F.col("coverage") >= coverage) | (F.col("run") >= RUN)
+    # enough windows or words, whatever their slots; only these documents are read again
+    found = found.withColumn("run", _longest(lambda start, end: end - start))
+    likely = cut(_coverage(found, size).filter(enough).select("doc_id", "item_id"))
     stretches = found.join(likely, ["doc_id", "item_id"], "left_semi")
-    consistent = stretches.filter("slots = 0").select("doc_id", "item_id", "windows", F.lit(True).alias("same"))
-    slotted = cut(stretches.filter("slots > 0").drop("slots"))
+    consistent = stretches.filter("slots = 0").select("doc_id", "item_id", "windows", F.lit(True).alias("same"), "run")
+    slotted = cut(stretches.filter("slots > 0").drop("slots", "run"))
     if not slotted.isEmpty():
         again = docs.join(slotted.select(F.col("doc_id").alias("_pl_id")).distinct(), F.col(doc_id) == F.col("_pl_id"), "left_semi")
         pairs = slotted.join(items.withColumnRenamed("words", "theirs"), "item_id").join(worded(again), "doc_id")
@@ -182,14 +202,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
         pairs = pairs.withColumn("p", F.array_distinct(F.flatten(F.transform("windows", slots_of))))
         # a value of the item that stands for several in the document clashes wherever it is not itself
         several = lambda p: (p["a"] != p["b"]) & F.exists("p", lambda q: (q["a"] == p["a"]) & (q["b"] != p["b"]))
-        pairs = pairs.withColumn("clash", F.filter("p", several))
+        pairs = cut(pairs.withColumn("clash", F.filter("p", several)))
         pairs = pairs.withColumn("windows", F.filter("windows", lambda w: ~F.arrays_overlap(slots_of(w), F.col("clash"))))
+        told = lambda p: ~p["a"].startswith(MARK) | (p["a"] == p["b"])
+        run = _longest(lambda start, end: F.size(F.filter(aligned(F.struct(start.alias("at"), (end - start).alias("len"))), told)))
+        pairs = cut(pairs.withColumn("run", run))
         same = lambda w: F.forall(slots_of(w), lambda p: p["a"] == p["b"])
         for verbatim in (True, False):
             consistent = consistent.union(pairs.select(
-                "doc_id", "item_id", F.filter("windows", lambda w: same(w) if verbatim else ~same(w)).alias("windows"), F.lit(verbatim).alias("same")))
+                "doc_id", "item_id", F.filter("windows", lambda w: same(w) if verbatim else ~same(w)).alias("windows"), F.lit(verbatim).alias("same"), "run"))
     # a window with other slots counts for nothing, nor against the rest of the document
-    return _coverage(consistent, size).filter(F.col("coverage") >= coverage) \
+    return _coverage(consistent, size).filter(enough) \
         .select("doc_id", "item_id", "coverage", F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind"))
 
 

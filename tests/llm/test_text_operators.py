@@ -249,3 +249,12 @@ def test_decontamination_clash_discards_only_its_windows(spark):
     got = {(r.doc_id, r.item_id): r for r in decontaminate.matches(docs(spark, rows), bench).collect()}
     assert {k: r.kind for k, r in got.items()} == {(1, 1): "exact", (2, 2): "reparameterised", (3, 1): "exact", (4, 1): "exact"}
     assert got[4, 1].coverage == 1 and got[1, 1].coverage > 0.9 > got[3, 1].coverage > 0.5
+
+
+def test_decontamination_finds_part_of_a_long_item(spark):
+    words = [f"w{chr(97 + i // 20)}{chr(97 + i % 20)}" for i in range(400)]
+    rows = [(1, "see " + " ".join(words[100:129]) + " there", "a"), (2, " ".join(words[50:62]), "a"),
+            (3, " ".join(words[50:60] + ["other"] + words[60:70]), "a"), (4, " ".join(words), "a")]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontaminate.matches(docs(spark, rows), bench).collect()}
+    assert got == {(1, 1): 22 / 393, (4, 1): 1.0}
