@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, cut
 
-#: Segments of a path that are nodes of their own; deeper ones hang under the last.
-DEPTH = 4
 #: A position with more distinct segments under one parent than this, each seen fewer than RARE times on average, varies.
 MANY, RARE = 20, 5
 #: |z| under which a branch is similar to its siblings.
@@ -52,7 +50,7 @@ def typed_segments(path: Column) -> Column:
         number = F.regexp_replace(s, r"[0-9]+", "{n}")
         return F.when(s.rlike(r"^[0-9a-fA-F-]{16,}$"), F.lit("{h}")).otherwise(number)
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    return F.slice(F.transform(parts, kind), 1, DEPTH)
+    return F.transform(parts, kind)
 
 
 def template_verdicts(pages: DataFrame) -> DataFrame:
@@ -75,9 +73,12 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
     hosts = paths.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("wrong").alias("w")) \
         .select("host", smoothed("l", "w", F.lit(prior)).alias("purity"))
     paths = paths.join(hosts, "host").withColumn("template", F.lit(""))
-    for d in range(DEPTH):
-        here = paths.withColumn("seg", F.get("segments", F.lit(d)))
-        branch = cut(here.filter("seg is not null").groupBy("host", "template", "seg").agg(
+    paths = cut(paths)
+    deepest = paths.agg(F.max(F.size("segments"))).first()[0] or 0
+    done = paths.filter(F.size("segments") == 0)  # paths without further segments leave the loop
+    for d in range(deepest):
+        here = paths.filter(F.size("segments") > d).withColumn("seg", F.get("segments", F.lit(d)))
+        branch = cut(here.groupBy("host", "template", "seg").agg(
             *[F.sum(c).alias(c) for c in ("n", "labelled", "wrong")]))
         parent = branch.groupBy("host", "template").agg(
             F.count("*").alias("width"), F.sum("n").alias("all_n"), F.sum("labelled").alias("all_l"), F.sum("wrong").alias("all_w"))
@@ -96,12 +97,12 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
         merged = named.groupBy("host", "template", "node").agg(F.sum("labelled").alias("l"), F.sum("wrong").alias("w"))
         choice = named.select("host", "template", "seg", "node") \
             .join(merged, ["host", "template", "node"]).select("host", "template", "seg", "node", "l", "w")
-        paths = cut(here.join(choice, ["host", "template", "seg"], "left") \
-            .withColumn("purity", F.when(F.col("node").isNull(), F.col("purity")).otherwise(smoothed("l", "w", F.col("purity")))) \
-            .withColumn("template", F.when(F.col("node").isNull(), F.col("template"))
-                        .otherwise(F.concat("template", F.lit("/"), "node"))) \
-            .drop("seg", "node", "l", "w"))
-    return paths.select("host", "segments", "template", "purity")
+        paths = cut(here.join(choice, ["host", "template", "seg"])
+                    .withColumn("purity", smoothed("l", "w", F.col("purity")))
+                    .withColumn("template", F.concat("template", F.lit("/"), "node"))
+                    .drop("seg", "node", "l", "w"))
+        done = done.unionByName(paths.filter(F.size("segments") == d + 1))
+    return done.select("host", "segments", "template", "purity")
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]], *, page_id: str = "page_id",

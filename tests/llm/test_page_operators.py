@@ -65,6 +65,15 @@ def test_url_rules_and_templates(spark):
     assert urls.judge_urls(pages, labels.limit(0), []).filter("verdict = 'block'").count() == 0
 
 
+def test_urls_differ_below_the_fourth_segment(spark):
+    rows = [(i, f"http://s.net/2024/05/17/shop/{'casino' if i % 2 else 'shoes'}/x/{i}") for i in range(120)] + [(500, "http://s.net")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "page_id long, bad int")
+    got = {r.page_id: (r.template, r.verdict) for r in urls.judge_urls(pages, labels, []).collect()}
+    assert len(got) == len(rows) and got[500] == ("", "allow")
+    assert got[119] == ("/{n}/{n}/{n}/shop/casino/x/{n}", "block") and got[118] == ("/{n}/{n}/{n}/shop/shoes/x/{n}", "allow")
+
+
 def test_quotes_are_linked(spark):
     rows = [(1, 0, "user", "How do I sort?\n\nAnd how do I join?"), (1, 1, "assistant", "> How do I sort?\n\nUse sort."),
             (1, 2, "assistant", "On Monday, A wrote:\n>  and HOW do I join?\nUse join."),
