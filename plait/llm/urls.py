@@ -1,8 +1,8 @@
 """URL filter over a tree of path templates.
 
-Per host, path segments that vary (numbers, hashes, or a position with many
-values) become wildcards, and sibling branches whose share of bad pages does
-not differ significantly from that of the rest are merged into one.  Each
+Per host, path segments that vary (numbers, hashes) become wildcards, and
+sibling branches whose share of bad pages does not differ significantly from
+that of the rest are merged into one.  Each
 template's share of bad labelled pages is smoothed towards its parent's, the
 host's towards that of all; templates with a high share are rejected.
 Explicit rules go before templates.
@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, cut
 
-#: A position with more distinct segments under one parent than this, each seen fewer than RARE times on average, varies.
-MANY, RARE = 20, 5
 #: |z| under which a branch is similar to its siblings.
 SIMILAR = 1.96
 #: Weight of the parent's share, in pages, and the share from which a template is rejected.
@@ -62,7 +60,7 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
     with the pages of a path.
     """
     paths = cut(pages.groupBy("host", "segments").agg(
-        F.count("*").alias("n"), F.count("bad").alias("labelled"),
+        F.count("bad").alias("labelled"),
         F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("wrong")))
     total, wrong = paths.agg(F.sum("labelled"), F.sum("wrong")).first()
     prior = (wrong or 0) / ((total or 0) + 1.0)  # 0 without labels: nothing is rejected
@@ -79,9 +77,9 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
     for d in range(deepest):
         here = paths.filter(F.size("segments") > d).withColumn("seg", F.get("segments", F.lit(d)))
         branch = cut(here.groupBy("host", "template", "seg").agg(
-            *[F.sum(c).alias(c) for c in ("n", "labelled", "wrong")]))
+            *[F.sum(c).alias(c) for c in ("labelled", "wrong")]))
         parent = branch.groupBy("host", "template").agg(
-            F.count("*").alias("width"), F.sum("n").alias("all_n"), F.sum("labelled").alias("all_l"), F.sum("wrong").alias("all_w"))
+            F.count("*").alias("width"), F.sum("labelled").alias("all_l"), F.sum("wrong").alias("all_w"))
         both = branch.join(parent, ["host", "template"])
         # a branch against its siblings: two shares, pooled
         rest_l, rest_w = F.col("all_l") - F.col("labelled"), F.col("all_w") - F.col("wrong")
@@ -90,9 +88,9 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
         z = (F.col("wrong") / F.col("labelled") - rest_w / rest_l) / spread
         known = (F.col("labelled") > 0) & (rest_l > 0) & (F.col("all_w") > 0) & (F.col("all_w") < F.col("all_l"))
         different = F.when(known, F.abs(z) >= SIMILAR).otherwise(F.lit(False))
-        varies = (F.col("width") > MANY) & (F.col("all_n") < F.col("width") * RARE)
         single = F.col("width") == 1
-        node = F.when(varies, F.lit("*")).when(single | different, F.col("seg")).otherwise(F.lit("*"))
+        # siblings that do not differ are one wildcard, however many they are
+        node = F.when(single | different, F.col("seg")).otherwise(F.lit("*"))
         named = both.withColumn("node", node)
         merged = named.groupBy("host", "template", "node").agg(F.sum("labelled").alias("l"), F.sum("wrong").alias("w"))
         choice = named.select("host", "template", "seg", "node") \

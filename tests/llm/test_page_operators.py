@@ -74,6 +74,16 @@ def test_urls_differ_below_the_fourth_segment(spark):
     assert got[119] == ("/{n}/{n}/{n}/shop/casino/x/{n}", "block") and got[118] == ("/{n}/{n}/{n}/shop/shoes/x/{n}", "allow")
 
 
+def test_bad_branch_among_many_rare_siblings(spark):
+    names = [f"{chr(97 + i // 20)}{chr(97 + i % 20)}" for i in range(200)]
+    rows = [(i, f"http://s.net/u/{n}/") for i, n in enumerate(names)] + [(1000 + i, f"http://s.net/u/spam/{i}") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows], "page_id long, bad int")
+    got = {r.page_id: (r.template, r.verdict) for r in urls.judge_urls(pages, labels, []).collect()}
+    assert {got[i] for i in range(200)} == {("/u/*", "allow")}
+    assert {got[1000 + i] for i in range(60)} == {("/u/spam/{n}", "block")}
+
+
 def test_quotes_are_linked(spark):
     rows = [(1, 0, "user", "How do I sort?\n\nAnd how do I join?"), (1, 1, "assistant", "> How do I sort?\n\nUse sort."),
             (1, 2, "assistant", "On Monday, A wrote:\n>  and HOW do I join?\nUse join."),
