@@ -2,8 +2,9 @@
 
 Lines are parsed into quote levels.  Quoted passages and the messages' own
 text are normalised and hashed in units (whole text, paragraph, line) and
-joined: a message replies to the earlier message of its conversation that
-holds most of what it quotes at the first level, else to the message before.
+joined, passage by passage at every level: a message replies to the earlier
+message of its conversation that holds most of what it quotes at the
+shallowest level found, else to the message before.
 The result is each conversation in reply order, without quotes.
 """
 
@@ -39,6 +40,23 @@ def own_lines(lines: Column) -> Column:
     return F.transform(own, lambda x: x["content"])
 
 
+def with_passages(messages: DataFrame) -> DataFrame:
+    """Adds ``passages`` from ``lines``: ``depth, lines`` of every run of lines
+    of one level, without lines that introduce a quotation; none for a
+    message that quotes nothing."""
+    lines = F.col("lines")
+    quotes = F.exists(lines, lambda x: x["depth"] > 0)
+    kept = F.filter(lines, lambda x, i: ~(x["content"].rlike(INTRODUCES) & F.coalesce(F.get(lines, i + 1)["depth"] > x["depth"], F.lit(False))))
+    made = messages.withColumn("kept", F.when(quotes, kept))
+    kept = F.col("kept")
+    made = made.withColumn("starts", F.filter(F.sequence(F.lit(0), F.size(kept) - 1), lambda i: (i == 0) | (
+        F.get(kept, i)["depth"] != F.get(kept, i - 1)["depth"])))
+    end = lambda k: F.coalesce(F.get("starts", k + 1), F.size(kept))
+    passages = F.transform("starts", lambda s, k: F.struct(F.get(kept, s)["depth"].alias("depth"), F.transform(
+        F.slice(kept, s + 1, end(k) - s), lambda x: x["content"]).alias("lines")))
+    return made.withColumn("passages", F.when(kept.isNotNull(), passages)).drop("kept", "starts")
+
+
 def normal(c: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
 
@@ -88,7 +106,7 @@ def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str =
     reply_to, thread, level, position``.
 
     ``content`` is the text without quotations, ``n_quotes`` the quoted units
-    at the first level that were found in an earlier message, ``reply_to``
+    of any level that were found in an earlier message, ``reply_to``
     the turn answered, ``thread`` and ``level`` the reply chain, and
     ``position`` counts the turns of a conversation from 1, thread by thread.
     Replies always follow what they answer.
@@ -106,17 +124,25 @@ def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str =
     content = F.regexp_replace(content, r"^\n+|\n+$", "")
 
     dated = lines.filter("turn is not null")
-    quoted = F.transform(F.filter("lines", lambda x: x["depth"] == 1), lambda x: x["content"])
-    units = dated.select("c", "turn", F.explode(F.concat(
-        F.transform(_units(F.col("own")), lambda u: F.struct(F.xxhash64(u).alias("h"), F.length(u).alias("size"), F.lit(0).alias("q"))),
-        F.transform(_units(quoted), lambda u: F.struct(F.xxhash64(u).alias("h"), F.length(u).alias("size"), F.lit(1).alias("q")))
-    )).alias("u")).select("c", "turn", "u.*")
-    wanted = units.filter("q = 1").select("c", "h").distinct()
+
+    def hashed(lines: Column, level: Column) -> Column:
+        return F.transform(_units(lines), lambda u: F.struct(F.xxhash64(u).alias("h"), F.length(u).alias("size"), level.alias("q")))
+
+    # every passage, and all lines of a level together
+    levels = F.array_distinct(F.filter(F.transform("lines", lambda x: x["depth"]), lambda d: d > 0))
+    together = F.flatten(F.transform(levels, lambda d: hashed(
+        F.transform(F.filter("lines", lambda x: x["depth"] == d), lambda x: x["content"]), d)))
+    apart = F.flatten(F.transform("passages", lambda p: hashed(p["lines"], p["depth"])))
+    none = F.array().cast("array<struct<h:bigint,size:int,q:int>>")
+    units = with_passages(dated).select("c", "turn", F.explode(F.concat(
+        hashed(F.col("own"), F.lit(0)), F.when(F.col("passages").isNotNull(), F.concat(together, apart)).otherwise(none))).alias("u")) \
+        .select("c", "turn", "u.*")
+    wanted = units.filter("q > 0").select("c", "h").distinct()
     relevant = cut(units.join(wanted, ["c", "h"], "left_semi").groupBy("c", "h", "turn")
-                   .agg(F.max("size").alias("size"), F.min("q").alias("low"), F.max("q").alias("high")))
-    linked = latest_before(relevant, ["c", "h"], "turn", F.col("low") == 0).filter("high = 1 and before is not null")
-    chosen = linked.groupBy("c", "turn", "before").agg(F.sum("size").alias("size"), F.count("*").alias("n")) \
-        .groupBy("c", "turn").agg(F.max(F.struct("size", "before")).alias("best"), F.sum("n").alias("n_quotes")) \
+                   .agg(F.max("size").alias("size"), F.min("q").alias("low"), F.min(F.when(F.col("q") > 0, F.col("q"))).alias("depth")))
+    linked = latest_before(relevant, ["c", "h"], "turn", F.col("low") == 0).filter("depth is not null and before is not null")
+    chosen = linked.groupBy("c", "turn", "depth", "before").agg(F.sum("size").alias("size"), F.count("*").alias("n")) \
+        .groupBy("c", "turn").agg(F.max(F.struct(-F.col("depth"), "size", "before")).alias("best"), F.sum("n").alias("n_quotes")) \
         .select("c", "turn", F.col("best.before").alias("quoted"), "n_quotes")
     turns = dated.select("c", "turn").distinct()
     nodes = latest_before(turns, ["c"], "turn", F.lit(True)).join(chosen, ["c", "turn"], "left") \

@@ -100,6 +100,17 @@ def test_quotes_are_linked(spark):
     assert quotes.reply_ordered(out.select("conv_id", "turn", "role", F.col("content").alias("text")).limit(0)).count() == 0
 
 
+def test_nested_and_rewrapped_quotes_are_linked(spark):
+    rows = [(1, 0, "The first point is long enough to be wrapped.\n\nThe second point is wrapped as well, I think.\n\nA third."), (1, 1, "Other words."),
+            (1, 2, "> The first point is long\n> enough to be wrapped.\nYes.\n> The second point is wrapped\n> as well, I think.\nNo."),
+            (1, 3, "More."), (1, 4, ">> Other words.\nOnly nested."), (1, 5, "> Unknown.\n> On Monday, B wrote:\n>> More.\nDeep.")]
+    messages = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in quotes.reply_ordered(messages).collect()}
+    assert [got[t].reply_to for t in range(6)] == [None, 0, 0, 2, 1, 3]
+    assert got[2].n_quotes == 2 and got[4].n_quotes == 1 and got[5].n_quotes == 1
+    assert got[2].content == "Yes.\nNo." and got[4].content == "Only nested."
+
+
 def test_long_conversation_is_scanned_in_blocks(spark):
     n = 2500
     rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
