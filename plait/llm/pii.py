@@ -43,6 +43,7 @@ SEED_SECRET = re.compile(r"(?i)\b(?:password|passwd|token|secret|api_?key)\s?[=:
 SEED_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 INTERESTING = re.compile(r"[0-9@=]+")
+WORD_END, NEXT_WORD = re.compile(r"\s|\Z"), re.compile(r"[^\S\n]+\S+")
 TOKEN = re.compile(r"\w(?:[\w.@%+-]*\w)?|[^\w\s]")
 MAX_TOKENS = 9
 #: Documents and regions the field is fitted on, at most.
@@ -95,23 +96,34 @@ def base_spans(text: str) -> list[Span]:
 
 def regions(text: str) -> list[tuple[int, int]]:
     """Stretches around digits, @ and = signs that lie close together, from
-    two words before to the end of the word.  Outside them nothing can be a candidate."""
+    two words before to the end of the word, and to that of the next one
+    after = or :.  Words are never cut.  Outside them nothing can be a candidate."""
     out: list[list[int]] = []
     for m in INTERESTING.finditer(text):
         if out and m.start() - out[-1][1] <= 12 and "\n" not in text[out[-1][1]:m.start()]:
             out[-1][1] = m.end()
         else:
             out.append([m.start(), m.end()])
-    found = []
-    for a, b in out:
-        floor, words = max(0, a - 40, found[-1][1] if found else 0), 0
-        while a > floor and words < 3:
+    found: list[tuple[int, int]] = []
+    for first, b in out:
+        floor, a, words = found[-1][1] if found else 0, first, 0
+        if b <= floor:
+            continue
+        while a > floor and not text[a - 1].isspace():
+            a -= 1
+        least = max(floor, a - 40)
+        while a > least and words < 3:
             a -= 1
             words += text[a].isspace()
-        ceiling = min(len(text), b + 40)
-        while b < ceiling and not text[b].isspace():
-            b += 1
-        found.append((a, b))
+        while words < 3 and a > floor and not text[a - 1].isspace():
+            a -= 1
+        b = WORD_END.search(text, b).start()
+        while text[first:b].rstrip("\"'([")[-1:] in ("=", ":") and (m := NEXT_WORD.match(text, b)):
+            b = m.end()
+        if first < floor:  # starts in the last word of the one before
+            found[-1] = (found[-1][0], b)
+        else:
+            found.append((a, b))
     return found
 
 

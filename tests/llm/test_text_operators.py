@@ -258,3 +258,16 @@ def test_decontamination_finds_part_of_a_long_item(spark):
     bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.coverage for r in decontaminate.matches(docs(spark, rows), bench).collect()}
     assert got == {(1, 1): 22 / 393, (4, 1): 1.0}
+
+
+def test_pii_regions_hold_whole_tokens():
+    long = "7" + "abcdefghij" * 9
+    cases = ["my token = \"ghp_abcdefghijkl1x9\" is here", "the password = correcthorse is old", f"key 12 = {long} end", "secret: ghp_abcdefghijklmnopqrst1x9 end",
+             "x=1 and so on with nothing else until later 5 of them"]
+    held = [[t[a:b] for a, b in pii.regions(t)] for t in cases]
+    assert held[0] == ["my token = \"ghp_abcdefghijkl1x9\""] and held[1] == ["the password = correcthorse"]
+    assert held[2] == [f"key 12 = {long}"] and held[3] == ["secret: ghp_abcdefghijklmnopqrst1x9"] and len(held[4]) == 2
+    field = pii.fit_field(pii.variants(seed=1))
+    assert "correcthorse" in [held[1][0][a:b] for _, _, a, b, _ in pii.candidates(held[1][0])]
+    for t, secret in ((f"we set password={long}9 today", f"{long}9"), (f"we set password= {long} today", long)):
+        assert secret in [t[a:b] for _, a, b in pii.added_spans(t, [], field)], t
