@@ -1,10 +1,13 @@
-"""Substring dedup: relative Lempel-Ziv factors against indexed reference blocks.
+"""Substring dedup: windows under content-chosen reference blocks, joined by hash.
+
+This replaces relative Lempel-Ziv parsing: nothing is matched or extended
+against reference text, and factors follow from the document alone.
 
 The reference is the whole corpus.  It is indexed by content: in every window
 of ``window`` words the word block (of BLOCK_WORDS) with the smallest hash is the window's
-reference block, so equal windows name equal blocks.  A document is parsed
-greedily into factors, a factor being the longest run of windows under one
-occurrence of a block.  Parsing keeps only factors whose block occurs again
+reference block, so equal windows name equal blocks.  A document is cut into
+factors, a factor being the run of windows under one occurrence of a block.
+The joins keep only factors whose block occurs again
 somewhere.  A factor that occurs again as a whole is duplicate in full.  The
 other factors, the ones at the boundary of a repeat, are checked window by
 window against all windows under the same block.
