@@ -162,11 +162,13 @@ class Forest:
                 break
         self.roots = self.rounds[-1].select("g", F.col("node").alias("hash"))
 
-    def paths(self, above: DataFrame) -> DataFrame:
+    def paths(self, above: DataFrame | None = None) -> DataFrame:
         """``g, hash``, the payload and ``path`` of every leaf: the siblings
         from the leaf up, then those that ``above`` (``g, path, ...``) has for
-        its group.  A sibling is ``left`` (whether it stands left) and ``hash``
-        (null where a node is alone)."""
+        its group, if given.  A sibling is ``left`` (whether it stands left)
+        and ``hash`` (null where a node is alone)."""
+        if above is None:
+            above = self.rounds[-1].select("g", F.expr("cast(array() as array<struct<left:boolean,hash:string>>)").alias("path"))
         over = above.withColumn("at", F.lit(0).cast("long"))
         carried = [c for c in above.columns if c not in ("g", "path")]
         for k in reversed(range(len(self.rounds))):
@@ -226,8 +228,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     crown = Forest(tops.select(F.lit("").alias("g"), (F.col("rank") - 1).alias("at"), "hash",
                                F.lit(n_groups).cast("long").alias("total"), F.col("g").alias("group")), ["group"])
     root = crown.roots.agg(F.max("hash")).first()[0]  # one row
-    none = docs.sparkSession.range(1).select(F.lit("").alias("g"), F.expr("cast(array() as array<struct<left:boolean,hash:string>>)").alias("path"))
-    above = crown.paths(none).select(F.col("group").alias("g"), "path", F.col("hash").alias("subroot"))
+    above = crown.paths().select(F.col("group").alias("g"), "path", F.col("hash").alias("subroot"))
     found = groups.paths(above)
     return found.select(F.col("id").alias("doc_id"), F.expr("CASE WHEN g = '-' THEN NULL ELSE substring(g, 2) END").alias("lang"),
                         F.col("hash").alias("leaf"), "changed", "subroot", F.lit(root).cast("string").alias("root"), "path")
