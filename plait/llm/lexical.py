@@ -6,8 +6,8 @@ the item's length stays below the item's threshold holds no result
 (Cauchy-Schwarz) and is skipped.  Inside a bucket the item's heaviest
 coordinates are multiplied out and the rest is bounded by the lengths that
 remain; what may still reach the threshold is scored exactly in integers.
-Thresholds start from a few thousand of the longest vectors and rise with the
-results a task has found.
+Thresholds start from a hashed sample of a few thousand documents and rise with
+the results a task has found.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from .common import global_rank
 ITEMS = 256
 #: Coordinates of an item multiplied out before its rest is bounded.
 FOCUS = 8
-#: Longest vectors that give the first thresholds, and numbers held by a bucket's matrix.
+#: Documents, about, whose scores give the first thresholds, and numbers held by a bucket's matrix.
 SEEDS, CELLS = 4096, 4_000_000
 #: Bytes of a text handled at a time.
 PIECE = 1 << 20
@@ -226,7 +226,10 @@ def _search_block(docs: DataFrame, block: list, k: int, doc_id: str, text: str)
     impacts = _impacts(vectors, weights, n_docs, n_terms)
     order = [F.col("length").desc(), F.col("doc_id")]
 
-    seeds = _search(impacts.orderBy(*order).limit(SEEDS).coalesce(1), asked, k, [1] * len(block))
+    # a hashed sample of about SEEDS documents: what it reaches, the whole table reaches too
+    share = F.lit(max(1, n_docs // SEEDS))
+    sample = _impacts(vectors.filter(F.pmod(F.xxhash64("doc_id"), share) == 0), weights, n_docs, n_terms)
+    seeds = _top(_search(sample, asked, k, [1] * len(block)), k)
     last = seeds.groupBy("item").agg(F.count("*").alias("n"), F.min("score").alias("low")).filter(F.col("n") == k)
     reached = {r["item"]: r["low"] for r in last.collect()}  # one row per item of the block
     least = [reached.get(i, 1) for i in range(len(block))]
