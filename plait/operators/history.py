@@ -9,10 +9,10 @@ split by a coarse, order-preserving ``bucket`` (e.g. the day of the first
 order column): the neighbour of a row is found inside its (key, bucket)
 group, and only the first / last row of each group looks across buckets,
 through a per-(key, bucket) summary that is a partial aggregate.  A key that
-holds a third of all rows is thus spread over its buckets.  Days of a key
-with more than ``BUCKET_ROWS`` rows are cut further, at whole seconds, so a
-load of one day is spread as well; only rows of one key and one second stay
-together.
+holds a third of all rows is thus spread over its buckets.  Where a key has a
+day of more than ``BUCKET_ROWS`` rows, the buckets are range partitions of key
+and order instead, and the edge state is carried between them: a key with all
+its rows in one second is spread as well.
 """
 
 from __future__ import annotations
@@ -37,27 +37,32 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFram
     return left.join(other, same, "left").drop(*[f"_on_{c}" for c in on])
 
 
-def day_buckets(rows: DataFrame, ks: list[str], at: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``rows`` with ``_b``: the day of ``at`` and a number that cuts a key's
-    day of more than ``bucket_rows`` rows at whole seconds into parts of about
-    that many.  Full days are counted first (one aggregate over key and
-    day); without any, nothing is joined."""
-    keys = [F.col(quote(k)) for k in ks]
-    time = F.col(quote(at)).cast("timestamp")
-    rows = rows.withColumn("_day", F.date_trunc("day", time))
-    full = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n")) \
-        .where(F.col("_n") > F.lit(bucket_rows)).select(*keys, "_day", F.lit(True).alias("_full"))
-    if full.isEmpty():
-        return rows.withColumn("_b", F.struct(F.col("_day"), F.lit(0).cast("bigint").alias("part"))).drop("_day")
-    rows = rows.withColumn("_sec", F.date_trunc("second", time))
-    seconds = null_safe_join(rows.groupBy(*keys, "_day", "_sec").agg(F.count(F.lit(1)).alias("_n")), full, ks + ["_day"])
-    # at most 86,400 rows per key and day
-    before = Window.partitionBy(*keys, "_day").orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
-    parts = seconds.where("_full").select(
-        *keys, "_sec", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(bucket_rows)).alias("_part"))
-    return null_safe_join(rows, parts, ks + ["_sec"]) \
-        .withColumn("_b", F.struct(F.col("_day"), F.coalesce("_part", F.lit(0).cast("bigint")).alias("part"))) \
-        .drop("_day", "_sec", "_part")
+def day_buckets(rows: DataFrame, ks: list[str], order: list[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``rows`` with ``_b``: the day of the first order column, or, when some
+    key has a day of more than ``bucket_rows`` rows, the range partition of
+    the row (``range_buckets``).  Full days are only looked for in inputs
+    of more than ``bucket_rows`` rows, by one aggregate over key and day."""
+    day = F.date_trunc("day", F.col(quote(order[0])).cast("timestamp"))
+    if rows.count() > bucket_rows:
+        full = rows.groupBy(*[F.col(quote(k)) for k in ks], day.alias("_day")).count().where(F.col("count") > bucket_rows)
+        if not full.isEmpty():
+            return range_buckets(rows, ks, order, bucket_rows)
+    return rows.withColumn("_b", day)
+
+
+def range_buckets(rows: DataFrame, ks: list[str], order: list[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``rows`` range-partitioned by key and the whole order, with ``_b``, the
+    number of the partition: neighbours of a key lie in one partition or in
+    consecutive ones, however many of its rows share a day or a second.  The
+    rows are written once, so the numbers stay what they are when a task is
+    run again."""
+    spark = rows.sparkSession
+    shared_dir(spark)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // max(1, bucket_rows)))
+    by = [F.col(quote(c)) for c in [*ks, *order]]
+    # equal orders are told apart by the rest of the row, so that they may part too
+    rest = F.xxhash64(*[F.col(quote(f.name)) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()])
+    return rows.repartitionByRange(n, *by, rest).withColumn("_b", F.spark_partition_id()).checkpoint()
 
 
 def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
@@ -73,7 +78,8 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
     ``bucket`` must never decrease along ``order`` within a key; default:
     ``day_buckets`` of the first order column.
 
-    Plan: one shuffle of the rows, on (key, bucket), after full days are counted.  Every window over
+    Plan: one shuffle of the rows, on (key, bucket), after full days are counted
+    (inputs of over ``bucket_rows`` rows only).  Every window over
     (key, bucket) and the per-bucket edge values (last state, first version
     start) come from that one partitioning; only the edge tables (one row
     per key and bucket) are shuffled again, by key.  The windowed rows and
@@ -92,7 +98,7 @@ def scd2_history(df: DataFrame, key, order: list[str], tracked: list[str],
                        if src not in ks + order + tracked],
                      *([] if bucket is None else [bucket.alias("_b")]))
     if bucket is None:
-        rows = day_buckets(rows, ks, order[0], bucket_rows)
+        rows = day_buckets(rows, ks, order, bucket_rows)
 
     in_bucket = Window.partitionBy(*ks, "_b").orderBy(*oc)
     whole_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

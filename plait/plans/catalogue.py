@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +19,16 @@ from ..functions.steps import last_observation, step
 from ..operators.conform import conform
 from ..operators.generate import explode_rows
 from ..operators.history import scd2_history
-from ..operators.inspect import first_rows, profile, schema_rows
+from ..operators.inspect import first_rows, profile, profile_sketch, read_profile, schema_rows, unite_profiles
 from ..operators.keys import dedupe_latest, key_report
 from ..operators.reshape import expand_struct, flatten, recombine, rename, sanitize_names, split
 from ..session import scratch_path, shared_dir, unique_name
-from ..sinks.layout import zorder
-from ..sinks.tables import (append, drop, load, merge_frames, register, replace, scd2_load,
+from ..sinks.layout import cluster, pruning, zorder
+from ..sinks.tables import (append, drop, load, merge_frames, read, register, replace, scd2_load,
                             table_spec, upsert, write_path)
 from ..sources.documents import DEFAULT_PAGE_SIZE, ORDER_DOCUMENT_DDL, order_bodies
 from ..sources.fetch import CannedUserApi, fetch, land
+from ..sources.requests import call_due, ledger, read_requests, request_stream, write_round
 from ..sources.files import input_signature, land_once, read_table
 from ..sources.payloads import (CORRUPT, geometry_columns, infer_schema, parse_json, read_payloads,
                                 split_valid)
@@ -522,6 +524,128 @@ def q42_upsert_new_column(spark, sf_dir):
     return spark.table(spec.qualified)
 
 
+def _derived_spec(spark, label, **parts):
+    return table_spec(label, unique_name(f"t_{label}"), "default", scratch_path(spark, "tables", label), key="o_orderkey", **parts)
+
+
+def q43_upsert_key_buckets(spark, sf_dir):
+    """T6: a table without a partition column of its own, kept in parts by a
+    hash of its key; NULL keys among the rows."""
+    spec = _derived_spec(spark, "orders_hashed", key_buckets=2 * _parallelism(spark))
+    for batch in _orders_batches(spark, sf_dir, null_keys=True):
+        load(batch, spec, on_duplicate="latest", order=["o_orderdate"])
+    return read(spark, spec)
+
+
+#: Orders of one part of the table of q44, and the day its batch arrives.
+PART_WIDTH, BATCH_DAY = 500, "1996-01-02"
+
+
+def q44_upsert_touched_parts(spark, sf_dir):
+    """T6: a day's orders merged into a table kept in ranges of its key: only
+    the ranges that hold one of them are rewritten."""
+    o = table(spark, sf_dir, "orders")
+    spec = _derived_spec(spark, "orders_ranges", key_width=PART_WIDTH)
+    load(o, spec)
+    day = o.where(F.to_date("o_orderdate") == F.lit(BATCH_DAY).cast("date"))
+    counts = load(day.withColumn("o_totalprice", F.lit(0.0)), spec)
+    parts = spark.sql(f"SHOW PARTITIONS {spec.qualified}").count()
+    return read(spark, spec).agg(
+        F.lit(counts.get("partitions_rewritten", 0)).cast("bigint").alias("parts_rewritten"), F.lit(parts).cast("bigint").alias("parts"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("o_totalprice") == 0).alias("n_updated"))
+
+
+CANNED = "plait.sources.fetch:CannedUserApi"
+
+
+def q45_request_source(spark, sf_dir):
+    """S1: the calls of q18 through the Python data source."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    rounds = scratch_path(spark, "requests")
+    write_round(users.select(F.col("user_id").alias("request_key"), F.concat(F.lit("/users/"), F.col("user_id").cast("string")).alias("url")),
+                rounds, "0001", files=_parallelism(spark))
+    landed = scratch_path(spark, "replies", "source")
+    land(read_requests(spark, rounds, CANNED, concurrency="4"), landed)
+    parsed = parse_json(read_table(spark, landed), "body",
+                        "features array<struct<properties: struct<`user-id`: bigint>>>", alias="reply")
+    accepted = F.col("status").isin(200) & F.col(CORRUPT).isNull()
+    return parsed.select(F.col("request_key").cast("bigint").alias("request_key"), "status", accepted.alias("accepted"),
+                         F.when(accepted, F.col("reply.features").getItem(0).getField("properties").getField("user-id")).alias("body_user"))
+
+
+def q46_request_stream(spark, sf_dir):
+    """S7: a request per user and day, in two rounds; each run calls only
+    the round that is new."""
+    e = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(ROUND_ONE_BEFORE).cast("timestamp_ntz")
+    rounds, landed, checkpoint = (scratch_path(spark, n, "stream") for n in ("requests", "replies", "checkpoint"))
+
+    def land_batch(batch: DataFrame, batch_id: int) -> None:
+        # a folder a batch: a replayed batch replaces its own replies
+        land(batch, f"{landed}/run={batch_id}", mode="overwrite")
+
+    for name, part in (("0001", e.where(early)), ("0002", e.where(~early))):
+        keys = part.select((F.col("user_id") * 100 + F.dayofmonth("ts")).alias("request_key")).distinct()
+        write_round(keys.withColumn("url", F.lit("/days")), rounds, name, files=_parallelism(spark))
+        request_stream(spark, rounds, CANNED).writeStream.foreachBatch(land_batch) \
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(landed).select(F.col("request_key").cast("bigint").alias("request_key"), "status", (F.col("run") + 1).alias("run"))
+
+
+#: Calls a day that the API allows.
+CALL_BUDGET = 50
+
+
+def q47_call_ledger(spark, sf_dir):
+    """S2: the users asked under a daily budget on two days, the first day
+    twice; answered keys are not asked again, failed ones are."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    requests = users.select(F.col("user_id").cast("string").alias("request_key"), F.lit("/users").alias("url"))
+    path = scratch_path(spark, "ledger", "users")
+    for day in (date(2024, 2, 1), date(2024, 2, 1), date(2024, 2, 2)):
+        call_due(requests, CannedUserApi(), path, day, CALL_BUDGET, partitions=2, concurrency=4)
+    return ledger(spark, path).select(F.col("request_key").cast("bigint").alias("request_key"), "call_day", "status")
+
+
+def q48_history_one_second(spark, sf_dir):
+    """T8: all rows of a key within one second, cut by range partitions."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("year", "ts").cast("timestamp_ntz"))
+    return scd2_history(e, "event_type", ["ts", "event_id"], ["user_id"], carry={"start_event_id": "event_id"}, bucket_rows=1000)
+
+
+def q49_profile_sketches(spark, sf_dir):
+    """I5: sketches stored for two batches and united; distinct counts against exact ones."""
+    o = table(spark, sf_dir, "orders")
+    late = F.col("o_orderdate") >= F.lit(SOURCE_FROM).cast("timestamp_ntz")
+    path = scratch_path(spark, "sketches", "orders")
+    for part in (o.where(late), o.where(~late | late.isNull())):
+        profile_sketch(part).write.mode("append").parquet(path)
+    rows = read_profile(unite_profiles(spark.read.parquet(path)))
+    exact = profile(o, exact_distinct=True).select("column_name", F.col("n_distinct").alias("exact"))
+    middle = F.get("quantiles", F.lit(1))
+    return rows.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "low", "high",
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact")).alias("distinct_close"),
+        ((F.col("low") <= middle) & (middle <= F.col("high"))).alias("median_inside"))
+
+
+#: Ship dates that q50 asks for: the months of a year.
+SHIP_MONTHS = [(f"1995-{m:02d}-01", f"1995-{m:02d}-28") for m in range(1, 13)]
+
+
+def q50_layout_proof(spark, sf_dir):
+    """T10: lines clustered by ship date; a month reads few of the files."""
+    spec = table_spec("lineitem", unique_name("t_lineitem"), "default", scratch_path(spark, "tables", "lineitem_range"))
+    replace(cluster(table(spark, sf_dir, "lineitem"), ["l_shipdate"], partitions=32), spec)
+    back = spark.table(spec.qualified)
+    # the files hold what the ranges say: their rows are counted beside the pruned files
+    proof = pruning(back, "l_shipdate", SHIP_MONTHS)
+    month = F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")
+    counted = back.where(F.dayofmonth("l_shipdate") < 28).groupBy(month.alias("low")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return proof.join(counted, "low").select("low", "n_rows", (F.col("files_read") * 4 <= F.col("files")).alias("pruned"),
+                                             (F.col("rows_read") >= F.col("n_rows")).alias("complete"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}
 

@@ -4,7 +4,7 @@ Spark side."""
 
 from __future__ import annotations
 
-from .catalogue import ROUND_TWO_FROM, SOURCE_FROM, TARGET_BEFORE
+from .catalogue import ROUND_ONE_BEFORE, ROUND_TWO_FROM, SOURCE_FROM, TARGET_BEFORE
 
 _LINE_KEY = "concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey)"
 _DAY = "strftime({c}, '%Y-%m-%d')"
@@ -266,3 +266,44 @@ ORACLE = {
 ORACLE["q37_scd2_late_rows"] = ORACLE["q29_scd2_load"]
 ORACLE["q38_scd2_null_keys"] = ORACLE["q29_scd2_load"].replace(
     "FROM events", "FROM (SELECT * REPLACE (CASE WHEN user_id > 20 THEN user_id END AS user_id) FROM events)")
+
+ORACLE["q43_upsert_key_buckets"] = _batches(null_keys=True)
+ORACLE["q44_upsert_touched_parts"] = """
+    SELECT count(DISTINCT CASE WHEN CAST(o_orderdate AS DATE) = DATE '1996-01-02' THEN o_orderkey // 500 END) AS parts_rewritten,
+           count(DISTINCT o_orderkey // 500) AS parts, count(*) AS n_rows,
+           count(*) FILTER (WHERE CAST(o_orderdate AS DATE) = DATE '1996-01-02') AS n_updated
+    FROM orders"""
+ORACLE["q45_request_source"] = ORACLE["q18_fetch"]
+ORACLE["q46_request_stream"] = f"""
+    WITH k AS (SELECT DISTINCT user_id * 100 + dayofmonth(ts) AS request_key, CASE WHEN ts < TIMESTAMP '{ROUND_ONE_BEFORE}' THEN 1 ELSE 2 END AS run
+               FROM events)
+    SELECT CAST(request_key AS BIGINT) AS request_key,
+           CAST(CASE WHEN request_key % 10 = 3 THEN 403 WHEN request_key % 10 = 7 THEN 500 ELSE 200 END AS INTEGER) AS status,
+           CAST(run AS INTEGER) AS run FROM k"""
+ORACLE["q47_call_ledger"] = """
+    WITH u AS (SELECT user_id, CASE WHEN user_id % 10 = 3 THEN 403 WHEN user_id % 10 = 7 THEN 500 ELSE 200 END AS status,
+                      row_number() OVER (ORDER BY CAST(user_id AS VARCHAR)) AS n
+               FROM (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL)),
+         one AS (SELECT * FROM u WHERE n <= 50),
+         two AS (SELECT user_id, status, 0 AS tries FROM u WHERE n > 50
+                 UNION ALL SELECT user_id, status, 1 FROM one WHERE status <> 200
+                 ORDER BY tries, CAST(user_id AS VARCHAR) LIMIT 50)
+    SELECT user_id AS request_key, DATE '2024-02-01' AS call_day, CAST(status AS INTEGER) AS status FROM one
+    UNION ALL SELECT user_id, DATE '2024-02-02', CAST(status AS INTEGER) FROM two"""
+ORACLE["q48_history_one_second"] = """
+    WITH e AS (SELECT event_id, event_type, user_id, CAST(date_trunc('year', ts) AS TIMESTAMP) AS ts FROM events),
+         x AS (SELECT *, lag(user_id) OVER w AS prev, row_number() OVER w AS rn FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+         v AS (SELECT * FROM x WHERE rn = 1 OR prev IS DISTINCT FROM user_id)
+    SELECT event_type, user_id, event_id AS start_event_id, ts AS valid_from,
+           lead(ts) OVER w AS valid_to, lead(event_id) OVER w IS NULL AS is_current
+    FROM v WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)"""
+_NUMBERS = {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_totalprice": "o_totalprice", "o_orderdate": "epoch_us(o_orderdate)"}
+ORACLE["q49_profile_sketches"] = " UNION ALL ".join(f"""
+    SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+           {f"CAST(min({_NUMBERS[c]}) AS DOUBLE)" if c in _NUMBERS else "CAST(NULL AS DOUBLE)"} AS low,
+           {f"CAST(max({_NUMBERS[c]}) AS DOUBLE)" if c in _NUMBERS else "CAST(NULL AS DOUBLE)"} AS high,
+           true AS distinct_close, {"true" if c in _NUMBERS else "CAST(NULL AS BOOLEAN)"} AS median_inside
+    FROM orders""" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+ORACLE["q50_layout_proof"] = """
+    SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS low, count(*) AS n_rows, true AS pruned, true AS complete
+    FROM lineitem WHERE year(l_shipdate) = 1995 AND day(l_shipdate) < 28 GROUP BY 1"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import quote
-from .tables import TableSpec, _publish
+from .tables import TableSpec, _publish, _version
 
 
 def cluster(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
@@ -73,13 +73,15 @@ def zorder(df: DataFrame, cols: list[str], partitions: int | None = None, bits:
 
 def cluster_table(spec: TableSpec, cols: list[str], method: str = "range",
                   partitions: int | None = None) -> dict:
-    """Rewrite a table clustered on ``cols`` as a new version."""
+    """Rewrite a table clustered on ``cols`` as a new version; fails when
+    another writer changes the table meanwhile."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
+    before = _version(spark, spec)
     df = spark.table(spec.qualified)
     laid = zorder(df, cols, partitions) if method == "zorder" else cluster(df, cols, partitions)
     metrics: dict = {}
-    _publish(spark, laid, spec, metrics)
+    _publish(spark, laid, spec, metrics, expect=before)
     return metrics
 
 
@@ -88,10 +90,12 @@ def compact(spec: TableSpec) -> dict:
     advisoryPartitionSizeInBytes`` each (compaction after many small
     appends or merges).  The REBALANCE hint lets AQE merge small partitions
     and split oversized ones (by partition columns for partitioned tables);
-    the result is published as a new version, readers are never blocked.
+    the result is published as a new version, readers are never blocked; a
+    table changed meanwhile by another writer makes it fail.
     Bucketed tables already get one file per bucket on every write."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
+    before = _version(spark, spec)
     df = spark.table(spec.qualified)
     if spec.buckets:
         laid = df                          # the bucketed write sizes files itself
@@ -100,5 +104,29 @@ def compact(spec: TableSpec) -> dict:
     else:
         laid = df.hint("rebalance")
     metrics: dict = {}
-    _publish(spark, laid, spec, metrics)
+    _publish(spark, laid, spec, metrics, expect=before)
     return metrics
+
+
+def file_ranges(df: DataFrame, cols: list[str]) -> DataFrame:
+    """What the files of a table or path hold: ``file, n_rows`` and the least
+    and greatest value of every column (``<col>_min``, ``<col>_max``), the
+    ranges by which a reader skips files."""
+    bounds = [f(quote(c)).alias(f"{c}_{n}") for c in cols for n, f in (("min", F.min), ("max", F.max))]
+    return df.select(F.col("_metadata.file_path").alias("file"), *[F.col(quote(c)) for c in cols]) \
+        .groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), *bounds)
+
+
+def pruning(df: DataFrame, col: str, ranges: list[tuple]) -> DataFrame:
+    """Proof of layout: for every ``(low, high)`` of ``ranges`` the files whose
+    values of ``col`` overlap it (``files_read``) of all ``files``, and the rows
+    they hold (``rows_read``).  One aggregate over the files' ranges."""
+    files = file_ranges(df, [col])
+    typed = df.schema[col].dataType
+    lows, highs = zip(*[(F.lit(lo).cast(typed), F.lit(hi).cast(typed)) for lo, hi in ranges])
+    hits = [(F.col(f"{col}_min") <= hi) & (F.col(f"{col}_max") >= lo) for lo, hi in zip(lows, highs)]
+    wide = files.agg(F.count(F.lit(1)).alias("files"), *[F.count_if(h).alias(f"f{i}") for i, h in enumerate(hits)],
+                     *[F.coalesce(F.sum(F.when(h, F.col("n_rows"))), F.lit(0)).alias(f"r{i}") for i, h in enumerate(hits)])
+    rows = [F.struct(lo.alias("low"), hi.alias("high"), F.col(f"f{i}").alias("files_read"), F.col(f"r{i}").alias("rows_read"), "files")
+            for i, (lo, hi) in enumerate(zip(lows, highs))]
+    return wide.select(F.inline(F.array(*rows)))

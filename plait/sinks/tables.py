@@ -36,6 +36,8 @@ from ..session import shared_dir
 
 # Formats whose tables accept MERGE INTO.
 ROW_LEVEL_FORMATS = ("delta", "iceberg")
+#: Partition column derived from the key, of tables with ``key_buckets`` or ``key_width``.
+KEY_BUCKET = "_key_bucket"
 
 
 @dataclass(frozen=True)
@@ -50,11 +52,18 @@ class TableSpec:
     key: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = field(default_factory=tuple)
     buckets: int = 0          # > 0: files bucketed by key (co-located joins and merges)
+    key_buckets: int = 0      # > 0: partitioned by a hash of the key, a merge rewrites touched parts only
+    key_width: int = 0        # > 0: partitioned by ranges of so many values of one integer key
 
     @property
     def qualified(self) -> str:
         return f"{quote(self.database)}.{quote(self.table)}"
 
+    @property
+    def derived(self) -> bool:
+        """Whether the partition column is derived from the key."""
+        return bool(self.key_buckets or self.key_width)
+
     @property
     def row_level(self) -> bool:
         return self.format.lower() in ROW_LEVEL_FORMATS
@@ -62,14 +71,20 @@ class TableSpec:
 
 def table_spec(label: str = "default", table: str = "default", database: str = "default",
                location: str = "", key=(), format: str = "parquet", buckets: int = 0,
-               partition_by=()) -> TableSpec:
+               partition_by=(), key_buckets: int = 0, key_width: int = 0) -> TableSpec:
     if not location:
         raise ValueError("a table needs a location")
     key = tuple([key] if isinstance(key, str) else key)
-    if buckets and not key:
+    if (buckets or key_buckets or key_width) and not key:
         raise ValueError("a bucketed table needs a key")
+    if key_buckets or key_width:
+        if partition_by or buckets or (key_buckets and key_width):
+            raise ValueError("key_buckets and key_width stand alone: no partition_by, no buckets, not both")
+        if key_width and len(key) != 1:
+            raise ValueError("key_width needs one integer key")
+        partition_by = (KEY_BUCKET,)
     return TableSpec(label=label, table=table, database=database, location=location.rstrip("/"),
-                     format=format, key=key, buckets=buckets,
+                     format=format, key=key, buckets=buckets, key_buckets=key_buckets, key_width=key_width,
                      partition_by=tuple([partition_by] if isinstance(partition_by, str) else partition_by))
 
 
@@ -96,6 +111,29 @@ def exists(spark: SparkSession, spec: TableSpec) -> bool:
     return spark.catalog.tableExists(f"{spec.database}.{spec.table}")
 
 
+def with_key_bucket(df: DataFrame, spec: TableSpec, spread_null: bool = True) -> DataFrame:
+    """``df`` with the derived partition column of ``spec`` (unchanged without
+    one).  Rows with a NULL key never match; they are spread by a hash of the
+    row, unless ``spread_null`` is off (NULL is then one key like any other).
+    Key columns must already have the table's types: equal numbers of
+    different types hash differently."""
+    if not spec.derived:
+        return df
+    keys = [F.col(quote(k)) for k in spec.key]
+    if spec.key_width:
+        return df.withColumn(KEY_BUCKET, (keys[0] - F.pmod(keys[0], F.lit(spec.key_width))).cast("bigint"))
+    own = F.xxhash64(*keys)
+    if spread_null:
+        own = F.when(_complete(list(spec.key)), own).otherwise(_row_hash(df))
+    return df.withColumn(KEY_BUCKET, F.pmod(own, F.lit(spec.key_buckets)).cast("bigint"))
+
+
+def read(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """The table without its derived partition column."""
+    df = spark.table(spec.qualified)
+    return df.drop(KEY_BUCKET) if spec.derived else df
+
+
 def _new_version(spec: TableSpec) -> str:
     return f"{spec.location}/v={int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
 
@@ -108,18 +146,29 @@ class ConcurrentWriteError(RuntimeError):
 _REPOINT = threading.RLock()
 
 
-def _version(spark: SparkSession, spec: TableSpec) -> str:
-    """The version mark of a table, set by every publish."""
-    return spark.sql(f"SHOW TBLPROPERTIES {spec.qualified} ('plait.version')").first()["value"]
+#: What a first load expects of the table: that there is none.
+ABSENT = ("absent", "absent")
+
+
+def _version(spark: SparkSession, spec: TableSpec) -> tuple[str, str]:
+    """The marks of a table: its version, set by every publish, and its last
+    change, which an append sets too."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {spec.qualified}").collect()}
+    return found.get("plait.version", ""), found.get("plait.change", "")
 
 
-def _expect(spark: SparkSession, spec: TableSpec, expect: str | None) -> None:
-    if expect is not None and _version(spark, spec) != expect:
-        raise ConcurrentWriteError(f"{spec.qualified} changed during the merge; run it again")
+def _expect(spark: SparkSession, spec: TableSpec, expect: tuple[str, str] | None) -> None:
+    if expect is None:
+        return
+    now = _version(spark, spec) if exists(spark, spec) else ABSENT
+    if now != expect:
+        raise ConcurrentWriteError(f"{spec.qualified} changed meanwhile; run it again")
 
 
-def _mark(spark: SparkSession, spec: TableSpec, path: str) -> None:
-    spark.sql(f"ALTER TABLE {spec.qualified} SET TBLPROPERTIES ('plait.version' = '{path.rsplit('/', 1)[-1]}')")
+def _mark(spark: SparkSession, spec: TableSpec, path: str | None) -> None:
+    """Marks a change; with a path, a new version too."""
+    version = f"'plait.version' = '{path.rsplit('/', 1)[-1]}', " if path else ""
+    spark.sql(f"ALTER TABLE {spec.qualified} SET TBLPROPERTIES ({version}'plait.change' = '{uuid.uuid4().hex}')")
 
 
 def _rows(obs: Observation, name: str = "rows") -> int:
@@ -133,7 +182,7 @@ def _rows(obs: Observation, name: str = "rows") -> int:
 
 
 def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
-             prepartitioned: bool = False, expect: str | None = None) -> str:
+             prepartitioned: bool = False, expect: tuple[str, str] | None = None) -> str:
     """Write ``df`` as a new version and point the table at it.
 
     Bucketed tables are written through a staging external table (bucket
@@ -152,7 +201,9 @@ def _publish(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(spec.database)}")
         writer.saveAsTable(f"{quote(spec.database)}.{quote(staging)}")
     else:
-        staging, writer = None, df.write.format(spec.format).mode("errorifexists")
+        # a derived partition gets files of AQE's advisory size, not one per task
+        data = df.hint("rebalance", KEY_BUCKET) if spec.derived else df
+        staging, writer = None, data.write.format(spec.format).mode("errorifexists")
         if spec.partition_by:
             writer = writer.partitionBy(*spec.partition_by)
         writer.save(path)
@@ -203,7 +254,7 @@ def _sql_literal(v) -> str:
 
 
 def _publish_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, metrics: dict,
-                        prepartitioned: bool = False, expect: str | None = None) -> str:
+                        prepartitioned: bool = False, expect: tuple[str, str] | None = None) -> str:
     """Write only the partitions present in ``df`` as a new version and
     re-point (or add) exactly those partitions; the others keep their files."""
     path = _new_version(spec)
@@ -216,7 +267,8 @@ def _publish_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, met
          .partitionBy(*cols).option("path", path).saveAsTable(f"{quote(spec.database)}.{quote(staging)}"))
         spark.sql(f"DROP TABLE {quote(spec.database)}.{quote(staging)}")      # external: files stay
     else:
-        df.write.format(spec.format).partitionBy(*cols).mode("errorifexists").save(path)
+        data = df.hint("rebalance", KEY_BUCKET) if spec.derived else df
+        data.write.format(spec.format).partitionBy(*cols).mode("errorifexists").save(path)
     written = (spark.read.schema(df.schema).format(spec.format).load(path)
                .select(*[F.col(quote(c)) for c in cols],
                        F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("_dir"))
@@ -251,28 +303,42 @@ def _publish_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, met
     return path
 
 
-def replace(df: DataFrame, spec: TableSpec) -> dict:
-    """Full replacement (create when absent).  Returns counts."""
+def replace(df: DataFrame, spec: TableSpec, expect: tuple[str, str] | None = None) -> dict:
+    """Full replacement (create when absent).  Returns counts.  With
+    ``expect`` it fails when the table's marks are others by then."""
     spark = df.sparkSession
     obs = Observation(f"replace_{uuid.uuid4().hex[:8]}")
     metrics: dict = {}
-    _publish(spark, df.observe(obs, F.count(F.lit(1)).alias("rows")), spec, metrics)
+    whole = with_key_bucket(df, spec).observe(obs, F.count(F.lit(1)).alias("rows"))
+    _publish(spark, whole, spec, metrics, expect=expect)
     metrics.update(rows_written=_rows(obs), inserted=_rows(obs), updated=0)
     return metrics
 
 
-def append(df: DataFrame, spec: TableSpec) -> dict:
+def append(df: DataFrame, spec: TableSpec, extra: str = "fail") -> dict:
     """Add rows (create when absent).  New files are committed into the live
-    location by Spark's commit protocol, so a failed job adds nothing."""
+    location by Spark's commit protocol, so a failed job adds nothing.
+
+    ``extra``: as in ``upsert``, for columns and nested fields the table
+    lacks.  Every append marks the table, so that a merge running meanwhile
+    fails instead of publishing a version without these rows; an append whose
+    table got a new version meanwhile fails too, as its files are in the old
+    one."""
     spark = df.sparkSession
     if not exists(spark, spec):
-        return replace(df, spec)
+        return replace(df, spec, expect=ABSENT)
     obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
-    target = spark.table(spec.qualified)
-    conform(df, target.schema).observe(obs, F.count(F.lit(1)).alias("rows")) \
-        .write.insertInto(spec.qualified)
+    ignored = _take_extra(df, spec, read(spark, spec).schema, extra)
+    before = _version(spark, spec)
+    rows = with_key_bucket(conform(df, read(spark, spec).schema), spec)
+    rows.select(*[F.col(quote(c)) for c in spark.table(spec.qualified).columns]) \
+        .observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(spec.qualified)
+    with _REPOINT:
+        if _version(spark, spec)[0] != before[0]:
+            raise ConcurrentWriteError(f"{spec.qualified} was rewritten during the append; its rows are not in the table")
+        _mark(spark, spec, None)
     spark.sql(f"REFRESH TABLE {spec.qualified}")
-    return {"rows_written": _rows(obs), "inserted": _rows(obs), "updated": 0}
+    return {"rows_written": _rows(obs), "inserted": _rows(obs), "updated": 0} | ignored
 
 
 def write_path(df: DataFrame, spec: TableSpec, mode: str = "overwrite") -> str:
@@ -340,6 +406,12 @@ def _complete(ks: list[str]):
     return cond
 
 
+def _row_hash(df: DataFrame):
+    """A hash of the whole row but its maps, which have none."""
+    hashable = [F.col(quote(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*hashable) if hashable else F.lit(1).cast("bigint")
+
+
 def _anti_by_key(target: DataFrame, source: DataFrame, ks: list[str]) -> DataFrame:
     """Target rows whose key is not in the source, in one scan of the target.
 
@@ -351,10 +423,7 @@ def _anti_by_key(target: DataFrame, source: DataFrame, ks: list[str]) -> DataFra
     executor sees the same partitioning; identical copies still meet in one
     partition, which AQE's skew-join split handles."""
     whole = _complete(ks)
-    hashable = [F.col(quote(f.name)) for f in target.schema.fields
-                if not f.dataType.simpleString().startswith("map") and "map<" not in f.dataType.simpleString()]
-    row_hash = F.xxhash64(*hashable) if hashable else F.lit(1).cast("bigint")
-    salted = target.withColumn("_nk_salt", F.when(whole, F.lit(0).cast("bigint")).otherwise(row_hash))
+    salted = target.withColumn("_nk_salt", F.when(whole, F.lit(0).cast("bigint")).otherwise(_row_hash(target)))
     probe = (source.where(whole).select(*[F.col(quote(k)) for k in ks])
              # always 0, but no literal: a literal would drop the salt from the join keys
              .withColumn("_nk_salt", F.pmod(F.xxhash64(*[F.col(quote(k)) for k in ks]), F.lit(1).cast("bigint"))))
@@ -412,21 +481,25 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     become new columns of the table (``add``, top level only) or are left out
     and named in the counts (``drop``).
 
-    Partitioned tables whose partition columns are part of the key are
-    merged partition by partition: only partitions present in the source
+    Tables with ``key_buckets`` or ``key_width``, and partitioned tables
+    whose partition columns are part of the key, are merged partition by
+    partition: only partitions present in the source
     are read, rewritten and re-pointed, however many they are."""
     spark = df.sparkSession
     ks = key_list(key or spec.key)
     if not ks:
         raise ValueError("upsert needs a key")
-    target = spark.table(spec.qualified)
+    ignored = _take_extra(df, spec, read(spark, spec).schema, extra)
     before = _version(spark, spec)
-    ignored = _take_extra(df, spec, target.schema, extra)
-    if extra == "add":
-        target = spark.table(spec.qualified)
+    target = spark.table(spec.qualified)
     # evaluated once: the guard, the partition list, the anti join and the union read the same rows
     shared_dir(spark)
-    source = prepare_source(conform(df, target.schema).checkpoint(), ks, on_duplicate, order)
+    source = with_key_bucket(conform(df, read(spark, spec).schema), spec)
+    if spec.derived:
+        if ks != list(spec.key):
+            raise ValueError(f"{spec.qualified} is partitioned by {spec.key}; merge it on that key")
+        source, ks = source.select(*[F.col(quote(c)) for c in target.columns]), [KEY_BUCKET, *ks]
+    source = prepare_source(source.checkpoint(), ks, on_duplicate, order)
     if source.isEmpty():
         return {"rows_written": 0, "inserted": 0, "updated": 0} | ignored
     if spec.row_level:
@@ -466,7 +539,10 @@ def load(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail", o
     ks = key_list(key or spec.key)
     if not exists(df.sparkSession, spec):
         first = prepare_source(df, ks, on_duplicate, order) if ks else df
-        return replace(first, spec)
+        try:
+            return replace(first, spec, expect=ABSENT)
+        except ConcurrentWriteError:
+            pass          # another first load created the table meanwhile: merge into it
     return upsert(df, spec, ks, on_duplicate, order, extra=extra)
 
 
@@ -506,10 +582,22 @@ def scd2_load(df: DataFrame, spec: TableSpec, key, order: list[str], tracked: li
     spark = df.sparkSession
     ks = [key] if isinstance(key, str) else list(key)
     carry = {o: o for o in order[1:]}
-    if not exists(spark, spec):
-        m = replace(scd2_history(df, ks, order, tracked, carry=carry), spec)
-        m["late_rows"] = 0
-        return m
+    first = not exists(spark, spec)
+    if spec.derived:
+        if ks != list(spec.key):
+            raise ValueError(f"{spec.qualified} is partitioned by {spec.key}; load it on that key")
+        if not first:
+            types = {f.name: f.dataType for f in spark.table(spec.qualified).schema.fields}
+            df = df.withColumns({k: F.col(quote(k)).cast(types[k]) for k in ks})
+        df, ks = with_key_bucket(df, spec, spread_null=False), [KEY_BUCKET, *ks]
+    if first:
+        built = scd2_history(df, ks, order, tracked, carry=carry)
+        if spec.derived:        # the derived column again, last
+            built = built.drop(KEY_BUCKET)
+            built = with_key_bucket(built, spec, spread_null=False)
+        obs, m = Observation(f"scd2_{uuid.uuid4().hex[:8]}"), {}
+        _publish(spark, built.observe(obs, F.count(F.lit(1)).alias("rows")), spec, m, expect=ABSENT)
+        return m | {"rows_written": _rows(obs), "inserted": _rows(obs), "updated": 0, "late_rows": 0}
     history = spark.table(spec.qualified)
     shared_dir(spark)
     df = df.select(*[F.col(quote(c)) for c in dict.fromkeys([*ks, *order, *tracked])]).checkpoint()
