@@ -123,3 +123,24 @@ def conform(df: DataFrame, target: T.StructType, extra: str = "drop") -> DataFra
     if extra == "keep":
         cols += [F.col(quote(c)) for c in top_extra]
     return df.select(*cols)
+
+
+def merge_types(target: T.DataType, source: T.DataType, path: str = "") -> T.DataType:
+    """``target`` with everything ``source`` has beyond it, at every depth:
+    new struct fields go last and are nullable, arrays and maps are merged
+    through their elements; elsewhere the target's type stays and must take
+    the source's without loss."""
+    if isinstance(target, T.StructType) and isinstance(source, T.StructType):
+        theirs = {f.name.lower(): f for f in source.fields}
+        fields = []
+        for f in target.fields:
+            s = theirs.pop(f.name.lower(), None)
+            fields.append(f if s is None else T.StructField(f.name, merge_types(f.dataType, s.dataType, f"{path}.{f.name}"), f.nullable, f.metadata))
+        return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in theirs.values()])
+    if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
+        return T.ArrayType(merge_types(target.elementType, source.elementType, f"{path}[]"), target.containsNull)
+    if isinstance(target, T.MapType) and isinstance(source, T.MapType) and target.keyType == source.keyType:
+        return T.MapType(target.keyType, merge_types(target.valueType, source.valueType, f"{path}{{}}"), target.valueContainsNull)
+    if not widen(source, target):
+        raise SchemaDriftError(f"{path.lstrip('.')}: {source.simpleString()} does not fit {target.simpleString()}")
+    return target

@@ -21,9 +21,10 @@ from ..operators.generate import explode_rows
 from ..operators.history import scd2_history
 from ..operators.inspect import first_rows, profile, profile_sketch, read_profile, schema_rows, unite_profiles
 from ..operators.keys import dedupe_latest, key_report
+from ..operators.variants import geometry_parts, path_values
 from ..operators.reshape import expand_struct, flatten, recombine, rename, sanitize_names, split
 from ..session import scratch_path, shared_dir, unique_name
-from ..sinks.layout import cluster, pruning, zorder
+from ..sinks.layout import cluster_table, pruning, zorder
 from ..sinks.tables import (append, drop, load, merge_frames, read, register, replace, scd2_load,
                             table_spec, upsert, write_path)
 from ..sources.documents import DEFAULT_PAGE_SIZE, ORDER_DOCUMENT_DDL, order_bodies
@@ -33,6 +34,7 @@ from ..sources.files import input_signature, land_once, read_table
 from ..sources.payloads import (CORRUPT, geometry_columns, infer_schema, parse_json, read_payloads,
                                 split_valid)
 from ..streaming.incremental import ingest_incremental
+from ..streaming.metrics import BatchMetrics, observed
 
 # The cut-over dates that make an upsert batch overlap its
 # target (orders) and the second landing round overlap the first (events).
@@ -636,7 +638,8 @@ SHIP_MONTHS = [(f"1995-{m:02d}-01", f"1995-{m:02d}-28") for m in range(1, 13)]
 def q50_layout_proof(spark, sf_dir):
     """T10: lines clustered by ship date; a month reads few of the files."""
     spec = table_spec("lineitem", unique_name("t_lineitem"), "default", scratch_path(spark, "tables", "lineitem_range"))
-    replace(cluster(table(spark, sf_dir, "lineitem"), ["l_shipdate"], partitions=32), spec)
+    replace(table(spark, sf_dir, "lineitem"), spec)
+    cluster_table(spec, ["l_shipdate"], partitions=32)
     back = spark.table(spec.qualified)
     # the files hold what the ranges say: their rows are counted beside the pruned files
     proof = pruning(back, "l_shipdate", SHIP_MONTHS)
@@ -646,6 +649,56 @@ def q50_layout_proof(spark, sf_dir):
                                              (F.col("rows_read") >= F.col("n_rows")).alias("complete"))
 
 
+def q51_paths_unknown_depth(spark, sf_dir):
+    """P7: the scalars of the order replies by path, without a declared schema."""
+    rows = path_values(order_replies(spark, sf_dir), "body", keep=["doc_key"])
+    path = F.regexp_replace("path", r"\[[0-9]+\]", "[]")
+    return rows.where("path LIKE '%properties.%'").groupBy(path.alias("path")) \
+        .agg(F.count("value").alias("n_values"), F.countDistinct("doc_key").alias("n_documents"))
+
+
+def q52_geometry_collection(spark, sf_dir):
+    """H4: collections of geometries, one inside another, as simple parts."""
+    point = F.concat(F.lit('{"type": "Point", "coordinates": ['), F.col("o_custkey"), F.lit(", 1.5]}"))
+    inner = F.concat(F.lit('{"type": "GeometryCollection", "geometries": ['), point, F.lit(', {"type": "LineString", "coordinates": [['),
+                     F.col("o_custkey"), F.lit(", 2], [3, 4]]}]}"))
+    outer = F.concat(F.lit('{"type": "GeometryCollection", "geometries": ['), inner, F.lit(", "), point, F.lit("]}"))
+    shape = F.when(F.col("o_orderstatus") == "F", outer).when(F.col("o_orderstatus") == "O", inner).otherwise(point)
+    parts = geometry_parts(table(spark, sf_dir, "orders").select("o_orderkey", shape.alias("geometry")), "geometry", ["o_orderkey"])
+    x = F.coalesce(F.from_json("coordinates", "array<array<double>>")[0][0], F.from_json("coordinates", "array<double>")[0])
+    return parts.select("o_orderkey", "path", "kind", x.alias("x"))
+
+
+def q53_stream_metrics(spark, sf_dir):
+    """U1: counts of every micro-batch of a stream that ran twice."""
+    e = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(ROUND_ONE_BEFORE).cast("timestamp_ntz")
+    landing, landed, checkpoint = (scratch_path(spark, n, "metrics") for n in ("landing", "landed", "checkpoint"))
+    with BatchMetrics(spark) as metrics:
+        for part in (e.where(early), e.where(~early)):
+            part.select("event_id", "event_type", "value").write.mode("append").parquet(landing)
+            stream = spark.readStream.schema("event_id bigint, event_type string, value double").parquet(landing)
+            stream = observed(stream, "landed", errors="count_if(event_type = 'error')", users="count(value)")
+            metrics.wait(stream.writeStream.format("parquet").option("path", landed).option("checkpointLocation", checkpoint)
+                         .trigger(availableNow=True).start())
+        rows = metrics.rows()
+    return rows.select("batch_id", "metric", F.col("value").cast("bigint").alias("value"))
+
+
+def q54_nested_evolution(spark, sf_dir):
+    """H3: a batch brings a new field of a struct inside an array; old rows have NULL there."""
+    target, source = _orders_batches(spark, sf_dir)
+    spec = _spec(spark, "orders_nested")
+
+    def nested(df: DataFrame, *more) -> DataFrame:
+        return df.select("o_orderkey", F.array(F.struct("o_totalprice", *more)).alias("parts"))
+
+    load(nested(target), spec)
+    load(nested(source, "o_orderpriority"), spec, extra="add")
+    part = F.col("parts")[0]
+    return spark.table(spec.qualified).select("o_orderkey", part["o_totalprice"].alias("o_totalprice"), part["o_orderpriority"].alias("o_orderpriority"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}
 

@@ -307,3 +307,26 @@ ORACLE["q49_profile_sketches"] = " UNION ALL ".join(f"""
 ORACLE["q50_layout_proof"] = """
     SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS low, count(*) AS n_rows, true AS pruned, true AS complete
     FROM lineitem WHERE year(l_shipdate) = 1995 AND day(l_shipdate) < 28 GROUP BY 1"""
+
+_ORDER_FIELDS = {"order-key": "o_orderkey", "cust-key": "o_custkey", "order-status": "o_orderstatus", "total-price": "o_totalprice",
+                 "order-date": "o_orderdate", "order-priority": "o_orderpriority"}
+_LINE_FIELDS = {"line-key": "l_orderkey", "order-key": "l_orderkey", "line-no": "l_linenumber", "part-key": "l_partkey", "supp-key": "l_suppkey",
+                "return-flag": "l_returnflag", "line-status": "l_linestatus", "ship-date": "l_shipdate"}
+ORACLE["q51_paths_unknown_depth"] = " UNION ALL ".join(
+    [f"SELECT 'properties.{f}' AS path, count({c}) AS n_values, count(DISTINCT CASE WHEN {c} IS NOT NULL THEN o_orderkey END) AS n_documents FROM orders HAVING count({c}) > 0"
+     for f, c in _ORDER_FIELDS.items()]
+    + [f"SELECT 'features[].properties.{f}', count({c}), count(DISTINCT CASE WHEN {c} IS NOT NULL THEN l_orderkey END) {_LINES_OF_ORDERS} HAVING count({c}) > 0"
+       for f, c in _LINE_FIELDS.items()])
+ORACLE["q52_geometry_collection"] = """
+    WITH o AS (SELECT o_orderkey, o_custkey::DOUBLE AS x, coalesce(o_orderstatus, '') AS s FROM orders)
+    SELECT o_orderkey, CASE s WHEN 'F' THEN '0.0' WHEN 'O' THEN '0' ELSE '' END AS path, 'Point' AS kind, x FROM o
+    UNION ALL SELECT o_orderkey, CASE s WHEN 'F' THEN '0.1' ELSE '1' END, 'LineString', x FROM o WHERE s IN ('F', 'O')
+    UNION ALL SELECT o_orderkey, '1', 'Point', x FROM o WHERE s = 'F'"""
+ORACLE["q53_stream_metrics"] = f"""
+    WITH e AS (SELECT CAST(CASE WHEN ts < TIMESTAMP '{ROUND_ONE_BEFORE}' THEN 0 ELSE 1 END AS BIGINT) AS batch_id, event_type, value FROM events)
+    SELECT batch_id, 'rows' AS metric, count(*) AS value FROM e GROUP BY batch_id
+    UNION ALL SELECT batch_id, 'errors', count(*) FILTER (WHERE event_type = 'error') FROM e GROUP BY batch_id
+    UNION ALL SELECT batch_id, 'users', count(value) FROM e GROUP BY batch_id"""
+ORACLE["q54_nested_evolution"] = f"""
+    SELECT o_orderkey, o_totalprice, CASE WHEN o_orderdate >= TIMESTAMP '{SOURCE_FROM}' THEN o_orderpriority END AS o_orderpriority
+    FROM ({_batches(null_keys=False)})"""

@@ -3,7 +3,9 @@ OPTIMIZE / Z-ORDER)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,17 +73,31 @@ def zorder(df: DataFrame, cols: list[str], partitions: int | None = None, bits:
     return _by_range(coded, [F.col("__z")], partitions).sortWithinPartitions("__z").drop("__z")
 
 
-def cluster_table(spec: TableSpec, cols: list[str], method: str = "range",
+def declared_clustering(spec: TableSpec) -> list[str]:
+    """The columns the catalog names as the table's clustering (``CLUSTER BY``)."""
+    spark = SparkSession.getActiveSession()
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {spec.qualified}").collect()}
+    return [".".join(path) for path in json.loads(found.get("clusteringColumns", "[]"))]
+
+
+def cluster_table(spec: TableSpec, cols: list[str] | None = None, method: str = "range",
                   partitions: int | None = None) -> dict:
     """Rewrite a table clustered on ``cols`` as a new version; fails when
-    another writer changes the table meanwhile."""
-    from pyspark.sql import SparkSession
+    another writer changes the table meanwhile.  The columns are declared in
+    the catalog (``CLUSTER BY``, of tables without partitions and buckets);
+    without ``cols`` the declared ones are used, so that a table is clustered
+    again after appends."""
     spark = SparkSession.getActiveSession()
+    cols = cols or declared_clustering(spec)
+    if not cols:
+        raise ValueError(f"{spec.qualified} has no declared clustering; name the columns")
     before = _version(spark, spec)
     df = spark.table(spec.qualified)
     laid = zorder(df, cols, partitions) if method == "zorder" else cluster(df, cols, partitions)
     metrics: dict = {}
     _publish(spark, laid, spec, metrics, expect=before)
+    if not (spec.partition_by or spec.buckets):
+        spark.sql(f"ALTER TABLE {spec.qualified} CLUSTER BY ({', '.join(quote(c) for c in cols)})")
     return metrics
 
 
@@ -93,7 +109,6 @@ def compact(spec: TableSpec) -> dict:
     the result is published as a new version, readers are never blocked; a
     table changed meanwhile by another writer makes it fail.
     Bucketed tables already get one file per bucket on every write."""
-    from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     before = _version(spark, spec)
     df = spark.table(spec.qualified)

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.names import quote
 from ..functions.schema import to_ddl
-from ..operators.conform import SchemaDriftError, conform, drift
+from ..operators.conform import SchemaDriftError, conform, drift, merge_types
 from ..operators.keys import assert_unique, dedupe_latest
 from ..session import shared_dir
 
@@ -462,14 +462,33 @@ def _take_extra(df: DataFrame, spec: TableSpec, target, extra: str) -> dict:
         return {}
     if extra == "drop":
         return {"ignored_columns": new}
-    top = {f.name: f for f in df.schema.fields}
-    if extra == "fail" or any(c not in top for c in new):
+    if extra == "fail":
         raise SchemaDriftError(f"{spec.qualified} has no {new}")
-    columns = to_ddl(T.StructType([T.StructField(c, top[c].dataType, True) for c in new]))
-    df.sparkSession.sql(f"ALTER TABLE {spec.qualified} ADD COLUMNS ({columns})")
+    top = {f.name: f for f in df.schema.fields}
+    if all(c in top for c in new):
+        columns = to_ddl(T.StructType([T.StructField(c, top[c].dataType, True) for c in new]))
+        df.sparkSession.sql(f"ALTER TABLE {spec.qualified} ADD COLUMNS ({columns})")
+    else:
+        _evolve(df.sparkSession, spec, merge_types(target, df.schema))
     return {"added_columns": new}
 
 
+def _evolve(spark: SparkSession, spec: TableSpec, schema: T.StructType) -> None:
+    """Give a table a schema with more nested fields: its definition is made
+    anew over the same files, which read as NULL where they lack a field.
+    The catalog has no statement for nested fields of file tables, so this
+    leaves a short window without the table, as a rewrite of a partitioned
+    table does."""
+    if spec.partition_by or spec.buckets:
+        raise SchemaDriftError(f"{spec.qualified} is partitioned or bucketed: nested fields cannot be added to it")
+    with _REPOINT:
+        marks = _version(spark, spec)
+        at = next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {spec.qualified}").collect() if r["col_name"] == "Location")
+        spark.sql(f"DROP TABLE {spec.qualified}")     # external: files stay
+        spark.sql(f"CREATE TABLE {spec.qualified} ({to_ddl(schema)}) USING {spec.format} LOCATION '{at}'")
+        _mark(spark, spec, marks[0])
+
+
 def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
            order=None, extra: str = "fail") -> dict:
     """Merge ``df`` into an existing table on ``key`` (update all columns when
@@ -478,8 +497,9 @@ def upsert(df: DataFrame, spec: TableSpec, key=None, on_duplicate: str = "fail",
     keys.  Returns counts of inserted and updated rows.
 
     ``extra``: columns or nested fields the table lacks raise (``fail``),
-    become new columns of the table (``add``, top level only) or are left out
-    and named in the counts (``drop``).
+    become part of the table (``add``; old rows have NULL there, nested fields
+    need a table without partitions) or are left out and named in the counts
+    (``drop``).
 
     Tables with ``key_buckets`` or ``key_width``, and partitioned tables
     whose partition columns are part of the key, are merged partition by
