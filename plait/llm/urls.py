@@ -1,8 +1,8 @@
 """URL filter over a tree of path templates.
 
-Per host, path segments that vary (numbers, hashes) become wildcards, and
-sibling branches whose share of bad pages does not differ significantly from
-that of the rest are merged into one.  Each
+Per host, path segments that vary (numbers, hashes) become typed wildcards,
+and sibling branches become one wildcard, unless a branch's share of bad pages
+differs significantly from that of the rest.  Each
 template's share of bad labelled pages is smoothed towards its parent's, the
 host's towards that of all; templates with a high share are rejected.
 Explicit rules go before templates.
@@ -17,6 +17,8 @@ from .common import ascii_lower, cut
 
 #: |z| under which a branch is similar to its siblings.
 SIMILAR = 1.96
+#: Labelled pages a single number or hash needs to be told from the others of its kind.
+SUPPORT = 5
 #: Weight of the parent's share, in pages, and the share from which a template is rejected.
 PRIOR, REJECT = 4.0, 0.5
 
@@ -42,13 +44,31 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
     return found.otherwise(F.lit(None).cast("string")), verdict.otherwise(F.lit(None).cast("string"))
 
 
-def typed_segments(path: Column) -> Column:
-    """Segments of a path, numbers and hashes replaced by typed wildcards."""
-    def kind(s: Column) -> Column:
-        number = F.regexp_replace(s, r"[0-9]+", "{n}")
-        return F.when(s.rlike(r"^[0-9a-fA-F-]{16,}$"), F.lit("{h}")).otherwise(number)
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    return F.transform(parts, kind)
+def path_segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda s: s != "")
+
+
+def typed(segment: Column) -> Column:
+    """The wildcard of a variable segment: numbers as ``{n}``, hashes (16 or
+    more hexadecimal digits, at least one of them 0-9) as ``{h}``."""
+    number = F.regexp_replace(segment, r"[0-9]+", "{n}")
+    return F.when(segment.rlike(r"^(?=.*[0-9])[0-9a-fA-F-]{16,}$"), F.lit("{h}")).otherwise(number)
+
+
+def _differs(labelled: str, wrong: str, all_l: str, all_w: str) -> Column:
+    """Whether a branch's share of bad pages differs from that of the rest: two shares, pooled."""
+    n, w, rest_l, rest_w = F.col(labelled), F.col(wrong), F.col(all_l) - F.col(labelled), F.col(all_w) - F.col(wrong)
+    known = (n > 0) & (rest_l > 0) & (F.col(all_w) > 0) & (F.col(all_w) < F.col(all_l))
+    pooled = F.col(all_w) / F.col(all_l)
+    z = (w / n - rest_w / rest_l) / F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / rest_l))
+    return F.when(known, F.abs(z) >= SIMILAR).otherwise(F.lit(False))
+
+
+def _merged(branch: DataFrame, group: list[str], node: Column) -> DataFrame:
+    """``branch`` with the sums and the number of its siblings (``all_l, all_w,
+    width``) and, from them, its ``node``."""
+    whole = branch.groupBy(*group).agg(F.count("*").alias("width"), F.sum("labelled").alias("all_l"), F.sum("wrong").alias("all_w"))
+    return branch.join(whole, group).withColumn("node", node).drop("all_l", "all_w", "width")
 
 
 def template_verdicts(pages: DataFrame) -> DataFrame:
@@ -56,8 +76,10 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
     bad`` (1 bad, 0 good, null without label); ``purity`` is the smoothed
     share of bad pages of the template.
 
-    All statistics are sums over typed paths, so their number does not grow
-    with the pages of a path.
+    All statistics are sums over paths, so their number does not grow with
+    the pages of a path.  The tree is built level by level; a branch with a
+    single path left needs no test and is closed at once, so there are as many
+    levels as paths share segments, however long a path is.
     """
     paths = cut(pages.groupBy("host", "segments").agg(
         F.count("bad").alias("labelled"),
@@ -70,36 +92,37 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
 
     hosts = paths.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("wrong").alias("w")) \
         .select("host", smoothed("l", "w", F.lit(prior)).alias("purity"))
-    paths = paths.join(hosts, "host").withColumn("template", F.lit(""))
-    paths = cut(paths)
-    deepest = paths.agg(F.max(F.size("segments"))).first()[0] or 0
+    paths = cut(paths.join(hosts, "host").withColumn("template", F.lit("")))
     done = paths.filter(F.size("segments") == 0)  # paths without further segments leave the loop
-    for d in range(deepest):
-        here = paths.filter(F.size("segments") > d).withColumn("seg", F.get("segments", F.lit(d)))
-        branch = cut(here.groupBy("host", "template", "seg").agg(
-            *[F.sum(c).alias(c) for c in ("labelled", "wrong")]))
-        parent = branch.groupBy("host", "template").agg(
-            F.count("*").alias("width"), F.sum("labelled").alias("all_l"), F.sum("wrong").alias("all_w"))
-        both = branch.join(parent, ["host", "template"])
-        # a branch against its siblings: two shares, pooled
-        rest_l, rest_w = F.col("all_l") - F.col("labelled"), F.col("all_w") - F.col("wrong")
-        pooled = F.col("all_w") / F.col("all_l")
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest_l))
-        z = (F.col("wrong") / F.col("labelled") - rest_w / rest_l) / spread
-        known = (F.col("labelled") > 0) & (rest_l > 0) & (F.col("all_w") > 0) & (F.col("all_w") < F.col("all_l"))
-        different = F.when(known, F.abs(z) >= SIMILAR).otherwise(F.lit(False))
-        single = F.col("width") == 1
+    paths, d = paths.filter(F.size("segments") > 0), 0
+    while not paths.isEmpty():
+        alone = paths.groupBy("host", "template").agg(F.count("*").alias("here")).filter("here = 1").select("host", "template", F.lit(True).alias("alone"))
+        marked = paths.join(alone, ["host", "template"], "left")
+        # one path left: the rest of it is the template, each of its levels smoothed towards the one above
+        rest = F.slice("segments", d + 1, F.greatest(F.size("segments") - d, F.lit(0)))
+        share = F.when(F.col("labelled") > 0, F.col("wrong") / F.col("labelled")).otherwise(F.col("purity"))
+        last = share + F.pow(PRIOR / (F.col("labelled") + PRIOR), F.size(rest)) * (F.col("purity") - share)
+        closed = marked.filter("alone").withColumn("template", F.concat("template", F.lit("/"), F.array_join(F.transform(rest, typed), "/"))) \
+            .withColumn("purity", last).drop("alone")
+        here = marked.filter("alone IS NULL").drop("alone").withColumn("seg", F.get("segments", F.lit(d))).withColumn("kind", typed(F.col("seg")))
+        branch = here.groupBy("host", "template", "kind", "seg").agg(*[F.sum(c).alias(c) for c in ("labelled", "wrong")])
+        # variable segments become their wildcard, unless enough pages tell one from the rest of its kind
+        told = (F.col("seg") != F.col("kind")) & (F.col("labelled") >= SUPPORT) & _differs("labelled", "wrong", "all_l", "all_w")
+        kinds = cut(_merged(branch, ["host", "template", "kind"], F.when(told, F.col("seg")).otherwise(F.col("kind")))
+                    .withColumnRenamed("node", "part"))
         # siblings that do not differ are one wildcard, however many they are
-        node = F.when(single | different, F.col("seg")).otherwise(F.lit("*"))
-        named = both.withColumn("node", node)
-        merged = named.groupBy("host", "template", "node").agg(F.sum("labelled").alias("l"), F.sum("wrong").alias("w"))
-        choice = named.select("host", "template", "seg", "node") \
-            .join(merged, ["host", "template", "node"]).select("host", "template", "seg", "node", "l", "w")
-        paths = cut(here.join(choice, ["host", "template", "seg"])
-                    .withColumn("purity", smoothed("l", "w", F.col("purity")))
-                    .withColumn("template", F.concat("template", F.lit("/"), "node"))
-                    .drop("seg", "node", "l", "w"))
-        done = done.unionByName(paths.filter(F.size("segments") == d + 1))
+        part = kinds.groupBy("host", "template", "part").agg(*[F.sum(c).alias(c) for c in ("labelled", "wrong")])
+        own = (F.col("width") == 1) | _differs("labelled", "wrong", "all_l", "all_w")
+        nodes = _merged(part, ["host", "template"], F.when(own, F.col("part")).otherwise(F.lit("*")))
+        sums = nodes.groupBy("host", "template", "node").agg(F.sum("labelled").alias("l"), F.sum("wrong").alias("w"))
+        choice = kinds.select("host", "template", "seg", "part").join(nodes.select("host", "template", "part", "node"), ["host", "template", "part"]) \
+            .join(sums, ["host", "template", "node"]).select("host", "template", "seg", "node", "l", "w")
+        stepped = here.join(choice, ["host", "template", "seg"]).withColumn("purity", smoothed("l", "w", F.col("purity"))) \
+            .withColumn("template", F.concat("template", F.lit("/"), "node")).drop("seg", "kind", "node", "l", "w")
+        d += 1
+        made = cut(closed.withColumn("open", F.lit(False)).unionByName(stepped.withColumn("open", F.size("segments") > d)))
+        done = done.unionByName(made.filter("NOT open").drop("open"))
+        paths = made.filter("open").drop("open")
     return done.select("host", "segments", "template", "purity")
 
 
@@ -115,7 +138,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]
     """
     base = pages.drop(*(set(pages.columns) & {"host", "path", "rule", "template", "verdict"}))
     parsed = base.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
-    parsed = parsed.withColumn("_pl_seg", typed_segments(F.col("path")))
+    parsed = parsed.withColumn("_pl_seg", path_segments(F.col("path")))
     marks = labels.select(F.col(page_id).alias("_pl_id"), F.col("bad").cast("int").alias("_pl_bad")).dropna() \
         .groupBy("_pl_id").agg(F.max("_pl_bad").alias("_pl_bad"))
     known = parsed.join(marks, F.col(page_id) == F.col("_pl_id"), "left")
