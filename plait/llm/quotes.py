@@ -85,21 +85,41 @@ def latest_before(rows: DataFrame, keys: list[str], turn: str, source: Column) -
 
 
 def _chains(nodes: DataFrame) -> DataFrame:
-    """Adds ``thread`` (turn of the first message of the reply chain) and
-    ``level`` (replies down from it) to ``c, turn, reply_to``, by pointer doubling."""
-    state = cut(nodes.select("c", "turn", F.col("reply_to").alias("up"),
-                             F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("level"),
-                             F.coalesce("reply_to", "turn").alias("thread")))
+    """Adds ``end`` (turn where the chain of ``up`` turns from a row ends) and
+    ``steps`` (turns on the way there) to ``c, turn, up``, by pointer doubling."""
+    state = cut(nodes.select("c", "turn", "up", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("steps"),
+                             F.coalesce("up", "turn").alias("end")))
     while not state.filter("up is not null").isEmpty():
         above = state.select(F.col("c").alias("c2"), F.col("turn").alias("t2"), F.col("up").alias("up2"),
-                             F.col("level").alias("level2"), F.col("thread").alias("thread2"))
-        # only messages whose chain is not followed to its start yet
+                             F.col("steps").alias("steps2"), F.col("end").alias("end2"))
+        # only messages whose chain is not followed to its end yet
         further = state.filter("up is not null").join(above, (F.col("c") == F.col("c2")) & (F.col("up") == F.col("t2"))).select(
-            "c", "turn", F.col("up2").alias("up"), (F.col("level") + F.col("level2")).alias("level"), F.col("thread2").alias("thread"))
+            "c", "turn", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"), F.col("end2").alias("end"))
         state = cut(state.filter("up is null").union(further))
     return state.drop("up")
 
 
+def _tree_order(nodes: DataFrame) -> DataFrame:
+    """``c, turn, thread, level, position`` of ``c, turn, reply_to`` in reply
+    order: a message, then its replies by turn, each with its own replies.
+
+    The order is a list in which every message points to the one before it:
+    its elder sibling's last descendant, else the message it answers.  Last
+    descendants and positions are found by pointer doubling, so neither a deep
+    nor a wide tree is walked in one task."""
+    level = _chains(nodes.withColumnRenamed("reply_to", "up")).withColumnsRenamed({"end": "thread", "steps": "level"})
+    # replies to one message in blocks of turns, so that very many are not sorted by one task
+    answers = nodes.filter("reply_to is not null")
+    elder = latest_before(answers, ["c", "reply_to"], "turn", F.lit(True)).select("c", "turn", "reply_to", F.col("before").alias("elder"))
+    youngest = answers.groupBy("c", F.col("reply_to").alias("turn")).agg(F.max("turn").alias("up"))
+    tails = _chains(nodes.select("c", "turn").join(youngest, ["c", "turn"], "left")) \
+        .select("c", F.col("turn").alias("elder"), F.col("end").alias("tail"))
+    listed = nodes.select("c", "turn").join(elder, ["c", "turn"], "left").join(tails, ["c", "elder"], "left") \
+        .select("c", "turn", F.coalesce("tail", "reply_to").alias("up"))
+    places = _chains(listed).select("c", "turn", (F.col("steps") + 1).alias("position"))
+    return level.join(places, ["c", "turn"])
+
+
 def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                   text: str = "text") -> DataFrame:
     """One row per message: ``conv_id, turn, role, content, n_quotes,
@@ -108,8 +128,8 @@ def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str =
     ``content`` is the text without quotations, ``n_quotes`` the quoted units
     of any level that were found in an earlier message, ``reply_to``
     the turn answered, ``thread`` and ``level`` the reply chain, and
-    ``position`` counts the turns of a conversation from 1, thread by thread.
-    Replies always follow what they answer.
+    ``position`` counts the turns of a conversation from 1 in reply order: a
+    message, then its replies by turn, each followed by its own replies.
 
     A null conversation id is a conversation of its own kind; messages with a
     null turn answer nothing and have no thread, level or position.
@@ -146,12 +166,17 @@ def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str =
         .select("c", "turn", F.col("best.before").alias("quoted"), "n_quotes")
     turns = dated.select("c", "turn").distinct()
     nodes = latest_before(turns, ["c"], "turn", F.lit(True)).join(chosen, ["c", "turn"], "left") \
-        .select("c", "turn", F.coalesce("quoted", "before").alias("reply_to"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"))
+        .select("c", "turn", "before", F.coalesce("quoted", "before").alias("reply_to"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"))
     nodes = cut(nodes)
-    ranked = global_rank(_chains(nodes), [F.col("c"), F.col("thread"), F.col("turn")], "rank")
-    first = ranked.groupBy("c").agg((F.min("rank") - 1).alias("first"))
-    placed = ranked.join(first, "c").join(nodes, ["c", "turn"]).select(
-        "c", "turn", "reply_to", "n_quotes", "thread", "level", (F.col("rank") - F.col("first")).alias("position"))
+    # most conversations answer turn by turn and are in order as they are; the rest are walked as trees
+    jumps = nodes.filter(~F.col("reply_to").eqNullSafe(F.col("before"))).select("c").distinct()
+    plain = global_rank(nodes.join(jumps, "c", "left_anti"), [F.col("c"), F.col("turn")], "rank")
+    first = plain.groupBy("c").agg((F.min("rank") - 1).alias("first"), F.min("turn").alias("thread"))
+    walked = _tree_order(cut(nodes.join(jumps, "c", "left_semi").select("c", "turn", "reply_to")))
+    order = plain.join(first, "c").withColumn("position", F.col("rank") - F.col("first")) \
+        .select("c", "turn", "thread", (F.col("position") - 1).alias("level"), "position") \
+        .union(walked.select("c", "turn", "thread", "level", "position"))
+    placed = order.join(nodes, ["c", "turn"]).select("c", "turn", "reply_to", "n_quotes", "thread", "level", "position")
     return lines.withColumn("content", content).drop("lines", "own").join(placed, ["c", "turn"], "left").select(
         "conv_id", "turn", "role", "content", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
         "reply_to", "thread", "level", "position")
