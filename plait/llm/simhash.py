@@ -168,12 +168,22 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                          bits: int = 3) -> DataFrame:
-    """The input rows without near-copies: of each component the document
-    with the smallest id stays, once.  Rows without id stay."""
-    found = near_duplicates(docs, doc_id=doc_id, text=text, shingle=shingle, bits=bits)
-    stay = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_pl_id")) \
-        .agg(F.count("*").alias("_pl_rows"))
-    kept = docs.join(stay, F.col(doc_id) == F.col("_pl_id"))
-    once = kept.filter("_pl_rows = 1")
-    repeated = kept.filter("_pl_rows > 1").dropDuplicates([doc_id])
-    return once.union(repeated).drop("_pl_id", "_pl_rows").union(docs.filter(F.col(doc_id).isNull()))
+    """The input rows without near-copies: one row of each component stays,
+    that of the smallest id (null after all others), of equal ids that of the
+    smallest hash of its text, and of rows equal in both one, chosen by a hash
+    of the whole row.  Ids need not be unique: texts count, not ids."""
+    ship_package(docs.sparkSession)
+    body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = cut(docs.select(F.col(doc_id).alias("id"), body.alias("body"), fingerprint(F.col(text), shingle).alias("fp")))
+    # the best row of each fingerprint, then of each component: sums that combine before they are shuffled
+    first = cut(rows.groupBy("fp", "id", "body").agg(F.count("*").alias("n")).groupBy("fp")
+                .agg(F.min(F.struct(F.col("id").isNull().alias("blank"), "id", "body", "n")).alias("best")))
+    member = components(links(first, bits), "a", "b")
+    best = first.join(member, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("root", "fp").alias("group")) \
+        .agg(F.min("best").alias("best")).select(F.col("best.id").alias("_pl_id"), F.col("best.body").alias("_pl_body"), F.col("best.n").alias("_pl_n"))
+    kept = docs.join(best, (body == F.col("_pl_body")) & F.col(doc_id).eqNullSafe(F.col("_pl_id")))
+    once = kept.filter("_pl_n = 1").select(docs.columns)
+    hashable = [c for c, t in docs.dtypes if "map<" not in t]
+    repeated = kept.filter("_pl_n > 1").groupBy("_pl_id", "_pl_body") \
+        .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashable)).alias("row")).select("row.*")
+    return once.union(repeated)
