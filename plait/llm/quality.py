@@ -14,7 +14,7 @@ import time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, cut, n_words, word_array
+from .common import SPACE_CHARS, cut, word_array
 
 #: Texts the order of the rules is estimated on, about.
 SAMPLE_ROWS = 1000
@@ -44,12 +44,14 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("_pl_lines", lines) \
         .withColumn("n_dup_lines", (F.size("_pl_lines") - F.size(F.array_distinct("_pl_lines"))).cast("long")) \
         .withColumn("_pl_h", F.transform("_pl_w", lambda w: F.xxhash64(w))).drop("_pl_w", "_pl_lines")
+    too_long = f"raise_error('a text of over {1 << _POS} words')"
 
     mask = (1 << _POS) - 1
     empty = "cast(array() as array<bigint>)"
     out = out.withColumn("_pl_s", F.expr(
-        "if(size(_pl_h) >= 3, sort_array(transform(sequence(0, size(_pl_h) - 3), i -> "
-        f"(xxhash64(get(_pl_h, i), get(_pl_h, i + 1), get(_pl_h, i + 2)) & {~mask}L) | i)), {empty})"))
+        f"if(size(_pl_h) between 3 and {1 << _POS}, sort_array(transform(sequence(0, size(_pl_h) - 3), i -> "
+        f"(xxhash64(get(_pl_h, i), get(_pl_h, i + 1), get(_pl_h, i + 2)) & {~mask}L) | i)), "
+        f"if(size(_pl_h) > {1 << _POS}, {too_long}, {empty}))"))
     same = " or ".join(f"coalesce((x ^ get(_pl_s, i + {d})) & {~mask}L = 0, false)" for d in (-1, 1))
     out = out.withColumn("_pl_c", F.expr(f"filter(_pl_s, (x, i) -> {same})"))
 
@@ -82,13 +84,20 @@ def rules(text: str = "text") -> dict[str, Column]:
     }
 
 
-def order_rules(measured: DataFrame, checks: dict[str, Column], text: str = "text",
+def base_fails() -> Column:
+    """Whether a measured text is too short or too repetitive to be shown to the rules."""
+    return (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
+
+
+def order_rules(docs: DataFrame, checks: dict[str, Column], text: str = "text",
                 sample_rows: int = SAMPLE_ROWS) -> list[str]:
     """Rule names by rejection per cost, estimated on about ``sample_rows``
-    texts chosen by hash."""
-    every = max(1, measured.count() // max(1, sample_rows))
-    used = [text, *(c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines") if c in measured.columns)]
-    some = cut(measured.filter(F.pmod(F.xxhash64(text), F.lit(every)) == 0).limit(2 * sample_rows).select(*used))
+    texts chosen by hash; those that fail the base never reach the cascade
+    and are left out."""
+    every = max(1, docs.count() // max(1, sample_rows))
+    drawn = docs.select(text).filter(F.pmod(F.xxhash64(text), F.lit(every)) == 0).limit(2 * sample_rows)
+    # measured before the filter, which Spark would else push below the measures
+    some = cut(measures(drawn, text)).filter(~base_fails())
 
     def seconds(c: Column) -> float:
         times = []
@@ -118,19 +127,15 @@ def judge(docs: DataFrame, *, text: str = "text", sample_rows: int = SAMPLE_ROWS
     words, or over half the words in repeated 3-word windows), ``rejected_by``
     and ``kept``.
 
-    A null or empty text has no words and fails the base.  Repeated rows are
+    A null or empty text has no words and fails the base; a text of over
+    2 ** 26 words raises.  Repeated rows are
     judged alike.  An input column with the name of an output column is
     replaced.
     """
     ours = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rejected_by", "kept"}
     base = docs.drop(*(set(docs.columns) & ours))
-    t = F.coalesce(F.col(text), F.lit(""))
-    light = base.select(F.col(text), n_words(F.col(text)).alias("n_words"),
-                        F.length(F.translate(t, SPACE_CHARS, "")).alias("word_chars"),
-                        _count(t, SYMBOLS).alias("n_symbols"), F.lit(0).alias("n_dup_lines"))
     checks = rules(text)
-    order = order_rules(light, checks, text, sample_rows)
-    failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    return measures(base, text).withColumn("base_failed", failed) \
+    order = order_rules(base, checks, text, sample_rows)
+    return measures(base, text).withColumn("base_failed", base_fails()) \
         .withColumn("rejected_by", F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(order, checks))) \
         .withColumn("kept", F.col("rejected_by").isNull())
