@@ -4,8 +4,10 @@ A page becomes a sequence of text blocks.  A linear classifier gives every
 block a cost of being content and a cost of being boilerplate; these are the
 capacities to the two terminals.  Smoothness edges join neighbours in the
 page and blocks close to each other in the element tree.  The minimum cut
-separates content from boilerplate; blocks in menus, footers, forms and the
-like have an unbounded cost of being content.
+separates content from boilerplate.  Elements that hold no article text by
+their kind (menus, footers, forms) have an unbounded cost of being content,
+unless an article or main element opens inside them; names of classes and ids
+are features of the classifier, no more.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template iframe object svg math textarea title select head".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
-# Elements whose text is no part of an article, and words of class and id that say the same.
+# Elements whose text is no part of an article, and names in class and id that hint at the same.
 OUTSIDE = frozenset("nav footer aside form menu dialog button fieldset".split())
 OUTSIDE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
                           "cookie cookies consent disqus footer header login masthead menu modal nav navbar navigation "
@@ -38,12 +40,14 @@ INSIDE = frozenset("article main".split())
 INSIDE_WORDS = frozenset("article articlebody body content entry main post story text".split())
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>")
+#: Elements without text of their own that may stand inside a paragraph.
+UNSEEN = frozenset("script style noscript template iframe object svg math textarea select".split())
 ATTRIBUTE = re.compile(r"(?i)\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SPACE = re.compile(r"\s+")
 
-FEATURES = ("bias", "outside", "inside", "links", "length", "sentence", "paragraph", "heading", "item", "depth")
+FEATURES = ("bias", "outside", "inside", "links", "length", "sentence", "paragraph", "heading", "item", "depth", "hint")
 #: Weights used where a sample has no marked-up blocks to fit on.
-DEFAULT = np.array([-0.5, -4.0, 3.0, -4.0, 1.5, 1.0, 0.8, 0.6, -1.0, 0.0])
+DEFAULT = np.array([-0.5, -4.0, 3.0, -4.0, 1.5, 1.0, 0.8, 0.6, -1.0, 0.0, -2.0])
 #: Pages the classifier is fitted on, at most.
 SAMPLE_PAGES = 300
 #: Capacity of a smoothness edge between blocks of one parent next to each other.
@@ -57,13 +61,18 @@ class Block:
     tag: str
     #: Ids of the open elements, the outermost first.
     path: tuple[int, ...]
+    #: In an element that holds no article text by its kind.
+    barred: bool
+    #: In an element named as such, as a whole name or as part of one.
     outside: bool
+    hint: bool
     inside: bool
 
 
-def _words(attributes: str) -> set[str]:
+def _names(attributes: str) -> tuple[set[str], set[str]]:
+    """Whole names of class, id and role, and the words they are made of."""
     found = " ".join("".join(m) for m in ATTRIBUTE.findall(attributes)).lower()
-    return set(re.split(r"[^a-z]+", found)) if found else set()
+    return (set(found.split()), set(re.split(r"[^a-z]+", found))) if found else (set(), set())
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -72,7 +81,7 @@ def blocks(page: str | None) -> list[Block]:
     open paragraph, an item ends the item before."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    stack: list[tuple] = [("", 0, False, False, False, False)]
     pieces: list[str] = []
     linked, links, count, at, n = 0, 0, 0, 0, len(page)
 
@@ -81,8 +90,7 @@ def blocks(page: str | None) -> list[Block]:
         text = SPACE.sub(" ", "".join(pieces)).strip()
         if text:
             tag = next((e[0] for e in reversed(stack) if e[0] not in INLINE), "")
-            out.append(Block(text, min(linked, len(text)), tag, tuple(e[1] for e in stack if e[0] not in INLINE),
-                             stack[-1][2], stack[-1][3]))
+            out.append(Block(text, min(linked, len(text)), tag, tuple(e[1] for e in stack if e[0] not in INLINE), *stack[-1][2:]))
         pieces.clear()
         linked = 0
 
@@ -136,7 +144,8 @@ def blocks(page: str | None) -> list[Block]:
                 at = found.start() if found else at
             else:
                 at = found.end() if found else n
-            flush()
+            if tag not in UNSEEN:
+                flush()
             continue
         if tag not in INLINE:
             flush()
@@ -154,12 +163,17 @@ def blocks(page: str | None) -> list[Block]:
         if tag in VOID or m[3].endswith("/"):
             continue
         count += 1
-        names = _words(m[3])
-        _, _, outside, inside = stack[-1]
-        outside = outside or tag in OUTSIDE or (tag == "header" and not inside) \
-            or (bool(names & OUTSIDE_WORDS) and tag not in ("html", "body", "article", "main"))
-        inside = inside or tag in INSIDE or bool(names & INSIDE_WORDS and tag not in ("html", "body"))
-        stack.append((tag, count, outside, inside))
+        names, words = _names(m[3])
+        _, _, barred, outside, hint, inside = stack[-1]
+        if tag in INSIDE:      # an article is what it is, whatever stands around it; comments are marked up as articles too
+            barred, hint, outside = False, False, outside and inside
+        elif tag not in ("html", "body"):
+            named = bool(names & OUTSIDE_WORDS) and not words & INSIDE_WORDS
+            barred = barred or tag in OUTSIDE or (tag == "header" and not inside)
+            outside = outside or barred or named
+            hint = hint or outside or (bool(words & OUTSIDE_WORDS) and not words & INSIDE_WORDS)
+        inside = inside or tag in INSIDE or bool(words & INSIDE_WORDS and tag not in ("html", "body"))
+        stack.append((tag, count, barred, outside, hint, inside))
         links += tag == "a"
     flush()
     return out
@@ -169,7 +183,7 @@ def block_features(b: Block) -> list[float]:
     return [1.0, float(b.outside), float(b.inside), b.linked / len(b.text), min(len(b.text), 400) / 400,
             float(b.text[-1] in ".!?:\"'”»"), float(b.tag in ("p", "blockquote", "pre")),
             float(len(b.tag) == 2 and b.tag[0] == "h" and b.tag[1].isdigit()), float(b.tag in ("li", "td", "th", "dt", "dd")),
-            min(len(b.path), 20) / 20]
+            min(len(b.path), 20) / 20, float(b.hint)]
 
 
 def edges(page: list[Block], strength: float = SMOOTH) -> list[tuple[int, int, float]]:
@@ -258,7 +272,7 @@ def main_text(page: str | None, weights: np.ndarray = DEFAULT) -> str:
     if not found:
         return ""
     z = (np.array([block_features(b) for b in found]) @ weights).tolist()  # log odds: the difference of the two costs
-    keep = minimum_cut([-1e6 if b.outside else min(max(x, -8.0), 8.0) for b, x in zip(found, z)], edges(found))
+    keep = minimum_cut([-1e6 if b.barred else min(max(x, -8.0), 8.0) for b, x in zip(found, z)], edges(found))
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 
@@ -285,7 +299,7 @@ def fit(pages: DataFrame, *, page_id: str = "page_id", html: str = "html", sampl
     if y.min() == y.max():
         return DEFAULT
     bare = x.copy()
-    bare[:, [1, 2]] = 0.0
+    bare[:, [1, 2, 10]] = 0.0
     x, y, n = np.vstack([x, bare]), np.concatenate([y, y]), np.concatenate([n, n])
     n = n / n.sum()
     w = DEFAULT.copy()
