@@ -23,6 +23,16 @@ def test_main_text():
     assert html.main_text(bare).startswith("A long") and "Two" not in html.main_text(bare)
 
 
+def test_names_are_hints_and_no_gate():
+    text = "<p>" + "This is the first long paragraph of the article, with many words in it. " * 4 + "</p><p>And a second one that goes on for a while.</p>"
+    plain = html.main_text(f"<body><nav><a href=/>Home</a></nav><div>{text}</div><footer>c</footer></body>")
+    for shell in ("<div class='post has-comments'>%s</div>", "<div class='entry-content share-enabled'>%s</div>", "<div class='story header-fixed'>%s</div>",
+                  "<div class='article-tags'>%s</div>", "<div class='content related-story'>%s</div>", "<div id='login-page'><main>%s</main></div>",
+                  "<form id=aspnet><article>%s</article></form>"):
+        assert html.main_text(f"<body><nav><a href=/>Home</a></nav>{shell % text}<footer>c</footer></body>") == plain != ""
+    assert [b.text for b in html.blocks("<p>one <noscript>x</noscript>two<script>y</script> three</p>")] == ["one two three"]
+
+
 def test_minimum_cut_is_optimal():
     dice = random.Random(4)
     for _ in range(200):
@@ -74,6 +84,29 @@ def test_urls_differ_below_the_fourth_segment(spark):
     assert got[119] == ("/{n}/{n}/{n}/shop/casino/x/{n}", "block") and got[118] == ("/{n}/{n}/{n}/shop/shoes/x/{n}", "allow")
 
 
+def test_numbers_that_differ_stay_apart(spark):
+    rows = [(100 * f + i, f"http://s.net/forum/{f}/t/{100 * f + i}") for f in (3, 4) for i in range(100)]
+    rows += [(1000 + i, f"http://s.net/forum/{10 + i}/t/{i}") for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i // 100 == 3)) for i, _ in rows], "page_id long, bad int")
+    got = {r.page_id: (r.template, r.verdict) for r in urls.judge_urls(pages, labels, []).collect()}
+    assert {got[300 + i] for i in range(100)} == {("/forum/3/t/{n}", "block")}
+    assert {v for k, v in got.items() if k // 100 != 3} <= {("/forum/4/t/{n}", "allow"), ("/forum/{n}/t/{n}", "allow")}
+
+
+def test_one_very_deep_path_adds_no_level(spark, monkeypatch):
+    rounds = []
+    real = urls.cut
+    monkeypatch.setattr(urls, "cut", lambda df: rounds.append(1) or real(df))
+    rows = [(1, "http://s.net/" + "trap7/" * 2000), (2, "http://s.net/a/b"), (3, "http://s.net/a/c"), (4, "http://s.net/----------------")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge_urls(pages, spark.createDataFrame([(1, 1)], "page_id long, bad int"), []).collect()}
+    assert len(got) == 4 and len(rounds) < 10
+    share, purity = 1.0, 1 / 2      # prior 1/2, then the host, then 2,000 levels
+    assert got[1].template.count("/") == 2000 and got[1].template.endswith("/trap{n}") and got[1].verdict == "block"
+    assert got[4].template != "/{h}" and share > purity
+
+
 def test_bad_branch_among_many_rare_siblings(spark):
     names = [f"{chr(97 + i // 20)}{chr(97 + i % 20)}" for i in range(200)]
     rows = [(i, f"http://s.net/u/{n}/") for i, n in enumerate(names)] + [(1000 + i, f"http://s.net/u/spam/{i}") for i in range(60)]
@@ -94,12 +127,36 @@ def test_quotes_are_linked(spark):
     got = {(r.conv_id, r.turn): r for r in out.collect()}
     assert out.count() == len(rows)
     assert [(got[1, t].reply_to, got[1, t].level, got[1, t].position) for t in range(5)] == [
-        (None, 0, 1), (0, 1, 2), (0, 1, 3), (1, 2, 4), (3, 3, 5)]
+        (None, 0, 1), (0, 1, 2), (0, 1, 5), (1, 2, 3), (3, 3, 4)]
     assert got[1, 2].content == "Use join." and got[1, 3].content == "Thanks." and got[1, 1].content == "Use sort."
     assert got[2, 0].content == "" and got[2, None].position is None and got[None, 1].reply_to == 0
     assert quotes.reply_ordered(out.select("conv_id", "turn", "role", F.col("content").alias("text")).limit(0)).count() == 0
 
 
+def test_reply_order_walks_the_tree(spark):
+    """Random reply trees, and one whose order is far from that of the turns."""
+    dice = random.Random(7)
+    trees = {c: {t: dice.randrange(t) for t in range(1, n)} for c, n in ((1, 40), (2, 25), (3, 1))}
+    trees[4] = {t: 0 if t % 2 else t - 1 for t in range(1, 30)}     # every other message answers the first
+    rows = []
+    for c, parents in trees.items():
+        for t in range(len(parents) + 1):
+            quoted = f"> words of message {parents[t]} in {c}\n" if t else ""
+            rows.append((c, t, "user", f"{quoted}words of message {t} in {c}"))
+    got = {(r.conv_id, r.turn): r for r in quotes.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    for c, parents in trees.items():
+        order, level = [], {}
+
+        def walk(t, depth):
+            order.append(t)
+            level[t] = depth
+            for child in sorted(x for x, up in parents.items() if up == t):
+                walk(child, depth + 1)
+        walk(0, 0)
+        assert [got[c, t].position for t in order] == list(range(1, len(order) + 1))
+        assert all(got[c, t].reply_to == parents.get(t) and got[c, t].level == level[t] and got[c, t].thread == 0 for t in order)
+
+
 def test_nested_and_rewrapped_quotes_are_linked(spark):
     rows = [(1, 0, "The first point is long enough to be wrapped.\n\nThe second point is wrapped as well, I think.\n\nA third."), (1, 1, "Other words."),
             (1, 2, "> The first point is long\n> enough to be wrapped.\nYes.\n> The second point is wrapped\n> as well, I think.\nNo."),

@@ -90,6 +90,15 @@ def test_drop_near_duplicates_keeps_one_of_each(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 4, 5, 6, 8]
 
 
+def test_drop_near_duplicates_goes_by_texts_where_ids_repeat(spark):
+    a, b, c, d = (prose(s, 200) for s in (11, 12, 13, 14))
+    rows = [(6, a, "a"), (6, b, "a"), (2, c, "a"), (4, c + " end", "a"), (4, d, "a"), (4, d, "a"), (None, a, "b"), (None, prose(15, 200), "b"),
+            (None, prose(15, 200), "c")]
+    kept = simhash.drop_near_duplicates(docs(spark, rows))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("6", a), ("6", b), ("2", c), ("4", d), ("None", prose(15, 200))])
+    assert simhash.drop_near_duplicates(docs(spark, [])).count() == 0
+
+
 @pytest.mark.parametrize("window", [5, 14])
 def test_repeats_equal_brute_force(spark, window):
     shared, dice = prose(9, 60).split(), random.Random(2)
@@ -237,6 +246,28 @@ def test_decontamination_keeps_dense_and_short_items(spark):
     assert got == {(1, 1): "exact", (2, 2): "exact", (4, 3): "exact", (6, 4): "reparameterised", (7, 6): "reparameterised"}
 
 
+def test_decontamination_finds_an_item_of_numbers_only(spark):
+    item = "Work out 3 + 4 + 12 + 5 + 9 + 21 + 7 + 8 + 30 + 2 + 6 + 11 + 14 + 15 + 16 and 19"
+    numbers = [w for w in item.split() if w.isdigit()]
+    words = [str(40 + 3 * numbers.index(w)) if w.isdigit() else w for w in item.split()]
+    rows = [(1, prose(1, 30) + ". " + " ".join(words) + " " + prose(2, 9), "a"), (2, prose(3, 20) + " " + item, "a"),
+            (3, " ".join(words[:-4] + ["or", "not"]), "a"), (4, prose(4, 90), "a")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.matches(docs(spark, rows), bench).collect()}
+    assert got == {(1, 1): "reparameterised", (2, 1): "exact"}
+
+
+def test_quality_rules_are_ordered_by_what_they_reject(spark):
+    """Repeated lines reject half of what passes the base, so they do not go last."""
+    same = "\n".join([prose(1, 12)] * 2 + [prose(i, 12) for i in range(2, 9)])
+    dup = "\n".join(line for i in range(12) for line in [f"line {i} of it"] * 2 + [prose(40 + i, 6)])
+    rows = [(i, dup if i % 2 else same + str(i), "a") for i in range(60)]
+    checks = {"repeated_lines": quality.rules()["repeated_lines"], "never": F.length("text") < 0}
+    judged = quality.judge(docs(spark, rows)).collect()
+    assert {r.rejected_by for r in judged if not r.base_failed} == {None, "repeated_lines"} or any(r.n_dup_lines for r in judged if not r.base_failed)
+    assert set(quality.order_rules(docs(spark, rows), checks)) == set(checks)
+
+
 LONG_ITEM = ("Tom buys 12 apples at the old market near the river bridge where his aunt once sold fresh bread and honey, and after a "
              "long walk home he packs them in 12 boxes")
 
