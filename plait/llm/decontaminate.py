@@ -29,23 +29,26 @@ MAX_SLOTS, LONGEST = 4, 32
 BROADCAST_WINDOWS = 200_000
 
 MARK = "\x01"
-NUMBER = r"(?<![\p{L}\p{N}_.,-])[+-]?[$€£]?(\p{N}+(?:[.,:/]\p{N}+)*)(?![\p{N}_])"
+#: Patterns look at the character itself before they look back: most places fail at once.
+NUMBER = r"(?=[+$€£\p{N}-])(?<![\p{L}\p{N}_.,-])[+-]?[$€£]?(\p{N}+(?:[.,:/]\p{N}+)*)(?![\p{N}_])"
 #: Fixed unit words, after a number only.
 UNITS = ("%|percent|kg|g|mg|lbs?|oz|km|m|cm|mm|mi|miles?|feet|ft|inch(?:es)?|l|ml|lit(?:er|re)s?|hours?|hrs?|h|minutes?|mins?|"
          "seconds?|secs?|s|days?|weeks?|months?|years?|mph|km/h|°[CF]|dollars?|euros?|cents?|USD|EUR")
 UNIT = rf"({MARK}n\S*?)[\x20-]?({UNITS})(?![\p{{L}}\p{{N}}])"
 #: A capitalised word that does not start a sentence.
-NAME = r"(?<=[\p{Ll}\p{N},;][\x20\t\n])(\p{Lu}[\p{L}'’-]*)"
+NAME = r"(\p{Lu}(?<=[\p{Ll}\p{N},;][\x20\t\n]\p{Lu})[\p{L}'’-]*)"
+#: Punctuation, but for that of a number.
+PUNCTUATION = rf"(?=[^\p{{L}}\p{{N}}\s{MARK}])(?<!{MARK}n\p{{N}}{{0,30}})[^\p{{L}}\p{{N}}\s{MARK}]+"
 
 
 def template_words(text: Column) -> Column:
     """Words of a text in lower case without punctuation; slots are words
     that start with a mark and n, u or p, followed by the value."""
-    t = F.translate(F.coalesce(text, F.lit("")), MARK, "")
+    t = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(""))
     t = F.regexp_replace(t, NAME, f" {MARK}p$1 ")
     t = F.regexp_replace(t, NUMBER, f" {MARK}n$1 ")
     t = F.regexp_replace(t, UNIT, f"$1 {MARK}u$2 ")
-    t = F.regexp_replace(F.lower(t), rf"(?<!{MARK}n\p{{N}}{{0,30}})[^\p{{L}}\p{{N}}\s{MARK}]+", "")
+    t = F.regexp_replace(F.lower(t), PUNCTUATION, "")
     return F.filter(F.split(t, r"\s+"), lambda w: w != "")
 
 
@@ -117,11 +120,16 @@ def _index(items: DataFrame, window: int) -> DataFrame:
     dense = items.withColumn("_pl_h", _hashes(F.col("words"))).select("item_id", "words", F.explode(F.expr(_dense(window))).alias("e")) \
         .select("item_id", "words", "e.*").withColumn("slots", placed) \
         .select("hash", "item_id", F.col("pos").alias("at"), "len", "slots", F.lit(False).alias("short"), F.lit(True).alias("by_value"))
+    # an item of little but placeholders, so that no window tells it by template, is one entry by its whole template
+    told = rows.select("item_id").union(dense.filter(F.col("len") > window).select("item_id")).distinct()
+    whole = items.filter(F.size("words") >= window).join(told, "item_id", "left_anti").withColumn("_pl_h", _hashes(F.col("words"))) \
+        .select(F.expr("xxhash64('t', _pl_h)").alias("hash"), "item_id", F.lit(0).alias("at"), F.size("words").alias("len"),
+                F.expr(f"size(filter(words, w -> startswith(w, '{MARK}')))").alias("slots"), F.lit(True).alias("short"), F.lit(False).alias("by_value"))
     few = items.filter(F.size("words").between(1, window - 1)).withColumn("_pl_h", _hashes(F.col("words"))) \
         .withColumn("slots", F.expr(f"size(filter(words, w -> startswith(w, '{MARK}')))")).withColumn("by_value", F.expr("slots * 2 > size(words)"))
     few = few.select(F.expr("if(by_value, xxhash64('v', array_join(words, ' ')), xxhash64('t', _pl_h))").alias("hash"), "item_id",
                      F.lit(0).alias("at"), F.size("words").alias("len"), "slots", F.lit(True).alias("short"), "by_value")
-    return rows.union(dense).union(few)
+    return rows.union(dense).union(few).union(whole)
 
 
 def _longest(same_words: Callable[[Column, Column], Column]) -> Column:
@@ -138,13 +146,16 @@ def _longest(same_words: Callable[[Column, Column], Column]) -> Column:
 
 def _coverage(stretches: DataFrame, size: DataFrame) -> DataFrame:
     """``doc_id, item_id, coverage, same, run``: the share of an item's windows
-    that the stretches of a document have, from their ``windows``, and the longest run."""
+    that the stretches of a document have, from their ``windows`` (all of it
+    where one window is the whole item), and the longest run."""
     if "same" not in stretches.columns:
         stretches = stretches.withColumn("same", F.lit(None).cast("boolean"))
-    each = stretches.select("doc_id", "item_id", "same", "run", F.explode("windows.at").alias("at")) \
-        .groupBy("doc_id", "item_id", "at").agg(F.max("same").alias("same"), F.max("run").alias("run"))
-    return each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.min("same").alias("same"), F.max("run").alias("run")) \
-        .join(size, "item_id").withColumn("coverage", F.col("n") / F.col("total")).select("doc_id", "item_id", "coverage", "same", "run")
+    each = stretches.select("doc_id", "item_id", "same", "run", F.explode("windows").alias("w")) \
+        .groupBy("doc_id", "item_id", F.col("w.at").alias("at")) \
+        .agg(F.max("same").alias("same"), F.max("run").alias("run"), F.max("w.len").alias("len"))
+    share = F.when(F.col("len") >= F.col("n_words"), F.lit(1.0)).otherwise(F.col("n") / F.col("total"))
+    return each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.min("same").alias("same"), F.max("run").alias("run"), F.max("len").alias("len")) \
+        .join(size, "item_id").withColumn("coverage", share).select("doc_id", "item_id", "coverage", "same", "run")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -163,7 +174,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), template_words(F.col(item_text)).alias("words")).dropna()
     index = cut(_index(items, window))
-    size = index.groupBy("item_id").agg(F.countDistinct("at").alias("total"))
+    size = index.groupBy("item_id").agg(F.countDistinct("at").alias("total")) \
+        .join(items.groupBy("item_id").agg(F.max(F.size("words")).alias("n_words")), "item_id")
     side = index.select("hash", "item_id", "at", "len", "slots")
     if side.count() <= BROADCAST_WINDOWS:
         side = F.broadcast(side)
