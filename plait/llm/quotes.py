@@ -169,13 +169,14 @@ def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str =
         .select("c", "turn", "before", F.coalesce("quoted", "before").alias("reply_to"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"))
     nodes = cut(nodes)
     # most conversations answer turn by turn and are in order as they are; the rest are walked as trees
-    jumps = nodes.filter(~F.col("reply_to").eqNullSafe(F.col("before"))).select("c").distinct()
+    jumps = cut(nodes.filter(~F.col("reply_to").eqNullSafe(F.col("before"))).select("c").distinct())
     plain = global_rank(nodes.join(jumps, "c", "left_anti"), [F.col("c"), F.col("turn")], "rank")
     first = plain.groupBy("c").agg((F.min("rank") - 1).alias("first"), F.min("turn").alias("thread"))
-    walked = _tree_order(cut(nodes.join(jumps, "c", "left_semi").select("c", "turn", "reply_to")))
     order = plain.join(first, "c").withColumn("position", F.col("rank") - F.col("first")) \
-        .select("c", "turn", "thread", (F.col("position") - 1).alias("level"), "position") \
-        .union(walked.select("c", "turn", "thread", "level", "position"))
+        .select("c", "turn", "thread", (F.col("position") - 1).alias("level"), "position")
+    if not jumps.isEmpty():
+        walked = _tree_order(cut(nodes.join(jumps, "c", "left_semi").select("c", "turn", "reply_to")))
+        order = order.union(walked.select("c", "turn", "thread", "level", "position"))
     placed = order.join(nodes, ["c", "turn"]).select("c", "turn", "reply_to", "n_quotes", "thread", "level", "position")
     return lines.withColumn("content", content).drop("lines", "own").join(placed, ["c", "turn"], "left").select(
         "conv_id", "turn", "role", "content", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
