@@ -110,18 +110,21 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], *, doc_
     """Fit a chain on at most ``sample_rows`` labelled documents.
 
     ``labels`` has ``doc_id`` and a 0/1 column per category; rows with a null
-    id or label are left out and of repeated ids one counts.  Without labels,
-    or where a category has one value only, its probability is constant and
-    nothing is above its threshold.
+    id or label are left out.  Of rows that repeat an id the largest labels and
+    the text of the smallest hash count, whatever the order of rows.  Without
+    labels, or where a category has one value only, its probability is
+    constant and nothing is above its threshold.
     """
     spark = docs.sparkSession
     ship_package(spark)
     known = [F.col(c).cast("int").alias(f"_pl_{i}") for i, c in enumerate(categories)]
-    chosen = labels.select(F.col(doc_id).alias("_pl_id"), *known).dropna().dropDuplicates(["_pl_id"]) \
+    most = [F.max(f"_pl_{i}").alias(f"_pl_{i}") for i in range(len(categories))]
+    chosen = labels.select(F.col(doc_id).alias("_pl_id"), *known).dropna().groupBy("_pl_id").agg(*most) \
         .orderBy(F.xxhash64("_pl_id"), "_pl_id").limit(sample_rows)
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")) \
-        .join(F.broadcast(chosen), F.col("id") == F.col("_pl_id")).drop("_pl_id").dropDuplicates(["id"])
     ys = [f"_pl_{i}" for i in range(len(categories))]
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")) \
+        .join(F.broadcast(chosen), F.col("id") == F.col("_pl_id")).groupBy("id", *ys) \
+        .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")).select("id", *ys, "first.text")
 
     def read(batches):
         for b in batches:
