@@ -48,6 +48,8 @@ TOKEN = re.compile(r"\w(?:[\w.@%+-]*\w)?|[^\w\s]")
 MAX_TOKENS = 9
 #: Documents and regions the field is fitted on, at most.
 SAMPLE_DOCS, SAMPLE_REGIONS, REGIONS_PER_DOC = 600, 800, 4
+#: Longer regions are not fitted on; none is cut, and all are searched.
+SAMPLE_REGION_CHARS = 2000
 
 Span = tuple[str, int, int]
 
@@ -300,7 +302,8 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sample_d
         sample_regions: int = SAMPLE_REGIONS) -> Field:
     """Fit the field on regions of the ``sample_docs`` documents with the
     smallest hashed ids among those that have digits or signs; without any,
-    on the variants alone."""
+    on the variants alone.  Regions of over SAMPLE_REGION_CHARS characters
+    are not fitted on; the others are taken whole."""
     ship_package(docs.sparkSession)
     some = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("id is not null") \
         .filter(F.col("text").rlike("[0-9@=]"))
@@ -311,7 +314,7 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sample_d
             ids, at = [], []
             for i, t in zip(b.column("id"), b.column("text")):
                 s = t.as_py()
-                part = [s[x:y][:200] for x, y in regions(s)[:REGIONS_PER_DOC]]
+                part = [s[x:y] for x, y in regions(s) if y - x <= SAMPLE_REGION_CHARS][:REGIONS_PER_DOC]
                 ids += [i] * len(part)
                 at += part
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.column("id").type), pa.array(at, pa.string())], ["id", "region"])
