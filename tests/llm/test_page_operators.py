@@ -75,6 +75,38 @@ def test_url_rules_and_templates(spark):
     assert urls.judge_urls(pages, labels.limit(0), []).filter("verdict = 'block'").count() == 0
 
 
+def plain_url(url):
+    """Host, path and longest rule, letter by letter."""
+    rest = (url or "").partition("://")[2]
+    cut = next((i for i, c in enumerate(rest) if c in "/?#"), len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut])
+    end = next((i for i in range(cut, len(rest)) if rest[i] in "?#"), len(rest))
+    path = rest[cut:end]
+    fits = []
+    for verdict, rule in RULES:
+        at = rule.index("/")
+        if (host == rule[:at] or host.endswith("." + rule[:at])) and path.startswith(rule[at:]):
+            fits.append((len(rule), rule, verdict))
+    return host, path, *(max(fits)[1:] if fits else (None, None))
+
+
+def test_hosts_paths_and_rules_equal_brute_force(spark):
+    dice = random.Random(11)
+    parts = ["http://", "https://", "://", "example.org", "EXAMPLE.org", "a.", "com", "xcom", ".", "/", "/es/", "/en/1", "/en/", "/fr/", "/de/", "1", "?q=/de/",
+             "#", "É", " ", ":80"]
+    rows = [(i, "".join(dice.choice(parts) for _ in range(dice.randint(0, 8)))) for i in range(3000)]
+    rows += [(5000 + i, f"http://{h}{p}{q}") for i, (h, p, q) in enumerate(itertools.product(
+        ["org", "example.org", "a.example.ORG", "notexample.org", "com", "x.com"], ["", "/", "/es/", "/es", "/en/12", "/fr/a", "/de/a/b"], ["", "?/de/", "#x"]))]
+    pages = spark.createDataFrame(rows + [(9999, None)], "page_id long, url string")
+    labels = spark.createDataFrame([], "page_id long, bad int")
+    ruled = 0
+    for r in urls.judge_urls(pages, labels, RULES).collect():
+        host, path, rule, verdict = plain_url(r.url)
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict or "allow"), r.url
+        ruled += rule is not None
+    assert ruled > 50
+
+
 def test_urls_differ_below_the_fourth_segment(spark):
     rows = [(i, f"http://s.net/2024/05/17/shop/{'casino' if i % 2 else 'shoes'}/x/{i}") for i in range(120)] + [(500, "http://s.net")]
     pages = spark.createDataFrame(rows, "page_id long, url string")

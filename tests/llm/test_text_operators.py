@@ -1,6 +1,7 @@
 """Operators over documents: brute force on small tables, and odd input."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -188,6 +189,43 @@ def test_pii_base_and_added(spark):
     assert masked[91] == "please call <phone> at noon" and masked[92] == got[92].text
 
 
+LITERAL = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+           "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def literal_spans(text):
+    """Leftmost matches of the patterns as they are written, checked by their rules."""
+    out = []
+    for kind, pattern in LITERAL.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m[0] if c.isdigit()]
+            doubled = [x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(digits[::-1])]
+            if {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else True,
+                    "card": 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0, "phone": 9 <= len(digits) <= 15}[kind]:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_pii_base_spans_equal_the_literal_patterns():
+    dice = random.Random(8)
+    parts = ["a@b.c", "x-1.y@", "@", ".", "-", "+", "+1", "(", ")", " ", "\n", "é", "_%", "255", "256", "0", "1.2.3.4", "4111", "1111", "79927398713",
+             "5555 5555 5555 4444", "415", "555-26", "71", "word"]
+    found = 0
+    for _ in range(20000):
+        text = "".join(dice.choice(parts) for _ in range(dice.randint(1, 14)))
+        assert pii.base_spans(text) == literal_spans(text), text
+        found += len(literal_spans(text))
+    assert found > 5000
+
+
+def test_pii_fits_on_whole_regions(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "fit_field", lambda made: seen.extend(t for t, _ in made))
+    long = "token=" + "a1" * 200
+    pii.fit(docs(spark, [(1, f"see {long} there", "a"), (2, "see " + "9" * 5000 + " and then, well after all of it, at 12:30 there", "a")]))
+    assert any(long in t for t in seen) and any("12:30" in t for t in seen) and max(map(len, seen)) <= pii.SAMPLE_REGION_CHARS
+
+
 def test_pii_field_finds_held_out_variants(spark):
     field = pii.fit_field(pii.variants(seed=1))
     right = sum(sorted(field.decode(t)) == sorted(s) for t, s in pii.variants(seed=99))
@@ -215,6 +253,17 @@ def test_toxicity_chain(spark):
     assert toxicity.drop_flagged(docs(spark, rows), none, "toxic").count() == len(rows)
 
 
+def test_toxicity_fit_does_not_depend_on_the_order_of_repeated_rows(spark):
+    rows = [(i, prose(i, 20) + " nastyword" * (i % 3 == 0), "a") for i in range(90)]
+    rows += [(i, prose(500 + i, 20), "b") for i in range(0, 90, 2)]
+    marks = [(i, int(i % 3 == 0)) for i in range(90)] + [(i, int(i % 5 == 0)) for i in range(90)]
+    first, second = (toxicity.fit(docs(spark, r), spark.createDataFrame(m, "doc_id long, toxic int").repartition(n), ("toxic",))
+                     for r, m, n in ((rows, marks, 1), (rows[::-1], marks[::-1], 3)))
+    assert first.vocabulary.keys() == second.vocabulary.keys() and first.f1 == pytest.approx(second.f1)
+    for w, at in first.vocabulary.items():
+        assert first.weights[0][at] == pytest.approx(second.weights[0][second.vocabulary[w]])
+
+
 ITEM = "Tom has 12 apples and gives 5 apples to Ann, then Tom buys 12 kg of pears and walks 3 miles home with Ann."
 
 
