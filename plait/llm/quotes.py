@@ -138,7 +138,8 @@ def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str =
     """
     key = F.coalesce(F.concat(F.lit("c"), F.col(conv_id).cast("string")), F.lit("none"))
     lines = messages.select(F.col(conv_id).alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"),
-                            key.alias("c"), parsed_lines(F.col(text)).alias("lines")) \
+                            key.alias("c"), parsed_lines(F.col(text)).alias("lines"),
+                            F.contains(F.coalesce(F.col(text), F.lit("")), F.lit(">")).alias("marked")) \
         .withColumn("own", own_lines(F.col("lines")))
     content = F.trim(F.regexp_replace(F.array_join("own", "\n"), r"\n{3,}", "\n\n"))
     content = F.regexp_replace(content, r"^\n+|\n+$", "")
@@ -154,10 +155,15 @@ def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str =
         F.transform(F.filter("lines", lambda x: x["depth"] == d), lambda x: x["content"]), d)))
     apart = F.flatten(F.transform("passages", lambda p: hashed(p["lines"], p["depth"])))
     none = F.array().cast("array<struct<h:bigint,size:int,q:int>>")
-    units = with_passages(dated).select("c", "turn", F.explode(F.concat(
-        hashed(F.col("own"), F.lit(0)), F.when(F.col("passages").isNotNull(), F.concat(together, apart)).otherwise(none))).alias("u")) \
-        .select("c", "turn", "u.*")
-    wanted = units.filter("q > 0").select("c", "h").distinct()
+
+    def exploded(made: DataFrame, units: Column) -> DataFrame:
+        return made.select("c", "turn", F.explode(units).alias("u")).select("c", "turn", "u.*")
+
+    # what is quoted is read from messages with a quote sign alone; only then is all own text hashed
+    wanted = exploded(with_passages(dated.filter("marked")).filter("passages is not null"), F.concat(together, apart)) \
+        .select("c", "h").distinct()
+    units = exploded(with_passages(dated), F.concat(
+        hashed(F.col("own"), F.lit(0)), F.when(F.col("passages").isNotNull(), F.concat(together, apart)).otherwise(none)))
     relevant = cut(units.join(wanted, ["c", "h"], "left_semi").groupBy("c", "h", "turn")
                    .agg(F.max("size").alias("size"), F.min("q").alias("low"), F.min(F.when(F.col("q") > 0, F.col("q"))).alias("depth")))
     linked = latest_before(relevant, ["c", "h"], "turn", F.col("low") == 0).filter("depth is not null and before is not null")
@@ -178,6 +184,6 @@ def reply_ordered(messages: DataFrame, *, conv_id: str = "conv_id", turn: str =
         walked = _tree_order(cut(nodes.join(jumps, "c", "left_semi").select("c", "turn", "reply_to")))
         order = order.union(walked.select("c", "turn", "thread", "level", "position"))
     placed = order.join(nodes, ["c", "turn"]).select("c", "turn", "reply_to", "n_quotes", "thread", "level", "position")
-    return lines.withColumn("content", content).drop("lines", "own").join(placed, ["c", "turn"], "left").select(
+    return lines.withColumn("content", content).drop("lines", "own", "marked").join(placed, ["c", "turn"], "left").select(
         "conv_id", "turn", "role", "content", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
         "reply_to", "thread", "level", "position")
