@@ -1,16 +1,24 @@
-"""Substring dedup: windows under content-chosen reference blocks, joined by hash.
-
-This replaces relative Lempel-Ziv parsing: nothing is matched or extended
-against reference text, and factors follow from the document alone.
-
-The reference is the whole corpus.  It is indexed by content: in every window
-of ``window`` words the word block (of BLOCK_WORDS) with the smallest hash is the window's
-reference block, so equal windows name equal blocks.  A document is cut into
-factors, a factor being the run of windows under one occurrence of a block.
-The joins keep only factors whose block occurs again
-somewhere.  A factor that occurs again as a whole is duplicate in full.  The
-other factors, the ones at the boundary of a repeat, are checked window by
-window against all windows under the same block.
+"""Substring dedup: greedy relative Lempel-Ziv factors against reference blocks.
+
+The reference is the whole corpus, in blocks.  In every window of ``window``
+words the sequence (of BLOCK_WORDS) with the smallest hash names the window's
+reference block, so equal windows name equal blocks.  A document is read in
+pieces, a piece being the run of windows under one occurrence of a name; a
+reference block is a distinct piece and is indexed by its name.  The joins keep
+only pieces whose name occurs again somewhere.
+
+A piece that occurs again as a whole is one factor.  Every other piece is
+factored greedily against every reference block indexed under its name: from
+the first window that one of them holds, the factor takes the longest stretch
+that any of them holds on from there.  The windows across the factor's end
+are checked in turn, and each that some block holds starts a further factor.
+Factors of at least ``window`` words are the duplicate spans; shorter ones are
+literals.  Pieces of one name lie alike around it, so the longest stretch
+is the common beginning with a neighbour in sorted order, and no two pieces
+are compared that are not neighbours.
+
+A name with over CROWDED different blocks is not brought into one task: there
+every window is checked like one at a factor's end, by joins on its hash.
 """
 
 from __future__ import annotations
@@ -33,6 +41,10 @@ BLOCK_WORDS = 12
 CHUNK = 1 << 17
 #: Bits of the filter in front of the exact join; a fixed size, whatever the corpus.
 FILTER_BITS = 1 << 27
+#: Reference blocks of one name that one task takes; the windows of more are joined one by one.
+CROWDED = 1024
+#: Names of crowded blocks that are broadcast (8 bytes each); more are joined by a shuffle.
+BROADCAST_NAMES = 100_000
 
 _BASE = 0x9E3779B97F4A7C15
 _powers: dict[str, np.ndarray] = {}
@@ -78,8 +90,8 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def factors(words: list[bytes], window: int) -> Iterator[dict[str, np.ndarray]]:
-    """Factors of a text: start (first word), m (windows), off (words before
+def pieces(words: list[bytes], window: int) -> Iterator[dict[str, np.ndarray]]:
+    """Pieces of a text: start (first word), m (windows), off (words before
     the block in the first window), block and content hash, hashes of the windows."""
     size = min(BLOCK_WORDS, (window + 1) // 2)
     for at in range(0, len(words) - window + 1, CHUNK):
@@ -100,10 +112,10 @@ def _words(text) -> list[bytes]:
 
 
 def _blocks(texts: DataFrame, window: int) -> DataFrame:
-    """``block, n``: occurrences of the reference blocks of factors."""
+    """``block, n``: occurrences of the names of reference blocks."""
     def count(batches):
         for batch in batches:
-            found = [f["block"] for t in batch.column(0) for f in factors(_words(t), window)]
+            found = [f["block"] for t in batch.column(0) for f in pieces(_words(t), window)]
             if found:
                 block, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(block.view(np.int64)), pa.array(n)], ["block", "n"])
@@ -123,7 +135,7 @@ def _filter(repeated: DataFrame) -> np.ndarray:
 
 
 def _occurrences(texts: DataFrame, window: int, bitmap, with_windows: bool) -> DataFrame:
-    """Factors whose block passes the filter, keyed by two hashes of their text."""
+    """Pieces whose block passes the filter, keyed by two hashes of their text."""
     def parse(batches):
         bits = bitmap.value
         for batch in batches:
@@ -131,7 +143,7 @@ def _occurrences(texts: DataFrame, window: int, bitmap, with_windows: bool) -> D
             rows: list[list] = [[] for _ in range(7)]
             blobs: list[bytes] = []
             for i in range(batch.num_rows):
-                for f in factors(_words(text[i]), window):
+                for f in pieces(_words(text[i]), window):
                     slot = f["block"] & np.uint64(FILTER_BITS - 1)
                     keep = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
                     if not keep.any():
@@ -167,25 +179,118 @@ def duplicate_spans(texts: DataFrame, window: int = 35) -> DataFrame:
     repeated = cut(_blocks(texts, window).filter("n > 1").select("block"))
     bitmap = spark.sparkContext.broadcast(_filter(repeated))
 
-    # one row per distinct factor; the occurrences are parsed again below rather than stored
-    distinct = cut(_occurrences(texts, window, bitmap, True).groupBy("block", "content").agg(
+    # the reference blocks, each once; their occurrences are parsed again below rather than stored
+    blocks = cut(_occurrences(texts, window, bitmap, True).groupBy("block", "content").agg(
         F.count("*").alias("n"), *[F.any_value(c).alias(c) for c in ("k1", "k2", "start", "m", "off", "windows")]))
-    again = distinct.filter("n > 1").select("block", "content")
+    again = blocks.filter("n > 1").select("block", "content")
     whole = _occurrences(texts, window, bitmap, False).join(again, ["block", "content"], "left_semi") \
         .select("k1", "k2", "start", (F.col("start") + F.col("m") - 1 + window).alias("end"))
+    spans = whole.union(_factored(blocks, window)).distinct()
+    return spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
-    # at boundaries: one row per window, named by its block, its place relative to the block and its hash
-    contested = distinct.groupBy("block").agg(F.count("*").alias("c")).filter("c > 1").select("block")
+
+def _factored(blocks: DataFrame, window: int) -> DataFrame:
+    """``k1, k2, start, end`` of the factors of pieces that occur once as a whole."""
+    crowded = cut(blocks.groupBy("block").agg(F.count("*").alias("c")).filter(F.col("c") > CROWDED).select("block"))
+    names = crowded.count()
+    small = F.broadcast(crowded) if names <= BROADCAST_NAMES else crowded
+    columns = blocks.select("block", "k1", "k2", "n", "start", "m", "off", "windows")
+
+    def parse(batches):
+        for group in _whole_groups(batches):
+            yield from _factor_rows(group, window)
+    few = columns.join(small, "block", "left_anti") if names else columns
+    found = few.repartition("block").sortWithinPartitions("block") \
+        .mapInArrow(parse, "k1 long, k2 int, start int, end int")
+    if not names:
+        return found
+
+    # one row per window, named by its block, its place relative to the block and its hash
     one = F.expr("transform(sequence(0, m - 1), i -> named_struct('off', off - i, "
                  "'hash', substring(windows, 8 * i + 1, 8), 'at', start + i))")
-    windows = distinct.join(contested, "block", "left_semi") \
+    windows = columns.join(small, "block", "left_semi") \
         .select("k1", "k2", "n", "block", F.explode(one).alias("w")) \
         .select("k1", "k2", "n", "block", "w.off", "w.hash", "w.at")
     twice = windows.groupBy("block", "off", "hash").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
     edge = windows.filter("n = 1").join(twice, ["block", "off", "hash"], "left_semi") \
         .select("k1", "k2", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
-    return whole.union(edge).distinct() \
-        .groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return found.union(edge)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows, sorted by block, in tables that never part the rows of a block."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = batch.column(0).to_numpy()
+        last = int(np.searchsorted(block, block[-1]))
+        if last or (held and held[-1].column(0)[0].as_py() != block[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, last)], batch.schema)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _factor_rows(rows: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
+    """Factors of the pieces in ``rows`` against the other pieces of their block."""
+    block = rows.column("block").to_numpy()
+    alone = np.concatenate([[True], block[1:] != block[:-1], [True]])
+    rows = rows.filter(pa.array(~(alone[:-1] & alone[1:])))
+    if not rows.num_rows:
+        return
+    block, n, m, off = (rows.column(c).to_numpy() for c in ("block", "n", "m", "off"))
+    # windows side by side: one column per place relative to the block, in reading order
+    first = off.max() - off
+    width = int((first + m).max())
+    row = np.repeat(np.arange(len(m)), m)
+    column = np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first, m)
+    hashes, there = np.zeros((len(m), width), np.uint64), np.zeros((len(m), width), bool)
+    hashes[row, column] = np.frombuffer(b"".join(rows.column("windows").to_pylist()), "<u8")
+    there[row, column] = True
+    found = greedy(longest(block, hashes, there))
+    at, place, length = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in zip(*found))
+    once = n[at] == 1
+    at, place, length = at[once], place[once], length[once]
+    start = rows.column("start").to_numpy()[at] + place - first[at]
+    yield pa.RecordBatch.from_arrays([
+        rows.column("k1").combine_chunks().take(pa.array(at)), rows.column("k2").combine_chunks().take(pa.array(at)),
+        pa.array(start, pa.int32()), pa.array(start + length - 1 + window, pa.int32())], ["k1", "k2", "start", "end"])
+
+
+def longest(block: np.ndarray, hashes: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """For each row and column, how many columns on from there the row agrees
+    with the row of its block that agrees longest.  From the last column to
+    the first, rows are sorted by what follows; the longest common beginning of a
+    row is the one with the row before or after it."""
+    count, width = hashes.shape
+    out, rank = np.zeros((count, width), np.int32), np.zeros(count, np.int64)
+    for c in range(width - 1, -1, -1):
+        rows = np.flatnonzero(there[:, c])
+        rows = rows[np.lexsort((rank[rows], hashes[rows, c], block[rows]))]
+        a, b = rows[:-1], rows[1:]
+        same = (block[a] == block[b]) & (hashes[a, c] == hashes[b, c])
+        new = ~same | (rank[a] != rank[b])
+        rank = np.zeros(count, np.int64)
+        rank[rows] = np.cumsum(np.concatenate([[1], new]))[:len(rows)]
+        a, b = a[same], b[same]
+        agree = (hashes[a, c:] == hashes[b, c:]) & there[a, c:] & there[b, c:]
+        common = np.where(agree.all(1), width - c, agree.argmin(1)).astype(np.int32)
+        np.maximum.at(out[:, c], a, common)
+        np.maximum.at(out[:, c], b, common)
+    return out
+
+
+def greedy(lengths: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Greedy factors of all rows as (rows, columns, lengths): each row takes
+    the longest stretch at the first column it can and goes on behind it."""
+    until, out = np.zeros(len(lengths), np.int64), []
+    for c in range(lengths.shape[1]):
+        rows = np.flatnonzero((until <= c) & (lengths[:, c] > 0))
+        until[rows] = c + lengths[rows, c]
+        out.append((rows, np.full(len(rows), c), lengths[rows, c].astype(np.int64)))
+    return out
 
 
 def _keys(text):

@@ -1,5 +1,6 @@
 """Operators over documents: brute force on small tables, and odd input."""
 
+import hashlib
 import random
 import re
 
@@ -118,6 +119,63 @@ def test_repeats_equal_brute_force(spark, window):
         assert len(covered.get(keys[t], ())) == gone, t
 
 
+def _shared_pieces(spark):
+    """Texts around parts of one passage, so that most pieces of a name differ."""
+    shared, dice = prose(9, 40).split(), random.Random(5)
+    rows = [(i, " ".join(prose(300 + i, 8).split() + shared[dice.randint(0, 12):dice.randint(24, 40)] + prose(400 + i, 8).split()), "a")
+            for i in range(40)]
+    return rows, docs(spark, rows + ODD)
+
+
+@pytest.mark.parametrize("crowded, batch", [(1024, 10000), (1024, 3), (2, 10000), (0, 10)])
+def test_factors_equal_brute_force(spark, monkeypatch, crowded, batch):
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
+    rows, table = _shared_pieces(spark)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(batch))
+    try:
+        got = {(r.doc_id, r.text): r for r in repeats.remove_repeats(table, window=12).collect()}
+    finally:
+        spark.conf.set(size, before)
+    wanted = repeats.remove_repeats_plain([t for _, t, _ in rows + ODD], 12)
+    assert sum(gone for _, gone, _ in wanted) > 500
+    for (n, gone, digest), (i, t, _) in zip(wanted, rows + ODD):
+        r = got[i, t]
+        assert (r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) == (n, gone, digest)
+
+
+def test_a_factor_is_the_longest_stretch_of_any_reference_block():
+    dice = np.random.default_rng(3)
+    count, width = 60, 9
+    block = np.sort(dice.integers(0, 6, count))
+    hashes = dice.integers(0, 2, (count, width)).astype(np.uint64)
+    first, last = dice.integers(0, 4, count), dice.integers(5, width + 1, count)
+    there = (np.arange(width) >= first[:, None]) & (np.arange(width) < last[:, None])
+    got = repeats.longest(block, hashes, there)
+    for r in range(count):
+        others = [o for o in range(count) if o != r and block[o] == block[r]]
+        for c in range(width):
+            best = 0
+            for o in others:
+                k = c
+                while k < width and there[r, k] and there[o, k] and hashes[r, k] == hashes[o, k]:
+                    k += 1
+                best = max(best, k - c)
+            assert got[r, c] == best
+    parsed = {}
+    for at, place, length in repeats.greedy(got):
+        for r, c, k in zip(at.tolist(), place.tolist(), length.tolist()):
+            parsed.setdefault(r, []).append((c, k))
+    for r in range(count):
+        c, wanted = 0, []
+        while c < width:
+            if got[r, c]:
+                wanted.append((c, int(got[r, c])))
+            c += max(int(got[r, c]), 1)
+        assert parsed.get(r, []) == wanted
+
+
 def test_remove_repeats_rows(spark):
     out = {(r.doc_id, r.source): r for r in repeats.remove_repeats(docs(spark, ODD)).collect()}
     assert out[6, "b"].n_removed == out[6, "b"].n_words == 4000 and out[7, "a"].kept_text == ""
