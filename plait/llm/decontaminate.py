@@ -167,11 +167,27 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     value over the aligned stretch.  A document is also reported, whatever its
     coverage, if windows that count give RUN words in a row.
 
-    Rows with a null id, document or item, are not reported.  Items of fewer
-    words than a window are found whole.  Rows that repeat an id count as
-    one document; identical items are all reported.  Empty tables give an
-    empty result.
+    Texts are judged, each once, whatever rows hold them: an id with several
+    texts is reported with the best of them, an item counting for each text
+    on its own.  Rows with a null id, document or item, are not reported.
+    Items of fewer words than a window are found whole; identical items are
+    all reported.  Empty tables give an empty result.
     """
+    rows = docs.select(F.col(doc_id).alias("id"), _key(F.col(text)).alias("doc_id")).filter("id is not null")
+    found = _text_matches(docs.select(_key(F.col(text)).alias("doc_id"), F.col(text).alias("text")), benchmark, item_id, item_text, window, coverage)
+    return rows.join(found, "doc_id").groupBy(F.col("id").alias("doc_id"), "item_id") \
+        .agg(F.max(F.struct("coverage", (F.col("kind") == "exact").alias("same"))).alias("best")) \
+        .select("doc_id", "item_id", "best.coverage", F.when(F.col("best.same"), "exact").otherwise("reparameterised").alias("kind"))
+
+
+def _key(text: Column) -> Column:
+    """Names a text by 96 bits of hashes; null and empty texts alike."""
+    body = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(body).alias("k1"), F.hash(body).alias("k2"))
+
+
+def _text_matches(texts: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, window: int, coverage: float) -> DataFrame:
+    """``matches`` of ``doc_id, text``, where rows of one id have one text."""
     items = benchmark.select(F.col(item_id).alias("item_id"), template_words(F.col(item_text)).alias("words")).dropna()
     index = cut(_index(items, window))
     size = index.groupBy("item_id").agg(F.countDistinct("at").alias("total")) \
@@ -184,9 +200,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     more = [_short(k.length, k.by_value) if k.length else _dense(window) for k in kinds]
 
     def worded(df: DataFrame) -> DataFrame:
-        return df.select(F.col(doc_id).alias("doc_id"), template_words(F.col(text)).alias("words")).filter("doc_id is not null")
+        return df.select("doc_id", template_words(F.col("text")).alias("words"))
 
-    found = _exploded(worded(docs), ["doc_id"], window, more).join(side, ["hash", "len"]) \
+    found = _exploded(worded(texts), ["doc_id"], window, more).join(side, ["hash", "len"]) \
         .groupBy("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")) \
         .agg(F.sort_array(F.collect_set(F.struct("at", "len"))).alias("windows"), F.max("slots").alias("slots"))
     found = cut(found)  # one row per stretch of a document aligned with an item
@@ -198,7 +214,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     consistent = stretches.filter("slots = 0").select("doc_id", "item_id", "windows", F.lit(True).alias("same"), "run")
     slotted = cut(stretches.filter("slots > 0").drop("slots", "run"))
     if not slotted.isEmpty():
-        again = docs.join(slotted.select(F.col("doc_id").alias("_pl_id")).distinct(), F.col(doc_id) == F.col("_pl_id"), "left_semi")
+        again = texts.join(slotted.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
         pairs = slotted.join(items.withColumnRenamed("words", "theirs"), "item_id").join(worded(again), "doc_id")
 
         def aligned(w: Column) -> Column:
@@ -208,7 +224,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
         def slots_of(w: Column) -> Column:
             return F.filter(aligned(w), lambda p: p["a"].startswith(MARK))
 
-        # rows that repeat an id have other words at this place
+        # equal hashes of other words do not count
         fits = lambda p: (p["a"] == p["b"]) | (p["a"].startswith(MARK) & (F.substring(p["a"], 1, 2) == F.substring(p["b"], 1, 2)))
         pairs = pairs.withColumn("windows", F.filter("windows", lambda w: F.forall(aligned(w), fits)))
         pairs = pairs.withColumn("p", F.array_distinct(F.flatten(F.transform("windows", slots_of))))
@@ -228,7 +244,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
         .select("doc_id", "item_id", "coverage", F.when(F.col("same"), "exact").otherwise("reparameterised").alias("kind"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The input rows whose document holds no benchmark item."""
-    found = matches(docs, benchmark, doc_id=doc_id, **options).select(F.col("doc_id").alias("_pl_id")).distinct()
-    return docs.join(found, F.col(doc_id) == F.col("_pl_id"), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+                  item_text: str = "text", window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
+    """The input rows whose text holds no benchmark item.  Ids play no part:
+    rows without an id, or with one that repeats, go or stay by their own text."""
+    found = _text_matches(docs.select(_key(F.col(text)).alias("doc_id"), F.col(text).alias("text")), benchmark, item_id, item_text, window, coverage) \
+        .select(F.col("doc_id").alias("_pl_key")).distinct()
+    return docs.join(found, _key(F.col(text)) == F.col("_pl_key"), "left_anti")

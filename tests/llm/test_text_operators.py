@@ -343,6 +343,20 @@ DENSE = "Add 12 kg 7 kg 31 kg 5 kg 18 kg 44 kg and 3 kg 9 kg 26 kg 71 kg"
 RECIPE = "Mix 3 kg 4 kg 5 kg flour with 6 kg 7 kg 8 kg sugar and 9 kg 2 kg 11 kg water for cold days"
 
 
+def test_decontamination_goes_by_texts_where_ids_repeat_or_are_missing(spark):
+    item = prose(70, 40)
+    half, rest = " ".join(item.split()[:14]), " ".join(item.split()[14:27])
+    clean = [prose(s, 50) for s in (71, 72, 73)]
+    whole = clean[0] + " " + item
+    rows = [(None, whole, "a"), (None, clean[1], "a"), (5, whole, "a"), (5, clean[2], "b"), (5, whole, "a"), (6, whole, "b"),
+            (7, half[:-20] + " " + clean[1], "a"), (7, rest[20:] + " " + clean[2], "a"), (8, None, "a"), (9, "", "a")]
+    bench = spark.createDataFrame([(1, item), (None, clean[1])], "item_id long, text string")
+    found = decontaminate.matches(docs(spark, rows), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.kind) for r in found) == [(5, 1, "exact"), (6, 1, "exact")]
+    left = decontaminate.decontaminate(docs(spark, rows), bench).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in left) == sorted((str(i), t or "") for i, t, _ in rows if t != whole)
+
+
 def test_decontamination_keeps_dense_and_short_items(spark):
     rows = [(1, prose(1, 30) + " so " + DENSE, "a"), (2, "We said capital of this land is old", "a"), (3, prose(2, 60), "a"),
             (4, "sums 4 8 15 16 and more", "a"), (5, "sums 4 8 15 17 and more", "a"), (6, "he took 7 of the pears", "a"),
