@@ -43,7 +43,7 @@ SOURCE_FROM = "1998-01-01"
 ROUND_ONE_BEFORE = "2024-01-16"
 ROUND_TWO_FROM = "2024-01-15"
 # bump when the reply builder changes, so landed replies are rebuilt
-REPLY_FORMAT = 3
+REPLY_FORMAT = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,11 +54,16 @@ def order_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order replies ``doc_key, body`` (JSON text), landed once per input
     version in the shared folder, as fetched replies would be."""
     target = f"{shared_dir(spark)}/plait/replies/orders-{_landing_key(spark, sf_dir)}"
-    land_once(spark, lambda: order_bodies(table(spark, sf_dir, "orders"),
-                                          table(spark, sf_dir, "lineitem")), target)
+    land_once(spark, lambda: _order_bodies(spark, sf_dir), target, compression="zstd")
     return read_table(spark, target)
 
 
+def _order_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the tables are read as they lie: the builder spreads them by key at once,
+    # so spreading a file of few splits before would be a second shuffle
+    return order_bodies(*(spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in ("orders", "lineitem")))
+
+
 def _landing_key(spark: SparkSession, sf_dir: str) -> str:
     inputs = [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "lineitem")]
     fmt = hashlib.sha256(f"{REPLY_FORMAT}|{DEFAULT_PAGE_SIZE}|{ORDER_DOCUMENT_DDL}".encode()).hexdigest()[:8]

@@ -14,16 +14,20 @@ included, are spread by a hash, so every group that is collected is bounded.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_PAGE_SIZE = 500
+#: Child rows that one task groups.
+DEFAULT_TASK_ROWS = 250_000
 
 
 def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
          properties: Column, feature: Column, order: list[Column], salt: Column | None = None,
          page_size: int = DEFAULT_PAGE_SIZE, doc_type: str = "FeatureCollection",
-         max_broadcast_keys: int = 1_000_000) -> DataFrame:
+         max_broadcast_keys: int = 1_000_000, task_rows: int = DEFAULT_TASK_ROWS) -> DataFrame:
     """One row per document: ``doc_key, <key>, page, doc`` (doc is a struct
     ``type, properties, features``).  Parents without children get one
     document with an empty ``features`` array.
@@ -39,29 +43,38 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
     are counted first (one aggregate over the key column): with none, no
     join is planned for them; with at most ``max_broadcast_keys`` (a measured
     bound, ~16 bytes each) they are broadcast; beyond that they are joined
-    by key with a shuffle.  Grouping on (key, page) hashes on both, so the
-    pages of a hot key are collected by different tasks.  Parents are left
-    joined on (key, page) too: the grouping's partitioning is reused, and the
-    pages of a hot key stay spread.
+    by key with a shuffle.  The children of all other keys are shuffled once,
+    by key and as the plain columns they come in; structs are built after it,
+    so no nested row is written to a shuffle.  The same count gives the number
+    of tasks, about ``task_rows`` rows each, so the rows that one task sorts
+    stay bounded and are not spilled.  Grouping the other children on
+    (key, page) hashes on both, so the pages of a hot key are collected by
+    different tasks.  Parents are left joined on (key, page) too: the
+    grouping's partitioning is reused, and the pages of a hot key stay spread.
     """
     # a child without a parent key belongs to no document (the parent join
     # would drop it); dropping it first keeps NULL from becoming one huge group
     if salt is None:
         salt = F.xxhash64(F.struct(*order), feature)
-    c = (child.where(F.col(child_key).isNotNull())
-         .select(F.col(child_key).alias("_k"), F.struct(*order).alias("_o"), feature.alias("_f"), salt.alias("_s")))
+    child = child.where(F.col(child_key).isNotNull())
+    packed = [F.col(child_key).alias("_k"), F.struct(*order).alias("_o"), feature.alias("_f")]
     p = parent.select(F.col(key).alias("_k"), properties.alias("properties"))
-    hot = (c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(page_size))
-           .select("_k", F.ceil(F.col("_n") / F.lit(page_size)).alias("_pages")))
-    n_hot = hot.count()
-    if n_hot == 0:
-        paged = c.withColumns({"_page": F.lit(0), "_copies": F.lit(1)})
-        pages = p.withColumns({"_page": F.lit(0), "_hot": F.lit(False)})
-    else:
+    counts = child.groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    is_hot = F.col("_n") > F.lit(page_size)
+    n_hot, n_rows = counts.agg(F.count_if(is_hot), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    tasks = max(child.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / task_rows))
+    whole, pages = child, p
+    if n_hot:
+        hot = counts.where(is_hot).select("_k", F.ceil(F.col("_n") / F.lit(page_size)).alias("_pages"))
         side = F.broadcast(hot) if n_hot <= max_broadcast_keys else hot
-        marked = c.join(side, "_k", "left")
-        distinct = (marked.where(F.col("_pages").isNotNull())
-                    .groupBy("_k", "_s", "_o", "_f", "_pages").agg(F.count(F.lit(1)).alias("_n")))
+        whole = child.join(side, F.col(child_key) == side["_k"], "left_anti")
+        pages = p.join(side, "_k", "left_anti")
+    # the literal page keeps both branches alike; it costs no shuffle
+    one = whole.repartition(tasks, child_key).select(*packed)
+    docs = _documents(pages.withColumn("_page", F.lit(0)), one.withColumn("_page", F.lit(0)), many=False)
+    if n_hot:
+        marked = child.select(*packed, salt.alias("_s")).join(side, "_k")
+        distinct = marked.groupBy("_k", "_s", "_o", "_f", "_pages").agg(F.count(F.lit(1)).alias("_n"))
         crowded = (distinct.groupBy("_k", "_s").agg(F.sum("_n").alias("_sn"))
                    .where(F.col("_sn") > F.lit(page_size)).select("_k", "_s", F.lit(True).alias("_crowded")))
         lot = F.when(F.col("_crowded"), F.lit(max(1, page_size // 10)).cast("bigint")).otherwise(F.col("_n"))
@@ -72,23 +85,10 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
         spread = lots.select(
             "_k", "_o", "_f", F.pmod(number, F.col("_pages")).cast("int").alias("_page"),
             F.least("_size", F.col("_n") - F.col("_lot") * F.col("_size")).cast("int").alias("_copies"))
-        paged = (marked.where(F.col("_pages").isNull())
-                 .select("_k", "_o", "_f", F.lit(0).alias("_page"), F.lit(1).alias("_copies"))
-                 .unionByName(spread))
-        pages = p.join(side, "_k", "left").select(
-            "_k", "properties", F.col("_pages").isNotNull().alias("_hot"),
-            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pages"), F.lit(1)).cast("int") - 1)).alias("_page"))
-    grouped = (paged.groupBy("_k", "_page")
-               .agg(F.sort_array(F.collect_list(F.struct("_o", "_f", "_copies"))).alias("_items")))
-    if n_hot == 0:
-        features = F.transform("_items", lambda x: x["_f"])
-    else:
-        features = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["_f"], x["_copies"])))
-    grouped = grouped.select("_k", "_page", features.alias("features"))
-    none = F.array().cast(grouped.schema["features"].dataType)
-    docs = (pages.join(grouped, ["_k", "_page"], "left")
-            .where(F.col("features").isNotNull() | ~F.col("_hot"))       # a hashed page may stay empty
-            .withColumn("features", F.coalesce("features", none)))
+        pages = p.join(side, "_k").select(
+            "_k", "properties", F.explode(F.sequence(F.lit(0), F.col("_pages").cast("int") - 1)).alias("_page"))
+        paged = _documents(pages, spread.repartition(tasks, "_k", "_page"), many=True)
+        docs = docs.unionByName(paged.where(F.size("features") > 0))         # a hashed page may stay empty
     return docs.select(
         F.concat_ws("/", F.col("_k").cast("string"), F.col("_page").cast("string")).alias("doc_key"),
         F.col("_k").alias(key),
@@ -96,6 +96,22 @@ def nest(parent: DataFrame, child: DataFrame, key: str, child_key: str,
         F.struct(F.lit(doc_type).alias("type"), F.col("properties"), F.col("features")).alias("doc"))
 
 
+def _documents(pages: DataFrame, children: DataFrame, many: bool) -> DataFrame:
+    """``pages`` with the sorted ``features`` of their children (empty for
+    none); with ``many`` a child counts ``_copies`` times."""
+    items = ["_o", "_f"] + (["_copies"] if many else [])
+    grouped = (children.groupBy("_k", "_page")
+               .agg(F.sort_array(F.collect_list(F.struct(*items))).alias("_items")))
+    if many:
+        features = F.flatten(F.transform("_items", lambda x: F.array_repeat(x["_f"], x["_copies"])))
+    else:
+        features = F.transform("_items", lambda x: x["_f"])
+    grouped = grouped.select("_k", "_page", features.alias("features"))
+    none = F.array().cast(grouped.schema["features"].dataType)
+    return (pages.join(grouped, ["_k", "_page"], "left")
+            .select("_k", "_page", "properties", F.coalesce("features", none).alias("features")))
+
+
 def to_bodies(docs: DataFrame, doc: str = "doc") -> DataFrame:
     """Serialise the document struct to JSON text: ``doc_key, body``."""
     return docs.select("doc_key", F.to_json(F.col(doc)).alias("body"))

@@ -42,7 +42,8 @@ def input_signature(spark: SparkSession, paths: list[str]) -> str:
     return hashlib.sha256("\n".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
-def land_once(spark: SparkSession, build, target: str, fmt: str = "parquet") -> str:
+def land_once(spark: SparkSession, build, target: str, fmt: str = "parquet",
+              compression: str | None = None) -> str:
     """Write ``build()`` to ``target`` unless a complete copy is there.
 
     The data goes to a fresh sibling directory first and is renamed into
@@ -52,7 +53,8 @@ def land_once(spark: SparkSession, build, target: str, fmt: str = "parquet") ->
     if fs.exists(p.suffix("/_SUCCESS")):
         return target
     staging = f"{target}.staging-{uuid.uuid4().hex[:8]}"
-    build().write.format(fmt).mode("errorifexists").save(staging)
+    writer = build().write.format(fmt).mode("errorifexists")
+    (writer.option("compression", compression) if compression else writer).save(staging)
     sp, _ = _fs(spark, staging)
     if not fs.rename(sp, p) and not fs.exists(p.suffix("/_SUCCESS")):
         raise IOError(f"could not land {target}")

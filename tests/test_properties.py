@@ -60,3 +60,35 @@ def test_nest_spreads_equal_and_equally_salted_children(spark):
     sizes = {p: [len(r.features) for r in rows if r.pid == p] for p in (0, 1, 402)}
     assert max(sizes[0] + sizes[1]) <= 60 and len(sizes[0]) > 10 and len(sizes[1]) > 10
     assert sizes[402] == [0]
+
+
+def test_nest_shuffles_plain_columns_in_bounded_tasks(spark):
+    """Nested rows were shuffled, into as many tasks whatever the number of rows."""
+    parents = spark.range(300).select(F.col("id").alias("pid"))
+    children = spark.range(3000).select((F.col("id") % 300).alias("pid"), F.col("id").alias("cno"), F.lit("v").alias("v"))
+
+    docs = nest(parents, children, "pid", "pid", F.struct(F.col("pid").alias("parent-id")),
+                F.struct(F.col("cno").alias("child-no"), "v"), order=[F.col("cno")], task_rows=200)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = docs._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    shuffles = [(line, plan[i + 1]) for i, line in enumerate(plan) if "Exchange" in line]
+    assert len(shuffles) == 2 and all(", 15)" in line and "Aggregate" not in below for line, below in shuffles)
+    rows = docs.select("pid", "doc.features").collect()
+    assert sorted((r.pid, f["child-no"]) for r in rows for f in r.features) == sorted((i % 300, i) for i in range(3000))
+    assert all([f["child-no"] for f in r.features] == sorted(f["child-no"] for f in r.features) for r in rows)
+
+
+def test_nest_keeps_parents_of_every_kind(spark):
+    """Parents without children, with a NULL key and given twice; children without parents; hot and other keys together."""
+    parents = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,)], "pid bigint")
+    kids = [(1, j) for j in range(3)] + [(3, j) for j in range(40)] + [(9, 0), (None, 1)] + [(8, j) for j in range(40)]
+    docs = nest(parents, spark.createDataFrame(kids, "pid bigint, cno bigint"), "pid", "pid", F.struct(F.col("pid").alias("parent-id")),
+                F.struct(F.col("cno").alias("child-no")), order=[F.col("cno")], page_size=8, max_broadcast_keys=0)
+    got = [(r.pid, len(r.features)) for r in docs.select("pid", "doc.features").collect()]
+    assert sorted(x for x in got if x[0] in (1, 2)) == [(1, 3), (1, 3), (2, 0)]
+    assert [n for k, n in got if k is None] == [0, 0] and sum(n for k, n in got if k == 3) == 40
+    assert {k for k, _ in got} == {1, 2, 3, None}
