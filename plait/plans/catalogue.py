@@ -9,6 +9,7 @@ order as document properties and its lines as ``features``.
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 from datetime import date
 
@@ -189,10 +190,11 @@ def q11_recombine(spark, sf_dir):
     parts = feature_split(spark, sf_dir, persist=True)
     specs = {}
     try:
+        buckets = _buckets(spark, parts.parent.count())     # this also fills the persisted parent
         for name, part in parts.items():
             specs[name] = table_spec(name, unique_name(f"t_{name}"), "default",
                                      scratch_path(spark, "tables", name), key=("featurekey",),
-                                     buckets=_buckets(spark))
+                                     buckets=buckets)
             replace(part, specs[name])
     finally:
         parts.release()
@@ -286,8 +288,13 @@ def _parallelism(spark) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _buckets(spark) -> int:
-    return _parallelism(spark)
+#: Rows that one task sorts into its bucket.
+BUCKET_ROWS = 250_000
+
+
+def _buckets(spark, rows: int) -> int:
+    """A bucket is written and joined by one task: their number grows with the rows."""
+    return max(_parallelism(spark), math.ceil(rows / BUCKET_ROWS))
 
 
 def _spec(spark, label, buckets: int = 0):
@@ -298,7 +305,7 @@ def _spec(spark, label, buckets: int = 0):
 
 def q20_load_twice(spark, sf_dir):
     target, source = _orders_batches(spark, sf_dir)
-    spec = _spec(spark, "orders", buckets=_buckets(spark))
+    spec = _spec(spark, "orders", buckets=_buckets(spark, target.count()))
     load(target, spec)            # creates, bucketed by key
     load(source, spec)            # merges: only the source is shuffled
     return spark.table(spec.qualified)

@@ -75,3 +75,11 @@ def test_upsert_and_history_scan_their_input_once(spark, workdir):
     hist = scd2_history(events, "user_id", ["ts", "event_id"], ["state"])
     hist.collect()
     assert _plan(hist).count("FileScan parquet") == 0               # reads its checkpoints only
+
+
+def test_buckets_grow_with_the_rows(spark):
+    """One bucket a core made every task sort a share that grew with the table."""
+    from plait.plans import catalogue
+    cores = spark.sparkContext.defaultParallelism
+    assert catalogue._buckets(spark, 100) == cores
+    assert catalogue._buckets(spark, 40 * catalogue.BUCKET_ROWS + 1) == 41
