@@ -72,15 +72,15 @@ def _landing_key(spark: SparkSession, sf_dir: str) -> str:
 
 
 def order_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies landed as JSON Lines files, read with the declared schema
-    (PERMISSIVE) and written once as typed, nested Parquet ("bronze"), so
-    later queries read only the nested columns they use."""
+    """Replies landed as JSON Lines files (gzip; a file holds the documents of
+    one task, a bounded number), read with the declared schema (PERMISSIVE)
+    and written once as typed, nested Parquet ("bronze"), so later queries
+    read only the nested columns they use."""
     key = _landing_key(spark, sf_dir)
     files = f"{shared_dir(spark)}/plait/replies/orders-jsonl-{key}"
     bronze = f"{shared_dir(spark)}/plait/bronze/orders-{key}"
-    land_once(spark, lambda: order_bodies(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-              .select("body"), files, fmt="text")
-    land_once(spark, lambda: read_payloads(spark, files, ORDER_DOCUMENT_DDL), bronze)
+    land_once(spark, lambda: _order_bodies(spark, sf_dir).select("body"), files, fmt="text", compression="gzip")
+    land_once(spark, lambda: read_payloads(spark, files, ORDER_DOCUMENT_DDL), bronze, compression="zstd")
     return spark.read.parquet(bronze)
 
 

@@ -126,3 +126,15 @@ def test_fetch_concurrency_keeps_every_reply(spark):
     assert overlapped < sequential - 1.0         # calls overlapped inside each task
     assert sorted(json.loads(r.body)["key"] for r in rows) == sorted(str(i) for i in range(40))
     assert all(r.request_key == json.loads(r.body)["key"] for r in rows)
+
+
+def test_landed_lines_are_compressed_and_read_back_whole(spark):
+    """Landed JSON Lines were plain text."""
+    from plait.plans import catalogue
+    sf = "/root/testdata/sf0.001"
+    bronze = catalogue.order_bronze(spark, sf)
+    files = bronze.sparkSession.read.format("binaryFile").load(
+        f"{catalogue.shared_dir(spark)}/plait/replies/orders-jsonl-{catalogue._landing_key(spark, sf)}/part-*")
+    assert files.where("path NOT LIKE '%.txt.gz'").isEmpty()
+    assert bronze.count() == catalogue.order_replies(spark, sf).count() == files.sparkSession.read.text(
+        [r.path for r in files.select("path").collect()]).count()
