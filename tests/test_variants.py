@@ -53,6 +53,28 @@ def test_path_values_of_damaged_and_empty_input(spark):
     assert path_values(df.limit(0), "body", ["id"]).collect() == []
 
 
+def test_levels_are_opened_without_a_write(spark):
+    """Every level used to be written with the values of all later ones in it."""
+    deep = {"a": [{"b": [{"c": '[{"[[\\', "d": [[]], "e": {}}] * 3}] * 3}
+    df = spark.createDataFrame([(1, json.dumps(deep)), (2, "7")], "id long, body string")
+    got = path_values(df, "body", ["id"])
+    shape = json.dumps({"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1, 2]}] * 2})
+    parts = geometry_parts(df.select("id", F.lit(shape).alias("g")), "g", ["id"])
+    for rows in (got, parts):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" in plan and "Exchange" not in plan
+    assert sorted((r.path, r.value) for r in got.where("id = 1").collect()) == sorted(plain_paths(deep))
+    assert parts.count() == 4
+
+
+def test_paths_deeper_than_a_pass(spark):
+    deep, path = "end", []
+    for i in range(40):
+        deep, path = ([deep], ["[0]"] + path) if i % 2 else ({"k": deep}, [".k"] + path)
+    df = spark.createDataFrame([(1, json.dumps(deep))], "id long, body string")
+    assert [(r.path, r.value) for r in path_values(df, "body", ["id"]).collect()] == [("".join(path), "end")]
+
+
 def test_geometry_parts_keep_every_shape(spark):
     point, line = {"type": "Point", "coordinates": [1, 2]}, {"type": "LineString", "coordinates": [[1, 2], [3, 4]]}
     deep = {"type": "GeometryCollection", "geometries": [point, {"type": "GeometryCollection", "geometries": [line, {"type": "GeometryCollection", "geometries": []}]}]}
