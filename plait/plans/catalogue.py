@@ -55,18 +55,22 @@ def order_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order replies ``doc_key, body`` (JSON text), landed once per input
     version in the shared folder, as fetched replies would be."""
     target = f"{shared_dir(spark)}/plait/replies/orders-{_landing_key(spark, sf_dir)}"
-    land_once(spark, lambda: _order_bodies(spark, sf_dir), target, compression="zstd")
+    land_once(spark, lambda: _order_bodies(spark, sf_dir), target, compression="zstd", inputs=_order_inputs(sf_dir))
     return read_table(spark, target)
 
 
 def _order_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the tables are read as they lie: the builder spreads them by key at once,
     # so spreading a file of few splits before would be a second shuffle
-    return order_bodies(*(spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in ("orders", "lineitem")))
+    return order_bodies(*(spark.read.parquet(path) for path in _order_inputs(sf_dir)))
+
+
+def _order_inputs(sf_dir: str) -> list[str]:
+    return [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "lineitem")]
 
 
 def _landing_key(spark: SparkSession, sf_dir: str) -> str:
-    inputs = [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "lineitem")]
+    inputs = _order_inputs(sf_dir)
     fmt = hashlib.sha256(f"{REPLY_FORMAT}|{DEFAULT_PAGE_SIZE}|{ORDER_DOCUMENT_DDL}".encode()).hexdigest()[:8]
     return f"{fmt}-{input_signature(spark, inputs)}"
 
@@ -79,7 +83,8 @@ def order_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = _landing_key(spark, sf_dir)
     files = f"{shared_dir(spark)}/plait/replies/orders-jsonl-{key}"
     bronze = f"{shared_dir(spark)}/plait/bronze/orders-{key}"
-    land_once(spark, lambda: _order_bodies(spark, sf_dir).select("body"), files, fmt="text", compression="gzip")
+    land_once(spark, lambda: _order_bodies(spark, sf_dir).select("body"), files, fmt="text", compression="gzip",
+              inputs=_order_inputs(sf_dir))
     land_once(spark, lambda: read_payloads(spark, files, ORDER_DOCUMENT_DDL), bronze, compression="zstd")
     return spark.read.parquet(bronze)
 

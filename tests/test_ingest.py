@@ -138,3 +138,30 @@ def test_landed_lines_are_compressed_and_read_back_whole(spark):
     assert files.where("path NOT LIKE '%.txt.gz'").isEmpty()
     assert bronze.count() == catalogue.order_replies(spark, sf).count() == files.sparkSession.read.text(
         [r.path for r in files.select("path").collect()]).count()
+
+
+def test_landing_reads_in_tasks_of_bounded_rows(spark, workdir, monkeypatch):
+    """Splits were cut by bytes alone: a well compressed table was read, shuffled and spilled by few tasks."""
+    import os
+    import pyarrow.parquet as pq
+    from plait.plans import catalogue
+    from plait.sources import files
+    os.makedirs(workdir)
+    for t in ("orders", "lineitem"):
+        pq.write_table(pq.read_table(f"/root/testdata/sf0.001/{t}.parquet"), f"{workdir}/{t}.parquet", row_group_size=250)
+    monkeypatch.setattr(files, "SPLIT_ROWS", 1000, raising=False)
+    sizes, build = [], catalogue.order_bodies
+
+    def recorded(orders, lineitem):
+        sizes.append(lineitem.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+        return build(orders, lineitem)
+
+    monkeypatch.setattr(catalogue, "order_bodies", recorded)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    replies = catalogue.order_replies(spark, workdir)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == held
+    rows = spark.read.parquet(f"{workdir}/lineitem.parquet").count()
+    assert sum(sizes[0]) == rows and max(sizes[0]) <= 2 * 1000 < rows
+    monkeypatch.undo()
+    whole = catalogue.order_replies(spark, "/root/testdata/sf0.001")
+    assert replies.exceptAll(whole).isEmpty() and whole.exceptAll(replies).isEmpty()
