@@ -130,33 +130,37 @@ def split(df: DataFrame, parts: dict[str, list[str]], key: dict[str, str],
     ``parts`` maps a table name to column paths: ``"geometry.*"`` expands a
     struct, ``"properties.n"`` takes one field.  ``key`` maps the key's output
     name to its path; it is added to every part that does not already hold
-    it.  All output names are SQL-safe.  ``persist`` keeps the parent once
-    (MEMORY_AND_DISK) so the branches do not each recompute it.
+    it.  All output names are SQL-safe.  ``persist`` keeps the parent once so
+    the branches do not each recompute it: the fields that any part uses, as
+    plain columns (no codec shortens those of a struct), on the executors'
+    disks.  A serialised block in memory takes about twice its accounted size
+    of the heap (its chunks of 1 MB and their header need two regions each),
+    so a parent that fills the storage memory leaves none for the tasks.
     """
-    parent = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
-    out = Split()
-    out.parent = parent if persist else None
+    columns: dict[str, list[tuple[str, str]]] = {}
     for name, paths in parts.items():
-        cols, names = [], []
+        cols = []
         for p in paths:
             if p.endswith(".*"):
                 base = p[:-2]
-                dt = _type_at(parent.schema, base)
+                dt = _type_at(df.schema, base)
                 if not isinstance(dt, T.StructType):
                     raise TypeError(f"{base!r} is not a struct")
-                for f in dt.fields:
-                    cols.append(field(f"{base}.{f.name}"))
-                    names.append(safe_name(f.name))
+                cols += [(f"{base}.{f.name}", safe_name(f.name)) for f in dt.fields]
             else:
-                cols.append(field(p))
-                names.append(safe_name(p.split(".")[-1]))
+                cols.append((p, safe_name(p.split(".")[-1])))
         for kname, kpath in key.items():
-            if kname not in names:
-                cols.insert(0, field(kpath))
-                names.insert(0, kname)
-        check_unique(names, f"part {name}")
-        table = parent.select(*[c.alias(n) for c, n in zip(cols, names)])
-        out[name] = sanitize_names(table)
+            if kname not in [n for _, n in cols]:
+                cols.insert(0, (kpath, kname))
+        check_unique([n for _, n in cols], f"part {name}")
+        columns[name] = cols
+    out, parent, at = Split(), df, field
+    if persist:
+        used = dict.fromkeys(path for cols in columns.values() for path, _ in cols)
+        parent = df.select(*[field(path).alias(path) for path in used]).persist(StorageLevel.DISK_ONLY)
+        out.parent, at = parent, lambda path: F.col(quote(path))
+    for name, cols in columns.items():
+        out[name] = sanitize_names(parent.select(*[at(path).alias(n) for path, n in cols]))
     return out
 
 

@@ -139,3 +139,23 @@ def test_recombine_refuses_duplicate_keys(spark):
     with _pytest.raises(DuplicateKeyError):
         recombine([a, b], "key")
     assert recombine([a, b.limit(1)], "key").count() == 2
+
+
+def test_persisted_split_holds_no_executor_memory(spark):
+    """Blocks in memory filled the executors once the parent outgrew them."""
+    texts = [OK_TEXT.replace('"n"', f'"x{i}": 1, "n"') for i in range(200)]
+    wide = _features(spark, *texts).select("col.*")
+    parts = split(wide, {"coordinates": ["geometry.*"], "properties": ["properties.n", "properties.h3-index"]},
+                  key={"h3index": "properties.h3-index"}, persist=True)
+    held = {i.id() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    assert parts.parent.count() == wide.count() == 400
+    new = [i for i in spark.sparkContext._jsc.sc().getRDDStorageInfo() if i.id() not in held]
+    assert sum(i.memSize() for i in new) == 0 and sum(i.diskSize() for i in new) > 0
+    # only what the parts use is kept, as plain columns
+    assert parts.parent.columns == ["properties.h3-index", "geometry.type", "geometry.coordinates", "properties.n"]
+    plain = split(wide, {"coordinates": ["geometry.*"], "properties": ["properties.n", "properties.h3-index"]},
+                  key={"h3index": "properties.h3-index"})
+    for name, part in plain.items():
+        assert parts[name].schema == part.schema
+        assert sorted(map(str, parts[name].collect())) == sorted(map(str, part.collect()))
+    parts.release()
